@@ -165,12 +165,12 @@ def _plan(target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast:
     return matched, inserts
 
 
-def _choose(source: DataFrame, strategy: str, limit: int | None) -> tuple[str, Size | None]:
+def _choose(source: DataFrame, strategy: str, limit: int | None, bound: Size | None = None) -> tuple[str, Size | None]:
     if strategy in ("broadcast", "shuffle"):
         return strategy, None
     if strategy != "auto":
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    size = measure(source)
+    size = bound if bound is not None else measure(source)
     if size.empty:
         return "empty", size
     lim = broadcast_limit(source.sparkSession, limit)
@@ -183,13 +183,16 @@ def merge_frame(
     spec: MergeSpec,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
+    source_bound: Size | None = None,
 ) -> DataFrame:
     """All merge outcomes: target columns plus ``merge_action``.
 
     Deleted target rows and skipped source rows are included (for audits);
-    ``merge`` drops them.
+    ``merge`` drops them.  ``source_bound`` is an upper bound of the source
+    size the caller already knows (e.g. from the staged input); without it
+    the source is measured in one pass.
     """
-    chosen, _ = _choose(source, strategy, broadcast_bytes)
+    chosen, _ = _choose(source, strategy, broadcast_bytes, source_bound)
     if chosen == "empty":
         return target.withColumn(ACTION, F.lit("keep"))
     matched, inserts = _plan(target, source, spec, chosen == "broadcast")
@@ -205,9 +208,10 @@ def merge(
     spec: MergeSpec,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
+    source_bound: Size | None = None,
 ) -> DataFrame:
     """New target content after MERGE of ``source`` into ``target``."""
-    frame = merge_frame(target, source, spec, strategy, broadcast_bytes)
+    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound)
     return frame.filter(F.col(ACTION).isin("keep", "update", "insert")).drop(ACTION)
 
 
@@ -217,9 +221,10 @@ def merge_action_counts(
     spec: MergeSpec,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
+    source_bound: Size | None = None,
 ) -> DataFrame:
     """How many rows each branch took: (merge_action, rows)."""
-    frame = merge_frame(target, source, spec, strategy, broadcast_bytes)
+    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound)
     return frame.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -123,13 +123,14 @@ def incremental_load(
         warehouse.publish("dim_authors", new_authors)
         new_authors = warehouse.read("dim_authors")
 
-    if articles.isEmpty():
+    bound = facts.delta_source_bound(articles)
+    if bound.empty:
         skipped += ["dim_articles", FACT]
         new_articles, new_fact = tables["dim_articles"], tables[FACT]
     else:
         new_articles = dims.merge_dim_articles(tables["dim_articles"], articles, strategy, broadcast_bytes)
         delta_source = facts.fact_delta_source(articles, new_authors, broadcast_bytes)
-        new_fact = facts.merge_fact(tables[FACT], delta_source, strategy, broadcast_bytes)
+        new_fact = facts.merge_fact(tables[FACT], delta_source, strategy, broadcast_bytes, bound)
         if warehouse is not None:
             warehouse.publish("dim_articles", new_articles)
             warehouse.publish(FACT, new_fact)

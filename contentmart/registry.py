@@ -404,7 +404,8 @@ def q_union_all_delta(spark, sf):
 # ================================================================ 2.7 merge
 @register("merge_fact", fact_merge_sql())
 def q_merge_fact(spark, sf):
-    return facts.merge_fact(_fact(spark, sf), _delta_source(spark, sf))
+    bound = facts.delta_source_bound(_v(spark, sf, "delta"))
+    return facts.merge_fact(_fact(spark, sf), _delta_source(spark, sf), source_bound=bound)
 
 
 @register("merge_fact_broadcast", fact_merge_sql())
@@ -419,7 +420,8 @@ def q_merge_fact_shuffle(spark, sf):
 
 @register("merge_actions", fact_merge_sql("actions"))
 def q_merge_actions(spark, sf):
-    return merge.merge_action_counts(_fact(spark, sf), _delta_source(spark, sf), facts.fact_merge_spec())
+    bound = facts.delta_source_bound(_v(spark, sf, "delta"))
+    return merge.merge_action_counts(_fact(spark, sf), _delta_source(spark, sf), facts.fact_merge_spec(), source_bound=bound)
 
 
 @register(

@@ -39,7 +39,8 @@ class FileSource:
 
 
 def _jdbc(spark: SparkSession, src: JdbcSource, table: str) -> DataFrame:
-    bounds_sql = f"(SELECT MIN({src.partition_column}) AS lo, MAX({src.partition_column}) AS hi FROM {table}) b"
+    col = f'"{src.partition_column}"'  # quoted: the name is used exactly as stored
+    bounds_sql = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) b"
     row = spark.read.jdbc(src.url, bounds_sql, properties=dict(src.properties)).first()
     lo, hi = row[0], row[1]
     if lo is None:

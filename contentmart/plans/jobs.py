@@ -28,7 +28,9 @@ from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, coverin
 from contentmart.operators.casts import typed_ids
 from contentmart.sources import fs
 from contentmart.sources.extract import extract_delta, extract_full
+from contentmart.operators import merge as M
 from contentmart.sources.publish import Warehouse
+from contentmart.sources.ranged import RangedWarehouse
 from contentmart.sources.staging import STAGED_IDS, StagingArea, as_staged_text
 
 FACT = "fact_reports_articles"
@@ -43,7 +45,7 @@ class LoadResult:
 
 def init_warehouse(
     spark: SparkSession,
-    warehouse: Warehouse | None = None,
+    warehouse: Warehouse | RangedWarehouse | None = None,
     start: str = DIM_DATE_START,
     end: str = DIM_DATE_END,
 ) -> dict[str, DataFrame]:
@@ -68,7 +70,7 @@ def _stage(spark: SparkSession, table: str, df: DataFrame, staging: StagingArea
 def full_load(
     spark: SparkSession,
     source,
-    warehouse: Warehouse | None = None,
+    warehouse: Warehouse | RangedWarehouse | None = None,
     staging: StagingArea | bool | None = None,
     broadcast_bytes: int | None = None,
 ) -> LoadResult:
@@ -98,7 +100,7 @@ def full_refresh(spark: SparkSession, source, warehouse: Warehouse | None = None
 def incremental_load(
     spark: SparkSession,
     source,
-    current: dict[str, DataFrame] | Warehouse,
+    current: dict[str, DataFrame] | Warehouse | RangedWarehouse,
     since: str | dt.datetime,
     until: str | dt.datetime | None = None,
     staging: StagingArea | bool | None = None,
@@ -106,37 +108,65 @@ def incremental_load(
     broadcast_bytes: int | None = None,
     author_ts_col: str | None = None,
 ) -> LoadResult:
-    """One delta run.  Authors travel whole unless ``author_ts_col`` is given."""
-    warehouse = current if isinstance(current, Warehouse) else None
-    tables = {n: warehouse.read(n) for n in ("dim_authors", "dim_articles", FACT)} if warehouse else dict(current)
+    """One delta run.  Authors travel whole unless ``author_ts_col`` is given.
+
+    ``current`` is either in-memory tables (returns new DataFrames), a
+    ``Warehouse`` of snapshots (publishes whole new versions) or a
+    ``RangedWarehouse`` (rewrites only the key ranges the delta touches).
+    """
     audit = RunAudit()
     authors = _stage(spark, "authors", extract_delta(extract_full(spark, source, "authors"), author_ts_col, since, until), staging)
     articles = _stage(spark, "articles", extract_delta(extract_full(spark, source, "articles"), "updated_at", since, until), staging)
-    skipped = []
+    tables, skipped = apply_delta(spark, current, authors, articles, strategy, broadcast_bytes)
+    return LoadResult(tables, audit, skipped)
+
+
+def apply_delta(
+    spark: SparkSession,
+    current: dict[str, DataFrame] | Warehouse | RangedWarehouse,
+    authors: DataFrame | None,
+    articles: DataFrame,
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
+    version: int | None = None,
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """MERGE staged (typed) authors and articles into the warehouse.
 
-    if authors.isEmpty():
+    Order as in the reference: both dims, then the fact, whose source joins
+    the *merged* author dimension.  Empty batches skip their merges.
+    """
+    names = ("dim_authors", "dim_articles", FACT)
+    ranged = isinstance(current, RangedWarehouse)
+    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    tables = {n: store.read(n) for n in names} if store else dict(current)
+    skipped: list[str] = []
+
+    def upsert(name: str, staged: DataFrame, spec, bound=None, touched=None) -> DataFrame:
+        if ranged:
+            store.merge(name, staged, spec, strategy=strategy, broadcast_bytes=broadcast_bytes,
+                        source_bound=bound, version=version, touched=touched)
+            return store.read(name)
+        merged = M.merge(tables[name], staged, spec, strategy, broadcast_bytes, bound)
+        if store is not None:
+            store.publish(name, merged, version)
+            return store.read(name)
+        return merged
+
+    if authors is None or authors.isEmpty():
         skipped.append("dim_authors")
-        new_authors = tables["dim_authors"]
     else:
-        new_authors = dims.merge_dim_authors(tables["dim_authors"], authors, strategy, broadcast_bytes)
-    if warehouse is not None and "dim_authors" not in skipped:
-        warehouse.publish("dim_authors", new_authors)
-        new_authors = warehouse.read("dim_authors")
+        tables["dim_authors"] = upsert("dim_authors", authors, dims.authors_upsert_spec())
 
     bound = facts.delta_source_bound(articles)
     if bound.empty:
         skipped += ["dim_articles", FACT]
-        new_articles, new_fact = tables["dim_articles"], tables[FACT]
-    else:
-        new_articles = dims.merge_dim_articles(tables["dim_articles"], articles, strategy, broadcast_bytes)
-        delta_source = facts.fact_delta_source(articles, new_authors, broadcast_bytes)
-        new_fact = facts.merge_fact(tables[FACT], delta_source, strategy, broadcast_bytes, bound)
-        if warehouse is not None:
-            warehouse.publish("dim_articles", new_articles)
-            warehouse.publish(FACT, new_fact)
-            new_articles, new_fact = warehouse.read("dim_articles"), warehouse.read(FACT)
-    out = {"dim_authors": new_authors, "dim_articles": new_articles, FACT: new_fact}
-    return LoadResult(out, audit, skipped)
+        return tables, skipped
+    # dim_articles and the fact share the article-id ranges: find them once.
+    touched = store.tables[FACT].touched_ranges(articles, "id") if ranged else None
+    tables["dim_articles"] = upsert("dim_articles", articles, dims.articles_upsert_spec(), touched=touched)
+    delta_source = facts.fact_delta_source(articles, tables["dim_authors"], broadcast_bytes)
+    tables[FACT] = upsert(FACT, delta_source, facts.fact_merge_spec(), bound, touched)
+    return tables, skipped
 
 
 def chunk_bounds(first: dt.date, last: dt.date, months: int = 12) -> list[tuple[dt.date, dt.date]]:

@@ -28,6 +28,7 @@ from contentmart.plans import jobs
 from contentmart.session import scratch_path
 from contentmart.sources import delimited, extract, staging
 from contentmart.sources.publish import Warehouse
+from contentmart.sources.ranged import RangedWarehouse
 from contentmart.streaming.incremental import run_incremental_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -577,6 +578,34 @@ def q_incremental_load_fact(spark, sf):
     return jobs.incremental_load(spark, later, wh, since="1996-01-01 00:00:00", staging=True).tables[jobs.FACT]
 
 
+RANGE_WIDTH = 1000  # key-range width for the checks (ids run to ~10^5 at sf0.1)
+
+
+def _ranged_incremental(spark, sf):
+    wh = RangedWarehouse(spark, scratch_path(spark, "rwh"), width=RANGE_WIDTH)
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    later = {"authors": authors, "articles": _v(spark, sf, "delta")}
+    return jobs.incremental_load(spark, later, wh, since="1996-01-01 00:00:00", staging=True).tables
+
+
+@register("incremental_load_ranged_fact", fact_merge_sql())
+def q_incremental_load_ranged_fact(spark, sf):
+    return _ranged_incremental(spark, sf)[jobs.FACT]
+
+
+@register(
+    "incremental_load_ranged_dim_articles",
+    with_views(
+        upsert_sql(DIM_ARTICLES_SQL.format(v="articles"), "select * from delta", "article_id", DIM_ARTICLE_TYPES, ARTICLE_COPIED, ["id"] + ARTICLE_COPIED),
+        "articles",
+        "delta",
+    ),
+)
+def q_incremental_load_ranged_dim_articles(spark, sf):
+    return _ranged_incremental(spark, sf)["dim_articles"]
+
+
 @register(
     "incremental_load_dim_articles",
     with_views(
@@ -661,3 +690,16 @@ def q_stream_incremental(spark, sf):
     delimited.write_delimited(staged, landing)
     run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=1)
     return wh.read(jobs.FACT)
+
+
+@register("stream_incremental_ranged", fact_merge_sql())
+def q_stream_incremental_ranged(spark, sf):
+    root = scratch_path(spark, "stream")
+    wh = RangedWarehouse(spark, f"{root}/warehouse", width=RANGE_WIDTH)
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    landing = f"{root}/landing"
+    staged = staging.as_staged_text(_v(spark, sf, "delta"), "articles").repartition(4, F.year("updated_at"))
+    delimited.write_delimited(staged, landing)
+    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=1)
+    return wh.read(jobs.FACT)

@@ -37,3 +37,22 @@ def require(spark: SparkSession, path: str) -> None:
     """Missing input is an error (the loader never runs on nothing)."""
     if not exists(spark, path):
         raise FileNotFoundError(f"input not found: {path}")
+
+
+def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file under a temporary name, then rename it into place.
+
+    Readers that list the folder see the file whole or not at all (names
+    starting with ``_`` or ``.`` are ignored by Spark's file listing).
+    """
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    fsys = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), "_tmp." + final.getName())
+    out = fsys.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fsys.rename(tmp, final):
+        raise OSError(f"could not publish {path}")

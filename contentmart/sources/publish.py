@@ -10,6 +10,7 @@ computed from the old one, as a MERGE is).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,18 @@ class SnapshotTable:
     def _log(self) -> str:
         return f"{self.root}/_versions"
 
-    def current_version(self) -> int:
+    def refresh(self) -> int:
+        """Re-read the version log (single writer per table: kept mirrored)."""
         if not fs.exists(self.spark, self._log):
-            return 0
-        row = self.spark.read.json(self._log).agg(F.max("version")).first()
-        return int(row[0] or 0)
+            self._current = 0
+        else:
+            row = self.spark.read.schema("version long, published string").json(self._log).agg(F.max("version")).first()
+            self._current = int(row[0] or 0)
+        return self._current
+
+    def current_version(self) -> int:
+        current = getattr(self, "_current", None)
+        return self.refresh() if current is None else current
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
@@ -73,9 +81,9 @@ class SnapshotTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(target))
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        self.spark.createDataFrame([(target, stamp)], "version int, published string").coalesce(1).write.mode(
-            "append"
-        ).json(self._log)
+        entry = json.dumps({"version": target, "published": stamp}) + "\n"
+        fs.write_text_atomic(self.spark, f"{self._log}/v={target:06d}.json", entry)
+        self._current = target
         return target
 
 

@@ -13,12 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from contentmart import schemas
-from contentmart.operators import dims, facts
 from contentmart.operators.casts import typed_ids
 from contentmart.sources import delimited
-from contentmart.sources.publish import Warehouse
-
-FACT = "fact_reports_articles"
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None, clean_source: str | None = None) -> DataFrame:
@@ -38,19 +34,13 @@ def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return reader.csv(landing)
 
 
-def _apply_batch(warehouse: Warehouse, strategy: str, broadcast_bytes: int | None):
+def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None):
+    from contentmart.plans.jobs import apply_delta
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         staged = typed_ids(batch, ("id", "author_id"))
-        if staged.isEmpty():
-            return
-        # Version numbers are tied to the batch: a replay republishes nothing.
-        base = 1_000_000 + batch_id * 2
-        dim_authors = warehouse.read("dim_authors")
-        new_articles = dims.merge_dim_articles(warehouse.read("dim_articles"), staged, strategy, broadcast_bytes)
-        source = facts.fact_delta_source(staged, dim_authors, broadcast_bytes)
-        new_fact = facts.merge_fact(warehouse.read(FACT), source, strategy, broadcast_bytes)
-        warehouse.publish("dim_articles", new_articles, version=base)
-        warehouse.publish(FACT, new_fact, version=base)
+        # Versions are tied to the batch: a replayed batch republishes nothing.
+        apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, version=1_000_000 + batch_id)
 
     return apply
 
@@ -58,7 +48,7 @@ def _apply_batch(warehouse: Warehouse, strategy: str, broadcast_bytes: int | Non
 def run_incremental_stream(
     spark: SparkSession,
     landing: str,
-    warehouse: Warehouse,
+    warehouse,
     checkpoint: str,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
@@ -66,7 +56,11 @@ def run_incremental_stream(
     available_now: bool = True,
     processing_time: str | None = None,
 ):
-    """Start (and with ``available_now`` drain) the landing -> warehouse stream."""
+    """Start (and with ``available_now`` drain) the landing -> warehouse stream.
+
+    ``warehouse`` is a ``Warehouse`` (snapshot per batch) or a
+    ``RangedWarehouse`` (each batch rewrites only the key ranges it touches).
+    """
     writer = (
         landing_stream(spark, landing, max_files_per_trigger)
         .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes))

@@ -26,15 +26,14 @@ def check_unique(df: DataFrame, keys: list[str] | str) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
-    """One row per (row, column) that is NULL: (key?, column)."""
-    parts = []
-    for c in columns:
-        picked = [F.col(key)] if key else []
-        parts.append(df.filter(F.col(c).isNull()).select(*picked, F.lit(c).alias("column")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One row per (row, column) that is NULL: (key?, column) — one pass over ``df``."""
+    flags = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    picked = [F.col(key)] if key else []
+    return (
+        df.select(*picked, F.array_compact(flags).alias("__nulls"))
+        .filter(F.size("__nulls") > 0)
+        .select(*picked, F.explode("__nulls").alias("column"))
+    )
 
 
 def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -49,18 +48,23 @@ def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str) ->
 
 
 def check_length(df: DataFrame, limits: dict[str, int], key: str | None = None) -> DataFrame:
-    """Rows whose text is longer than its declared limit: (key?, column, length, limit)."""
-    parts = []
-    for c, limit in limits.items():
-        picked = [F.col(key)] if key else []
-        length = F.char_length(F.col(c))
-        parts.append(
-            df.filter(length > limit).select(*picked, F.lit(c).alias("column"), length.alias("length"), F.lit(limit).alias("limit"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows whose text is longer than its declared limit: (key?, column, length, limit) — one pass."""
+    picked = [F.col(key)] if key else []
+    entries = F.array(
+        *[
+            F.when(
+                F.char_length(F.col(c)) > limit,
+                F.struct(F.lit(c).alias("column"), F.char_length(F.col(c)).alias("length"), F.lit(limit).alias("limit")),
+            )
+            for c, limit in limits.items()
+        ]
+    )
+    return (
+        df.select(*picked, F.array_compact(entries).alias("__long"))
+        .filter(F.size("__long") > 0)
+        .select(*picked, F.explode("__long").alias("__e"))
+        .select(*picked, "__e.column", "__e.length", "__e.limit")
+    )
 
 
 def length_report(df: DataFrame, limits: dict[str, int]) -> DataFrame:

@@ -128,12 +128,13 @@ def apply_delta(
     articles: DataFrame,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
-    version: int | None = None,
+    tag: str | None = None,
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """MERGE staged (typed) authors and articles into the warehouse.
 
     Order as in the reference: both dims, then the fact, whose source joins
-    the *merged* author dimension.  Empty batches skip their merges.
+    the *merged* author dimension.  Empty batches skip their merges.  With a
+    ``tag`` each table records the batch, and a replay of it publishes nothing.
     """
     names = ("dim_authors", "dim_articles", FACT)
     ranged = isinstance(current, RangedWarehouse)
@@ -144,11 +145,11 @@ def apply_delta(
     def upsert(name: str, staged: DataFrame, spec, bound=None, touched=None) -> DataFrame:
         if ranged:
             store.merge(name, staged, spec, strategy=strategy, broadcast_bytes=broadcast_bytes,
-                        source_bound=bound, version=version, touched=touched)
+                        source_bound=bound, tag=tag, touched=touched)
             return store.read(name)
         merged = M.merge(tables[name], staged, spec, strategy, broadcast_bytes, bound)
         if store is not None:
-            store.publish(name, merged, version)
+            store.publish(name, merged, tag)
             return store.read(name)
         return merged
 

@@ -33,17 +33,23 @@ class SnapshotTable:
 
     def refresh(self) -> int:
         """Re-read the version log (single writer per table: kept mirrored)."""
-        if not fs.exists(self.spark, self._log):
-            self._current = 0
-        else:
-            row = self.spark.read.schema("version long, published string").json(self._log).agg(F.max("version")).first()
-            self._current = int(row[0] or 0)
+        self._current, self._tags = 0, set()
+        if fs.exists(self.spark, self._log):
+            log = self.spark.read.schema("version long, published string, tag string").json(self._log)
+            for r in log.collect():  # one small row per published version
+                self._current = max(self._current, int(r["version"]))
+                if r["tag"]:
+                    self._tags.add(r["tag"])
         return self._current
 
     def current_version(self) -> int:
         current = getattr(self, "_current", None)
         return self.refresh() if current is None else current
 
+    def has_tag(self, tag: str) -> bool:
+        self.current_version()
+        return tag in self._tags
+
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
@@ -61,16 +67,16 @@ class SnapshotTable:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         return df
 
-    def publish(self, df: DataFrame, version: int | None = None, columns: list[str] | None = None) -> int:
+    def publish(self, df: DataFrame, tag: str | None = None, columns: list[str] | None = None) -> int:
         """Write ``df`` (optionally with a named column list) as the next version.
 
-        ``version`` makes a replayed publish idempotent: a version already in
-        the log is not written again.
+        ``tag`` makes a replayed publish idempotent: a tag already in the log
+        (e.g. a stream batch) is not written again.
         """
         current = self.current_version()
-        target = current + 1 if version is None else version
-        if version is not None and target <= current:
+        if tag is not None and self.has_tag(tag):
             return current
+        target = current + 1
         out = df
         if columns is not None:
             out = insert_columns(df, columns, self.schema)
@@ -81,9 +87,11 @@ class SnapshotTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(target))
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        entry = json.dumps({"version": target, "published": stamp}) + "\n"
+        entry = json.dumps({"version": target, "published": stamp, "tag": tag}) + "\n"
         fs.write_text_atomic(self.spark, f"{self._log}/v={target:06d}.json", entry)
         self._current = target
+        if tag is not None:
+            self._tags.add(tag)
         return target
 
 
@@ -118,5 +126,5 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def publish(self, name: str, df: DataFrame, version: int | None = None) -> int:
-        return self.tables[name].publish(df, version)
+    def publish(self, name: str, df: DataFrame, tag: str | None = None) -> int:
+        return self.tables[name].publish(df, tag)

@@ -8,13 +8,13 @@ whole table — the rewrite cost follows the delta, not the table.
 Layout::
 
     root/data/v=000007/__range=123/part-*.parquet   data written by version 7
-    root/_log/part-*.json                            (version, range, path)
+    root/_log/v=000007.json                          (version, range, path, tag)
 
 A version's log rows name the new folder of every range it rewrote (``path``
 NULL = the range is now empty).  The current content of a range is the row
 with the highest version; a version is visible only once its log file is
 written, so readers never see a half-written table, old versions stay
-readable, and a replayed publish of the same version writes nothing.
+readable, and a replayed publish with the same ``tag`` writes nothing.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from contentmart.operators.sizing import Size
 from contentmart.sources import fs
 
 RANGE = "__range"
-LOG_SCHEMA = "version long, range long, path string"
+LOG_SCHEMA = "version long, range long, path string, tag string"
 
 
 def key_range(key: Column | str, width: int) -> Column:
@@ -52,7 +52,7 @@ class KeyRangeTable:
     def _log(self) -> str:
         return f"{self.root}/_log"
 
-    def refresh(self) -> list[tuple[int, int, str | None]]:
+    def refresh(self) -> list[tuple[int, int, str | None, str | None]]:
         """Re-read the log (one small job); the table keeps a mirror of it.
 
         A table has one writer at a time (runs do not overlap), so the mirror
@@ -62,20 +62,23 @@ class KeyRangeTable:
             self._rows = []
         else:
             log = self.spark.read.schema(LOG_SCHEMA).json(self._log)
-            self._rows = [(int(r[0]), int(r[1]), r[2]) for r in log.collect()]
+            self._rows = [(int(r[0]), int(r[1]), r[2], r[3]) for r in log.collect()]
         return self._rows
 
-    def _log_rows(self) -> list[tuple[int, int, str | None]]:
+    def _log_rows(self) -> list[tuple[int, int, str | None, str | None]]:
         rows = getattr(self, "_rows", None)
         return self.refresh() if rows is None else rows
 
     def current_version(self) -> int:
-        return max((v for v, _, _ in self._log_rows()), default=0)
+        return max((row[0] for row in self._log_rows()), default=0)
+
+    def has_tag(self, tag: str) -> bool:
+        return any(row[3] == tag for row in self._log_rows())
 
     def ranges(self, version: int | None = None) -> dict[int, str | None]:
         """range -> folder of its current content (bounded metadata: one entry per range)."""
         latest: dict[int, tuple[int, str | None]] = {}
-        for v, r, path in self._log_rows():
+        for v, r, path, _ in self._log_rows():
             if version is not None and v > version:
                 continue
             if r not in latest or v > latest[r][0]:
@@ -107,22 +110,22 @@ class KeyRangeTable:
         written = [int(n.split("=", 1)[1]) for n in fs.list_names(self.spark, out) if n.startswith(f"{RANGE}=")]
         return out, written
 
-    def _append_log(self, rows: list[tuple[int, int, str | None]]) -> None:
+    def _append_log(self, rows: list[tuple[int, int, str | None, str | None]]) -> None:
         """One JSON-lines file per version, renamed into place when complete."""
         if rows:
-            text = "".join(json.dumps({"version": v, "range": r, "path": p}) + "\n" for v, r, p in rows)
+            text = "".join(json.dumps({"version": v, "range": r, "path": p, "tag": t}) + "\n" for v, r, p, t in rows)
             fs.write_text_atomic(self.spark, f"{self._log}/v={rows[0][0]:06d}.json", text)
             self._log_rows().extend(rows)
 
-    def publish(self, df: DataFrame, version: int | None = None) -> int:
+    def publish(self, df: DataFrame, tag: str | None = None) -> int:
         """Replace the whole content (full load / refresh)."""
         current = self.current_version()
-        target = current + 1 if version is None else version
-        if version is not None and target <= current:
+        if tag is not None and self.has_tag(tag):
             return current
+        target = current + 1
         out, written = self._write(df, target)
-        rows = [(target, r, f"{out}/{RANGE}={r}") for r in written]
-        rows += [(target, r, None) for r, p in self.ranges().items() if p and r not in written]
+        rows = [(target, r, f"{out}/{RANGE}={r}", tag) for r in written]
+        rows += [(target, r, None, tag) for r, p in self.ranges().items() if p and r not in written]
         self._append_log(rows)
         return target
 
@@ -137,7 +140,7 @@ class KeyRangeTable:
         strategy: str = "auto",
         broadcast_bytes: int | None = None,
         source_bound: Size | None = None,
-        version: int | None = None,
+        tag: str | None = None,
         touched: list[int] | None = None,
     ) -> int:
         """MERGE ``source`` into the table, rewriting only the touched ranges.
@@ -148,9 +151,9 @@ class KeyRangeTable:
         (e.g. from the staged rows the source is derived from).
         """
         current = self.current_version()
-        target = current + 1 if version is None else version
-        if version is not None and target <= current:
+        if tag is not None and self.has_tag(tag):
             return current
+        target = current + 1
         if spec.target_key != self.key:
             raise ValueError(f"table is ranged on {self.key}, merge matches on {spec.target_key}")
         if touched is None:
@@ -163,7 +166,7 @@ class KeyRangeTable:
         stray = sorted(set(written) - set(touched))
         if stray:
             raise ValueError(f"merge wrote rows outside the touched key ranges: {stray[:10]}")
-        self._append_log([(target, r, f"{out}/{RANGE}={r}" if r in written else None) for r in touched])
+        self._append_log([(target, r, f"{out}/{RANGE}={r}" if r in written else None, tag) for r in touched])
         return target
 
 
@@ -187,8 +190,8 @@ class RangedWarehouse:
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def publish(self, name: str, df: DataFrame, version: int | None = None) -> int:
-        return self.tables[name].publish(df, version)
+    def publish(self, name: str, df: DataFrame, tag: str | None = None) -> int:
+        return self.tables[name].publish(df, tag)
 
     def merge(self, name: str, source: DataFrame, spec: M.MergeSpec, **kw) -> int:
         return self.tables[name].merge(source, spec, **kw)

@@ -3,9 +3,9 @@
 Delta files (pipe-delimited, staging layout) arrive in a landing folder; each
 micro-batch is merged into the published warehouse by ``foreachBatch``.  The
 streaming checkpoint records which files each batch took, and every batch
-publishes its snapshots under a version derived from the batch id, so a batch
-replayed after a failure neither loses nor doubles work (MERGE of the same
-batch is idempotent).
+records its batch id in each table's version log, so a batch replayed after
+a failure neither loses nor doubles work (and MERGE of the same batch is
+idempotent anyway).
 """
 
 from __future__ import annotations
@@ -34,13 +34,13 @@ def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return reader.csv(landing)
 
 
-def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None):
+def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str):
     from contentmart.plans.jobs import apply_delta
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         staged = typed_ids(batch, ("id", "author_id"))
-        # Versions are tied to the batch: a replayed batch republishes nothing.
-        apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, version=1_000_000 + batch_id)
+        # Each table logs the batch it applied: a replayed batch republishes nothing.
+        apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, tag=f"{stream_tag}#{batch_id}")
 
     return apply
 
@@ -63,7 +63,7 @@ def run_incremental_stream(
     """
     writer = (
         landing_stream(spark, landing, max_files_per_trigger)
-        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes))
+        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}"))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 hour")

@@ -16,6 +16,8 @@ from contentmart.session import get_session  # noqa: E402
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
 spark = get_session()
+if os.environ.get("ORACLE_SESSION_TZ"):
+    spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_SESSION_TZ"])
 qs, sqls = E.queries(), E.oracle_sql()
 con = duck(sf)
 bad = 0

@@ -31,7 +31,7 @@ def test_merge_rewrites_only_touched_ranges(spark):
     src = spark.createDataFrame(
         [(250, "new")] + [(k, "gone") for k in range(500, 600)] + [(1234, "ins"), (None, "nullkey")], SCHEMA
     )
-    assert table.merge(src, spec()) == 2
+    assert table.merge(src, spec(), tag="b1") == 2
     after = table.ranges()
     for r in (0, 1, 3, 4, 6, 7, 8, 9):
         assert after[r] == before[r]
@@ -44,6 +44,6 @@ def test_merge_rewrites_only_touched_ranges(spark):
 
     # Old versions stay readable; a replayed version writes nothing.
     assert table.read(version=1).count() == 1000
-    assert table.merge(src, spec(), version=2) == 2
+    assert table.merge(src, spec(), tag="b1") == 2
     fresh = KeyRangeTable(spark, table.root, schema, "k", width=100)
     assert fresh.current_version() == 2 and fresh.read().count() == 902

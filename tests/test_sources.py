@@ -73,10 +73,11 @@ def test_snapshot_versions_and_idempotent_publish(spark):
     dim = src.select(F.col("id").alias("author_id"), "name", "email", "created_at", "updated_at")
     assert table.publish(dim) == 1
     # New content computed from the current one (never overwrites what it reads).
-    assert table.publish(table.read().filter(F.col("author_id") <= 5)) == 2
+    assert table.publish(table.read().filter(F.col("author_id") <= 5), tag="batch-7") == 2
     assert table.read().count() == 5
-    assert table.publish(dim, version=2) == 2  # replayed publish: nothing written
+    assert table.publish(dim, tag="batch-7") == 2  # replayed publish: nothing written
     assert table.read().count() == 5
+    assert table.publish(dim) == 3  # an untagged reload still goes through
 
 
 def test_insert_with_named_column_list(spark):

@@ -18,11 +18,9 @@ from contentmart import schemas
 from contentmart.fixtures import with_views
 from contentmart.functions.dates import date_key, ntz_literal, yyyymmdd_text
 from contentmart.functions.predicates import is_live, is_removable
-from contentmart.operators import dims, facts, keys, merge, quality, reconcile
-from contentmart.operators.audit import RunAudit
+from contentmart.operators import dims, facts, keys, merge, quality, reconcile, reports
 from contentmart.operators.calendar import calendar, covering_bounds, dim_date
 from contentmart.operators.casts import typed_ids
-from contentmart.operators.sizing import key_table_bytes, broadcast_limit, maybe_broadcast
 from contentmart.oracle_sql import date_key_sql, merge_sql
 from contentmart.plans import jobs
 from contentmart.session import scratch_path
@@ -365,17 +363,10 @@ group by dd.year, dd.quarter, dd.month""",
     ),
 )
 def q_report_by_month(spark, sf):
-    fact = _fact(spark, sf, "articles")
-    days = _data_dim_date(spark, sf)
     bounds = covering_bounds(_v(spark, sf, "articles"), "published_at")
+    days = dim_date(spark, bounds[0], bounds[1])
     n_days = (bounds[1] - bounds[0]).days + 1
-    # The calendar's size is known from its bounds: broadcast it when that bound fits.
-    days = maybe_broadcast(days, key_table_bytes(n_days, 1, 5), broadcast_limit(spark))
-    return (
-        fact.join(days, "published_date_at")
-        .groupBy("year", "quarter", "month")
-        .agg(F.count(F.lit(1)).alias("articles"), F.sum("article_count").cast("bigint").alias("article_count"))
-    )
+    return reports.rollup_by_calendar(_fact(spark, sf, "articles"), days, calendar_days=n_days)
 
 
 # ================================================================ 2.6 generators, set ops

@@ -16,12 +16,14 @@ Plan shape (see README, "merge"):
 * ``keyed``: one row per non-NULL source key with the row count ``__n`` —
   partial aggregation first, so a key holding a third of the source collapses
   to one row before any shuffle;
-* matched side: ``target LEFT JOIN keyed`` — with the broadcast form the
-  target is streamed and never shuffled; the general form lets AQE split
-  skewed target partitions (left side of a left outer join);
+* matched side: ``target LEFT JOIN keyed``;
 * insert side: ``source LEFT ANTI JOIN hit`` where ``hit`` are the distinct
-  target keys that the source touches (``target keys LEFT SEMI keyed``):
-  bounded by the source's key count, so it is broadcast whenever ``keyed`` is.
+  target keys that the source touches (bounded by the source's key count);
+* broadcast form (small source): ``keyed`` and ``hit`` are broadcast, the
+  target is streamed and never shuffled;
+* shuffle form: sort-merge joins salted so that no key — a hot source key,
+  a repeated target key or NULL keys — lands in a single task (see
+  ``_shuffle_plan``).
 
 Strategy ``auto`` measures the source once (rows and bytes); an empty source
 returns the target untouched, a source under the broadcast limit takes the
@@ -134,13 +136,9 @@ def _target_values(target: DataFrame, spec: MergeSpec, side: str) -> list[Column
     return out
 
 
-def _plan(target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast: bool) -> tuple[DataFrame, DataFrame]:
-    t = _prefixed(target, TGT)
-    s = _prefixed(source, SRC)
-    tkey, skey = TGT + spec.target_key, SRC + spec.source_key
-    others = [c for c in s.columns if c != skey]
-
-    keyed = (
+def _keyed(s: DataFrame, skey: str, others: list[str]) -> DataFrame:
+    """One row per non-NULL source key: the key, its row count ``__n`` and the values."""
+    return (
         s.filter(F.col(skey).isNotNull())
         .groupBy(skey)
         .agg(
@@ -149,22 +147,80 @@ def _plan(target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast:
         )
         .select(F.col(skey), F.col("__n"), F.lit(True).alias("__matched"), *[F.col(f"__r.`{c}`").alias(c) for c in others])
     )
-    hint = F.broadcast if use_broadcast else (lambda d: d)
 
-    matched = (
-        t.join(hint(keyed), t[tkey] == keyed[skey], "left")
-        .withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False)))
-        .withColumn(ACTION, _matched_action(spec))
-    )
+
+def _broadcast_plan(t: DataFrame, s: DataFrame, tkey: str, skey: str, others: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Small source: the target is streamed through broadcast joins, never shuffled."""
+    keyed = _keyed(s, skey, others)
+    matched = t.join(F.broadcast(keyed), t[tkey] == keyed[skey], "left")
     hit = (
         t.select(F.col(tkey).alias("__hit"))
-        .join(hint(keyed.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
+        .join(F.broadcast(keyed.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
         .distinct()
     )
-    inserts = s.join(hint(hit), s[skey] == hit["__hit"], "left_anti").withColumn(ACTION, _insert_action(spec))
+    inserts = s.join(F.broadcast(hit), s[skey] == hit["__hit"], "left_anti")
     return matched, inserts
 
 
+def _shuffle_plan(
+    t: DataFrame, s: DataFrame, tkey: str, skey: str, others: list[str], hot_rows: int, salts: int
+) -> tuple[DataFrame, DataFrame]:
+    """Large source: sort-merge joins that no single key can overload.
+
+    * NULL target keys never match; they get a salt from a row hash so they
+      spread over partitions instead of all hashing to one.  A hot non-NULL
+      target key is on the side AQE splits (left of a left outer join).
+    * ``hit`` (target keys the source touches) is built from *distinct*
+      target keys, so a repeated target key is collapsed map-side.
+    * Source keys with more than ``hot_rows`` rows are hot.  Their count is
+      exact (``keyed.__n``) and there are at most rows / ``hot_rows`` of them,
+      so the list is broadcast.  Hot-key and NULL-key source rows are salted
+      over ``salts`` partitions; only the hot keys' ``hit`` rows are copied
+      once per salt value.
+    """
+    keyed = _keyed(s, skey, others)
+    salt_t = F.when(F.col(tkey).isNull(), F.abs(F.xxhash64(*[F.col(c) for c in t.columns])) % salts).otherwise(F.lit(0))
+    # (key, salt) as one struct key, so the keyed side's constant salt cannot be folded away.
+    t_salted = t.withColumn("__jt", F.struct(F.col(tkey).alias("k"), salt_t.cast("int").alias("s")))
+    k_salted = keyed.withColumn("__jk", F.struct(F.col(skey).alias("k"), F.lit(0).alias("s")))
+    matched = t_salted.join(k_salted, t_salted["__jt"] == k_salted["__jk"], "left")
+
+    tkeys = t.select(F.col(tkey).alias("__hit")).filter(F.col("__hit").isNotNull()).distinct()
+    hit = tkeys.join(keyed.select(skey), F.col("__hit") == F.col(skey), "left_semi")
+    hot = F.broadcast(keyed.filter(F.col("__n") > hot_rows).select(F.col(skey).alias("__hot")))
+    hot_hit = hit.join(hot, F.col("__hit") == F.col("__hot"), "left_semi")
+    hit_salted = hit.withColumn("__salt_h", F.lit(0)).unionByName(
+        hot_hit.withColumn("__salt_h", F.explode(F.sequence(F.lit(1), F.lit(salts - 1))))
+    )
+    flagged = s.join(hot, s[skey] == F.col("__hot"), "left")
+    spread = F.col(skey).isNull() | F.col("__hot").isNotNull()
+    salt_s = F.when(spread, F.abs(F.xxhash64(*[F.col(c) for c in s.columns])) % salts).otherwise(F.lit(0))
+    s_salted = flagged.withColumn("__salt_s", salt_s.cast("int")).drop("__hot")
+    inserts = s_salted.join(
+        hit_salted,
+        (s_salted[skey] == hit_salted["__hit"]) & (s_salted["__salt_s"] == hit_salted["__salt_h"]),
+        "left_anti",
+    )
+    return matched, inserts
+
+
+def _plan(
+    target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast: bool, hot_rows: int = 100_000, salts: int = 16
+) -> tuple[DataFrame, DataFrame]:
+    t = _prefixed(target, TGT)
+    s = _prefixed(source, SRC)
+    tkey, skey = TGT + spec.target_key, SRC + spec.source_key
+    others = [c for c in s.columns if c != skey]
+    if use_broadcast:
+        matched, inserts = _broadcast_plan(t, s, tkey, skey, others)
+    else:
+        matched, inserts = _shuffle_plan(t, s, tkey, skey, others, hot_rows, salts)
+    matched = matched.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False))).withColumn(
+        ACTION, _matched_action(spec)
+    )
+    return matched, inserts.withColumn(ACTION, _insert_action(spec))
+
+
 def _choose(source: DataFrame, strategy: str, limit: int | None, bound: Size | None = None) -> tuple[str, Size | None]:
     if strategy in ("broadcast", "shuffle"):
         return strategy, None
@@ -184,6 +240,7 @@ def merge_frame(
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
     source_bound: Size | None = None,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """All merge outcomes: target columns plus ``merge_action``.
 
@@ -195,7 +252,7 @@ def merge_frame(
     chosen, _ = _choose(source, strategy, broadcast_bytes, source_bound)
     if chosen == "empty":
         return target.withColumn(ACTION, F.lit("keep"))
-    matched, inserts = _plan(target, source, spec, chosen == "broadcast")
+    matched, inserts = _plan(target, source, spec, chosen == "broadcast", hot_rows)
     act = F.col(ACTION)
     left = matched.select(*_target_values(target, spec, "t"), F.regexp_replace(act, ":.*", "").alias(ACTION))
     right = inserts.select(*_target_values(target, spec, "s"), F.regexp_replace(act, ":.*", "").alias(ACTION))
@@ -209,9 +266,14 @@ def merge(
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
     source_bound: Size | None = None,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
-    """New target content after MERGE of ``source`` into ``target``."""
-    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound)
+    """New target content after MERGE of ``source`` into ``target``.
+
+    ``hot_rows``: a source key with more rows than this is spread over
+    several tasks in the shuffle form.
+    """
+    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound, hot_rows)
     return frame.filter(F.col(ACTION).isin("keep", "update", "insert")).drop(ACTION)
 
 

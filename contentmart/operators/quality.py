@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentmart.operators.sizing import broadcast_limit, key_table_bytes, maybe_broadcast
+
 
 def check_unique(df: DataFrame, keys: list[str] | str) -> DataFrame:
     """Key values held by more than one row: (*keys, rows).
@@ -36,15 +38,29 @@ def check_not_null(df: DataFrame, columns: list[str], key: str | None = None) ->
     )
 
 
-def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL ``fk`` has no parent row.
+def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Distinct non-NULL child keys with no parent: (fk, rows).
 
-    Parent keys are de-duplicated first (partial aggregation), so a repeated
-    parent key cannot skew the anti join; a hot child key sits on the side AQE
-    can split.
+    Both sides are reduced to distinct keys by partial aggregation before any
+    shuffle, so a key held by a third of the child rows is one row per task.
     """
+    child_keys = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("rows"))
     parent_keys = parent.select(F.col(pk).alias("__pk")).distinct()
-    return child.filter(F.col(fk).isNotNull()).join(parent_keys, F.col(fk) == F.col("__pk"), "left_anti")
+    return child_keys.join(parent_keys, F.col(fk) == F.col("__pk"), "left_anti")
+
+
+def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, broadcast_bytes: int | None = None) -> DataFrame:
+    """Child rows whose non-NULL ``fk`` has no parent row.
+
+    The orphan keys are found on distinct keys (``orphan_keys``), counted, and
+    broadcast when that count fits, so the child rows are picked out without a
+    shuffle and a hot child key never lands in one task.
+    """
+    orphans = orphan_keys(child, fk, parent, pk).select(F.col(fk).alias("__ok"))
+    limit = broadcast_limit(child.sparkSession, broadcast_bytes)
+    if limit >= 0:
+        orphans = maybe_broadcast(orphans, key_table_bytes(orphans.count(), 1, 0), limit)
+    return child.join(orphans, F.col(fk) == F.col("__ok"), "left_semi")
 
 
 def check_length(df: DataFrame, limits: dict[str, int], key: str | None = None) -> DataFrame:

@@ -489,6 +489,20 @@ def q_check_foreign_key(spark, sf):
     return quality.check_foreign_key(_v(spark, sf, "articles"), "author_id", _v(spark, sf, "authors"), "id")
 
 
+@register(
+    "check_foreign_key_keys",
+    with_views(
+        """select a.author_id, count(*) as rows from articles a
+where a.author_id is not null and not exists (select 1 from authors p where p.id = a.author_id)
+group by a.author_id""",
+        "authors",
+        "articles",
+    ),
+)
+def q_check_foreign_key_keys(spark, sf):
+    return quality.orphan_keys(_v(spark, sf, "articles"), "author_id", _v(spark, sf, "authors"), "id")
+
+
 @register(
     "check_length",
     with_views(

@@ -55,14 +55,17 @@ def run_incremental_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    clean_source: str | None = None,
 ):
     """Start (and with ``available_now`` drain) the landing -> warehouse stream.
 
     ``warehouse`` is a ``Warehouse`` (snapshot per batch) or a
     ``RangedWarehouse`` (each batch rewrites only the key ranges it touches).
+    ``clean_source="delete"`` removes landed files once processed (Spark does
+    this one batch late: a drained ``availableNow`` run leaves its last files).
     """
     writer = (
-        landing_stream(spark, landing, max_files_per_trigger)
+        landing_stream(spark, landing, max_files_per_trigger, clean_source)
         .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}"))
         .option("checkpointLocation", checkpoint)
     )

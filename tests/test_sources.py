@@ -121,3 +121,15 @@ def test_jdbc_delta_pushdown(spark, derby):
     assert delta.count() == 10
     plan = delta._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual" in plan
+
+
+def test_file_source_extract(spark):
+    root = scratch_path(spark, "filesrc")
+    src = seed.source(spark)
+    for name, df in src.items():
+        df.write.parquet(f"{root}/{name}")
+    fsrc = extract.FileSource(root, "parquet", schemas=dict(schemas.SOURCE))
+    arts = extract.extract_full(spark, fsrc, "articles")
+    assert arts.columns == [f.name for f in schemas.SOURCE_ARTICLES] and arts.count() == 30
+    delta = extract.extract_delta(arts, "updated_at", "2026-05-20 09:00:00")
+    assert sorted(r[0] for r in delta.select("id").collect()) == [20, 27, 28, 29, 30]

@@ -38,14 +38,20 @@ def check_not_null(df: DataFrame, columns: list[str], key: str | None = None) ->
     )
 
 
-def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, broadcast_bytes: int | None = None) -> DataFrame:
     """Distinct non-NULL child keys with no parent: (fk, rows).
 
-    Both sides are reduced to distinct keys by partial aggregation before any
-    shuffle, so a key held by a third of the child rows is one row per task.
+    Keys are reduced by partial aggregation before any shuffle, so a key held
+    by a third of the child rows is one row per task.  The parent side is a
+    dimension: its distinct keys are counted and broadcast when that count
+    fits, which keeps the anti join map-side (Catalyst may place it below the
+    aggregation).
     """
     child_keys = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("rows"))
-    parent_keys = parent.select(F.col(pk).alias("__pk")).distinct()
+    parent_keys = parent.select(F.col(pk).alias("__pk")).filter(F.col("__pk").isNotNull()).distinct()
+    limit = broadcast_limit(child.sparkSession, broadcast_bytes)
+    if limit >= 0:
+        parent_keys = maybe_broadcast(parent_keys, key_table_bytes(parent.select(pk).count(), 1, 0), limit)
     return child_keys.join(parent_keys, F.col(fk) == F.col("__pk"), "left_anti")
 
 
@@ -56,7 +62,7 @@ def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, bro
     broadcast when that count fits, so the child rows are picked out without a
     shuffle and a hot child key never lands in one task.
     """
-    orphans = orphan_keys(child, fk, parent, pk).select(F.col(fk).alias("__ok"))
+    orphans = orphan_keys(child, fk, parent, pk, broadcast_bytes).select(F.col(fk).alias("__ok"))
     limit = broadcast_limit(child.sparkSession, broadcast_bytes)
     if limit >= 0:
         orphans = maybe_broadcast(orphans, key_table_bytes(orphans.count(), 1, 0), limit)

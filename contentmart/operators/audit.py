@@ -25,6 +25,12 @@ class RunAudit:
         """A count already known (e.g. from a size measurement)."""
         self._known[stage] = int(rows)
 
+    def count(self, stage: str) -> int:
+        """Rows seen by one stage; call only after an action has run it."""
+        if stage in self._known:
+            return self._known[stage]
+        return int(self._obs[stage].get["rows"])
+
     def counts(self) -> dict[str, int]:
         out = dict(self._known)
         for stage, obs in self._obs.items():

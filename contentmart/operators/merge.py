@@ -204,9 +204,23 @@ def _shuffle_plan(
     return matched, inserts
 
 
+def _validate(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
+    if spec.target_key not in target.columns:
+        raise ValueError(f"merge key {spec.target_key!r} is not a target column")
+    if spec.source_key not in source.columns:
+        raise ValueError(f"merge key {spec.source_key!r} is not a source column")
+    for clause in spec.when_matched + spec.when_not_matched:
+        unknown = sorted(set(clause.values) - set(target.columns))
+        if unknown:
+            raise ValueError(f"{clause.kind} sets columns the target does not have: {unknown}")
+    if any(c.kind == "insert" for c in spec.when_matched) or any(c.kind != "insert" for c in spec.when_not_matched):
+        raise ValueError("matched clauses delete or update; not-matched clauses insert")
+
+
 def _plan(
     target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast: bool, hot_rows: int = 100_000, salts: int = 16
 ) -> tuple[DataFrame, DataFrame]:
+    _validate(target, source, spec)
     t = _prefixed(target, TGT)
     s = _prefixed(source, SRC)
     tkey, skey = TGT + spec.target_key, SRC + spec.source_key

@@ -81,11 +81,13 @@ def full_load(
         "dim_authors": audit.track(dims.dim_authors(authors), "dim_authors"),
         "dim_articles": audit.track(dims.dim_articles(articles), "dim_articles"),
     }
+    dim_rows = None
     if warehouse is not None:
         for name in ("dim_authors", "dim_articles"):
             warehouse.publish(name, out[name])
         out = {name: warehouse.read(name) for name in out}
-    out[FACT] = audit.track(facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes), FACT)
+        dim_rows = audit.count("dim_authors")  # observed by the write that published it
+    out[FACT] = audit.track(facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows), FACT)
     if warehouse is not None:
         warehouse.publish(FACT, out[FACT])
         out[FACT] = warehouse.read(FACT)

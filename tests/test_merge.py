@@ -122,3 +122,16 @@ def test_forms_agree_on_generated_data(spark):
     a = sorted(M.merge(target, src, spec, "broadcast").collect())
     b = sorted(M.merge(target, src, spec, "shuffle").collect())
     assert a == b and len(a) == 5000 + len(range(5002, 9000, 3))
+
+
+def test_spec_validation(spark):
+    target = spark.createDataFrame([(1, "a")], SIMPLE)
+    src = spark.createDataFrame([(1, "b")], SIMPLE)
+    bad_column = M.MergeSpec("k", "k", when_matched=(M.update({"nope": M.src("v")}),))
+    with pytest.raises(ValueError, match="nope"):
+        M.merge(target, src, bad_column, "broadcast")
+    misplaced = M.MergeSpec("k", "k", when_matched=(M.insert({"k": M.src("k")}),))
+    with pytest.raises(ValueError):
+        M.merge(target, src, misplaced, "broadcast")
+    with pytest.raises(ValueError, match="key"):
+        M.merge(target, src, M.MergeSpec("id", "k"), "broadcast")

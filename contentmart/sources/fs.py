@@ -56,3 +56,21 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         out.close()
     if not fsys.rename(tmp, final):
         raise OSError(f"could not publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small text file whole (metadata such as a layout marker)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fsys = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fsys.open(hpath)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()

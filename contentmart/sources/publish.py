@@ -110,6 +110,25 @@ def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None)
     )
 
 
+def read_layout(spark: SparkSession, root: str) -> dict | None:
+    """The layout a warehouse was created with (``_layout.json``), if any."""
+    path = f"{root.rstrip('/')}/_layout.json"
+    if not fs.exists(spark, path):
+        return None
+    return json.loads(fs.read_text(spark, path))
+
+
+def record_layout(spark: SparkSession, root: str, layout: dict) -> dict:
+    """Write the layout on first use; afterwards the recorded one wins."""
+    current = read_layout(spark, root)
+    if current is None:
+        fs.write_text_atomic(spark, f"{root.rstrip('/')}/_layout.json", json.dumps(layout))
+        return layout
+    if current.get("layout") != layout.get("layout"):
+        raise ValueError(f"{root} is a {current.get('layout')} warehouse")
+    return current
+
+
 class Warehouse:
     """The four warehouse tables as snapshot tables under one root."""
 
@@ -118,6 +137,7 @@ class Warehouse:
 
         self.spark = spark
         self.root = root
+        record_layout(spark, root, {"layout": "snapshot"})
         self.tables = {
             name: SnapshotTable(spark, os.path.join(root, name), schema)
             for name, schema in schemas.WAREHOUSE.items()

@@ -73,7 +73,7 @@ class KeyRangeTable:
             self._rows = []
         else:
             log = self.spark.read.schema(LOG_SCHEMA).json(self._log)
-            self._rows = [(int(r[0]), int(r[1]), r[2], r[3]) for r in log.collect()]
+            self._rows = [(int(r[0]), None if r[1] is None else int(r[1]), r[2], r[3]) for r in log.collect()]
         return self._rows
 
     def _log_rows(self) -> list[tuple[int, int, str | None, str | None]]:
@@ -90,7 +90,7 @@ class KeyRangeTable:
         """range -> folder of its current content (bounded metadata: one entry per range)."""
         latest: dict[int, tuple[int, str | None]] = {}
         for v, r, path, _ in self._log_rows():
-            if version is not None and v > version:
+            if r is None or (version is not None and v > version):
                 continue
             if r not in latest or v > latest[r][0]:
                 latest[r] = (v, path)
@@ -144,7 +144,8 @@ class KeyRangeTable:
         out, written = self._write(df, target)
         rows = [(target, r, f"{out}/{RANGE}={r}", tag) for r in written]
         rows += [(target, r, None, tag) for r, p in self.ranges().items() if p and r not in written]
-        self._append_log(rows)
+        # An empty table still gets its version recorded (range NULL: no data).
+        self._append_log(rows or [(target, None, None, tag)])
         return target
 
     def touched_ranges(self, source: DataFrame, source_key: str) -> list[int]:
@@ -197,10 +198,11 @@ class RangedWarehouse:
 
     def __init__(self, spark: SparkSession, root: str, width: int = 1_000_000):
         from contentmart import schemas
-        from contentmart.sources.publish import SnapshotTable
+        from contentmart.sources.publish import SnapshotTable, record_layout
 
         self.spark = spark
         self.root = root
+        width = record_layout(spark, root, {"layout": "ranged", "width": width}).get("width", width)
         self.tables = {
             name: KeyRangeTable(spark, os.path.join(root, name), schemas.WAREHOUSE[name], key, width, self.SORT.get(name))
             for name, key in self.KEYS.items()

@@ -4,6 +4,7 @@
     python -m contentmart full-load   --warehouse ROOT (--jdbc-url URL | --files ROOT) [--staging]
     python -m contentmart incremental --warehouse ROOT (--jdbc-url URL | --files ROOT) [--since TS] [--until TS]
     python -m contentmart stream      --warehouse ROOT --landing DIR --checkpoint DIR [--continuous INTERVAL]
+    python -m contentmart reconcile   --warehouse ROOT (--jdbc-url URL | --files ROOT)   # hard deletes
 
 The warehouse layout (snapshots or key ranges) is chosen at ``init`` and
 detected afterwards.  Without ``--since`` the incremental run uses "now minus
@@ -51,7 +52,7 @@ def _source(args):
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="contentmart")
-    p.add_argument("command", choices=["init", "full-load", "incremental", "stream"])
+    p.add_argument("command", choices=["init", "full-load", "incremental", "stream", "reconcile"])
     p.add_argument("--warehouse", required=True)
     p.add_argument("--ranged", action="store_true", help="key-range layout (init only)")
     p.add_argument("--width", type=int, default=1_000_000, help="keys per range")
@@ -88,6 +89,10 @@ def main(argv: list[str] | None = None) -> dict:
         since = args.since or resolve_since(None)
         result = jobs.incremental_load(spark, _source(args), wh, since=since, until=args.until, staging=args.staging or None)
         report = {"command": "incremental", "since": since, "skipped": result.skipped}
+    elif args.command == "reconcile":
+        wh = open_warehouse(spark, args.warehouse, width=args.width)
+        tables = jobs.reconcile_hard_deletes(spark, _source(args), wh)
+        report = {"command": "reconcile", "fact_rows": tables[jobs.FACT].count()}
     else:
         if not (args.landing and args.checkpoint):
             raise SystemExit("stream needs --landing and --checkpoint")

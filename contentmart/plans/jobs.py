@@ -172,6 +172,51 @@ def apply_delta(
     return tables, skipped
 
 
+def delete_spec(key: str) -> M.MergeSpec:
+    """MERGE that deletes every matched target row (source = keys to remove)."""
+    return M.MergeSpec(target_key=key, source_key=key, when_matched=(M.delete(),))
+
+
+def reconcile_hard_deletes(
+    spark: SparkSession,
+    source,
+    current: dict[str, DataFrame] | Warehouse | RangedWarehouse,
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
+) -> dict[str, DataFrame]:
+    """Remove warehouse rows whose key no longer exists in the source.
+
+    Only the key columns of the source are read (pruned into the JDBC query
+    or the file scan).  The removed keys — target keys with no source key,
+    found with distinct keys on both sides — become the source of a
+    delete-only MERGE, so a key-range warehouse rewrites only the ranges that
+    lose rows.
+    """
+    from contentmart.operators.reconcile import hard_delete_removed
+
+    ranged = isinstance(current, RangedWarehouse)
+    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    names = ("dim_authors", "dim_articles", FACT)
+    tables = {n: store.read(n) for n in names} if store else dict(current)
+    keys = {
+        "authors": extract_full(spark, source, "authors").select(F.col("id").cast("bigint").alias("id")),
+        "articles": extract_full(spark, source, "articles").select(F.col("id").cast("bigint").alias("id")),
+    }
+    plan = [("dim_authors", "author_id", "authors"), ("dim_articles", "article_id", "articles"), (FACT, "article_id", "articles")]
+    for name, key, src in plan:
+        removed = hard_delete_removed(tables[name], key, keys[src], "id").select(key).distinct()
+        if ranged:
+            store.merge(name, removed, delete_spec(key), strategy=strategy, broadcast_bytes=broadcast_bytes)
+            tables[name] = store.read(name)
+        else:
+            merged = M.merge(tables[name], removed, delete_spec(key), strategy, broadcast_bytes)
+            if store is not None:
+                store.publish(name, merged)
+                merged = store.read(name)
+            tables[name] = merged
+    return tables
+
+
 def chunk_bounds(first: dt.date, last: dt.date, months: int = 12) -> list[tuple[dt.date, dt.date]]:
     """Half-open [lo, hi) month-aligned ranges covering first..last."""
     lo = dt.date(first.year, first.month, 1)

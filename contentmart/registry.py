@@ -659,6 +659,19 @@ def q_hard_delete_kept(spark, sf):
     return reconcile.hard_delete_kept(target, "article_id", _v(spark, sf, "delta"), "id")
 
 
+@register(
+    "reconcile_hard_deletes_fact",
+    with_views(f"select * from ({fact_sql('articles')}) f where article_id in (select id from delta)", "authors", "articles", "delta"),
+)
+def q_reconcile_hard_deletes_fact(spark, sf):
+    wh = RangedWarehouse(spark, scratch_path(spark, "rwh"), width=RANGE_WIDTH)
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    # The source now holds only the delta's articles: every other article was hard-deleted.
+    now = {"authors": authors, "articles": _v(spark, sf, "delta")}
+    return jobs.reconcile_hard_deletes(spark, now, wh)[jobs.FACT]
+
+
 @register(
     "cdc_apply",
     with_views(

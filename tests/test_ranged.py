@@ -47,3 +47,22 @@ def test_merge_rewrites_only_touched_ranges(spark):
     assert table.merge(src, spec(), tag="b1") == 2
     fresh = KeyRangeTable(spark, table.root, schema, "k", width=100)
     assert fresh.current_version() == 2 and fresh.read().count() == 902
+
+
+def test_hard_delete_reconciliation_rewrites_only_affected_ranges(spark):
+    import seed
+
+    from contentmart.plans import jobs
+    from contentmart.sources.ranged import RangedWarehouse
+
+    src = seed.source(spark)
+    wh = RangedWarehouse(spark, scratch_path(spark, "recon"), width=10)
+    jobs.full_load(spark, src, warehouse=wh)
+    before = wh.tables[jobs.FACT].ranges()
+    now = {"authors": src["authors"], "articles": src["articles"].filter(~F.col("id").isin(5, 7))}
+    tables = jobs.reconcile_hard_deletes(spark, now, wh)
+    assert {r[0] for r in tables[jobs.FACT].select("article_id").collect()} == set(range(1, 21)) - {5, 7}
+    assert tables["dim_articles"].count() == 28 and tables["dim_authors"].count() == 10
+    after = wh.tables[jobs.FACT].ranges()
+    assert after[0] != before[0]  # ids 5 and 7 live in range 0
+    assert after[1] == before[1] and after[2] == before[2]

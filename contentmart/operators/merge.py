@@ -43,6 +43,7 @@ SRC = "__s_"
 TGT = "__t_"
 ACTION = "merge_action"
 ACTIONS = ("delete", "insert", "keep", "skip", "update")
+HOT_KEY_BYTES = 32  # one broadcast hot key: the key plus row and hash-table overhead
 
 
 def src(name: str) -> Column:
@@ -263,9 +264,15 @@ def merge_frame(
     size the caller already knows (e.g. from the staged input); without it
     the source is measured in one pass.
     """
-    chosen, _ = _choose(source, strategy, broadcast_bytes, source_bound)
+    chosen, size = _choose(source, strategy, broadcast_bytes, source_bound)
     if chosen == "empty":
         return target.withColumn(ACTION, F.lit("keep"))
+    if size is not None:
+        # Hot keys number at most rows / hot_rows; raise the threshold so that
+        # list (about HOT_KEY_BYTES each) stays within the broadcast limit.
+        lim = broadcast_limit(source.sparkSession, broadcast_bytes)
+        if lim > 0:
+            hot_rows = max(hot_rows, -(-size.rows * HOT_KEY_BYTES // lim))
     matched, inserts = _plan(target, source, spec, chosen == "broadcast", hot_rows)
     act = F.col(ACTION)
     left = matched.select(*_target_values(target, spec, "t"), F.regexp_replace(act, ":.*", "").alias(ACTION))

@@ -64,3 +64,16 @@ def test_no_cross_joins_anywhere(spark):
             continue
         p = plan(q(spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_live_filter_reaches_a_stored_articles_scan(spark):
+    import seed
+
+    path = scratch_path(spark, "stored-articles")
+    seed.source(spark)["articles"].write.parquet(path)
+    arts = spark.read.parquet(path)
+    dim = seed.source(spark)["authors"].withColumnRenamed("id", "author_id")
+    p = plan(facts.fact_full_load(arts, dim))
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line and "stored-articles" in line][0]
+    assert "IsNotNull(published_at)" in scan and "IsNull(deleted_at)" in scan
+    assert "title" not in scan.split("ReadSchema")[1] and "content" not in scan.split("ReadSchema")[1]

@@ -69,6 +69,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--landing")
     p.add_argument("--checkpoint")
     p.add_argument("--continuous", help="processing-time trigger, e.g. '1 hour' (default: drain and stop)")
+    p.add_argument("--table", default="articles", choices=["articles", "authors"], help="what the landing holds (stream)")
     p.add_argument("--cluster", action="store_true", help="use the cluster session profile")
     return p
 
@@ -98,7 +99,8 @@ def main(argv: list[str] | None = None) -> dict:
             raise SystemExit("stream needs --landing and --checkpoint")
         wh = open_warehouse(spark, args.warehouse, width=args.width)
         query = run_incremental_stream(
-            spark, args.landing, wh, args.checkpoint, available_now=not args.continuous, processing_time=args.continuous
+            spark, args.landing, wh, args.checkpoint, available_now=not args.continuous, processing_time=args.continuous,
+            table=args.table,
         )
         if args.continuous:
             query.awaitTermination()

@@ -17,9 +17,15 @@ from contentmart.operators.casts import typed_ids
 from contentmart.sources import delimited
 
 
-def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None, clean_source: str | None = None) -> DataFrame:
+def landing_stream(
+    spark: SparkSession,
+    landing: str,
+    max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    table: str = "articles",
+) -> DataFrame:
     reader = (
-        spark.readStream.schema(schemas.STAGING_ARTICLES)
+        spark.readStream.schema(schemas.STAGING[table])
         .option("sep", delimited.SEPARATOR)
         .option("header", "true")
         .option("quote", delimited.QUOTE)
@@ -34,13 +40,19 @@ def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return reader.csv(landing)
 
 
-def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str):
+def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str, table: str = "articles"):
     from contentmart.plans.jobs import apply_delta
+    from contentmart.sources.staging import STAGED_IDS
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        staged = typed_ids(batch, ("id", "author_id"))
+        staged = typed_ids(batch, STAGED_IDS[table])
+        tag = f"{stream_tag}#{batch_id}"
         # Each table logs the batch it applied: a replayed batch republishes nothing.
-        apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, tag=f"{stream_tag}#{batch_id}")
+        if table == "articles":
+            apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, tag=tag)
+        else:
+            no_articles = batch.sparkSession.createDataFrame([], schemas.SOURCE_ARTICLES)
+            apply_delta(batch.sparkSession, warehouse, staged, no_articles, strategy, broadcast_bytes, tag=tag)
 
     return apply
 
@@ -56,6 +68,7 @@ def run_incremental_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     clean_source: str | None = None,
+    table: str = "articles",
 ):
     """Start (and with ``available_now`` drain) the landing -> warehouse stream.
 
@@ -63,10 +76,11 @@ def run_incremental_stream(
     ``RangedWarehouse`` (each batch rewrites only the key ranges it touches).
     ``clean_source="delete"`` removes landed files once processed (Spark does
     this one batch late: a drained ``availableNow`` run leaves its last files).
+    ``table="authors"`` runs the same loop for author files (dimension only).
     """
     writer = (
-        landing_stream(spark, landing, max_files_per_trigger, clean_source)
-        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}"))
+        landing_stream(spark, landing, max_files_per_trigger, clean_source, table)
+        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}", table))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 hour")

@@ -90,3 +90,16 @@ def test_clean_source_deletes_processed_files(spark):
     left = glob.glob(f"{landing}/*.csv")
     assert len(left) <= 1  # one batch late: at most the last batch's file remains
     assert wh.read(FACT).count() == 20
+
+
+def test_author_stream_merges_the_author_dimension(spark):
+    root = scratch_path(spark, "authstream")
+    wh = RangedWarehouse(spark, f"{root}/wh", width=8)
+    src = seed.source(spark)
+    jobs.full_load(spark, src, warehouse=wh)
+    renamed = src["authors"].filter("id <= 3").withColumn("name", F.lit("renamed"))
+    delimited.write_delimited(staging.as_staged_text(renamed, "authors"), f"{root}/landing")
+    run_incremental_stream(spark, f"{root}/landing", wh, f"{root}/ckpt", table="authors")
+    names = {r["author_id"]: r["name"] for r in wh.read("dim_authors").collect()}
+    assert len(names) == 10 and [names[i] for i in (1, 2, 3)] == ["renamed"] * 3 and names[4] != "renamed"
+    assert wh.read(FACT).count() == 20

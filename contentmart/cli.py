@@ -5,6 +5,7 @@
     python -m contentmart incremental --warehouse ROOT (--jdbc-url URL | --files ROOT) [--since TS] [--until TS]
     python -m contentmart stream      --warehouse ROOT --landing DIR --checkpoint DIR [--continuous INTERVAL]
     python -m contentmart reconcile   --warehouse ROOT (--jdbc-url URL | --files ROOT)   # hard deletes
+    python -m contentmart vacuum      --warehouse ROOT [--retain 2]                      # drop old data
 
 The warehouse layout (snapshots or key ranges) is chosen at ``init`` and
 detected afterwards.  Without ``--since`` the incremental run uses "now minus
@@ -52,7 +53,7 @@ def _source(args):
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="contentmart")
-    p.add_argument("command", choices=["init", "full-load", "incremental", "stream", "reconcile"])
+    p.add_argument("command", choices=["init", "full-load", "incremental", "stream", "reconcile", "vacuum"])
     p.add_argument("--warehouse", required=True)
     p.add_argument("--ranged", action="store_true", help="key-range layout (init only)")
     p.add_argument("--width", type=int, default=1_000_000, help="keys per range")
@@ -71,6 +72,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--continuous", help="processing-time trigger, e.g. '1 hour' (default: drain and stop)")
     p.add_argument("--table", default="articles", choices=["articles", "authors"], help="what the landing holds (stream)")
     p.add_argument("--cluster", action="store_true", help="use the cluster session profile")
+    p.add_argument("--retain", type=int, default=2, help="versions kept readable (vacuum)")
     return p
 
 
@@ -90,6 +92,9 @@ def main(argv: list[str] | None = None) -> dict:
         since = args.since or resolve_since(None)
         result = jobs.incremental_load(spark, _source(args), wh, since=since, until=args.until, staging=args.staging or None)
         report = {"command": "incremental", "since": since, "skipped": result.skipped}
+    elif args.command == "vacuum":
+        wh = open_warehouse(spark, args.warehouse, width=args.width)
+        report = {"command": "vacuum", "removed": len(wh.vacuum(args.retain))}
     elif args.command == "reconcile":
         wh = open_warehouse(spark, args.warehouse, width=args.width)
         tables = jobs.reconcile_hard_deletes(spark, _source(args), wh)

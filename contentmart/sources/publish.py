@@ -53,6 +53,10 @@ class SnapshotTable:
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
+    def vacuum(self, retain: int = 2) -> list[str]:
+        """Delete version folders older than the last ``retain`` (log kept)."""
+        return _vacuum_snapshot(self, retain)
+
     def read(self) -> DataFrame:
         v = self.current_version()
         if v == 0:
@@ -95,6 +99,16 @@ class SnapshotTable:
         return target
 
 
+def _vacuum_snapshot(table: "SnapshotTable", retain: int) -> list[str]:
+    current = table.current_version()
+    removed = []
+    for name in fs.list_names(table.spark, table.root):
+        if name.startswith("v=") and int(name[2:]) <= current - retain:
+            fs.delete(table.spark, f"{table.root}/{name}")
+            removed.append(f"{table.root}/{name}")
+    return removed
+
+
 def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None) -> DataFrame:
     """INSERT INTO t (c1, c2, ...) SELECT ...: bind by the named list, NULL for the rest."""
     if len(columns) != len(df.columns):
@@ -148,3 +162,6 @@ class Warehouse:
 
     def publish(self, name: str, df: DataFrame, tag: str | None = None) -> int:
         return self.tables[name].publish(df, tag)
+
+    def vacuum(self, retain: int = 2) -> list[str]:
+        return [p for t in self.tables.values() for p in t.vacuum(retain)]

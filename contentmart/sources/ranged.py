@@ -148,6 +148,28 @@ class KeyRangeTable:
         self._append_log(rows or [(target, None, None, tag)])
         return target
 
+    def vacuum(self, retain: int = 2) -> list[str]:
+        """Delete range folders that none of the last ``retain`` versions reads.
+
+        Only data folders are removed; the log stays, so every retained
+        version remains readable (older ones no longer are).
+        """
+        versions = sorted({row[0] for row in self._log_rows()})
+        if len(versions) <= retain:
+            return []
+        keep = set()
+        for v in versions[-retain:]:
+            keep.update(p for p in self.ranges(v).values() if p)
+        removed = []
+        for v_dir in fs.list_names(self.spark, f"{self.root}/data"):
+            base = f"{self.root}/data/{v_dir}"
+            for r_dir in fs.list_names(self.spark, base):
+                path = f"{base}/{r_dir}"
+                if r_dir.startswith(f"{RANGE}=") and path not in keep:
+                    fs.delete(self.spark, path)
+                    removed.append(path)
+        return removed
+
     def touched_ranges(self, source: DataFrame, source_key: str) -> list[int]:
         """Distinct ranges of the source keys (at most one value per range)."""
         return sorted(int(r[0]) for r in source.select(key_range(source_key, self.width)).distinct().collect())
@@ -217,3 +239,6 @@ class RangedWarehouse:
 
     def merge(self, name: str, source: DataFrame, spec: M.MergeSpec, **kw) -> int:
         return self.tables[name].merge(source, spec, **kw)
+
+    def vacuum(self, retain: int = 2) -> list[str]:
+        return [p for t in self.tables.values() for p in t.vacuum(retain)]

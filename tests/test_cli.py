@@ -21,3 +21,16 @@ def test_cli_init_full_incremental(spark):
     assert inc["skipped"] == []
     opened = RangedWarehouse(spark, wh, width=8)
     assert opened.read(jobs.FACT).count() == 20
+
+
+def test_cli_vacuum(spark):
+    root = scratch_path(spark, "clivac")
+    src = seed.source(spark)
+    for name, df in src.items():
+        df.write.parquet(f"{root}/source/{name}")
+    wh = f"{root}/wh"
+    main(["init", "--warehouse", wh])
+    for _ in range(3):
+        main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])
+    assert main(["vacuum", "--warehouse", wh, "--retain", "1"])["removed"] > 0
+    assert main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])["rows"][jobs.FACT] == 20

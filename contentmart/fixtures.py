@@ -106,6 +106,19 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def changes_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``changes`` feed with full article images (for warehouse-level CDC)."""
+    d = delta(spark, sf_dir)
+    first = d.withColumn("seq", F.lit(1)).withColumn("op", F.when(F.col("id") % 10 == 0, "D").otherwise("U"))
+    second = (
+        d.filter(F.col("id") % 3 == 0)
+        .withColumn("title", F.concat(F.col("title"), F.lit(" v2")))
+        .withColumn("seq", F.lit(2))
+        .withColumn("op", F.when(F.col("id") % 4 == 0, "D").otherwise("U"))
+    )
+    return first.unionByName(second)
+
+
 BUILDERS = {
     "authors": authors,
     "authors_delta": authors_delta,
@@ -113,6 +126,7 @@ BUILDERS = {
     "delta": delta,
     "articles_dup": articles_dup,
     "changes": changes,
+    "changes_full": changes_full,
 }
 
 
@@ -154,10 +168,16 @@ union all select id, title, content, author_id, published_at + interval '1' day
 select id, title, author_id, 1 as seq, case when id % 10 = 0 then 'D' else 'U' end as op from delta
 union all
 select id, concat(title, ' v2') as title, author_id, 2 as seq, case when id % 4 = 0 then 'D' else 'U' end as op
+from delta where id % 3 = 0""",
+    "changes_full": """
+select *, 1 as seq, case when id % 10 = 0 then 'D' else 'U' end as op from delta
+union all
+select id, concat(title, ' v2') as title, content, author_id, published_at, created_at, updated_at, deleted_at,
+       2 as seq, case when id % 4 = 0 then 'D' else 'U' end as op
 from delta where id % 3 = 0""",
 }
 
-_DEPENDS = {"articles_dup": ["articles"], "changes": ["delta"]}
+_DEPENDS = {"articles_dup": ["articles"], "changes": ["delta"], "changes_full": ["delta"]}
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -217,6 +217,47 @@ def reconcile_hard_deletes(
     return tables
 
 
+def apply_article_changes(
+    spark: SparkSession,
+    changes: DataFrame,
+    current: dict[str, DataFrame] | Warehouse | RangedWarehouse,
+    seq: str = "seq",
+    op: str = "op",
+    delete_code: str = "D",
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
+    tag: str | None = None,
+) -> dict[str, DataFrame]:
+    """Apply a change feed of article rows (full images plus ``op``, ``seq``).
+
+    The last change per article wins (``max_by``, partially aggregated).
+    Inserts and updates go through the incremental path (dims and fact);
+    deletes remove the article from ``dim_articles`` and the fact, so hard
+    deletes in the source reach the warehouse.
+    """
+    from contentmart.operators.reconcile import last_change
+
+    latest = last_change(changes, "id", seq)
+    is_delete = F.col(op) == F.lit(delete_code)
+    upserts = latest.filter(~is_delete).drop(op, seq)
+    deletes = latest.filter(is_delete).select(F.col("id").alias("article_id"))
+    tables, _ = apply_delta(spark, current, None, upserts, strategy, broadcast_bytes, tag=tag)
+    ranged = isinstance(current, RangedWarehouse)
+    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    for name in ("dim_articles", FACT):
+        if ranged:
+            store.merge(name, deletes, delete_spec("article_id"), strategy=strategy, broadcast_bytes=broadcast_bytes,
+                        tag=None if tag is None else f"{tag}:deletes")
+            tables[name] = store.read(name)
+            continue
+        merged = M.merge(tables[name], deletes, delete_spec("article_id"), strategy, broadcast_bytes)
+        if store is not None:
+            store.publish(name, merged, None if tag is None else f"{tag}:deletes")
+            merged = store.read(name)
+        tables[name] = merged
+    return tables
+
+
 def chunk_bounds(first: dt.date, last: dt.date, months: int = 12) -> list[tuple[dt.date, dt.date]]:
     """Half-open [lo, hi) month-aligned ranges covering first..last."""
     lo = dt.date(first.year, first.month, 1)

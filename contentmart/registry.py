@@ -672,6 +672,43 @@ def q_reconcile_hard_deletes_fact(spark, sf):
     return jobs.reconcile_hard_deletes(spark, now, wh)[jobs.FACT]
 
 
+_LATEST_SQL = "(select * from changes_full qualify row_number() over (partition by id order by seq desc) = 1)"
+_UPSERTS_SQL = f"(select {ARTICLE_COLS} from {_LATEST_SQL} l where op <> 'D')"
+
+
+@register(
+    "cdc_warehouse_fact",
+    with_views(
+        f"""select * from ({fact_merge_sql(source=delta_source_sql(_UPSERTS_SQL))}) m
+where article_id not in (select id from {_LATEST_SQL} l where op = 'D')""",
+        "authors",
+        "articles",
+        "changes_full",
+    ),
+)
+def q_cdc_warehouse_fact(spark, sf):
+    wh = RangedWarehouse(spark, scratch_path(spark, "rwh"), width=RANGE_WIDTH)
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    return jobs.apply_article_changes(spark, _v(spark, sf, "changes_full"), wh)[jobs.FACT]
+
+
+@register(
+    "cdc_warehouse_dim_articles",
+    with_views(
+        f"""select * from ({upsert_sql(DIM_ARTICLES_SQL.format(v="articles"), _UPSERTS_SQL[1:-1], "article_id", DIM_ARTICLE_TYPES, ARTICLE_COPIED, ["id"] + ARTICLE_COPIED)}) m
+where article_id not in (select id from {_LATEST_SQL} l where op = 'D')""",
+        "articles",
+        "changes_full",
+    ),
+)
+def q_cdc_warehouse_dim_articles(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    return jobs.apply_article_changes(spark, _v(spark, sf, "changes_full"), wh)["dim_articles"]
+
+
 @register(
     "cdc_apply",
     with_views(

@@ -1,6 +1,6 @@
 """Command line for the load jobs.
 
-    python -m contentmart init        --warehouse ROOT [--ranged --width N]
+    python -m contentmart init        --warehouse ROOT [--layout ranged|snapshot] [--width N]
     python -m contentmart full-load   --warehouse ROOT (--jdbc-url URL | --files ROOT) [--staging]
     python -m contentmart incremental --warehouse ROOT (--jdbc-url URL | --files ROOT) [--since TS] [--until TS]
     python -m contentmart stream      --warehouse ROOT --landing DIR --checkpoint DIR [--continuous INTERVAL]
@@ -55,8 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="contentmart")
     p.add_argument("command", choices=["init", "full-load", "incremental", "stream", "reconcile", "vacuum"])
     p.add_argument("--warehouse", required=True)
-    p.add_argument("--ranged", action="store_true", help="key-range layout (init only)")
-    p.add_argument("--width", type=int, default=1_000_000, help="keys per range")
+    p.add_argument("--layout", default="ranged", choices=["ranged", "snapshot"], help="warehouse layout (init only)")
+    p.add_argument("--width", type=int, default=100_000_000, help="keys per range (ranged layout)")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-user")
@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = get_session(cluster_conf() if args.cluster else local_conf())
     if args.command == "init":
-        wh = open_warehouse(spark, args.warehouse, args.ranged, args.width)
+        wh = open_warehouse(spark, args.warehouse, args.layout == "ranged", args.width)
         tables = jobs.init_warehouse(spark, wh)
         report = {"command": "init", "layout": type(wh).__name__, "dim_date": tables["dim_date"].count()}
     elif args.command == "full-load":

@@ -14,7 +14,7 @@ def test_cli_init_full_incremental(spark):
     for name, df in src.items():
         df.write.parquet(f"{root}/source/{name}")
     wh = f"{root}/wh"
-    assert main(["init", "--warehouse", wh, "--ranged", "--width", "8"])["dim_date"] == 5479
+    assert main(["init", "--warehouse", wh, "--width", "8"])["dim_date"] == 5479
     full = main(["full-load", "--warehouse", wh, "--files", f"{root}/source", "--width", "8"])
     assert full["rows"][jobs.FACT] == 20 and full["rows"]["dim_articles"] == 30
     inc = main(["incremental", "--warehouse", wh, "--files", f"{root}/source", "--width", "8", "--since", "2026-05-19 00:00:00"])
@@ -29,7 +29,7 @@ def test_cli_vacuum(spark):
     for name, df in src.items():
         df.write.parquet(f"{root}/source/{name}")
     wh = f"{root}/wh"
-    main(["init", "--warehouse", wh])
+    main(["init", "--warehouse", wh, "--layout", "snapshot"])
     for _ in range(3):
         main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])
     assert main(["vacuum", "--warehouse", wh, "--retain", "1"])["removed"] > 0

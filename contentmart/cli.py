@@ -28,7 +28,7 @@ from contentmart.sources.ranged import RangedWarehouse
 from contentmart.streaming.incremental import run_incremental_stream
 
 
-def open_warehouse(spark, root: str, ranged: bool | None = None, width: int = 1_000_000):
+def open_warehouse(spark, root: str, ranged: bool | None = None, width: int = 100_000_000):
     """Open an existing warehouse (its recorded layout wins) or create one of the asked layout."""
     layout = read_layout(spark, root)
     if layout is not None:

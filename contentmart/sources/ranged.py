@@ -46,7 +46,7 @@ class KeyRangeTable:
         root: str,
         schema: StructType,
         key: str,
-        width: int = 1_000_000,
+        width: int = 100_000_000,
         sort_by: list[str] | None = None,
     ):
         self.spark = spark
@@ -218,7 +218,7 @@ class RangedWarehouse:
     # The fact is clustered by date inside each key range (date-range reports prune row groups).
     SORT = {"fact_reports_articles": ["published_date_at", "article_id"]}
 
-    def __init__(self, spark: SparkSession, root: str, width: int = 1_000_000):
+    def __init__(self, spark: SparkSession, root: str, width: int = 100_000_000):
         from contentmart import schemas
         from contentmart.sources.publish import SnapshotTable, record_layout
 

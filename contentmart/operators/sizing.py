@@ -74,10 +74,22 @@ def parse_bytes(text: str | None) -> int:
     return value * _UNITS.get(unit, 1) if value >= 0 else -1
 
 
+LIMIT_KEY = "spark.contentmart.broadcastBytes"
+
+
 def broadcast_limit(spark: SparkSession, override: int | None = None) -> int:
-    """Bytes a side may measure to be broadcast; -1 means never."""
+    """Bytes a measured side may have to be broadcast; -1 means never.
+
+    Order: the explicit argument, then ``spark.contentmart.broadcastBytes``,
+    then Spark's ``spark.sql.autoBroadcastJoinThreshold``.  The own setting
+    lets Catalyst's estimate-based broadcasts be switched off while the
+    measured ones stay on.
+    """
     if override is not None:
         return override
+    own = spark.conf.get(LIMIT_KEY, None)
+    if own:
+        return parse_bytes(own)
     return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 

@@ -52,6 +52,7 @@ def cluster_conf() -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.contentmart.broadcastBytes": "256m",  # measured sides only (see operators.sizing)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

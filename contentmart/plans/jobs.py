@@ -29,6 +29,7 @@ from contentmart.operators.casts import typed_ids
 from contentmart.sources import fs
 from contentmart.sources.extract import extract_delta, extract_full
 from contentmart.operators import merge as M
+from contentmart.operators.sizing import broadcast_limit, fits
 from contentmart.sources.publish import Warehouse
 from contentmart.sources.ranged import RangedWarehouse
 from contentmart.sources.staging import STAGED_IDS, StagingArea, as_staged_text
@@ -168,6 +169,10 @@ def apply_delta(
     touched = store.tables[FACT].touched_ranges(articles, "id") if ranged else None
     tables["dim_articles"] = upsert("dim_articles", articles, dims.articles_upsert_spec(), touched=touched)
     delta_source = facts.fact_delta_source(articles, tables["dim_authors"], broadcast_bytes)
+    if strategy == "shuffle" or (strategy == "auto" and not fits(bound, broadcast_limit(spark, broadcast_bytes))):
+        # A large source feeds three branches of the shuffle-form merge: compute
+        # the aggregate once into the shared checkpoint store (lineage cut there).
+        delta_source = delta_source.checkpoint(eager=True)
     tables[FACT] = upsert(FACT, delta_source, facts.fact_merge_spec(), bound, touched)
     return tables, skipped
 

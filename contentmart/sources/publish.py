@@ -165,3 +165,16 @@ class Warehouse:
 
     def vacuum(self, retain: int = 2) -> list[str]:
         return [p for t in self.tables.values() for p in t.vacuum(retain)]
+
+
+def register_views(warehouse, prefix: str = "") -> list[str]:
+    """CREATE OR REPLACE TEMP VIEW for each warehouse table (current version).
+
+    Works for both layouts; reports can then be plain ``spark.sql`` over
+    ``{prefix}dim_authors``, ``{prefix}fact_reports_articles`` and so on.
+    """
+    names = []
+    for name in warehouse.tables:
+        warehouse.read(name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -34,3 +34,19 @@ def test_cli_vacuum(spark):
         main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])
     assert main(["vacuum", "--warehouse", wh, "--retain", "1"])["removed"] > 0
     assert main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])["rows"][jobs.FACT] == 20
+
+
+def test_register_views_for_sql_reports(spark):
+    from contentmart.sources.publish import register_views
+
+    root = scratch_path(spark, "views")
+    wh = RangedWarehouse(spark, f"{root}/wh", width=8)
+    jobs.init_warehouse(spark, wh)
+    jobs.full_load(spark, seed.source(spark), warehouse=wh)
+    assert set(register_views(wh, "dwh_")) == {"dwh_dim_authors", "dwh_dim_articles", "dwh_dim_date", "dwh_fact_reports_articles"}
+    rows = spark.sql(
+        """select d.year, d.month, sum(f.article_count) as n
+           from dwh_fact_reports_articles f join dwh_dim_date d using (published_date_at)
+           group by d.year, d.month"""
+    ).collect()
+    assert [(r.year, r.month, r.n) for r in rows] == [(2026, 5, 20)]

@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 
 def typed_ids(df: DataFrame, id_cols: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Cast text ids to BIGINT; under ANSI mode a bad value fails the run."""
+    """Cast text ids to BIGINT; a value that is not a number fails the run.
+
+    The check is explicit (``try_cast`` + ``raise_error``), so it holds
+    whether or not the session runs in ANSI mode.
+    """
     out = df
     for c in id_cols:
         if c in df.columns:
-            out = out.withColumn(c, F.col(c).cast("bigint"))
+            parsed = F.expr(f"try_cast(`{c}` AS BIGINT)")
+            bad = F.col(c).isNotNull() & parsed.isNull()
+            message = F.concat(F.lit(f"CAST_INVALID_INPUT: {c} = "), F.col(c).cast("string"))
+            out = out.withColumn(c, F.when(bad, F.raise_error(message)).otherwise(parsed).cast("bigint"))
     return out
 
 

@@ -73,6 +73,12 @@ def test_q12_bad_id_text_fails_or_is_quarantined(spark):
     df = spark.createDataFrame([("1", "x"), ("abc", "y")], "id string, title string")
     with pytest.raises((PySparkException, Py4JJavaError)):
         casts.typed_ids(df).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:  # the failure does not depend on ANSI mode
+        with pytest.raises((PySparkException, Py4JJavaError), match="CAST_INVALID_INPUT"):
+            casts.typed_ids(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
     good, bad = casts.split_bad_ids(df)
     assert [tuple(r) for r in good.collect()] == [(1, "x")]
     assert [tuple(r) for r in bad.collect()] == [("abc", "y")]

@@ -50,3 +50,18 @@ def test_register_views_for_sql_reports(spark):
            group by d.year, d.month"""
     ).collect()
     assert [(r.year, r.month, r.n) for r in rows] == [(2026, 5, 20)]
+
+
+def test_cli_over_jdbc(spark):
+    url = "jdbc:derby:memory:contentmart_cli;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    src = seed.source(spark)
+    for name, df in src.items():
+        df.write.jdbc(url, name.upper(), mode="overwrite", properties={"driver": driver})
+    wh = scratch_path(spark, "clijdbc")
+    common = ["--warehouse", wh, "--jdbc-url", url, "--jdbc-driver", driver, "--partitions", "3", "--width", "8"]
+    assert main(["init", "--warehouse", wh, "--width", "8"])["layout"] == "RangedWarehouse"
+    assert main(["full-load", *common, "--staging"])["rows"][jobs.FACT] == 20
+    inc = main(["incremental", *common, "--since", "2026-05-20 09:00:00", "--staging"])
+    assert inc["skipped"] == []
+    assert RangedWarehouse(spark, wh, width=8).read(jobs.FACT).count() == 20

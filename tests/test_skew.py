@@ -69,3 +69,23 @@ def test_hot_unmatched_source_key_in_shuffle_merge(skew_session):
     # The anti join is keyed on (key, salt): the hot key's rows are spread over tasks.
     anti = [line for line in plan.splitlines() if "SortMergeJoin" in line and "LeftAnti" in line]
     assert anti and all("__salt_s" in line for line in anti)
+
+
+def test_hot_author_in_the_delta_source_is_split_and_exact(skew_session):
+    spark = skew_session
+    n = 30000
+    ts = F.expr("timestamp_ntz'2020-01-01 00:00:00'")
+    arts = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2).alias("author_id"),
+        ts.alias("published_at"),
+        ts.alias("created_at"),
+        ts.alias("updated_at"),
+        F.lit(None).cast("timestamp_ntz").alias("deleted_at"),
+    )
+    dim = spark.range(1, 4000).select(F.col("id").alias("author_id"))  # authors >= 4000 are orphans
+    rows, plan = final_plan(facts.fact_delta_source(arts, dim, broadcast_bytes=-1))
+    assert len(rows) == n
+    assert sum(1 for r in rows if r["author_id"] == 1) == n // 3
+    assert sum(1 for r in rows if r["author_id"] is None) == sum(1 for i in range(n) if i % 3 and i % 5000 + 2 >= 4000)
+    assert "SortMergeJoin(skew=true)" in plan

@@ -138,15 +138,18 @@ def _target_values(target: DataFrame, spec: MergeSpec, side: str) -> list[Column
 
 
 def _keyed(s: DataFrame, skey: str, others: list[str]) -> DataFrame:
-    """One row per non-NULL source key: the key, its row count ``__n`` and the values."""
+    """One row per non-NULL source key: the key, its row count ``__n`` and the values.
+
+    Values are only used where ``__n`` is 1 (a repeated key either fails the
+    merge or is inserted from the raw rows), so they are picked column by
+    column: with fixed-width columns (the fact source) Spark keeps this a hash
+    aggregate instead of the sort aggregate a struct buffer would force.
+    """
     return (
         s.filter(F.col(skey).isNotNull())
         .groupBy(skey)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.any_value(F.struct(*[F.col(c) for c in others])).alias("__r"),
-        )
-        .select(F.col(skey), F.col("__n"), F.lit(True).alias("__matched"), *[F.col(f"__r.`{c}`").alias(c) for c in others])
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in others])
+        .withColumn("__matched", F.lit(True))
     )
 
 

@@ -106,6 +106,11 @@ def _vacuum_snapshot(table: "SnapshotTable", retain: int) -> list[str]:
         if name.startswith("v=") and int(name[2:]) <= current - retain:
             fs.delete(table.spark, f"{table.root}/{name}")
             removed.append(f"{table.root}/{name}")
+    # The log needs only the retained versions' entries (one small file each).
+    for name in fs.list_names(table.spark, table._log):
+        if name.startswith("v=") and name.endswith(".json") and int(name[2:].split(".")[0]) <= current - retain:
+            fs.delete(table.spark, f"{table._log}/{name}")
+    table.refresh()
     return removed
 
 

@@ -168,8 +168,29 @@ class KeyRangeTable:
                 if r_dir.startswith(f"{RANGE}=") and path not in keep:
                     fs.delete(self.spark, path)
                     removed.append(path)
+        self._compact_log(versions[-retain])
         return removed
 
+    def _compact_log(self, oldest_kept: int) -> None:
+        """Fold the log up to ``oldest_kept`` into one base file, then drop the old files.
+
+        Keeps the log a handful of files however many hourly versions ran.  The
+        base is written (atomically) before anything is deleted, so a crash in
+        between leaves duplicate but consistent entries.  Tags of folded
+        versions are dropped: batches that old are past the replay window.
+        """
+        state = self.ranges(oldest_kept)
+        rows = [(oldest_kept, r, p, None) for r, p in sorted(state.items())] or [(oldest_kept, None, None, None)]
+        text = "".join(json.dumps({"version": v, "range": r, "path": p, "tag": t}) + "\n" for v, r, p, t in rows)
+        fs.write_text_atomic(self.spark, f"{self._log}/base-v={oldest_kept:06d}.json", text)
+        for name in fs.list_names(self.spark, self._log):
+            if not name.endswith(".json") or name == f"base-v={oldest_kept:06d}.json":
+                continue
+            version = int(name.split("v=", 1)[1].split(".", 1)[0])
+            if version <= oldest_kept:
+                fs.delete(self.spark, f"{self._log}/{name}")
+        self.refresh()
+
     def touched_ranges(self, source: DataFrame, source_key: str) -> list[int]:
         """Distinct ranges of the source keys (at most one value per range)."""
         return sorted(int(r[0]) for r in source.select(key_range(source_key, self.width)).distinct().collect())

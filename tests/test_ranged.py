@@ -90,3 +90,20 @@ def test_snapshot_vacuum(spark):
     for _ in range(4):
         t.publish(spark.createDataFrame([(1, "a", "a@x", None, None)], schemas.DIM_AUTHORS))
     assert len(t.vacuum(retain=2)) == 2 and t.read().count() == 1
+
+
+def test_vacuum_compacts_the_log(spark):
+    from contentmart.sources import fs
+
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType())])
+    table = KeyRangeTable(spark, scratch_path(spark, "compact"), schema, "k", width=100)
+    table.publish(spark.range(0, 300).select(F.col("id").alias("k"), F.lit("a").alias("v")))
+    for i in range(5):
+        table.merge(spark.createDataFrame([(i * 50, f"v{i}")], SCHEMA), spec(), tag=f"b{i}")
+    latest, previous = sorted(table.read().collect()), sorted(table.read(version=5).collect())
+    table.vacuum(retain=2)
+    assert len(fs.list_names(spark, table._log)) == 2  # the base file and the newest version
+    fresh = KeyRangeTable(spark, table.root, schema, "k", width=100)
+    assert fresh.current_version() == 6
+    assert sorted(fresh.read().collect()) == latest and sorted(fresh.read(version=5).collect()) == previous
+    assert fresh.has_tag("b4") and not fresh.has_tag("b0")

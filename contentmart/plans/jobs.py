@@ -76,6 +76,8 @@ def full_load(
     broadcast_bytes: int | None = None,
 ) -> LoadResult:
     audit = RunAudit()
+    if warehouse is not None:
+        warehouse.refresh()
     authors = audit.track(_stage(spark, "authors", extract_full(spark, source, "authors"), staging), "staging_authors")
     articles = audit.track(_stage(spark, "articles", extract_full(spark, source, "articles"), staging), "staging_articles")
     out = {
@@ -142,6 +144,8 @@ def apply_delta(
     names = ("dim_authors", "dim_articles", FACT)
     ranged = isinstance(current, RangedWarehouse)
     store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    if store is not None:
+        store.refresh()  # versions another process (e.g. a full reload) may have added
     tables = {n: store.read(n) for n in names} if store else dict(current)
     skipped: list[str] = []
 
@@ -201,6 +205,8 @@ def reconcile_hard_deletes(
 
     ranged = isinstance(current, RangedWarehouse)
     store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    if store is not None:
+        store.refresh()
     names = ("dim_authors", "dim_articles", FACT)
     tables = {n: store.read(n) for n in names} if store else dict(current)
     keys = {

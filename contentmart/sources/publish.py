@@ -171,6 +171,11 @@ class Warehouse:
     def vacuum(self, retain: int = 2) -> list[str]:
         return [p for t in self.tables.values() for p in t.vacuum(retain)]
 
+    def refresh(self) -> None:
+        """Re-read every table's log (picks up versions other processes wrote)."""
+        for t in self.tables.values():
+            t.refresh()
+
 
 def register_views(warehouse, prefix: str = "") -> list[str]:
     """CREATE OR REPLACE TEMP VIEW for each warehouse table (current version).

@@ -103,3 +103,18 @@ def test_author_stream_merges_the_author_dimension(spark):
     names = {r["author_id"]: r["name"] for r in wh.read("dim_authors").collect()}
     assert len(names) == 10 and [names[i] for i in (1, 2, 3)] == ["renamed"] * 3 and names[4] != "renamed"
     assert wh.read(FACT).count() == 20
+
+
+def test_a_stream_sees_versions_written_by_another_process(spark):
+    root = scratch_path(spark, "twowriters")
+    src = seed.source(spark)
+    stream_wh = RangedWarehouse(spark, f"{root}/wh", width=8)
+    jobs.full_load(spark, src, warehouse=stream_wh)
+    land(spark, f"{root}/landing", src["articles"].filter("id = 1").withColumn("deleted_at", F.col("updated_at")), "b1")
+    run_incremental_stream(spark, f"{root}/landing", stream_wh, f"{root}/ckpt")
+    # Another process (its own warehouse object) reloads everything meanwhile.
+    jobs.full_refresh(spark, src, warehouse=RangedWarehouse(spark, f"{root}/wh", width=8))
+    land(spark, f"{root}/landing", src["articles"].filter("id = 2").withColumn("deleted_at", F.col("updated_at")), "b2")
+    run_incremental_stream(spark, f"{root}/landing", stream_wh, f"{root}/ckpt")
+    ids = {r[0] for r in RangedWarehouse(spark, f"{root}/wh", width=8).read(FACT).select("article_id").collect()}
+    assert 2 not in ids and 1 in ids and len(ids) == 19

@@ -128,3 +128,18 @@ def test_incremental_with_a_large_delta_takes_the_shuffle_path(spark):
     large = jobs.incremental_load(spark, src, first, since="2026-05-18 00:00:00", broadcast_bytes=1).tables
     for name in ("dim_authors", "dim_articles", FACT):
         assert sorted(small[name].collect()) == sorted(large[name].collect()), name
+
+
+def test_backfill_is_restartable(spark):
+    import glob
+    import os
+
+    src = seed.source(spark)
+    dim = src["authors"].withColumnRenamed("id", "author_id")
+    sink = scratch_path(spark, "backfill")
+    first = sorted(jobs.backfill_fact(spark, src["articles"], dim, months=1, sink=sink).collect())
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/chunk=*/*.parquet")}
+    assert files and len(first) == 20
+    again = sorted(jobs.backfill_fact(spark, src["articles"], dim, months=1, sink=sink).collect())
+    assert again == first
+    assert {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/chunk=*/*.parquet")} == files  # nothing rewritten

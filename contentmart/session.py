@@ -46,13 +46,15 @@ def cluster_conf() -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # Honour the advisory size instead of keeping default-parallelism many partitions.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": "20000",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
-        "spark.contentmart.broadcastBytes": "256m",  # measured sides only (see operators.sizing)
+        "spark.contentmart.broadcastBytes": "128m",  # measured sides only (see operators.sizing)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -278,8 +278,8 @@ def merge_frame(
             hot_rows = max(hot_rows, -(-size.rows * HOT_KEY_BYTES // lim))
     matched, inserts = _plan(target, source, spec, chosen == "broadcast", hot_rows)
     act = F.col(ACTION)
-    left = matched.select(*_target_values(target, spec, "t"), F.regexp_replace(act, ":.*", "").alias(ACTION))
-    right = inserts.select(*_target_values(target, spec, "s"), F.regexp_replace(act, ":.*", "").alias(ACTION))
+    left = matched.select(*_target_values(target, spec, "t"), F.substring_index(act, ":", 1).alias(ACTION))
+    right = inserts.select(*_target_values(target, spec, "s"), F.substring_index(act, ":", 1).alias(ACTION))
     return left.unionByName(right)
 
 

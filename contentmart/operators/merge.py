@@ -154,12 +154,20 @@ def _keyed(s: DataFrame, skey: str, others: list[str]) -> DataFrame:
 
 
 def _broadcast_plan(t: DataFrame, s: DataFrame, tkey: str, skey: str, others: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Small source: the target is streamed through broadcast joins, never shuffled."""
-    keyed = _keyed(s, skey, others)
-    matched = t.join(F.broadcast(keyed), t[tkey] == keyed[skey], "left")
+    """Small source: the target is streamed through broadcast joins, never shuffled.
+
+    The broadcast side is the source rows themselves, each tagged with its
+    key's row count (a hash aggregate, whatever the column types).  A key with
+    several rows that meets a target row repeats that row, and the guard then
+    fails the merge, exactly as with one row per key.
+    """
+    live = s.filter(F.col(skey).isNotNull())
+    counts = live.groupBy(skey).agg(F.count(F.lit(1)).alias("__n"))
+    rows = live.join(F.broadcast(counts), skey).withColumn("__matched", F.lit(True))
+    matched = t.join(F.broadcast(rows), t[tkey] == rows[skey], "left")
     hit = (
         t.select(F.col(tkey).alias("__hit"))
-        .join(F.broadcast(keyed.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
+        .join(F.broadcast(counts.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
         .distinct()
     )
     inserts = s.join(F.broadcast(hit), s[skey] == hit["__hit"], "left_anti")

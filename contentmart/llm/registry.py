@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import exact_dedup, line_dedup
+from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,57 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus's own budget, no source used more than one and a half times."""
+    out = mixing.mix(_table(spark, sf_dir, "documents"), max_repetition=1.5)
+    return out.select("doc_id", "source", "pass", "weight", "exponent", "n_tokens")
+
+
+def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
+    return rows.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_language_id": op5_language_id,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_hilbert_sharding": op8_hilbert_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +96,23 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh run-scoped path on the shared checkpoint storage."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "contentmart-runs", *parts, uuid.uuid4().hex)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Functions that run in Python workers are imported there by name; a worker has the driver's import
+    path only by luck (same folder, or an installed package).
+    """
+    sc = spark.sparkContext
+    if any(os.path.basename(f).startswith("contentmart-") for f in sc._python_includes):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="contentmart-ship-"), f"contentmart-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(target, "w") as bundle:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    bundle.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)

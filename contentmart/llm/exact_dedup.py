@@ -228,6 +228,8 @@ def dedup(
         F.bitwise_not("best.by_rid").alias("keep_rid"),
         "group_size",
     )
+    # Written first: the join below then shuffles both sides itself, and Spark can split a hot digest.
+    keep, _ = materialise(keep, "exact-keep")
     return rows.join(keep, ["digest", "variant"]).select(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256"
     )

@@ -74,7 +74,8 @@ def dedup_lines(
     )
     covered = covered.select("rid", spans.alias("removed"))
 
-    joined = flat.join(covered, "rid", "left")
+    # A sort-merge join at every size: the spans grow with the corpus, so they are never broadcast.
+    joined = flat.join(covered.hint("merge"), "rid", "left")
     lines = F.split(text, "\n", -1)
     gone = lambda i: F.exists("removed", lambda s: (s["from"] <= i) & (i <= s["to"]))
     cut = F.array_join(F.filter(lines, lambda x, i: ~gone(i)), "\n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, sharding, simhash
+from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -72,6 +76,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_source_mixing": op7_source_mixing,
     "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

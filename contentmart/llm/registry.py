@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, sharding, simhash
+from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings that stay once false positives are removed; the secret itself is not shown."""
+    out = secrets.scan(_table(spark, sf_dir, "documents")).filter("is_secret")
+    return out.select("doc_id", "start", "length", F.sha2("candidate", 256).alias("secret_sha256"), "score")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus's own budget, no source used more than one and a half times."""
     out = mixing.mix(_table(spark, sf_dir, "documents"), max_repetition=1.5)
@@ -74,6 +80,7 @@ QUERIES = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
+    "op6_secret_scan": op6_secret_scan,
     "op7_source_mixing": op7_source_mixing,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_lm_scoring": op9_lm_scoring,

@@ -29,12 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentmart.llm.common import components, materialise, pick
+from contentmart.llm.common import components, materialise, pick, place, positional, with_row_id
 
 SEED = 42
 LONG_LIST = 512
-_ASCII_LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
-_SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
+#: Bytes with A to Z lowered; no other UTF-8 byte is touched.
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 16
 
 
@@ -43,11 +43,10 @@ _CHUNK = 1 << 16
 
 def fingerprint(text: str | None, shingle: int) -> int:
     """64-bit SimHash of all word shingles, repeats included; zero for a text without words."""
-    words = (text or "").translate(_ASCII_LOWER).translate(_SPACES).split(" ")
-    words = [w for w in words if w]
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()  # at space and 9 to 13
     if not words:
         return 0
-    joined = " ".join(words).encode("utf-8", "surrogatepass")
+    joined = b" ".join(words)
     n = len(words)
     if n <= shingle:
         return xxhash.xxh64_intdigest(joined, SEED)
@@ -76,19 +75,26 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return out + bits[full:].sum(axis=0, dtype=np.int64)
 
 
+PRINTS = "rid long, doc_id long, fp long"
+
+
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rid"), b.column("doc_id"), pa.array(fp.view(np.int64))], names=["rid", "doc_id", "fp"]
+            )
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=4) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a signed long."""
-    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    """(rid, doc_id, fp): a row's number, its id and its fingerprint's 64 bits as a signed long."""
+    rows = pick(docs, doc_id=id_col, text=text_col).select(
+        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
+    return rows.mapInArrow(_fingerprints(shingle), PRINTS)
 
 
 # --- index --------------------------------------------------------------------
@@ -181,6 +187,16 @@ def _midpoints(prints: DataFrame, max_bits: int) -> DataFrame:
     return met.join(inner, "mid").filter("fp != hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
 
 
+def _grouped(rows: DataFrame, max_bits: int, long_list: int) -> DataFrame:
+    """``rows`` (rid, doc_id, fp) with root, the smallest fingerprint that links reach."""
+    nodes, _ = materialise(rows.select("fp").distinct(), "simhash-nodes")
+    made = links(nodes, max_bits, nodes.count(), long_list)
+    member = components(made.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    member, _ = materialise(member.select(F.col("node").alias("fp"), F.col("component").alias("root")), "simhash-members")
+    rooted = rows.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return materialise(rooted, "simhash-rooted")[0]
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -198,15 +214,32 @@ def near_duplicates(
     are ignored, whatever their names.
     """
     rows, _ = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
-    # A fingerprint is known by its smallest id; ones with null ids only get a number below all ids.
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes, _ = materialise(nodes, "simhash-nodes")
-    made = links(nodes.select("fp"), max_bits, nodes.count(), long_list)
-    member = components(made.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    member, _ = materialise(member.select(F.col("node").alias("fp"), F.col("component").alias("root")), "simhash-members")
-    rooted = nodes.join(member, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    rooted = _grouped(rows, max_bits, long_list)
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least, _ = materialise(least, "simhash-least")  # so that a hot group's rows are split in the join
+    return rooted.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    max_bits: int = 4,
+    long_list: int = LONG_LIST,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stay: of each group of near duplicates the
+    one with the smallest id, of rows that also share the id the first read; a null id stays only where
+    no other is.  Other cases as in ``near_duplicates``.
+    """
+    flat, _ = with_row_id(positional(docs), "simhash-docs")
+    at = {r: f"__c{place(docs, c)}" for r, c in (("doc_id", id_col), ("text", text_col))}
+    hashed = flat.select("rid", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["text"]).alias("text"))
+    rows, _ = materialise(hashed.mapInArrow(_fingerprints(shingle), PRINTS), "simhash-rows")
+    rooted = _grouped(rows, max_bits, long_list)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
+    stay = rooted.groupBy("root").agg(first.alias("first")).select(F.col("first.rid").alias("rid"))
+    # A sort-merge join at every size: what stays grows with the corpus, so it is never broadcast.
+    return flat.join(stay.hint("merge"), "rid", "left_semi").drop("rid").toDF(*docs.columns)

@@ -1,11 +1,74 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""Corpus pipeline: documents in, packed token sequences out.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a frame
+that is written as Parquet and read again as the next stage's docs.  All but the last return the
+columns of ``documents``.  Nulls, empty texts, ties, repeated rows, empty tables and extra columns are
+handled as each operator's docstring says.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from contentmart.llm import language_id, line_dedup, mixing, packing, registry, simhash
+from contentmart.llm.common import materialise, place, positional, ready
+
+#: Shingle length and differing bits of the near-duplicate stage: those of the operator's contract.
+SHINGLE, MAX_BITS = 4, 4
+#: No source's documents are used more often than this on average; the budget is what came in.
+MAX_REPETITION = 1.25
+
+
+def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by place, so that no name clashes, and where its own columns are."""
+    return positional(docs), {c: f"__c{place(docs, c)}" for c in ("doc_id", "text", "source", "n_chars")}
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; texts without letters or like no language go."""
+    return language_id.filter_languages(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines of passages that stand earlier; n_chars follows the text."""
+    flat, at = _by_place(docs)
+    out = line_dedup.dedup_lines(flat, id_col=at["doc_id"], text_col=at["text"])
+    out = out.withColumn(at["n_chars"], F.length(at["text"]).cast("long"))
+    return out.select(*flat.columns).toDF(*docs.columns)
+
+
+def dedup_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    return simhash.keep_one(docs, shingle=SHINGLE, max_bits=MAX_BITS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each use of a document in the mixture."""
+    flat, at = _by_place(docs)
+    out = mixing.mix(flat, at["source"], at["doc_id"], at["text"], max_repetition=MAX_REPETITION)
+    return out.select(*flat.columns).toDF(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(docs, registry.tokenizer_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("simhash_near_dedup", dedup_simhash),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: Language identification learns a model, which SQL cannot say; the tests use brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs, _ = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

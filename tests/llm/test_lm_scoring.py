@@ -1,0 +1,108 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from cases import DOCS, clashing, edge_docs, edge_rows, low_words
+
+from contentmart.llm import lm_model as M
+from contentmart.llm import lm_scoring as S
+from contentmart.llm.registry import tokenizer_path
+
+
+def brute(data):
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i, *_ in data]
+    words = [[*low_words(t), "\n"] for _, t, *_ in data]
+    c = Counter()
+    for w, h in zip(words, held, strict=True):
+        if not h:
+            c.update(w)
+    n, v = sum(c.values()), len(c)
+    base = [sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) for w in words]
+    return [
+        (i, h, len(w), sum(c[x] > 0 for x in w), n, b) for (i, *_), h, w, b in zip(data, held, words, base, strict=True)
+    ]
+
+
+@pytest.mark.parametrize("frequent", [100_000, 3])
+def test_base_score_and_counts(spark, frequent):
+    data = edge_rows()
+    got = S.score(clashing(edge_docs(spark)), tokenizer_path(), frequent=frequent, steps=3, sample_ids=20_000).collect()
+    mine = sorted((repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got)
+    want = brute(data)
+    assert mine == sorted((repr(i), h, t, k, n) for i, h, t, k, n, _ in want)
+    a, b = sorted(r.base_score for r in got), sorted(x[-1] for x in want)
+    assert np.allclose(a, b)
+    assert all(r.score < 0 for r in got)
+
+
+def test_model_beats_the_base_score_on_held_out_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [r for r in S.score(df, tokenizer_path(), steps=300).collect() if r.held_out]
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def small(seed=0, size=40):
+    rng = np.random.default_rng(seed)
+    lengths = np.array([1, 5, 24, 25, 60, 49])
+    ids = rng.integers(0, size - 1, lengths.sum())
+    ids[np.cumsum(lengths) - 1] = size - 1
+    return M.train(ids.astype(np.int32), lengths, np.bincount(ids, minlength=size).astype(float), steps=5, batch=4), ids, lengths
+
+
+def test_each_id_is_scored_once():
+    _, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    assert sorted(y[y >= 0].tolist()) == sorted(ids.tolist()) and (y >= 0).sum() == len(ids)
+
+
+def test_probabilities_of_the_next_id_sum_to_one():
+    model, ids, lengths = small()
+    x, _ = M.windows(ids, lengths, 39)
+    total = np.zeros((len(x), M.NEW))
+    for i in range(40):
+        total += np.exp(M.log_probs(model, x, np.full((len(x), M.NEW), i)))
+    assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_attention_does_not_see_ahead():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    before = M.log_probs(model, x, y)
+    cut = M.CONTEXT + 10
+    x2 = x.copy()
+    x2[:, cut + 1 :] = (x2[:, cut + 1 :] + 7) % 39
+    after = M.log_probs(model, x2, y)
+    assert np.allclose(before[:, : cut + 1 - M.CONTEXT], after[:, : cut + 1 - M.CONTEXT], atol=1e-5)
+
+
+def test_gradients():
+    """Against finite differences, in double precision."""
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+
+    def loss(w):
+        z = M.forward(w, x)["logits"]
+        z = z - np.log(np.exp(z).sum(axis=2, keepdims=True))
+        got = y >= 0
+        return -np.take_along_axis(z, model.cls[np.maximum(y, 0)][..., None].astype(int), 2)[..., 0][got].mean()
+
+    g = M.gradients(w, x, y, model.cls)
+    rng = np.random.default_rng(3)
+    for k in g:
+        at = tuple(rng.integers(0, s) for s in w[k].shape)
+        if k == "emb":
+            at = (int(x[0, M.CONTEXT]), 2)
+        up, down = ({n: v.copy() for n, v in w.items()} for _ in range(2))
+        up[k][at] += 1e-4
+        down[k][at] -= 1e-4
+        assert abs((loss(up) - loss(down)) / 2e-4 - g[k][at]) < 1e-5, k
+
+
+def test_empty_table_and_no_training_rows(spark):
+    assert S.score(edge_docs(spark).limit(0), tokenizer_path(), steps=2).collect() == []
+    one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    got = S.score(spark.createDataFrame([(one, "a b", "en", "s", 3)], DOCS), tokenizer_path(), steps=2).collect()
+    assert got[0].n_known == 0 and got[0].train_tokens == 0 and got[0].held_out

@@ -1,0 +1,55 @@
+import re
+
+from cases import DOCS, clashing, edge_docs
+
+from contentmart.llm import secrets as S
+
+
+def table(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+def test_finds_the_planted_keys_and_drops_words_and_numbers(spark):
+    got = S.scan(table(spark)).collect()
+    texts = {r.doc_id: r.text for r in table(spark).collect()}
+    assert all(texts[r.doc_id][r.start : r.start + r.length] == r.candidate for r in got)
+    # The reference: every candidate, by Python's own matcher.
+    pattern = re.compile(r"(?<![^\W_]|[_+/-])[A-Za-z0-9_+/-]{16,}(?![^\W_]|[_+/-])")
+    want = sorted((i, m.start(), m.group()) for i, t in texts.items() for m in pattern.finditer(t))
+    assert sorted((r.doc_id, r.start, r.candidate) for r in got) == want
+    planted = re.compile(r"AKIA[0-9A-Z]{16}|password=([0-9a-f]{18})|token = \"([0-9a-f]{40})\"")
+    keys = {(i, m.group(m.lastindex or 0)) for i, t in texts.items() for m in planted.finditer(t)}
+    assert keys and {(r.doc_id, r.candidate) for r in got if r.is_secret} == keys
+
+
+def test_forest_learns_from_given_labels(spark):
+    """Labels that no rule gives: hexadecimal runs are secrets, words are not, whatever surrounds them."""
+    import random
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice(["tion", "the", "ing", "an", "er", "re"]) for _ in range(7))
+    key = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(24))
+    labelled = spark.createDataFrame(
+        [(word(), "a/b", "see ", " it", 0.0) for _ in range(80)] + [(key(), "a/b", "see ", " it", 1.0) for _ in range(80)],
+        "candidate string, path string, before string, after string, label double",
+    )
+    docs = spark.createDataFrame([(i, f"see {word()} it or {key()} it", "en", "a/b", 1) for i in range(50)], DOCS)
+    got = S.scan(docs, labelled=labelled).collect()
+    assert len(got) == 100
+    right = sum(r.is_secret == bool(re.fullmatch("[0-9a-f]{24}", r.candidate)) for r in got)
+    assert right >= 97
+
+
+def test_runs_without_python(spark):
+    plan = S.scan(table(spark))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_hard_cases(spark):
+    many = " ".join(f"k{i:020d}" for i in range(3000))
+    docs = edge_docs(spark).unionByName(spark.createDataFrame([(50, many, "en", None, 1), (50, many, "en", None, 1)], DOCS))
+    got = S.scan(clashing(docs)).collect()
+    mine = sorted((r.start, r.candidate) for r in got if r.doc_id == 50)
+    want = sorted([(m.start(), m.group()) for m in re.finditer(r"\S+", many)] * 2)
+    assert mine == want
+    assert S.scan(edge_docs(spark).limit(0)).collect() == []

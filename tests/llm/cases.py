@@ -35,10 +35,10 @@ def edge_docs(spark):
     return spark.createDataFrame(edge_rows(), DOCS).repartition(3)
 
 
-def clashing(df):
+def clashing(df, names=CLASHES):
     from pyspark.sql import functions as F
 
-    return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHES)])
+    return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
 
 
 def rows(df, *cols):

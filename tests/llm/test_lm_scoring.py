@@ -39,7 +39,7 @@ def test_base_score_and_counts(spark, frequent):
 
 def test_model_beats_the_base_score_on_held_out_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = [r for r in S.score(df, tokenizer_path(), steps=300).collect() if r.held_out]
+    got = [r for r in S.score(df, tokenizer_path()).collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 

@@ -1,4 +1,4 @@
-from cases import clashing, edge_docs, edge_rows, rows
+from cases import CLASHES, clashing, edge_docs, edge_rows, rows
 from test_line_dedup import brute as brute_lines
 from test_packing import check_packed, plain_pieces
 from test_simhash import brute as brute_simhash
@@ -34,7 +34,7 @@ def test_stages_on_their_own_input(spark):
             assert set(got) <= set(data)
         else:
             cols = ("doc_id", "piece", "start", "length", "ids_crc32")
-            assert sorted(tuple(r[c] for c in cols) for r in got) == plain_pieces(data)
+            assert rows(out, *cols) == plain_pieces(data)
             check_packed(got, 4096)
         docs = out
 
@@ -49,12 +49,15 @@ def test_run_gives_the_stages_rows(spark):
 
 
 def test_hard_cases_pass_through_all_stages(spark):
-    docs = clashing(edge_docs(spark))
+    # "Text" beside "text" cannot be written as one Parquet table, so it is met by single stages below.
+    docs = clashing(edge_docs(spark), [c for c in CLASHES if c != "Text"])
     names = docs.columns
     for name, stage in C.STAGES[:-1]:
-        docs, _ = materialise(stage(spark, docs.drop("Text"), ""), f"test-{name}")
-        assert docs.columns == [c for c in names if c != "Text"]
+        docs, _ = materialise(stage(spark, docs, ""), f"test-{name}")
+        assert docs.columns == names
     assert C.STAGES[-1][1](spark, docs, "").count() > 0
+    for _, stage in C.STAGES:
+        assert stage(spark, clashing(edge_docs(spark)), "").count() > 0
     empty = edge_docs(spark).limit(0)
     for name, stage in C.STAGES:
         empty, _ = materialise(stage(spark, empty, ""), f"test-{name}")

@@ -50,6 +50,7 @@ def test_words_one_by_one_equal_whole_texts(spark):
     """Ids of space-separated words in a row are the ids of the text, special strings included."""
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     texts += ["a <|endoftext|> b", "x y ́z", "a b\tc  d \n e", "ΑΣ ΣΑΣ", "İstanbul é ñ", "‍ ​"]
+    texts += ["over. a.b. wait... so, é. ab,, x!. <|ENDOFTEXT|> y.", "End. WORD, it's 'S a.b, . , ., it'. we'LL. 3.4, 5.", "É, ß. ﬁ. Ǆ, a."]
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())

@@ -4,8 +4,9 @@
     python -m contentmart full-load   --warehouse ROOT (--jdbc-url URL | --files ROOT) [--staging]
     python -m contentmart incremental --warehouse ROOT (--jdbc-url URL | --files ROOT) [--since TS] [--until TS]
     python -m contentmart stream      --warehouse ROOT --landing DIR --checkpoint DIR [--continuous INTERVAL]
+                                      [--jdbc-url URL | --files ROOT]                 # authors for every batch
     python -m contentmart reconcile   --warehouse ROOT (--jdbc-url URL | --files ROOT)   # hard deletes
-    python -m contentmart vacuum      --warehouse ROOT [--retain 2]                      # drop old data
+    python -m contentmart vacuum      --warehouse ROOT [--grace-hours 24]               # drop old data
 
 The warehouse layout (snapshots or key ranges) is chosen at ``init`` and
 detected afterwards.  Without ``--since`` the incremental run uses "now minus
@@ -28,7 +29,7 @@ from contentmart.sources.ranged import RangedWarehouse
 from contentmart.streaming.incremental import run_incremental_stream
 
 
-def open_warehouse(spark, root: str, ranged: bool | None = None, width: int = 100_000_000):
+def open_warehouse(spark, root: str, ranged: bool | None = None, width: int | None = None):
     """Open an existing warehouse (its recorded layout wins) or create one of the asked layout."""
     layout = read_layout(spark, root)
     if layout is not None:
@@ -56,7 +57,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("command", choices=["init", "full-load", "incremental", "stream", "reconcile", "vacuum"])
     p.add_argument("--warehouse", required=True)
     p.add_argument("--layout", default="ranged", choices=["ranged", "snapshot"], help="warehouse layout (init only)")
-    p.add_argument("--width", type=int, default=100_000_000, help="keys per range (ranged layout)")
+    p.add_argument("--width", type=int, help="keys per range (ranged layout; default: measured per table)")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-user")
@@ -72,7 +73,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--continuous", help="processing-time trigger, e.g. '1 hour' (default: drain and stop)")
     p.add_argument("--table", default="articles", choices=["articles", "authors"], help="what the landing holds (stream)")
     p.add_argument("--cluster", action="store_true", help="use the cluster session profile")
-    p.add_argument("--retain", type=int, default=2, help="versions kept readable (vacuum)")
+    p.add_argument("--grace-hours", type=float, default=24, help="age below which unlisted folders are spared (vacuum)")
+    p.add_argument("--on-violation", default="fail", choices=["fail", "quarantine"], help="rows that break a declared constraint")
     return p
 
 
@@ -85,16 +87,18 @@ def main(argv: list[str] | None = None) -> dict:
         report = {"command": "init", "layout": type(wh).__name__, "dim_date": tables["dim_date"].count()}
     elif args.command == "full-load":
         wh = open_warehouse(spark, args.warehouse, width=args.width)
-        result = jobs.full_load(spark, _source(args), warehouse=wh, staging=args.staging or None)
+        result = jobs.full_load(spark, _source(args), warehouse=wh, staging=args.staging or None, on_violation=args.on_violation)
         report = {"command": "full-load", "rows": result.audit.counts()}
     elif args.command == "incremental":
         wh = open_warehouse(spark, args.warehouse, width=args.width)
         since = args.since or resolve_since(None)
-        result = jobs.incremental_load(spark, _source(args), wh, since=since, until=args.until, staging=args.staging or None)
-        report = {"command": "incremental", "since": since, "skipped": result.skipped}
+        result = jobs.incremental_load(
+            spark, _source(args), wh, since=since, until=args.until, staging=args.staging or None, on_violation=args.on_violation
+        )
+        report = {"command": "incremental", "since": since, "skipped": result.skipped, "rows": result.audit.counts()}
     elif args.command == "vacuum":
         wh = open_warehouse(spark, args.warehouse, width=args.width)
-        report = {"command": "vacuum", "removed": len(wh.vacuum(args.retain))}
+        report = {"command": "vacuum", "removed": len(wh.vacuum(args.grace_hours * 3600))}
     elif args.command == "reconcile":
         wh = open_warehouse(spark, args.warehouse, width=args.width)
         tables = jobs.reconcile_hard_deletes(spark, _source(args), wh)
@@ -105,7 +109,7 @@ def main(argv: list[str] | None = None) -> dict:
         wh = open_warehouse(spark, args.warehouse, width=args.width)
         query = run_incremental_stream(
             spark, args.landing, wh, args.checkpoint, available_now=not args.continuous, processing_time=args.continuous,
-            table=args.table,
+            table=args.table, authors=_source(args) if args.jdbc_url or args.files else None,
         )
         if args.continuous:
             query.awaitTermination()

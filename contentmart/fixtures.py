@@ -119,7 +119,33 @@ def changes_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def authors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as an author, some without a name and some with a name over its declared length."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    stamp = ntz_literal("1995-01-01 00:00:00")
+    return c.select(
+        k.alias("id"),
+        F.when(k % 7 != 0, F.repeat("c_name", (k % 20 + 1).cast("int"))).alias("name"),
+        F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")).alias("email"),
+        stamp.alias("created_at"),
+        stamp.alias("updated_at"),
+    )
+
+
+def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text as it is, and between white space, quotes, backslashes and line breaks."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.col("doc_id").alias("id"),
+        F.col("text"),
+        F.concat(F.lit("  \\n\t"), F.col("text"), F.lit("\n|\"\\ \t ")).alias("padded"),
+    )
+
+
 BUILDERS = {
+    "authors_raw": authors_raw,
+    "text_rows": text_rows,
     "authors": authors,
     "authors_delta": authors_delta,
     "articles": articles,
@@ -136,6 +162,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # The same views for DuckDB (oracle side).  Order matters: later ones use earlier ones.
 ORACLE_VIEWS = {
+    "authors_raw": """
+select c_custkey as id, case when c_custkey % 7 <> 0 then repeat(c_name, c_custkey % 20 + 1) end as name,
+       concat('c', cast(c_custkey as varchar), '@example.com') as email,
+       timestamp '1995-01-01 00:00:00' as created_at, timestamp '1995-01-01 00:00:00' as updated_at
+from customer""",
+    "text_rows": """
+select doc_id as id, text,
+       concat('  ', chr(92), 'n', chr(9), text, chr(10), '|"', chr(92), ' ', chr(9), ' ') as padded
+from documents""",
     "authors": """
 select c_custkey as id, c_name as name,
        concat('c', cast(c_custkey as varchar), '@example.com') as email,

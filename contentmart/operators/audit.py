@@ -25,23 +25,20 @@ class RunAudit:
         """A count already known (e.g. from a size measurement)."""
         self._known[stage] = int(rows)
 
+    def ran(self, stage: str) -> None:
+        """Say that the job which writes the stage's frame is done; its count can then be read."""
+        self._known[stage] = int(self._obs.pop(stage).get["rows"])
+
     def count(self, stage: str) -> int:
-        """Rows seen by one stage; call only after an action has run it."""
-        if stage in self._known:
-            return self._known[stage]
-        return int(self._obs[stage].get["rows"])
+        """Rows seen by one stage; an error where its frame has not been written yet."""
+        if stage not in self._known:
+            raise RuntimeError(f"stage {stage!r} has not been written, so it has no row count yet")
+        return self._known[stage]
 
     def counts(self) -> dict[str, int]:
-        out = dict(self._known)
-        for stage, obs in self._obs.items():
-            out[stage] = int(obs.get["rows"])
-        return out
+        """All counts; an error while a tracked frame is still unwritten."""
+        return {stage: self.count(stage) for stage in [*self._known, *self._obs]}
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = sorted(self.counts().items())
         return spark.createDataFrame(rows, "stage string, rows long")
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    """SELECT COUNT(*) as a one-row frame."""
-    return df.agg(F.count(F.lit(1)).alias("rows"))

@@ -10,6 +10,8 @@ from contentmart.operators import merge as M
 
 AUTHOR_COLUMNS = schemas.column_names(schemas.DIM_AUTHORS)
 ARTICLE_COLUMNS = schemas.column_names(schemas.DIM_ARTICLES)
+AUTHOR_COPIED = AUTHOR_COLUMNS[1:]  # all but the key
+ARTICLE_COPIED = ARTICLE_COLUMNS[1:]
 
 
 def dim_authors(authors: DataFrame) -> DataFrame:
@@ -47,14 +49,12 @@ def _upsert_spec(target_key: str, copied: list[str]) -> M.MergeSpec:
 
 def authors_upsert_spec() -> M.MergeSpec:
     """Matched: overwrite name, email, created_at, updated_at; else insert."""
-    return _upsert_spec("author_id", ["name", "email", "created_at", "updated_at"])
+    return _upsert_spec("author_id", AUTHOR_COPIED)
 
 
 def articles_upsert_spec() -> M.MergeSpec:
     """Matched: overwrite title, content, published_at, created_at, updated_at, deleted_at."""
-    return _upsert_spec(
-        "article_id", ["title", "content", "published_at", "created_at", "updated_at", "deleted_at"]
-    )
+    return _upsert_spec("article_id", ARTICLE_COPIED)
 
 
 def merge_dim_authors(dim: DataFrame, staged: DataFrame, strategy: str = "auto", broadcast_bytes: int | None = None) -> DataFrame:

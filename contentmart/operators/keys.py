@@ -73,3 +73,14 @@ def stamped(spec: M.MergeSpec, column: str = "updated_at", now: Column | None =
 def cascading_reset(parent: DataFrame, *children: DataFrame) -> tuple[DataFrame, ...]:
     """TRUNCATE parent and dependents, RESTART IDENTITY: empty frames, next id 1."""
     return tuple(d.limit(0) for d in (parent, *children))
+
+
+def reset_tables(parent, *children) -> int:
+    """``cascading_reset`` of published tables: each gets empty content, dependents first.
+
+    Returns the high-water mark that ids restart after (0: the next row is 1).
+    """
+    empty = cascading_reset(*[t.read() for t in (parent, *children)])
+    for table, rows in reversed(list(zip((parent, *children), empty, strict=True))):
+        table.publish(rows)
+    return 0

@@ -13,21 +13,20 @@ Semantics (ANSI / warehouse MERGE):
 
 Plan shape (see README, "merge"):
 
-* ``keyed``: one row per non-NULL source key with the row count ``__n`` —
-  partial aggregation first, so a key holding a third of the source collapses
-  to one row before any shuffle;
-* matched side: ``target LEFT JOIN keyed``;
-* insert side: ``source LEFT ANTI JOIN hit`` where ``hit`` are the distinct
-  target keys that the source touches (bounded by the source's key count);
-* broadcast form (small source): ``keyed`` and ``hit`` are broadcast, the
-  target is streamed and never shuffled;
-* shuffle form: sort-merge joins salted so that no key — a hot source key,
-  a repeated target key or NULL keys — lands in a single task (see
-  ``_shuffle_plan``).
-
-Strategy ``auto`` measures the source once (rows and bytes); an empty source
-returns the target untouched, a source under the broadcast limit takes the
-broadcast form, anything else the shuffle form.
+* the source is evaluated once: unless the caller hands in a staged frame it is checkpointed, and its
+  size, its repeated keys and the joins all read that copy;
+* every source row carries ``__n``, the rows of its key, from a count of the keys that repeat (partial
+  aggregation first); most sources have none and skip the join;
+* shuffle form (large source): one full outer join of target and source, each shuffled once.  It yields
+  kept, updated and deleted rows and inserts together.  NULL keys of either side match nothing and are
+  dealt out by a salt.  Source keys with more than ``hot_rows`` rows are hot: their rows are dealt over as
+  many salts as their count asks for, and a target row with such a key is copied to each of them (a
+  match there is a cardinality error anyway);
+* broadcast form (small, always measured source): the target is streamed through broadcast joins and
+  never shuffled; inserts are the source rows whose key no target row holds.
+
+Strategy ``auto`` takes the broadcast form for a source under the broadcast limit; ``broadcast`` asks for
+it and still gets the shuffle form beyond the limit.  An empty source returns the target untouched.
 """
 
 from __future__ import annotations
@@ -37,13 +36,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentmart.session import ensure_checkpoint_dir
 from contentmart.operators.sizing import Size, broadcast_limit, fits, measure
 
 SRC = "__s_"
 TGT = "__t_"
 ACTION = "merge_action"
 ACTIONS = ("delete", "insert", "keep", "skip", "update")
-HOT_KEY_BYTES = 32  # one broadcast hot key: the key plus row and hash-table overhead
+#: Hot source keys at most, so that their list (some 40 bytes each) is always small.
+MAX_HOT_KEYS = 1000
+#: Tasks that rows with a NULL key are dealt over.
+NULL_SALTS = 64
 
 
 def src(name: str) -> Column:
@@ -137,75 +140,55 @@ def _target_values(target: DataFrame, spec: MergeSpec, side: str) -> list[Column
     return out
 
 
-def _keyed(s: DataFrame, skey: str, others: list[str]) -> DataFrame:
-    """One row per non-NULL source key: the key, its row count ``__n`` and the values.
+def _counted(s: DataFrame, skey: str, repeated: DataFrame | None) -> DataFrame:
+    """Source rows with ``__n``, the number of rows of their key."""
+    if repeated is None:
+        return s.withColumn("__n", F.lit(1).cast("long"))
+    joined = s.join(repeated, s[skey] == F.col("__rk"), "left")
+    return joined.withColumn("__n", F.coalesce("__rn", F.lit(1).cast("long"))).drop("__rk", "__rn")
 
-    Values are only used where ``__n`` is 1 (a repeated key either fails the
-    merge or is inserted from the raw rows), so they are picked column by
-    column: with fixed-width columns (the fact source) Spark keeps this a hash
-    aggregate instead of the sort aggregate a struct buffer would force.
-    """
-    return (
-        s.filter(F.col(skey).isNotNull())
-        .groupBy(skey)
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in others])
-        .withColumn("__matched", F.lit(True))
-    )
+
+def _repeated(s: DataFrame, skey: str) -> tuple[DataFrame | None, int]:
+    """Non-NULL source keys with several rows and their counts (checkpointed), and the largest count."""
+    counts = s.filter(F.col(skey).isNotNull()).groupBy(F.col(skey).alias("__rk")).agg(F.count(F.lit(1)).alias("__rn"))
+    counts = counts.filter(F.col("__rn") > 1).checkpoint(eager=True)
+    most = counts.agg(F.max("__rn")).first()[0]
+    return (None, 1) if most is None else (counts, int(most))
 
 
-def _broadcast_plan(t: DataFrame, s: DataFrame, tkey: str, skey: str, others: list[str]) -> tuple[DataFrame, DataFrame]:
+def _broadcast_plan(t: DataFrame, s: DataFrame, tkey: str, skey: str) -> DataFrame:
     """Small source: the target is streamed through broadcast joins, never shuffled."""
-    keyed = _keyed(s, skey, others)
-    matched = t.join(F.broadcast(keyed), t[tkey] == keyed[skey], "left")
-    hit = (
-        t.select(F.col(tkey).alias("__hit"))
-        .join(F.broadcast(keyed.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
-        .distinct()
-    )
-    inserts = s.join(F.broadcast(hit), s[skey] == hit["__hit"], "left_anti")
-    return matched, inserts
+    small = F.broadcast(s.withColumn("__in_s", F.lit(True)))
+    here = t.withColumn("__in_t", F.lit(True)).join(small, t[tkey] == s[skey], "left")
+    # At most one row per source key, so it is no larger than the source.
+    hit = t.select(F.col(tkey).alias("__hit")).join(F.broadcast(s.select(skey)), F.col("__hit") == F.col(skey), "left_semi")
+    new = s.withColumn("__in_s", F.lit(True)).join(F.broadcast(hit.distinct()), s[skey] == F.col("__hit"), "left_anti")
+    return here.unionByName(new, allowMissingColumns=True)
 
 
 def _shuffle_plan(
-    t: DataFrame, s: DataFrame, tkey: str, skey: str, others: list[str], hot_rows: int, salts: int
-) -> tuple[DataFrame, DataFrame]:
-    """Large source: sort-merge joins that no single key can overload.
-
-    * NULL target keys never match; they get a salt from a row hash so they
-      spread over partitions instead of all hashing to one.  A hot non-NULL
-      target key is on the side AQE splits (left of a left outer join).
-    * ``hit`` (target keys the source touches) is built from *distinct*
-      target keys, so a repeated target key is collapsed map-side.
-    * Source keys with more than ``hot_rows`` rows are hot.  Their count is
-      exact (``keyed.__n``) and there are at most rows / ``hot_rows`` of them,
-      so the list is broadcast.  Hot-key and NULL-key source rows are salted
-      over ``salts`` partitions; only the hot keys' ``hit`` rows are copied
-      once per salt value.
-    """
-    keyed = _keyed(s, skey, others)
-    salt_t = F.when(F.col(tkey).isNull(), F.abs(F.xxhash64(*[F.col(c) for c in t.columns])) % salts).otherwise(F.lit(0))
-    # (key, salt) as one struct key, so the keyed side's constant salt cannot be folded away.
-    t_salted = t.withColumn("__jt", F.struct(F.col(tkey).alias("k"), salt_t.cast("int").alias("s")))
-    k_salted = keyed.withColumn("__jk", F.struct(F.col(skey).alias("k"), F.lit(0).alias("s")))
-    matched = t_salted.join(k_salted, t_salted["__jt"] == k_salted["__jk"], "left")
-
-    tkeys = t.select(F.col(tkey).alias("__hit")).filter(F.col("__hit").isNotNull()).distinct()
-    hit = tkeys.join(keyed.select(skey), F.col("__hit") == F.col(skey), "left_semi")
-    hot = F.broadcast(keyed.filter(F.col("__n") > hot_rows).select(F.col(skey).alias("__hot")))
-    hot_hit = hit.join(hot, F.col("__hit") == F.col("__hot"), "left_semi")
-    hit_salted = hit.withColumn("__salt_h", F.lit(0)).unionByName(
-        hot_hit.withColumn("__salt_h", F.explode(F.sequence(F.lit(1), F.lit(salts - 1))))
-    )
-    flagged = s.join(hot, s[skey] == F.col("__hot"), "left")
-    spread = F.col(skey).isNull() | F.col("__hot").isNotNull()
-    salt_s = F.when(spread, F.abs(F.xxhash64(*[F.col(c) for c in s.columns])) % salts).otherwise(F.lit(0))
-    s_salted = flagged.withColumn("__salt_s", salt_s.cast("int")).drop("__hot")
-    inserts = s_salted.join(
-        hit_salted,
-        (s_salted[skey] == hit_salted["__hit"]) & (s_salted["__salt_s"] == hit_salted["__salt_h"]),
-        "left_anti",
+    t: DataFrame, s: DataFrame, tkey: str, skey: str, repeated: DataFrame | None, hot_rows: int, limit: int
+) -> DataFrame:
+    """Large source: one full outer join that no source key and no NULL key can overload."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in t.columns]), F.lit(NULL_SALTS)).cast("long")
+    t_salt = F.when(F.col(tkey).isNull(), spread).otherwise(F.lit(0).cast("long"))
+    left = t.withColumn("__in_t", F.lit(True))
+    if repeated is not None:
+        salts = F.ceil(F.col("__rn") / F.lit(hot_rows)).cast("long")
+        hot = repeated.filter(F.col("__rn") > hot_rows).select(F.col("__rk").alias("__hot"), salts.alias("__salts"))
+        # rows / hot_rows of them at most; merge_frame sets hot_rows so that they fit.
+        hot = F.broadcast(hot) if limit > 0 else hot
+        left = left.join(hot, F.col(tkey) == F.col("__hot"), "left")
+        copies = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1).cast("long")) - 1)
+        left = left.withColumn("__copy", F.explode(copies)).drop("__hot", "__salts")
+        t_salt = F.when(F.col(tkey).isNull(), spread).otherwise(F.col("__copy"))
+    left = left.withColumn("__ts", t_salt).drop("__copy")
+    s_salts = F.when(F.col(skey).isNull(), F.lit(NULL_SALTS).cast("long")).otherwise(
+        F.greatest(F.lit(1).cast("long"), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("long"))
     )
-    return matched, inserts
+    right = s.withColumn("__in_s", F.lit(True)).withColumn("__ss", F.pmod(F.xxhash64("__row"), s_salts))
+    on = (left[tkey] == right[skey]) & (left["__ts"] == right["__ss"])
+    return left.hint("merge").join(right.hint("merge"), on, "full").drop("__ts", "__ss", "__row")
 
 
 def _validate(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
@@ -221,34 +204,13 @@ def _validate(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
         raise ValueError("matched clauses delete or update; not-matched clauses insert")
 
 
-def _plan(
-    target: DataFrame, source: DataFrame, spec: MergeSpec, use_broadcast: bool, hot_rows: int = 100_000, salts: int = 16
-) -> tuple[DataFrame, DataFrame]:
-    _validate(target, source, spec)
-    t = _prefixed(target, TGT)
-    s = _prefixed(source, SRC)
-    tkey, skey = TGT + spec.target_key, SRC + spec.source_key
-    others = [c for c in s.columns if c != skey]
-    if use_broadcast:
-        matched, inserts = _broadcast_plan(t, s, tkey, skey, others)
-    else:
-        matched, inserts = _shuffle_plan(t, s, tkey, skey, others, hot_rows, salts)
-    matched = matched.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False))).withColumn(
-        ACTION, _matched_action(spec)
-    )
-    return matched, inserts.withColumn(ACTION, _insert_action(spec))
-
-
-def _choose(source: DataFrame, strategy: str, limit: int | None, bound: Size | None = None) -> tuple[str, Size | None]:
-    if strategy in ("broadcast", "shuffle"):
-        return strategy, None
-    if strategy != "auto":
+def _choose(s: DataFrame, strategy: str, limit: int, bound: Size | None = None) -> tuple[str, Size]:
+    if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    size = bound if bound is not None else measure(source)
+    size = bound if bound is not None else measure(s)
     if size.empty:
         return "empty", size
-    lim = broadcast_limit(source.sparkSession, limit)
-    return ("broadcast" if fits(size, lim) else "shuffle"), size
+    return ("shuffle" if strategy == "shuffle" or not fits(size, limit) else "broadcast"), size
 
 
 def merge_frame(
@@ -259,28 +221,42 @@ def merge_frame(
     broadcast_bytes: int | None = None,
     source_bound: Size | None = None,
     hot_rows: int = 100_000,
+    staged: bool = False,
 ) -> DataFrame:
     """All merge outcomes: target columns plus ``merge_action``.
 
     Deleted target rows and skipped source rows are included (for audits);
     ``merge`` drops them.  ``source_bound`` is an upper bound of the source
     size the caller already knows (e.g. from the staged input); without it
-    the source is measured in one pass.
+    the source is measured in one pass.  ``staged`` says that ``source`` is a
+    stored frame which is cheap to read again.
     """
-    chosen, size = _choose(source, strategy, broadcast_bytes, source_bound)
+    _validate(target, source, spec)
+    spark = source.sparkSession
+    limit = broadcast_limit(spark, broadcast_bytes)
+    ensure_checkpoint_dir(spark)
+    s = _prefixed(source if staged else source.checkpoint(eager=True), SRC)
+    chosen, size = _choose(s, strategy, limit, source_bound)
     if chosen == "empty":
         return target.withColumn(ACTION, F.lit("keep"))
-    if size is not None:
-        # Hot keys number at most rows / hot_rows; raise the threshold so that
-        # list (about HOT_KEY_BYTES each) stays within the broadcast limit.
-        lim = broadcast_limit(source.sparkSession, broadcast_bytes)
-        if lim > 0:
-            hot_rows = max(hot_rows, -(-size.rows * HOT_KEY_BYTES // lim))
-    matched, inserts = _plan(target, source, spec, chosen == "broadcast", hot_rows)
-    act = F.col(ACTION)
-    left = matched.select(*_target_values(target, spec, "t"), F.substring_index(act, ":", 1).alias(ACTION))
-    right = inserts.select(*_target_values(target, spec, "s"), F.substring_index(act, ":", 1).alias(ACTION))
-    return left.unionByName(right)
+    # Hot keys number at most rows / hot_rows: few enough for a broadcast, whatever the limit is.
+    hot_rows = max(hot_rows, -(-size.rows // MAX_HOT_KEYS))
+    t = _prefixed(target, TGT)
+    tkey, skey = TGT + spec.target_key, SRC + spec.source_key
+    repeated, most = _repeated(s, skey)
+    if chosen == "broadcast":
+        joined = _broadcast_plan(t, _counted(s, skey, repeated), tkey, skey)
+    else:
+        # Row numbers of the stored copy: the same after a retry, unlike a random salt.
+        s = _counted(s.withColumn("__row", F.monotonically_increasing_id()), skey, repeated)
+        joined = _shuffle_plan(t, s, tkey, skey, repeated if most > hot_rows else None, hot_rows, limit)
+    here = F.coalesce("__in_t", F.lit(False))
+    joined = joined.withColumn("__matched", here & F.coalesce("__in_s", F.lit(False)))
+    act = F.when(here, _matched_action(spec)).otherwise(_insert_action(spec))
+    joined = joined.withColumn(ACTION, act)
+    old, new = _target_values(target, spec, "t"), _target_values(target, spec, "s")
+    values = [F.when(here, o).otherwise(n).alias(f.name) for o, n, f in zip(old, new, target.schema.fields, strict=True)]
+    return joined.select(*values, F.substring_index(F.col(ACTION), ":", 1).alias(ACTION))
 
 
 def merge(
@@ -291,13 +267,14 @@ def merge(
     broadcast_bytes: int | None = None,
     source_bound: Size | None = None,
     hot_rows: int = 100_000,
+    staged: bool = False,
 ) -> DataFrame:
     """New target content after MERGE of ``source`` into ``target``.
 
     ``hot_rows``: a source key with more rows than this is spread over
     several tasks in the shuffle form.
     """
-    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound, hot_rows)
+    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound, hot_rows, staged)
     return frame.filter(F.col(ACTION).isin("keep", "update", "insert")).drop(ACTION)
 
 

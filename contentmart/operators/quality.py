@@ -1,8 +1,9 @@
 """Key and constraint checks as DataFrames of violations.
 
 Each ``check_*`` returns the violating rows (never a Python list), so a check
-over a very large table stays distributed.  ``enforce`` either fails the run
-or splits good rows from a quarantine.
+over a very large table stays distributed.  ``split_valid`` splits good rows
+from those that break a declared rule; the load jobs fail on the latter or put
+them in quarantine.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentmart.operators.sizing import broadcast_limit, key_table_bytes, maybe_broadcast
+from contentmart.session import ensure_checkpoint_dir
 
 
 def check_unique(df: DataFrame, keys: list[str] | str) -> DataFrame:
@@ -65,6 +67,9 @@ def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, bro
     orphans = orphan_keys(child, fk, parent, pk, broadcast_bytes).select(F.col(fk).alias("__ok"))
     limit = broadcast_limit(child.sparkSession, broadcast_bytes)
     if limit >= 0:
+        # Found once: the checkpoint is both counted and joined.
+        ensure_checkpoint_dir(child.sparkSession)
+        orphans = orphans.checkpoint(eager=True)
         orphans = maybe_broadcast(orphans, key_table_bytes(orphans.count(), 1, 0), limit)
     return child.join(orphans, F.col(fk) == F.col("__ok"), "left_semi")
 
@@ -123,21 +128,14 @@ def apply_defaults(df: DataFrame, defaults: dict[str, Column | object], schema=N
 
 
 class ConstraintViolation(RuntimeError):
-    pass
-
-
-def enforce(df: DataFrame, violations: dict[str, DataFrame], mode: str = "fail") -> DataFrame:
-    """``fail``: raise when any check has a violation (one cheap probe each)."""
-    if mode != "fail":
-        raise ValueError("use split_valid for quarantine")
-    bad = [name for name, v in violations.items() if not v.isEmpty()]
-    if bad:
-        raise ConstraintViolation(f"constraint checks failed: {', '.join(bad)}")
-    return df
+    """Rows of a load break a declared constraint; nothing was published."""
 
 
 def split_valid(df: DataFrame, not_null: list[str] = (), limits: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine) by row-local rules; a ``reason`` column on quarantine."""
+    """(good, quarantine) by row-local rules; a ``reason`` column on quarantine.
+
+    Lengths are counted in characters, as the declared limits are.
+    """
     reasons = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in not_null]
     for c, limit in (limits or {}).items():
         reasons.append(F.when(F.char_length(F.col(c)) > limit, F.lit(f"{c} longer than {limit}")))

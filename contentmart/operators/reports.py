@@ -24,6 +24,10 @@ def rollup_by_calendar(
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """(levels..., articles, article_count): fact rows and summed counts per period."""
+    # The calendar's span reaches the fact's scan as a plain filter and prunes files by their statistics.
+    low, high = dim_date.agg(F.min("published_date_at"), F.max("published_date_at")).first()
+    if low is not None:
+        fact = fact.filter(F.col("published_date_at").between(low, high))
     days = calendar_days if calendar_days is not None else dim_date.count()
     limit = broadcast_limit(fact.sparkSession, broadcast_bytes)
     cal = maybe_broadcast(dim_date.select("published_date_at", *levels), key_table_bytes(days, 1, len(levels)), limit)

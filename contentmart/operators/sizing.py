@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,12 +55,17 @@ def _value_bytes(field: T.StructField):
     return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 16
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows and payload bytes of ``df`` in one aggregation (partial per task)."""
+def row_bytes(df: DataFrame) -> Column:
+    """Payload bytes of one row of ``df``."""
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
         width = width + _value_bytes(field)
-    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")).first()
+    return width.cast("long")
+
+
+def measure(df: DataFrame) -> Size:
+    """Rows and payload bytes of ``df`` in one aggregation (partial per task)."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
     return Size(int(row["rows"]), int(row["bytes"] or 0))
 
 

@@ -4,37 +4,44 @@
 * ``full_load``        — extract all -> stage -> reload dims -> reload fact;
 * ``incremental_load`` — extract delta -> stage -> MERGE dims -> MERGE fact;
 * ``full_refresh``     — a full load over a populated warehouse;
+* ``reconcile_hard_deletes``, ``apply_article_changes`` — rows that left the source, change feeds;
 * ``backfill_fact``    — the full-load fact in date chunks (restartable).
 
-Each job returns DataFrames; given a ``Warehouse`` it also publishes every
-table as a new snapshot and reads the published dims back, so the fact step
-sees the *loaded* author dimension (as the reference's task order requires)
-and lineage stops at each published table.
+Every run reads each source table once: the extract, and whatever several steps derive from it, is
+written to the run's own folder on shared storage, and all steps read that copy, so they see one state
+of a source that keeps moving.  With a ``Warehouse`` the tables are published and the folder is deleted
+at the end; without one the returned frames read it, and it stays with the checkpoints.
+
+Rows that break a declared constraint (NOT NULL, text length) stop the run before anything is
+published, or go to a quarantine folder with ``on_violation="quarantine"``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentmart import schemas
-from contentmart.functions.dates import ntz_literal
+from contentmart.functions.predicates import is_live
 from contentmart.operators import dims, facts
+from contentmart.operators import merge as M
 from contentmart.operators.audit import RunAudit
-from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, covering_bounds, dim_date
-from contentmart.operators.casts import typed_ids
+from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, dim_date
+from contentmart.operators.casts import split_bad_ids, typed_ids
+from contentmart.operators.quality import ConstraintViolation, split_valid
+from contentmart.operators.reconcile import cdc_spec, hard_delete_removed, last_change
 from contentmart.sources import fs
-from contentmart.sources.extract import extract_delta, extract_full
-from contentmart.operators import merge as M
-from contentmart.operators.sizing import broadcast_limit, fits
-from contentmart.sources.publish import Warehouse
+from contentmart.sources.extract import extract_changes, extract_full
+from contentmart.sources.publish import PublishedTable, Warehouse
 from contentmart.sources.ranged import RangedWarehouse
-from contentmart.sources.staging import STAGED_IDS, StagingArea, as_staged_text
+from contentmart.sources.staging import STAGED_IDS, RunScratch, StagingArea, as_staged_text
 
 FACT = "fact_reports_articles"
+NAMES = ("dim_authors", "dim_articles", FACT)
 
 
 @dataclass
@@ -42,6 +49,7 @@ class LoadResult:
     tables: dict[str, DataFrame]
     audit: RunAudit = field(default_factory=RunAudit)
     skipped: list[str] = field(default_factory=list)
+    quarantine: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def init_warehouse(
@@ -59,13 +67,55 @@ def init_warehouse(
     return tables
 
 
-def _stage(spark: SparkSession, table: str, df: DataFrame, staging: StagingArea | bool | None) -> DataFrame:
-    if staging is None or staging is False:
-        staged = as_staged_text(df, table)
-    else:
-        area = StagingArea(spark) if staging is True else staging
-        staged = area.replace(table, df)
-    return typed_ids(staged, STAGED_IDS[table])
+class _Run:
+    """What one run stages, checks and counts."""
+
+    def __init__(self, spark: SparkSession, store, staging: StagingArea | bool | None, on_violation: str):
+        if on_violation not in ("fail", "quarantine"):
+            raise ValueError(f"unknown reaction to violations {on_violation!r}")
+        self.spark, self.store, self.on_violation = spark, store, on_violation
+        self.scratch = RunScratch(spark)
+        self.area = StagingArea(spark) if staging is True else (staging or None)
+        self.own_area = staging is True
+        self.result = LoadResult({})
+
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        """The extract, written once (through the delimited hand-off if there is one), typed and checked."""
+        audit, stage = self.result.audit, f"staging_{table}"
+        if self.area is not None:
+            staged = self.area.replace(table, audit.track(df, stage))
+        else:
+            staged = self.scratch.keep(audit.track(as_staged_text(df, table), stage), f"staged-{table}")
+        audit.ran(stage)
+        not_null, limits = schemas.DECLARED[table]
+        ids = STAGED_IDS[table]
+        if self.on_violation == "fail":
+            good, bad = split_valid(typed_ids(staged, ids), not_null, limits)
+            if not bad.isEmpty():
+                found = {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()}  # by rule
+                raise ConstraintViolation(f"{table}: {found}")
+            return good
+        typed, odd = split_bad_ids(staged, ids)
+        good, bad = split_valid(typed, not_null, limits)
+        bad = bad.withColumns({c: F.col(c).cast("string") for c in ids})
+        bad = bad.unionByName(odd.withColumn("reason", F.lit("an id is not a number")))
+        if not bad.isEmpty():
+            root = self.store.root.rstrip("/") if self.store is not None else self.scratch.root
+            path = f"{root}/_quarantine/{table}/{uuid.uuid4().hex}"
+            bad.write.parquet(path)
+            self.result.quarantine[table] = self.spark.read.schema(bad.schema).parquet(path)
+        return good
+
+    def counted(self, name: str, df: DataFrame) -> None:
+        """Publish ``df`` and note its rows."""
+        self.store.publish(name, df, watch=lambda out: self.result.audit.track(out, name))
+        self.result.audit.ran(name)
+
+    def close(self) -> None:
+        if self.store is not None:
+            self.scratch.close()
+            if self.own_area:
+                self.area.close()
 
 
 def full_load(
@@ -74,27 +124,27 @@ def full_load(
     warehouse: Warehouse | RangedWarehouse | None = None,
     staging: StagingArea | bool | None = None,
     broadcast_bytes: int | None = None,
+    on_violation: str = "fail",
 ) -> LoadResult:
-    audit = RunAudit()
+    run = _Run(spark, warehouse, staging, on_violation)
     if warehouse is not None:
         warehouse.refresh()
-    authors = audit.track(_stage(spark, "authors", extract_full(spark, source, "authors"), staging), "staging_authors")
-    articles = audit.track(_stage(spark, "articles", extract_full(spark, source, "articles"), staging), "staging_articles")
-    out = {
-        "dim_authors": audit.track(dims.dim_authors(authors), "dim_authors"),
-        "dim_articles": audit.track(dims.dim_articles(articles), "dim_articles"),
-    }
+    authors = run.stage("authors", extract_full(spark, source, "authors"))
+    articles = run.stage("articles", extract_full(spark, source, "articles"))
+    out = {"dim_authors": dims.dim_authors(authors), "dim_articles": dims.dim_articles(articles)}
     dim_rows = None
     if warehouse is not None:
         for name in ("dim_authors", "dim_articles"):
-            warehouse.publish(name, out[name])
+            run.counted(name, out[name])
         out = {name: warehouse.read(name) for name in out}
-        dim_rows = audit.count("dim_authors")  # observed by the write that published it
-    out[FACT] = audit.track(facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows), FACT)
+        dim_rows = run.result.audit.count("dim_authors")
+    out[FACT] = facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows)
     if warehouse is not None:
-        warehouse.publish(FACT, out[FACT])
+        run.counted(FACT, out[FACT])
         out[FACT] = warehouse.read(FACT)
-    return LoadResult(out, audit)
+    run.close()
+    run.result.tables = out
+    return run.result
 
 
 def full_refresh(spark: SparkSession, source, warehouse: Warehouse | None = None, **kw) -> LoadResult:
@@ -112,6 +162,7 @@ def incremental_load(
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
     author_ts_col: str | None = None,
+    on_violation: str = "fail",
 ) -> LoadResult:
     """One delta run.  Authors travel whole unless ``author_ts_col`` is given.
 
@@ -119,11 +170,43 @@ def incremental_load(
     ``Warehouse`` of snapshots (publishes whole new versions) or a
     ``RangedWarehouse`` (rewrites only the key ranges the delta touches).
     """
-    audit = RunAudit()
-    authors = _stage(spark, "authors", extract_delta(extract_full(spark, source, "authors"), author_ts_col, since, until), staging)
-    articles = _stage(spark, "articles", extract_delta(extract_full(spark, source, "articles"), "updated_at", since, until), staging)
-    tables, skipped = apply_delta(spark, current, authors, articles, strategy, broadcast_bytes)
-    return LoadResult(tables, audit, skipped)
+    run = _Run(spark, _store(current), staging, on_violation)
+    authors = run.stage("authors", extract_changes(spark, source, "authors", author_ts_col, since, until))
+    articles = run.stage("articles", extract_changes(spark, source, "articles", "updated_at", since, until))
+    tables, skipped = _apply(run, current, authors, articles, strategy, broadcast_bytes)
+    run.close()
+    run.result.tables, run.result.skipped = tables, skipped
+    return run.result
+
+
+def _store(current) -> Warehouse | RangedWarehouse | None:
+    return current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+
+
+def _merge_into(current, tables: dict[str, DataFrame], strategy: str, broadcast_bytes: int | None, tag: str | None):
+    """A function that merges a staged source into one table and returns the new content."""
+    store = _store(current)
+
+    def merge(name: str, staged: DataFrame, spec: M.MergeSpec, bound=None, part: str = "") -> DataFrame:
+        own = None if tag is None else _part_tag(tag, part)
+        if isinstance(store, RangedWarehouse):
+            store.merge(name, staged, spec, strategy=strategy, broadcast_bytes=broadcast_bytes, source_bound=bound, tag=own)
+            return store.read(name)
+        if store is not None and store.tables[name].applied(own):
+            return store.read(name)
+        merged = M.merge(tables[name], staged, spec, strategy, broadcast_bytes, bound, staged=True)
+        if store is None:
+            return merged
+        store.publish(name, merged, own)
+        return store.read(name)
+
+    return merge
+
+
+def _part_tag(tag: str, part: str) -> str:
+    """A batch's tag for one of several merges into a table: a stream of its own, the same batch number."""
+    stream, sep, batch = tag.rpartition("#")
+    return f"{stream or batch}{part}{sep}{batch if stream else ''}" if part else tag
 
 
 def apply_delta(
@@ -134,50 +217,39 @@ def apply_delta(
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
     tag: str | None = None,
+    on_violation: str = "fail",
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """MERGE staged (typed) authors and articles into the warehouse.
+    """Stage source rows of a delta and MERGE them into the warehouse.
 
     Order as in the reference: both dims, then the fact, whose source joins
     the *merged* author dimension.  Empty batches skip their merges.  With a
     ``tag`` each table records the batch, and a replay of it publishes nothing.
     """
-    names = ("dim_authors", "dim_articles", FACT)
-    ranged = isinstance(current, RangedWarehouse)
-    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
-    if store is not None:
-        store.refresh()  # versions another process (e.g. a full reload) may have added
-    tables = {n: store.read(n) for n in names} if store else dict(current)
-    skipped: list[str] = []
+    run = _Run(spark, _store(current), None, on_violation)
+    staged = None if authors is None else run.stage("authors", authors)
+    out = _apply(run, current, staged, run.stage("articles", articles), strategy, broadcast_bytes, tag)
+    run.close()
+    return out
 
-    def upsert(name: str, staged: DataFrame, spec, bound=None, touched=None) -> DataFrame:
-        if ranged:
-            store.merge(name, staged, spec, strategy=strategy, broadcast_bytes=broadcast_bytes,
-                        source_bound=bound, tag=tag, touched=touched)
-            return store.read(name)
-        merged = M.merge(tables[name], staged, spec, strategy, broadcast_bytes, bound)
-        if store is not None:
-            store.publish(name, merged, tag)
-            return store.read(name)
-        return merged
 
+def _apply(run: _Run, current, authors, articles, strategy, broadcast_bytes, tag=None):
+    """``apply_delta`` for rows that are staged already."""
+    store = _store(current)
+    if store is not None:
+        store.refresh()  # what another process (e.g. a full reload) may have published
+    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
+    merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
+    skipped: list[str] = []
     if authors is None or authors.isEmpty():
         skipped.append("dim_authors")
     else:
-        tables["dim_authors"] = upsert("dim_authors", authors, dims.authors_upsert_spec())
-
+        tables["dim_authors"] = merge("dim_authors", authors, dims.authors_upsert_spec())
     bound = facts.delta_source_bound(articles)
     if bound.empty:
-        skipped += ["dim_articles", FACT]
-        return tables, skipped
-    # dim_articles and the fact share the article-id ranges: find them once.
-    touched = store.tables[FACT].touched_ranges(articles, "id") if ranged else None
-    tables["dim_articles"] = upsert("dim_articles", articles, dims.articles_upsert_spec(), touched=touched)
-    delta_source = facts.fact_delta_source(articles, tables["dim_authors"], broadcast_bytes)
-    if strategy == "shuffle" or (strategy == "auto" and not fits(bound, broadcast_limit(spark, broadcast_bytes))):
-        # A large source feeds three branches of the shuffle-form merge: compute
-        # the aggregate once into the shared checkpoint store (lineage cut there).
-        delta_source = delta_source.checkpoint(eager=True)
-    tables[FACT] = upsert(FACT, delta_source, facts.fact_merge_spec(), bound, touched)
+        return tables, [*skipped, "dim_articles", FACT]
+    tables["dim_articles"] = merge("dim_articles", articles, dims.articles_upsert_spec())
+    delta_source = run.scratch.keep(facts.fact_delta_source(articles, tables["dim_authors"], broadcast_bytes), "fact-source")
+    tables[FACT] = merge(FACT, delta_source, facts.fact_merge_spec(), bound)
     return tables, skipped
 
 
@@ -196,35 +268,29 @@ def reconcile_hard_deletes(
     """Remove warehouse rows whose key no longer exists in the source.
 
     Only the key columns of the source are read (pruned into the JDBC query
-    or the file scan).  The removed keys — target keys with no source key,
-    found with distinct keys on both sides — become the source of a
-    delete-only MERGE, so a key-range warehouse rewrites only the ranges that
-    lose rows.
+    or the file scan), once.  The removed keys of each table — target keys with no
+    source key, found with distinct keys on both sides — are written once and become
+    the source of a delete-only MERGE, so a key-range warehouse rewrites only the
+    ranges that lose rows.
     """
-    from contentmart.operators.reconcile import hard_delete_removed
-
-    ranged = isinstance(current, RangedWarehouse)
-    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+    run = _Run(spark, _store(current), None, "fail")
+    store = _store(current)
     if store is not None:
         store.refresh()
-    names = ("dim_authors", "dim_articles", FACT)
-    tables = {n: store.read(n) for n in names} if store else dict(current)
+    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
+    merge = _merge_into(current, tables, strategy, broadcast_bytes, None)
     keys = {
-        "authors": extract_full(spark, source, "authors").select(F.col("id").cast("bigint").alias("id")),
-        "articles": extract_full(spark, source, "articles").select(F.col("id").cast("bigint").alias("id")),
+        table: run.scratch.keep(
+            extract_full(spark, source, table).select(F.col("id").cast("bigint").alias("id")), f"keys-{table}"
+        )
+        for table in ("authors", "articles")
     }
     plan = [("dim_authors", "author_id", "authors"), ("dim_articles", "article_id", "articles"), (FACT, "article_id", "articles")]
     for name, key, src in plan:
-        removed = hard_delete_removed(tables[name], key, keys[src], "id").select(key).distinct()
-        if ranged:
-            store.merge(name, removed, delete_spec(key), strategy=strategy, broadcast_bytes=broadcast_bytes)
-            tables[name] = store.read(name)
-        else:
-            merged = M.merge(tables[name], removed, delete_spec(key), strategy, broadcast_bytes)
-            if store is not None:
-                store.publish(name, merged)
-                merged = store.read(name)
-            tables[name] = merged
+        removed = hard_delete_removed(tables[name].select(key), key, keys[src], "id").distinct()
+        removed = run.scratch.keep(removed, f"removed-{name}")
+        tables[name] = merge(name, removed, delete_spec(key))
+    run.close()
     return tables
 
 
@@ -238,47 +304,48 @@ def apply_article_changes(
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
     tag: str | None = None,
+    authors: DataFrame | None = None,
+    author_changes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Apply a change feed of article rows (full images plus ``op``, ``seq``).
 
-    The last change per article wins (``max_by``, partially aggregated).
-    Inserts and updates go through the incremental path (dims and fact);
-    deletes remove the article from ``dim_articles`` and the fact, so hard
-    deletes in the source reach the warehouse.
+    The last change per article wins (``max_by``, partially aggregated) and is written once; each table
+    takes one MERGE that deletes and upserts.  The author dimension comes first, as in every load:
+    ``authors`` is the whole author table, ``author_changes`` a feed of author rows; without either a new
+    article's author must already be in the warehouse.
     """
-    from contentmart.operators.reconcile import last_change
-
-    latest = last_change(changes, "id", seq)
-    is_delete = F.col(op) == F.lit(delete_code)
-    upserts = latest.filter(~is_delete).drop(op, seq)
-    deletes = latest.filter(is_delete).select(F.col("id").alias("article_id"))
-    tables, _ = apply_delta(spark, current, None, upserts, strategy, broadcast_bytes, tag=tag)
-    ranged = isinstance(current, RangedWarehouse)
-    store = current if isinstance(current, (Warehouse, RangedWarehouse)) else None
-    for name in ("dim_articles", FACT):
-        if ranged:
-            store.merge(name, deletes, delete_spec("article_id"), strategy=strategy, broadcast_bytes=broadcast_bytes,
-                        tag=None if tag is None else f"{tag}:deletes")
-            tables[name] = store.read(name)
-            continue
-        merged = M.merge(tables[name], deletes, delete_spec("article_id"), strategy, broadcast_bytes)
-        if store is not None:
-            store.publish(name, merged, None if tag is None else f"{tag}:deletes")
-            merged = store.read(name)
-        tables[name] = merged
+    run = _Run(spark, _store(current), None, "fail")
+    store = _store(current)
+    if store is not None:
+        store.refresh()
+    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
+    merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
+    if authors is not None:
+        tables["dim_authors"] = merge("dim_authors", run.stage("authors", authors), dims.authors_upsert_spec())
+    if author_changes is not None:
+        latest = run.scratch.keep(last_change(author_changes, "id", seq), "last-authors")
+        spec = cdc_spec("author_id", "id", dims.AUTHOR_COPIED, op, delete_code)
+        tables["dim_authors"] = merge("dim_authors", latest, spec, part=":changes")
+    latest = run.scratch.keep(last_change(changes, "id", seq), "last-articles")
+    if not latest.isEmpty():
+        spec = cdc_spec("article_id", "id", dims.ARTICLE_COPIED, op, delete_code)
+        tables["dim_articles"] = merge("dim_articles", latest, spec)
+        # A deleted article is, for the fact, one that is not published any more.
+        gone = F.col(op) == F.lit(delete_code)
+        state = latest.withColumn("published_at", F.when(~gone, F.col("published_at"))).drop(op, seq)
+        source = run.scratch.keep(facts.fact_delta_source(state, tables["dim_authors"], broadcast_bytes), "fact-source")
+        tables[FACT] = merge(FACT, source, facts.fact_merge_spec())
+    run.close()
     return tables
 
 
-def chunk_bounds(first: dt.date, last: dt.date, months: int = 12) -> list[tuple[dt.date, dt.date]]:
-    """Half-open [lo, hi) month-aligned ranges covering first..last."""
-    lo = dt.date(first.year, first.month, 1)
-    out = []
-    while lo <= last:
-        m = lo.month - 1 + months
-        hi = dt.date(lo.year + m // 12, m % 12 + 1, 1)
-        out.append((lo, hi))
-        lo = hi
-    return out
+CHUNK = "__chunk"
+
+
+def chunk_bounds(number: int, months: int) -> tuple[dt.date, dt.date]:
+    """[lo, hi) of a chunk: chunks are counted from year 0, so an older row never moves the others."""
+    lo, hi = (divmod(n * months, 12) for n in (number, number + 1))
+    return dt.date(lo[0], lo[1] + 1, 1), dt.date(hi[0], hi[1] + 1, 1)
 
 
 def backfill_fact(
@@ -289,29 +356,42 @@ def backfill_fact(
     sink: str | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Full-load fact built chunk by chunk on ``published_at``.
+    """Full-load fact in chunks of ``published_at`` months.
 
-    Chunks partition the fact's groups (each group has one ``published_at``),
-    so the union equals the unchunked fact.  With ``sink`` each chunk is
-    written as its own folder and a rerun skips finished chunks.
+    Chunks partition the fact's groups (each group has one ``published_at``), so the union equals the
+    unchunked fact.  With ``sink`` the chunks are parts of a published table there.  A chunk is known by
+    its bounds and a fingerprint of what it is made from (its live articles and the author keys): a rerun
+    writes the chunks that are missing or whose input changed, all in one job, and lists no others.
     """
-    bounds = covering_bounds(articles, "published_at")
-    if bounds is None:
-        return spark.createDataFrame([], schemas.FACT_REPORTS_ARTICLES)
-    parts = []
-    for lo, hi in chunk_bounds(bounds[0], bounds[1], months):
-        chunk = articles.filter(
-            (F.col("published_at") >= ntz_literal(f"{lo} 00:00:00")) & (F.col("published_at") < ntz_literal(f"{hi} 00:00:00"))
-        )
-        fact = facts.fact_full_load(chunk, dim_authors, broadcast_bytes)
-        if sink is None:
-            parts.append(fact)
-            continue
-        path = f"{sink.rstrip('/')}/chunk={lo:%Y%m%d}"
-        if not fs.exists(spark, f"{path}/_SUCCESS"):
-            fact.write.mode("overwrite").parquet(path)
-        parts.append(spark.read.schema(schemas.FACT_REPORTS_ARTICLES).parquet(path))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if sink is None:
+        return facts.fact_full_load(articles, dim_authors, broadcast_bytes)
+    number = F.floor((F.year("published_at") * 12 + F.month("published_at") - 1) / F.lit(months)).cast("int")
+    live = articles.filter(is_live()).withColumn(CHUNK, number)
+
+    def print_of(*cols: str):
+        return F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).cast("string"), F.count(F.lit(1))
+
+    author_print = [str(x) for x in dim_authors.agg(*print_of("author_id")).first()]
+    used = ("id", "author_id", "published_at", "created_at", "updated_at")
+    prints = {}
+    for r in live.groupBy(CHUNK).agg(*print_of(*used)).collect():  # one row per chunk
+        lo, hi = chunk_bounds(r[0], months)
+        prints[f"{lo:%Y%m%d}-{hi:%Y%m%d}"] = (r[0], [str(r[1]), str(r[2]), *author_print])
+    table = PublishedTable(spark, sink, schemas.FACT_REPORTS_ARTICLES)
+    done, old = table.refresh().get("prints", {}), table.state()["parts"]
+    todo = {name: k for name, (k, p) in prints.items() if done.get(name) != p}
+    parts = {name: old[name] for name in prints if name not in todo}
+    if todo or set(old) != set(prints):
+        if todo:
+            out = table._folder()
+            wanted = live.filter(F.col(CHUNK).isin(sorted(todo.values())))
+            fact = facts.fact_full_load(wanted.drop(CHUNK), dim_authors, broadcast_bytes)
+            # The fact keeps the day of publication, which tells the chunk.
+            day = F.col("published_date_at")
+            month = F.floor(day / 10000) * 12 + F.floor(day / 100) % 100 - 1
+            fact = fact.withColumn(CHUNK, F.floor(month / F.lit(months)).cast("int"))
+            fact.hint("rebalance", CHUNK).write.partitionBy(CHUNK).parquet(out)
+            made = set(fs.list_names(spark, out))
+            parts |= {name: f"{out}/{CHUNK}={k}" for name, k in todo.items() if f"{CHUNK}={k}" in made}
+        table._point(parts, None, prints={name: p for name, (_, p) in prints.items()})
+    return table.read()

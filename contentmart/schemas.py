@@ -118,6 +118,11 @@ VARCHAR_LIMITS = {
     "dim_articles": {"title": 255},
 }
 ARTICLE_COUNT_DEFAULT = 1
+# What the warehouse tables declare of staged rows: columns that are NOT NULL, and text lengths.
+DECLARED = {
+    "authors": (("id", "name", "email"), VARCHAR_LIMITS["authors"]),
+    "articles": (("id", "title"), VARCHAR_LIMITS["articles"]),
+}
 
 
 def column_names(schema: StructType) -> list[str]:

@@ -87,6 +87,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if active:
         # setCheckpointDir() adds an application sub-folder; use its parent.
         return os.path.dirname(active.rstrip("/"))
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="contentmart-ckpt-")
     sc.setCheckpointDir(local)
     return local

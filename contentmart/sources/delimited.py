@@ -2,13 +2,19 @@
 
 Written by every task in parallel (one file per partition), read back with a
 declared schema bound by position.  Quote and escape are both ``"`` so text
-holding the separator, quotes or newlines survives; an empty field is NULL.
+holding the separator, quotes, newlines or white space at its ends survives; an
+empty field is NULL.
+
+A quoted field with a raw line break makes a file unsplittable: one task must
+read it whole.  The library's own hand-off therefore writes line breaks as
+backslash escapes (``escape_lines``); files from elsewhere are read as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 # Fixed values of the file layout.
 SEPARATOR = "|"
@@ -24,11 +30,35 @@ def _options(sep: str, header: bool) -> dict[str, str]:
         "escape": QUOTE,
         "nullValue": "",
         "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
     }
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR, header: bool = True, mode: str = "overwrite") -> None:
+def _texts(schema: StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+
+
+def _escaped(c: Column) -> Column:
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _unescaped(c: Column) -> Column:
+    """Between pairs of backslashes, a backslash starts a line break."""
+    plain = F.transform(
+        F.split(c, r"\\\\", -1),
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.array_join(plain, "\\")
+
+
+def write_delimited(
+    df: DataFrame, path: str, sep: str = SEPARATOR, header: bool = True, mode: str = "overwrite", escape_lines: bool = False
+) -> None:
     """Write ``df`` as delimited text; ``overwrite`` replaces a same-named landing."""
+    if escape_lines:
+        df = df.withColumns({c: _escaped(F.col(c)) for c in _texts(df.schema)})
     (
         df.write.mode(mode)
         .options(**_options(sep, header))
@@ -44,21 +74,19 @@ def read_delimited(
     sep: str = SEPARATOR,
     header: bool = True,
     mode: str = "FAILFAST",
+    escape_lines: bool = False,
 ) -> DataFrame:
     """Bulk load: skip the header, bind columns by position, fail on a bad row.
 
-    ``multiLine`` lets a quoted field hold line breaks.  Timestamps are parsed
+    Without ``escape_lines`` a quoted field may hold line breaks.  Timestamps are parsed
     leniently (with or without fractional seconds, ``T`` or blank separator).
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(**_options(sep, header))
-        .option("multiLine", "true")
+        .option("multiLine", str(not escape_lines).lower())
         .option("enforceSchema", "true")
         .option("mode", mode)
         .csv(path)
     )
-
-
-def load_delimited(spark: SparkSession, path: str, schema: StructType, **kw) -> DataFrame:
-    return read_delimited(spark, path, schema, **kw)
+    return rows.withColumns({c: _unescaped(F.col(c)) for c in _texts(schema)}) if escape_lines else rows

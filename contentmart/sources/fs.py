@@ -7,6 +7,9 @@ uses; paths therefore work on any storage the cluster can read.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -58,6 +61,40 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file whole, only where nothing has that name yet.
+
+    The text goes to a file of its own first and is then renamed without overwrite, so of two writers
+    one gets ``FileExistsError`` and readers never see a half-written file.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    fsys = final.getFileSystem(conf)
+    own = jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_tmp.{uuid.uuid4().hex}")
+    out = fsys.create(own, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fsys.makeQualified(final).toUri(), conf)
+    try:
+        context.rename(fsys.makeQualified(own), fsys.makeQualified(final), options)
+    except Py4JJavaError as e:
+        fsys.delete(own, False)
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            raise FileExistsError(path) from None
+        raise
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Read a small text file whole (metadata such as a layout marker)."""
     jvm = spark.sparkContext._jvm

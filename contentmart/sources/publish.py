@@ -1,17 +1,18 @@
-"""Snapshot tables: write the next version, then point readers at it.
+"""Published tables: parquet folders and one pointer.
 
-A table is a folder of immutable versions ``v=000001, v=000002, ...`` plus an
-append-only ``_versions`` log.  A version becomes current only after its data
-is fully written, so readers never see an empty or half-written table, and a
-table is never overwritten while it is being read (the new content may be
-computed from the old one, as a MERGE is).
+A publish writes its rows to a folder of its own, then puts up the next pointer, a small file that
+lists the folders the table now consists of.  The pointer is created only where its number is free:
+of two writers one wins and the other gets ``PublishConflict``, and nothing that a crashed or beaten
+attempt wrote is ever listed.  Readers see the newest pointer; the pointer also carries the last batch
+that each stream applied, so a replayed batch is recognised however old the last vacuum is.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import os
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,99 +20,143 @@ from pyspark.sql.types import StructType
 
 from contentmart.sources import fs
 
+#: Unlisted folders younger than this may belong to a running writer; ``vacuum`` leaves them.
+GRACE_SECONDS = 24 * 3600
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None, partition_by: list[str] | None = None):
+
+class PublishConflict(RuntimeError):
+    """Another writer published first; run the step again from the new content."""
+
+
+def split_tag(tag: str) -> tuple[str, int]:
+    """``stream#batch`` -> (stream, batch); any other tag is a stream with the one batch 0."""
+    stream, sep, batch = tag.rpartition("#")
+    if sep and batch.isdigit():
+        return stream, int(batch)
+    return tag, 0
+
+
+class PublishedTable:
+    """What the snapshot and the key-range tables share: folders, pointer, applied batches."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
-        self.partition_by = partition_by or []
 
     @property
-    def _log(self) -> str:
-        return f"{self.root}/_versions"
-
-    def refresh(self) -> int:
-        """Re-read the version log (single writer per table: kept mirrored)."""
-        self._current, self._tags = 0, set()
-        if fs.exists(self.spark, self._log):
-            log = self.spark.read.schema("version long, published string, tag string").json(self._log)
-            for r in log.collect():  # one small row per published version
-                self._current = max(self._current, int(r["version"]))
-                if r["tag"]:
-                    self._tags.add(r["tag"])
-        return self._current
-
-    def current_version(self) -> int:
-        current = getattr(self, "_current", None)
-        return self.refresh() if current is None else current
+    def _pointers(self) -> str:
+        return f"{self.root}/_pointer"
 
-    def has_tag(self, tag: str) -> bool:
-        self.current_version()
-        return tag in self._tags
+    def refresh(self) -> dict:
+        """Read the newest pointer (one small file)."""
+        names = [n for n in fs.list_names(self.spark, self._pointers) if n.endswith(".json") and n[:-5].isdigit()]
+        self._state = {"version": 0, "parts": {}, "applied": {}}
+        if names:
+            self._state = json.loads(fs.read_text(self.spark, f"{self._pointers}/{max(names)}"))
+        return self._state
 
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
+    def state(self) -> dict:
+        return getattr(self, "_state", None) or self.refresh()
 
-    def vacuum(self, retain: int = 2) -> list[str]:
-        """Delete version folders older than the last ``retain`` (log kept)."""
-        return _vacuum_snapshot(self, retain)
-
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v == 0:
+    def current_version(self) -> int:
+        return int(self.state()["version"])
+
+    def applied(self, tag: str | None) -> bool:
+        """Whether the batch, or a later one of its stream, is already in the table."""
+        if tag is None:
+            return False
+        stream, batch = split_tag(tag)
+        return batch <= self.state()["applied"].get(stream, -1)
+
+    def _folder(self) -> str:
+        return f"{self.root}/data/{uuid.uuid4().hex}"
+
+    def _point(self, parts: dict[str, str], tag: str | None, **extra) -> int:
+        """Put up the next pointer, or raise ``PublishConflict`` if its number is taken."""
+        old = self.state()
+        applied = dict(old["applied"])
+        if tag is not None:
+            stream, batch = split_tag(tag)
+            applied[stream] = max(batch, applied.get(stream, -1))
+        new = {**old, **extra, "version": old["version"] + 1, "parts": parts, "applied": applied}
+        try:
+            fs.create_text(self.spark, f"{self._pointers}/{new['version']:08d}.json", json.dumps(new))
+        except FileExistsError:
+            self.refresh()
+            raise PublishConflict(f"{self.root}: version {new['version']} was published by another writer") from None
+        self._state = new
+        return new["version"]
+
+    def _shaped(self, df: DataFrame) -> DataFrame:
+        if self.schema is None:
+            return df
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
             if self.schema is None:
-                raise FileNotFoundError(f"no published version under {self.root}")
+                raise FileNotFoundError(f"nothing is published under {self.root}")
             return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read
-        if self.schema is not None and not self.partition_by:
-            reader = reader.schema(self.schema)
-        df = reader.parquet(self.path(v))
-        if self.schema is not None:
-            df = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        return df
-
-    def publish(self, df: DataFrame, tag: str | None = None, columns: list[str] | None = None) -> int:
-        """Write ``df`` (optionally with a named column list) as the next version.
-
-        ``tag`` makes a replayed publish idempotent: a tag already in the log
-        (e.g. a stream batch) is not written again.
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return self._shaped(reader.parquet(*paths))
+
+    def read(self) -> DataFrame:
+        return self._read(sorted(self.state()["parts"].values()))
+
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+        """Delete folders that the current pointer does not list, and older pointers.
+
+        Neither is part of the table; what a reader or writer may still be using is spared by its age.
         """
-        current = self.current_version()
-        if tag is not None and self.has_tag(tag):
-            return current
-        target = current + 1
-        out = df
-        if columns is not None:
-            out = insert_columns(df, columns, self.schema)
-        elif self.schema is not None:
-            out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        writer = out.write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path(target))
-        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        entry = json.dumps({"version": target, "published": stamp, "tag": tag}) + "\n"
-        fs.write_text_atomic(self.spark, f"{self._log}/v={target:06d}.json", entry)
-        self._current = target
-        if tag is not None:
-            self._tags.add(tag)
-        return target
+        self.refresh()
+        listed = set(self.state()["parts"].values())
+        oldest = (time.time() - grace_seconds) * 1000
+        removed = []
+        for name in fs.list_names(self.spark, f"{self.root}/data"):
+            attempt = f"{self.root}/data/{name}"
+            inside = [p for p in listed if p == attempt or p.startswith(attempt + "/")]
+            if fs.modified_ms(self.spark, attempt) > oldest:
+                continue
+            if not inside:
+                fs.delete(self.spark, attempt)
+                removed.append(attempt)
+                continue
+            for part in fs.list_names(self.spark, attempt):
+                path = f"{attempt}/{part}"
+                if "=" in part and path not in listed:
+                    fs.delete(self.spark, path)
+                    removed.append(path)
+        for name in fs.list_names(self.spark, self._pointers):
+            path = f"{self._pointers}/{name}"
+            if name != f"{self.current_version():08d}.json" and fs.modified_ms(self.spark, path) <= oldest:
+                fs.delete(self.spark, path)
+        return removed
+
+
+class SnapshotTable(PublishedTable):
+    """A table that every publish replaces whole.
+
+    ``sort_by``: rows are dealt to files by ranges of these columns, so that file statistics prune
+    filters on them.
+    """
 
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None, sort_by: list[str] | None = None):
+        super().__init__(spark, root, schema)
+        self.sort_by = sort_by or []
 
-def _vacuum_snapshot(table: "SnapshotTable", retain: int) -> list[str]:
-    current = table.current_version()
-    removed = []
-    for name in fs.list_names(table.spark, table.root):
-        if name.startswith("v=") and int(name[2:]) <= current - retain:
-            fs.delete(table.spark, f"{table.root}/{name}")
-            removed.append(f"{table.root}/{name}")
-    # The log needs only the retained versions' entries (one small file each).
-    for name in fs.list_names(table.spark, table._log):
-        if name.startswith("v=") and name.endswith(".json") and int(name[2:].split(".")[0]) <= current - retain:
-            fs.delete(table.spark, f"{table._log}/{name}")
-    table.refresh()
-    return removed
+    def publish(self, df: DataFrame, tag: str | None = None, columns: list[str] | None = None, watch=None) -> int:
+        """Replace the content by ``df`` (optionally with a named column list); a batch applied
+        before (``tag``) is not written again.  ``watch`` wraps the frame that is written, so that
+        what it observes is what was written."""
+        if self.applied(tag):
+            return self.current_version()
+        out = insert_columns(df, columns, self.schema) if columns is not None else self._shaped(df)
+        if self.sort_by:
+            out = out.repartitionByRange(*self.sort_by).sortWithinPartitions(*self.sort_by)
+        path = self._folder()
+        (watch(out) if watch else out).write.parquet(path)
+        return self._point({"all": path}, tag)
 
 
 def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None) -> DataFrame:
@@ -141,8 +186,11 @@ def record_layout(spark: SparkSession, root: str, layout: dict) -> dict:
     """Write the layout on first use; afterwards the recorded one wins."""
     current = read_layout(spark, root)
     if current is None:
-        fs.write_text_atomic(spark, f"{root.rstrip('/')}/_layout.json", json.dumps(layout))
-        return layout
+        try:
+            fs.create_text(spark, f"{root.rstrip('/')}/_layout.json", json.dumps(layout))
+            return layout
+        except FileExistsError:
+            current = read_layout(spark, root)
     if current.get("layout") != layout.get("layout"):
         raise ValueError(f"{root} is a {current.get('layout')} warehouse")
     return current
@@ -151,6 +199,9 @@ def record_layout(spark: SparkSession, root: str, layout: dict) -> dict:
 class Warehouse:
     """The four warehouse tables as snapshot tables under one root."""
 
+    # Reports filter the fact by date.
+    SORT = {"fact_reports_articles": ["published_date_at", "article_id"]}
+
     def __init__(self, spark: SparkSession, root: str):
         from contentmart import schemas
 
@@ -158,27 +209,27 @@ class Warehouse:
         self.root = root
         record_layout(spark, root, {"layout": "snapshot"})
         self.tables = {
-            name: SnapshotTable(spark, os.path.join(root, name), schema)
+            name: SnapshotTable(spark, os.path.join(root, name), schema, self.SORT.get(name))
             for name, schema in schemas.WAREHOUSE.items()
         }
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def publish(self, name: str, df: DataFrame, tag: str | None = None) -> int:
-        return self.tables[name].publish(df, tag)
+    def publish(self, name: str, df: DataFrame, tag: str | None = None, **kw) -> int:
+        return self.tables[name].publish(df, tag, **kw)
 
-    def vacuum(self, retain: int = 2) -> list[str]:
-        return [p for t in self.tables.values() for p in t.vacuum(retain)]
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+        return [p for t in self.tables.values() for p in t.vacuum(grace_seconds)]
 
     def refresh(self) -> None:
-        """Re-read every table's log (picks up versions other processes wrote)."""
+        """Re-read every table's pointer (picks up what other processes published)."""
         for t in self.tables.values():
             t.refresh()
 
 
 def register_views(warehouse, prefix: str = "") -> list[str]:
-    """CREATE OR REPLACE TEMP VIEW for each warehouse table (current version).
+    """CREATE OR REPLACE TEMP VIEW for each warehouse table (current content).
 
     Works for both layouts; reports can then be plain ``spark.sql`` over
     ``{prefix}dim_authors``, ``{prefix}fact_reports_articles`` and so on.

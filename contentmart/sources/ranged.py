@@ -1,25 +1,14 @@
 """Key-range tables: an incremental MERGE rewrites only the ranges it touches.
 
-Rows live in ranges of the merge key, ``range = floor(key / width)`` (NULL
-keys in range -1).  Article and author ids grow over time, so an hourly delta
-(new articles plus edits of recent ones) touches a handful of ranges, not the
-whole table — the rewrite cost follows the delta, not the table.
-
-Layout::
-
-    root/data/v=000007/__range=123/part-*.parquet   data written by version 7
-    root/_log/v=000007.json                          (version, range, path, tag)
-
-A version's log rows name the new folder of every range it rewrote (``path``
-NULL = the range is now empty).  The current content of a range is the row
-with the highest version; a version is visible only once its log file is
-written, so readers never see a half-written table, old versions stay
-readable, and a replayed publish with the same ``tag`` writes nothing.
+Rows live in ranges of the merge key, ``range = floor(key / width)`` (NULL keys in range -1), one folder
+each; the table's pointer lists the current folder of every range.  Article and author ids grow over
+time, so an hourly delta (new articles plus edits of recent ones) touches a handful of ranges, not the
+whole table: the rewrite cost follows the delta.  The width is set per table from the bytes of its
+first content, so that a range of wide rows is no larger than one of narrow rows.
 """
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from contentmart.operators import merge as M
-from contentmart.operators.sizing import Size
+from contentmart.operators.sizing import Size, row_bytes
 from contentmart.sources import fs
+from contentmart.sources.publish import GRACE_SECONDS, PublishedTable, SnapshotTable, record_layout
 
 RANGE = "__range"
-LOG_SCHEMA = "version long, range long, path string, tag string"
+#: Bytes aimed at for one range, before compression.
+RANGE_BYTES = 4 << 30
 
 
 def key_range(key: Column | str, width: int) -> Column:
@@ -39,160 +30,83 @@ def key_range(key: Column | str, width: int) -> Column:
     return F.coalesce(F.floor(k / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
 
 
-class KeyRangeTable:
+def width_for(df: DataFrame, key: str, range_bytes: int = RANGE_BYTES) -> int | None:
+    """Keys in a range of about ``range_bytes``, from one aggregation over ``df``; None if it is empty."""
+    total, low, high = df.agg(F.sum(row_bytes(df)), F.min(key), F.max(key)).first()
+    if low is None:
+        return None
+    per_key = max(1.0, total / (high - low + 1))
+    return max(1, int(range_bytes / per_key))
+
+
+class KeyRangeTable(PublishedTable):
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         schema: StructType,
         key: str,
-        width: int = 100_000_000,
+        width: int | None = None,
         sort_by: list[str] | None = None,
+        range_bytes: int = RANGE_BYTES,
     ):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
+        super().__init__(spark, root, schema)
         self.key = key
-        self.width = width
+        self.asked_width = width
+        self.range_bytes = range_bytes
         # Rows are ordered by these inside each file, so parquet min/max
         # statistics let filters on them skip row groups within a range.
         self.sort_by = sort_by or [key]
 
-    # ------------------------------------------------------------ log
     @property
-    def _log(self) -> str:
-        return f"{self.root}/_log"
+    def width(self) -> int | None:
+        """The table's width once it has content: what was asked for, else measured, then kept."""
+        return self.state().get("width")
 
-    def refresh(self) -> list[tuple[int, int, str | None, str | None]]:
-        """Re-read the log (one small job); the table keeps a mirror of it.
+    def _decide(self, df: DataFrame) -> int | None:
+        return self.width or self.asked_width or width_for(df, self.key, self.range_bytes)
 
-        A table has one writer at a time (runs do not overlap), so the mirror
-        is updated in place on every append and re-read only on demand.
-        """
-        if not fs.exists(self.spark, self._log):
-            self._rows = []
-        else:
-            log = self.spark.read.schema(LOG_SCHEMA).json(self._log)
-            self._rows = [(int(r[0]), None if r[1] is None else int(r[1]), r[2], r[3]) for r in log.collect()]
-        return self._rows
-
-    def _log_rows(self) -> list[tuple[int, int, str | None, str | None]]:
-        rows = getattr(self, "_rows", None)
-        return self.refresh() if rows is None else rows
-
-    def current_version(self) -> int:
-        return max((row[0] for row in self._log_rows()), default=0)
-
-    def has_tag(self, tag: str) -> bool:
-        return any(row[3] == tag for row in self._log_rows())
-
-    def ranges(self, version: int | None = None) -> dict[int, str | None]:
-        """range -> folder of its current content (bounded metadata: one entry per range)."""
-        latest: dict[int, tuple[int, str | None]] = {}
-        for v, r, path, _ in self._log_rows():
-            if r is None or (version is not None and v > version):
-                continue
-            if r not in latest or v > latest[r][0]:
-                latest[r] = (v, path)
-        return {r: path for r, (_, path) in latest.items()}
-
-    # ------------------------------------------------------------ read
-    def _read_paths(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        df = self.spark.read.schema(self.schema).parquet(*paths)
-        return df.select(*[F.col(f.name) for f in self.schema.fields])
-
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._read_paths(sorted(p for p in self.ranges(version).values() if p))
+    def ranges(self) -> dict[int, str]:
+        """range -> folder of its current content (one entry per range)."""
+        return {int(r): path for r, path in self.state()["parts"].items()}
 
     def read_ranges(self, wanted: list[int]) -> DataFrame:
         current = self.ranges()
-        return self._read_paths(sorted(current[r] for r in wanted if current.get(r)))
+        return self._read(sorted(current[r] for r in wanted if r in current))
 
-    # ------------------------------------------------------------ write
-    def _write(self, df: DataFrame, version: int) -> tuple[str, list[int]]:
-        out = f"{self.root}/data/v={version:06d}"
-        ranged = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).withColumn(
-            RANGE, key_range(self.key, self.width)
-        )
+    def _write(self, df: DataFrame, width: int, watch=None) -> dict[int, str]:
+        """Write ``df`` to a fresh folder; the range folders that this write made."""
+        out = self._folder()
         # Rebalance: AQE splits a hot range over several writers and packs small ones.
         # The writer needs rows grouped by range; the clustering sort extends that order.
-        (
-            ranged.hint("rebalance", RANGE)
+        ready = (
+            self._shaped(df)
+            .withColumn(RANGE, key_range(self.key, width))
+            .hint("rebalance", RANGE)
             .sortWithinPartitions(RANGE, *self.sort_by)
-            .write.mode("overwrite")
-            .partitionBy(RANGE)
-            .parquet(out)
         )
-        written = [int(n.split("=", 1)[1]) for n in fs.list_names(self.spark, out) if n.startswith(f"{RANGE}=")]
-        return out, written
-
-    def _append_log(self, rows: list[tuple[int, int, str | None, str | None]]) -> None:
-        """One JSON-lines file per version, renamed into place when complete."""
-        if rows:
-            text = "".join(json.dumps({"version": v, "range": r, "path": p, "tag": t}) + "\n" for v, r, p, t in rows)
-            fs.write_text_atomic(self.spark, f"{self._log}/v={rows[0][0]:06d}.json", text)
-            self._log_rows().extend(rows)
-
-    def publish(self, df: DataFrame, tag: str | None = None) -> int:
-        """Replace the whole content (full load / refresh)."""
-        current = self.current_version()
-        if tag is not None and self.has_tag(tag):
-            return current
-        target = current + 1
-        out, written = self._write(df, target)
-        rows = [(target, r, f"{out}/{RANGE}={r}", tag) for r in written]
-        rows += [(target, r, None, tag) for r, p in self.ranges().items() if p and r not in written]
-        # An empty table still gets its version recorded (range NULL: no data).
-        self._append_log(rows or [(target, None, None, tag)])
-        return target
-
-    def vacuum(self, retain: int = 2) -> list[str]:
-        """Delete range folders that none of the last ``retain`` versions reads.
-
-        Only data folders are removed; the log stays, so every retained
-        version remains readable (older ones no longer are).
-        """
-        versions = sorted({row[0] for row in self._log_rows()})
-        if len(versions) <= retain:
-            return []
-        keep = set()
-        for v in versions[-retain:]:
-            keep.update(p for p in self.ranges(v).values() if p)
-        removed = []
-        for v_dir in fs.list_names(self.spark, f"{self.root}/data"):
-            base = f"{self.root}/data/{v_dir}"
-            for r_dir in fs.list_names(self.spark, base):
-                path = f"{base}/{r_dir}"
-                if r_dir.startswith(f"{RANGE}=") and path not in keep:
-                    fs.delete(self.spark, path)
-                    removed.append(path)
-        self._compact_log(versions[-retain])
-        return removed
-
-    def _compact_log(self, oldest_kept: int) -> None:
-        """Fold the log up to ``oldest_kept`` into one base file, then drop the old files.
-
-        Keeps the log a handful of files however many hourly versions ran.  The
-        base is written (atomically) before anything is deleted, so a crash in
-        between leaves duplicate but consistent entries.  Tags of folded
-        versions are dropped: batches that old are past the replay window.
-        """
-        state = self.ranges(oldest_kept)
-        rows = [(oldest_kept, r, p, None) for r, p in sorted(state.items())] or [(oldest_kept, None, None, None)]
-        text = "".join(json.dumps({"version": v, "range": r, "path": p, "tag": t}) + "\n" for v, r, p, t in rows)
-        fs.write_text_atomic(self.spark, f"{self._log}/base-v={oldest_kept:06d}.json", text)
-        for name in fs.list_names(self.spark, self._log):
-            if not name.endswith(".json") or name == f"base-v={oldest_kept:06d}.json":
-                continue
-            version = int(name.split("v=", 1)[1].split(".", 1)[0])
-            if version <= oldest_kept:
-                fs.delete(self.spark, f"{self._log}/{name}")
-        self.refresh()
-
-    def touched_ranges(self, source: DataFrame, source_key: str) -> list[int]:
-        """Distinct ranges of the source keys (at most one value per range)."""
+        (watch(ready) if watch else ready).write.partitionBy(RANGE).parquet(out)
+        names = [n for n in fs.list_names(self.spark, out) if n.startswith(f"{RANGE}=")]
+        return {int(n.split("=", 1)[1]): f"{out}/{n}" for n in names}
+
+    def _list(self, parts: dict[int, str], tag: str | None, width: int | None) -> int:
+        return self._point({str(r): p for r, p in sorted(parts.items())}, tag, width=width)
+
+    def publish(self, df: DataFrame, tag: str | None = None, watch=None) -> int:
+        """Replace the whole content (full load / refresh); ``watch`` as for snapshots."""
+        if self.applied(tag):
+            return self.current_version()
+        width = self._decide(df)
+        if not width:  # no rows, so no width yet
+            if watch:
+                watch(df).foreach(lambda row: None)
+            return self._list({}, tag, None)
+        return self._list(self._write(df, width, watch), tag, width)
+
+    def touched_ranges(self, source: DataFrame, source_key: str) -> list[int] | None:
+        """Distinct ranges of the source keys (at most one value per range); None before there are ranges."""
+        if not self.width:
+            return None
         return sorted(int(r[0]) for r in source.select(key_range(source_key, self.width)).distinct().collect())
 
     def merge(
@@ -203,51 +117,52 @@ class KeyRangeTable:
         broadcast_bytes: int | None = None,
         source_bound: Size | None = None,
         tag: str | None = None,
-        touched: list[int] | None = None,
     ) -> int:
         """MERGE ``source`` into the table, rewriting only the touched ranges.
 
         Inserted rows must carry the source key as their target key (true of
         every upsert, CDC and fact merge here), so they land in touched ranges.
-        ``touched`` may be given when the caller knows the source key ranges
-        (e.g. from the staged rows the source is derived from).
+        ``source`` is read more than once: hand in a staged frame.
         """
-        current = self.current_version()
-        if tag is not None and self.has_tag(tag):
-            return current
-        target = current + 1
+        if self.applied(tag):
+            return self.current_version()
         if spec.target_key != self.key:
             raise ValueError(f"table is ranged on {self.key}, merge matches on {spec.target_key}")
-        if touched is None:
-            touched = self.touched_ranges(source, spec.source_key)
+        touched = self.touched_ranges(source, spec.source_key)
+        if touched is None:  # nothing published yet: the merge makes the first content
+            merged = M.merge(self.read(), source, spec, strategy, broadcast_bytes, source_bound)
+            return self.publish(merged, tag)
         if not touched:
-            return current
-        old = self.read_ranges(touched)
-        merged = M.merge(old, source, spec, strategy, broadcast_bytes, source_bound)
-        out, written = self._write(merged, target)
+            return self.current_version()
+        merged = M.merge(self.read_ranges(touched), source, spec, strategy, broadcast_bytes, source_bound)
+        written = self._write(merged, self.width)
         stray = sorted(set(written) - set(touched))
         if stray:
             raise ValueError(f"merge wrote rows outside the touched key ranges: {stray[:10]}")
-        self._append_log([(target, r, f"{out}/{RANGE}={r}" if r in written else None, tag) for r in touched])
-        return target
+        kept = {r: p for r, p in self.ranges().items() if r not in touched}
+        return self._list({**kept, **written}, tag, self.width)
 
 
 class RangedWarehouse:
-    """The warehouse tables as key-range tables (the calendar as a snapshot)."""
+    """The warehouse tables as key-range tables (the calendar as a snapshot).
+
+    ``width`` (keys per range) is for tests and special cases; without it each table measures its own.
+    """
 
     KEYS = {"dim_authors": "author_id", "dim_articles": "article_id", "fact_reports_articles": "article_id"}
     # The fact is clustered by date inside each key range (date-range reports prune row groups).
     SORT = {"fact_reports_articles": ["published_date_at", "article_id"]}
 
-    def __init__(self, spark: SparkSession, root: str, width: int = 100_000_000):
+    def __init__(self, spark: SparkSession, root: str, width: int | None = None, range_bytes: int = RANGE_BYTES):
         from contentmart import schemas
-        from contentmart.sources.publish import SnapshotTable, record_layout
 
         self.spark = spark
         self.root = root
         width = record_layout(spark, root, {"layout": "ranged", "width": width}).get("width", width)
         self.tables = {
-            name: KeyRangeTable(spark, os.path.join(root, name), schemas.WAREHOUSE[name], key, width, self.SORT.get(name))
+            name: KeyRangeTable(
+                spark, os.path.join(root, name), schemas.WAREHOUSE[name], key, width, self.SORT.get(name), range_bytes
+            )
             for name, key in self.KEYS.items()
         }
         self.tables["dim_date"] = SnapshotTable(spark, os.path.join(root, "dim_date"), schemas.DIM_DATE)
@@ -255,16 +170,16 @@ class RangedWarehouse:
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def publish(self, name: str, df: DataFrame, tag: str | None = None) -> int:
-        return self.tables[name].publish(df, tag)
+    def publish(self, name: str, df: DataFrame, tag: str | None = None, **kw) -> int:
+        return self.tables[name].publish(df, tag, **kw)
 
     def merge(self, name: str, source: DataFrame, spec: M.MergeSpec, **kw) -> int:
         return self.tables[name].merge(source, spec, **kw)
 
-    def vacuum(self, retain: int = 2) -> list[str]:
-        return [p for t in self.tables.values() for p in t.vacuum(retain)]
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+        return [p for t in self.tables.values() for p in t.vacuum(grace_seconds)]
 
     def refresh(self) -> None:
-        """Re-read every table's log (picks up versions other processes wrote)."""
+        """Re-read every table's pointer (picks up what other processes published)."""
         for t in self.tables.values():
             t.refresh()

@@ -6,6 +6,10 @@ streaming checkpoint records which files each batch took, and every batch
 records its batch id in each table's version log, so a batch replayed after
 a failure neither loses nor doubles work (and MERGE of the same batch is
 idempotent anyway).
+
+Authors travel with every delta, as in the batch load: given ``authors``, each
+batch first upserts the author dimension from it, so an article by a new
+author gets that author.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from contentmart import schemas
 from contentmart.operators.casts import typed_ids
 from contentmart.sources import delimited
+from contentmart.sources.extract import extract_full
 
 
 def landing_stream(
@@ -31,6 +36,8 @@ def landing_stream(
         .option("quote", delimited.QUOTE)
         .option("escape", delimited.QUOTE)
         .option("multiLine", "true")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("mode", "FAILFAST")
     )
     if max_files_per_trigger:
@@ -40,7 +47,7 @@ def landing_stream(
     return reader.csv(landing)
 
 
-def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str, table: str = "articles"):
+def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str, table: str = "articles", authors=None):
     from contentmart.plans.jobs import apply_delta
     from contentmart.sources.staging import STAGED_IDS
 
@@ -49,7 +56,9 @@ def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_t
         tag = f"{stream_tag}#{batch_id}"
         # Each table logs the batch it applied: a replayed batch republishes nothing.
         if table == "articles":
-            apply_delta(batch.sparkSession, warehouse, None, staged, strategy, broadcast_bytes, tag=tag)
+            spark = batch.sparkSession
+            whole = None if authors is None else extract_full(spark, authors, "authors")
+            apply_delta(spark, warehouse, whole, staged, strategy, broadcast_bytes, tag=tag)
         else:
             no_articles = batch.sparkSession.createDataFrame([], schemas.SOURCE_ARTICLES)
             apply_delta(batch.sparkSession, warehouse, staged, no_articles, strategy, broadcast_bytes, tag=tag)
@@ -69,6 +78,7 @@ def run_incremental_stream(
     processing_time: str | None = None,
     clean_source: str | None = None,
     table: str = "articles",
+    authors=None,
 ):
     """Start (and with ``available_now`` drain) the landing -> warehouse stream.
 
@@ -76,11 +86,12 @@ def run_incremental_stream(
     ``RangedWarehouse`` (each batch rewrites only the key ranges it touches).
     ``clean_source="delete"`` removes landed files once processed (Spark does
     this one batch late: a drained ``availableNow`` run leaves its last files).
+    ``authors`` is a source of the author table (as for the batch load).
     ``table="authors"`` runs the same loop for author files (dimension only).
     """
     writer = (
         landing_stream(spark, landing, max_files_per_trigger, clean_source, table)
-        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}", table))
+        .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}", table, authors))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 hour")

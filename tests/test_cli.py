@@ -32,7 +32,7 @@ def test_cli_vacuum(spark):
     main(["init", "--warehouse", wh, "--layout", "snapshot"])
     for _ in range(3):
         main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])
-    assert main(["vacuum", "--warehouse", wh, "--retain", "1"])["removed"] > 0
+    assert main(["vacuum", "--warehouse", wh, "--grace-hours", "0"])["removed"] > 0
     assert main(["full-load", "--warehouse", wh, "--files", f"{root}/source"])["rows"][jobs.FACT] == 20
 
 

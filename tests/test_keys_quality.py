@@ -94,8 +94,6 @@ def test_checks(spark):
     assert [r["id"] for r in orphans.collect()] == [11]
     nulls = quality.check_not_null(articles, ["author_id"], key="id")
     assert [tuple(r) for r in nulls.collect()] == [(12, "author_id")]
-    with pytest.raises(quality.ConstraintViolation):
-        quality.enforce(authors, {"pk": quality.check_unique(authors, "id")})
     good, bad = quality.split_valid(authors, not_null=["name"], limits={"name": 255})
     assert good.count() == 2 and bad.count() == 1
 

@@ -33,6 +33,16 @@ def test_delimited_round_trip_keeps_awkward_text(spark):
     assert back == want
 
 
+def test_text_comes_back_as_it_was(spark):
+    texts = [" lead", "trail ", "\ttab\t", "a\nb", "a\\nb", "\\", "\\\\n\n\\", "q\"|\"", "\r\n", "n\\r\r", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for escape in (True, False):
+        path = scratch_path(spark, "delimtext")
+        delimited.write_delimited(df, path, escape_lines=escape)
+        back = {r.id: r.text for r in delimited.read_delimited(spark, path, df.schema, escape_lines=escape).collect()}
+        assert [back[i] for i in range(len(texts))] == texts
+
+
 def test_delimited_accepts_plain_seconds_and_fails_fast_on_bad_rows(spark):
     path = scratch_path(spark, "delimtxt")
     os.makedirs(path)

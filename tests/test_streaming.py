@@ -61,6 +61,27 @@ def test_replayed_batch_publishes_nothing(spark):
     assert sorted(wh.read(FACT).collect()) == sorted(jobs.full_load(spark, src).tables[FACT].collect())
 
 
+def test_new_author_reaches_stream_and_feed(spark):
+    """An article by an author the warehouse does not know: batch, stream and change feed agree."""
+    root = scratch_path(spark, "newauthor")
+    src = seed.source(spark)
+    old = {"authors": src["authors"].filter("id != 10"), "articles": src["articles"]}
+    new = src["articles"].filter("id = 1").withColumn("author_id", F.lit(10).cast("long"))
+    want = sorted(jobs.incremental_load(spark, {"authors": src["authors"], "articles": new}, jobs.full_load(spark, old).tables,
+                                        since="2000-01-01 00:00:00").tables[FACT].collect())
+    assert any(r["author_id"] == 10 for r in want)
+    wh = Warehouse(spark, f"{root}/stream")
+    jobs.full_load(spark, old, warehouse=wh)
+    land(spark, f"{root}/landing", new, "b1")
+    run_incremental_stream(spark, f"{root}/landing", wh, f"{root}/ckpt", authors=src)
+    assert sorted(wh.read(FACT).collect()) == want
+    feed = new.withColumn("seq", F.lit(1)).withColumn("op", F.lit("U"))
+    for kw in ({"authors": src["authors"]}, {"author_changes": src["authors"].withColumn("seq", F.lit(1)).withColumn("op", F.lit("U"))}):
+        wh = RangedWarehouse(spark, scratch_path(spark, "feed"), width=8)
+        jobs.full_load(spark, old, warehouse=wh)
+        assert sorted(jobs.apply_article_changes(spark, feed, wh, **kw)[FACT].collect()) == want
+
+
 def test_stream_equals_batch(spark):
     root = scratch_path(spark, "streameq")
     src = seed.source(spark)

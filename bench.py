@@ -24,6 +24,8 @@ HEADLINE = [
     "fact_delta_source",
     "merge_fact_shuffle",
     "merge_fact_broadcast",
+    "merge_fact_small_delta",
+    "merge_fact_small_delta_shuffle",
     "merge_dim_articles",
     "merge_dim_authors",
     "cdc_apply",

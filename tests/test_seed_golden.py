@@ -138,8 +138,8 @@ def test_backfill_is_restartable(spark):
     dim = src["authors"].withColumnRenamed("id", "author_id")
     sink = scratch_path(spark, "backfill")
     first = sorted(jobs.backfill_fact(spark, src["articles"], dim, months=1, sink=sink).collect())
-    files = {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/chunk=*/*.parquet")}
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/data/*/__chunk=*/*.parquet")}
     assert files and len(first) == 20
     again = sorted(jobs.backfill_fact(spark, src["articles"], dim, months=1, sink=sink).collect())
     assert again == first
-    assert {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/chunk=*/*.parquet")} == files  # nothing rewritten
+    assert {f: os.path.getmtime(f) for f in glob.glob(f"{sink}/data/*/__chunk=*/*.parquet")} == files  # nothing rewritten

@@ -6,17 +6,16 @@ the files.  The rows are written as sorted runs (one file each, with min/max sta
 dimension for pruning), and the runs are cut at exact row ranks into shards whose counts differ by
 one at most.
 
-Scale: one shuffle carries the texts, by range; ties on a cell (a source may hold a third of all
-rows) are ordered by id and a hash of the row, so no cell is bound to one task.  Ranks come from the
-row counts of the runs and the place inside a run, never from a global window.
+Scale: one shuffle carries the texts, to runs of about equal bytes.  The runs are laid out from the
+bytes of the curve's cells, of which there are at most CELLS; a cell heavier than a run (a source may
+hold a third of all rows) is dealt over several.  Ranks come from the row counts of the runs and the
+place inside a run, never from a global window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +23,11 @@ from contentmart.llm.common import materialise, pick
 
 #: Bits of a dimension: 2 ** BITS cells along it, cut at quantiles.
 BITS = 4
-#: Rows aimed at for one run.
-ROWS_PER_RUN = 8192
+#: Bytes of text aimed at for one run, and runs at most: beyond them runs grow with the corpus.
+RUN_BYTES = 32 << 20
+MAX_RUNS = 100_000
+#: Cells that runs are laid out by, at most: the leading bits of the curve index.
+CELLS = 1 << 16
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -78,15 +80,29 @@ def quantised(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
     return df.withColumn("cells", F.array(*[c.cast("int") for c in cells]))
 
 
-def _curve(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cells = b.column(b.schema.get_field_index("cells"))
-            grid = cells.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1)
-            spot = hilbert_index(grid, bits) if len(cells) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(spot)], names=[*b.schema.names, "curve"])
+def curve(cells: Column, bits: int) -> Column:
+    """``hilbert_index`` of an array of cell numbers, a batch of rows at a time."""
+
+    @F.pandas_udf("long")
+    def along(c: pd.Series) -> pd.Series:
+        return pd.Series(hilbert_index(np.stack(c.to_numpy()), bits)) if len(c) else pd.Series([], dtype="int64")
+
+    return along(cells)
 
-    return run
+
+def lay_out(cells: list[tuple[int, int]], run_bytes: int) -> tuple[list[tuple[int, int, int]], int]:
+    """(cell, first run, runs) for (cell, bytes) in curve order, and the number of runs.
+
+    Light cells share a run up to ``run_bytes``; a heavier one gets as many runs of its own as it fills.
+    """
+    out, run, filled = [], 0, 0
+    for cell, size in sorted(cells):
+        if filled and filled + size > run_bytes:
+            run, filled = run + 1, 0
+        own = max(1, -(-size // run_bytes))
+        out.append((cell, run, own))
+        run, filled = (run + own, 0) if own > 1 else (run, filled + size)
+    return out, max(1, run + (filled > 0))
 
 
 def shard(
@@ -96,7 +112,7 @@ def shard(
     text_col: str = "text",
     shards: int = 8,
     bits: int = BITS,
-    rows_per_run: int = ROWS_PER_RUN,
+    run_bytes: int = RUN_BYTES,
 ) -> tuple[DataFrame, str]:
     """Write all rows as Hilbert-ordered runs; (rows with shard, slot and run, folder of the runs).
 
@@ -106,7 +122,7 @@ def shard(
     floor(r * shards / rows) = s, slot counts from 0 in it, so counts differ by one at most.
 
     A null dimension falls in the first cell; a null text has size 1; a null id orders first.  Ties on
-    the curve are ordered by id, then a hash of the text, then as read: repeated rows are separate
+    the curve are ordered by id inside a run, then by a hash of the text; repeated rows are separate
     rows.  An empty table gives an empty result and one empty run.  Extra columns are not written; their
     names may clash with anything.
     """
@@ -121,15 +137,20 @@ def shard(
     base = base.withColumn("doc_id", F.col("doc_id").cast("long"))
     names = [c for c in base.columns if c.startswith("dim_")] + (["size", "doc_id"] if dims is None else [])
     base = quantised(base, names, bits)
-    n = base.count()
-    runs = max(1, min(-(-n // rows_per_run), 100_000))
-    fields = [f.simpleString().replace(":", " ", 1) for f in base.schema.fields]
-    placed = base.mapInArrow(_curve(bits), ", ".join(fields) + ", curve long")
-    tie = F.xxhash64("text")
+    base = base.withColumn("curve", curve(F.col("cells"), bits)).withColumn("tie", F.xxhash64("text"))
+    spare = max(0, bits * len(names) - CELLS.bit_length() + 1)
+    cell = F.shiftrightunsigned("curve", spare)
+    weights = [(r[0], r[1]) for r in base.groupBy(cell.alias("cell")).agg(F.sum("size")).collect()]  # CELLS at most
+    total = sum(w for _, w in weights)
+    layout, runs = lay_out(weights, max(run_bytes, -(-total // MAX_RUNS)))
+    table = docs.sparkSession.createDataFrame(layout, "cell long, first int, own int")
+    placed = base.withColumn("cell", cell).join(F.broadcast(table), "cell")
+    deal = F.pmod(F.xxhash64("doc_id", "tie", F.monotonically_increasing_id()), F.col("own"))
     placed = (
-        placed.withColumn("tie", tie)
-        .repartitionByRange(runs, "curve", "doc_id", "tie")
-        .sortWithinPartitions("curve", "doc_id", "tie")
+        placed.withColumn("to", (F.col("first") + deal).cast("int"))
+        .drop("cell", "first", "own")
+        .repartitionById(runs, "to")
+        .sortWithinPartitions("to", "curve", "doc_id", "tie")
         .withColumn("place", F.monotonically_increasing_id())
     )
     written, path = materialise(placed, "hilbert-runs")
@@ -152,7 +173,7 @@ def cut(written: DataFrame, shards: int) -> DataFrame:
     return (
         ranked.withColumn("shard", exact.cast("int"))
         .withColumn("slot", (F.col("rank") - first).cast("long"))
-        .drop("before", "total", "place", "tie")
+        .drop("before", "total", "place", "tie", "to")
     )
 
 

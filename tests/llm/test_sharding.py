@@ -26,11 +26,11 @@ def check(got, n, shards):
     assert max(sizes) - min(sizes) <= 1
 
 
-@pytest.mark.parametrize("shards,per_run", [(8, 8192), (8, 50), (3, 7), (1, 100)])
-def test_counts_slots_and_digests(spark, shards, per_run):
+@pytest.mark.parametrize("shards,run_bytes", [(8, 1 << 25), (8, 100_000), (3, 20_000), (1, 200_000)])
+def test_counts_slots_and_digests(spark, shards, run_bytes):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r.doc_id: r.text for r in df.collect()}
-    rows, path = H.shard(df, shards=shards, rows_per_run=per_run)
+    rows, path = H.shard(df, shards=shards, run_bytes=run_bytes)
     got = rows.collect()
     check(got, len(texts), shards)
     assert all(r.size == len(r.text.encode()) + 1 and r.text == texts[r.doc_id] for r in got)
@@ -45,7 +45,7 @@ def test_counts_slots_and_digests(spark, shards, per_run):
 
 def test_files_can_be_pruned_by_several_dimensions(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    rows, _ = H.shard(df, rows_per_run=200)
+    rows, _ = H.shard(df, run_bytes=500_000)
     spans = H.manifest(rows).collect()
     assert len({s.run for s in spans}) >= 20
     for dim, value in (("dim_lang", "de"), ("size", 20_000), ("doc_id", 9_990)):
@@ -53,8 +53,21 @@ def test_files_can_be_pruned_by_several_dimensions(spark):
         assert touched < 0.7 * len(spans), (dim, touched, len(spans))
 
 
+def test_layout_splits_heavy_cells_and_packs_light_ones():
+    layout, runs = H.lay_out([(5, 30), (1, 40), (2, 50), (3, 350), (4, 20)], 100)
+    assert layout == [(1, 0, 1), (2, 0, 1), (3, 1, 4), (4, 5, 1), (5, 5, 1)] and runs == 6
+    assert H.lay_out([], 100) == ([], 1)
+
+
+def test_runs_are_of_about_equal_bytes(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows, _ = H.shard(df, run_bytes=1_000_000)
+    sizes = [r[1] for r in rows.groupBy("run").agg({"size": "sum"}).collect()]
+    assert max(sizes) < 1_300_000 and sum(sizes) / len(sizes) > 400_000
+
+
 def test_hard_cases(spark):
-    rows, _ = H.shard(clashing(edge_docs(spark)), rows_per_run=3)
+    rows, _ = H.shard(clashing(edge_docs(spark)), run_bytes=2000)
     got = rows.collect()
     check(got, len(edge_rows()), 8)
     want = sorted((repr(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in edge_rows())
@@ -62,5 +75,5 @@ def test_hard_cases(spark):
     empty, _ = H.shard(edge_docs(spark).limit(0))
     assert empty.collect() == []
     same = spark.createDataFrame([(1, "x", "s")] * 50, "doc_id long, text string, source string")
-    rows, _ = H.shard(same, rows_per_run=4)
+    rows, _ = H.shard(same, run_bytes=10)
     check(rows.collect(), 50, 8)

@@ -26,6 +26,8 @@ BUCKETS = 1 << 14
 #: Languages in a model at most: those with the most training documents.
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
+#: Log-odds below which a text is in no learned language: some ten million to one.
+REJECT_BELOW = -16.0
 _SMOOTH = 0.5
 _EM_ROUNDS = 12
 _WORKER: dict = {}
@@ -106,7 +108,7 @@ def _em(p: np.ndarray, k: np.ndarray, rounds: int = _EM_ROUNDS) -> tuple[np.ndar
 
 
 def infer(buckets: np.ndarray, logp: np.ndarray) -> tuple[dict[int, float], float]:
-    """(proportions of the chosen languages, nats a trigram gained over an even spread)."""
+    """(proportions of the chosen languages, nats by which they explain the text better than an even spread)."""
     n = len(buckets)
     counts = np.bincount(buckets, minlength=BUCKETS)
     grams = np.flatnonzero(counts)
@@ -129,7 +131,7 @@ def infer(buckets: np.ndarray, logp: np.ndarray) -> tuple[dict[int, float], floa
         if (ll[top] - reached) / 3 <= 0.5 * np.log(n):
             break
         chosen, theta, reached = [*chosen, rest[top]], thetas[top], ll[top]
-    return dict(zip(chosen, theta.tolist(), strict=True)), float(reached / n + np.log(BUCKETS))
+    return dict(zip(chosen, theta.tolist(), strict=True)), float(reached + n * np.log(BUCKETS))
 
 
 def _predict(model, text_col: str, keep_text: bool):
@@ -182,8 +184,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Learns from the text and label of documents that are not held out and whose label is not null;
     predicts from the text alone.  lang_pred is the language with the largest share, score that share;
-    mixture holds all shares.  fit is the gain in nats a trigram over an even spread of trigrams: not
-    above zero, the text is like no learned language.
+    mixture holds all shares.  fit is the log-odds, in nats, of the best mixture against an even spread of
+    trigrams: far below zero, the text is like no learned language.
 
     A null text, or one without letters, is ``und`` with score and fit 0, as is everything if no
     labelled document exists.  Equal shares fall to the language first in order.  Rows that repeat an
@@ -200,13 +202,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def filter_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is in a learned language.
 
-    Rejected: texts that are null or have no letter, and texts whose trigrams fit the best mixture no
-    better than an even spread.  Other cases as in ``identify``.
+    Rejected: texts that are null or have no letter, and texts whose trigrams speak against every
+    mixture (fit below REJECT_BELOW, so that a short text is not rejected by chance).  Other cases as in
+    ``identify``.
     """
     flat = positional(docs)
     id_at, text_at, lang_at = (f"__c{place(docs, c)}" for c in (id_col, text_col, lang_col))
     sample = flat.filter(~held_out(F.col(id_at))).select(F.col(text_at).alias("text"), F.col(lang_at).alias("lang"))
     langs, logp = train(sample)
     kept = predict(flat, langs, logp, text_at, keep_text=True)
-    kept = kept.filter((F.col("lang_pred") != UNKNOWN) & (F.col("fit") > 0))
+    kept = kept.filter((F.col("lang_pred") != UNKNOWN) & (F.col("fit") >= REJECT_BELOW))
     return kept.select(*[F.col(c) for c in flat.columns]).toDF(*docs.columns)

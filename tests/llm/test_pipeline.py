@@ -20,7 +20,7 @@ def test_stages_on_their_own_input(spark):
             assert out.columns == COLUMNS
         got = [tuple(r) for r in out.select(*COLUMNS).collect()] if nxt else out.collect()
         if name == "language_id":
-            bad = {r.doc_id for r in language_id.identify(docs).collect() if r.lang_pred == "und" or r.fit <= 0}
+            bad = {r.doc_id for r in language_id.identify(docs).collect() if r.lang_pred == "und" or r.fit < language_id.REJECT_BELOW}
             assert sorted(got) == sorted(r for r in data if r[0] not in bad)
         elif name == "line_dedup":
             want = {i: t for i, t, *_ in brute_lines(data)}

@@ -156,8 +156,10 @@ def rule_label() -> Column:
 
 def train(labelled: DataFrame, words: list[tuple[str, int]], fit_findings: int = FIT_FINDINGS):
     """A forest from ``labelled`` findings (candidate, path, before, after, label 0 or 1), or None when
-    they are all of one kind.  Of each kind at most ``fit_findings`` are used, in hash order."""
-    order = F.xxhash64("candidate", "before", "after")
+    they are all of one kind.  Copies count once; of each kind at most ``fit_findings`` are used, in hash
+    order."""
+    labelled = labelled.select("candidate", "path", "before", "after", "label").distinct()
+    order = F.xxhash64("candidate", "path", "before", "after")
     kinds = [labelled.filter(F.col("label") == k).orderBy(order).limit(fit_findings) for k in (0.0, 1.0)]
     sample, _ = materialise(features(kinds[0].unionByName(kinds[1]), words).select("label", *FEATURES), "secret-sample")
     if sample.select("label").distinct().count() < 2:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentmart.session import ensure_checkpoint_dir, scratch_path
+from contentmart.sources import fs
 
 #: ASCII white space of the word rules: space and the controls 9 to 13.
 WHITESPACE = " \t\n\x0b\x0c\r"
@@ -41,11 +43,32 @@ def pick(df: DataFrame, **roles: str) -> DataFrame:
     return flat.select(*[flat[f"__c{place(df, src)}"].alias(role) for role, src in roles.items()])
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(paths: list[str]):
+    """Notes the tables that are written meanwhile in ``paths``, for ``drop_tables``."""
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing reads any more, and empty the list."""
+    while paths:
+        fs.delete(spark, paths.pop())
+
+
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends at files that
     every executor can see, so a lost executor costs no more than its running tasks."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

@@ -100,26 +100,31 @@ def encode(texts: list[str], path: str) -> Iterator[bytes]:
     order, and each distinct lowered word is encoded once by the tokenizer itself.  A text that could
     hold a special token's string is encoded as it is.
     """
-    tokenizer, cache = _encoder(path)
+    tokenizer, _ = _encoder(path)
     for text in texts:
         if "<|" in text:
             yield _bytes(tokenizer.encode(text, add_special_tokens=False))
             continue
-        words = text.encode().translate(_LOWER).decode().split(" ")
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if len(cache) + 2 * len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list(dict.fromkeys(words))
-        ended = [w for w in new if len(w) > 1 and w[-1] in ".," and "a" <= w[-2] <= "z"]
-        stems = {w[:-1] for w in ended}
-        plain = [w for w in {*new, *stems, ".", ","}.difference(ended) if w not in cache]
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                cache[w] = _bytes(e)
-        for w in ended:
-            cache[w] = cache[w[:-1]] + cache[w[-1]]
-        yield b"".join(map(cache.__getitem__, words))
+        yield encode_words(text.encode().translate(_LOWER).decode().split(" "), path)
+
+
+def encode_words(words: list[str], path: str) -> bytes:
+    """Ids of lowered words one after another."""
+    tokenizer, cache = _encoder(path)
+    new = [w for w in dict.fromkeys(words) if w not in cache]
+    if len(cache) + 2 * len(new) > CACHE_WORDS:
+        cache.clear()
+        new = list(dict.fromkeys(words))
+    ended = [w for w in new if len(w) > 1 and w[-1] in ".," and "a" <= w[-2] <= "z"]
+    stems = {w[:-1] for w in ended}
+    plain = [w for w in {*new, *stems, ".", ","}.difference(ended) if w not in cache]
+    for i in range(0, len(plain), 4096):
+        part = plain[i : i + 4096]
+        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            cache[w] = _bytes(e)
+    for w in ended:
+        cache[w] = cache[w[:-1]] + cache[w[-1]]
+    return b"".join(map(cache.__getitem__, words))
 
 
 def _bytes(encoding) -> bytes:

@@ -8,6 +8,7 @@ from cases import DOCS, clashing, edge_docs, edge_rows, low_words
 
 from contentmart.llm import lm_model as M
 from contentmart.llm import lm_scoring as S
+from contentmart.llm.packing import encode
 from contentmart.llm.registry import tokenizer_path
 
 
@@ -66,6 +67,37 @@ def test_probabilities_of_the_next_id_sum_to_one():
     assert np.allclose(total, 1, atol=1e-4)
 
 
+def test_scoring_gives_what_the_trained_form_gives():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    z = M.forward(model.weights, x)["logits"]
+    z = z - np.log(np.exp(z).sum(axis=2, keepdims=True))
+    seen = np.maximum(y, 0)
+    want = np.take_along_axis(z, model.cls[seen][..., None].astype(int), 2)[..., 0]
+    want = np.where(y >= 0, want + model.inside[seen, model.cls[x[:, M.CONTEXT :]]], 0)
+    assert np.allclose(M.log_probs(model, x, y), want, atol=1e-4)
+    model.weights["direct"][:] += 200  # sums of these overflow
+    assert np.allclose(M.log_probs(model, x, y), want, atol=1e-3)
+
+
+def test_id_counts_are_those_of_the_texts(spark):
+    texts = [t for _, t, *_ in edge_rows() if t]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    size = S.vocabulary_size(tokenizer_path()) + 1
+    got = S.id_counts(S.word_counts(df), tokenizer_path(), size)
+    want = np.zeros(size)
+    for ids in encode([S.lowered(t) for t in texts], tokenizer_path()):
+        np.add.at(want, np.frombuffer(ids, "<u4"), 1)
+    want[size - 1] = len(texts)
+    assert np.array_equal(got, want)
+
+
+def test_a_packed_model_scores_alike():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    assert np.allclose(M.log_probs(model, x, y), M.log_probs(M.loads(M.dumps(model)), x, y), atol=2e-2)
+
+
 def test_attention_does_not_see_ahead():
     model, ids, lengths = small()
     x, y = M.windows(ids, lengths, 39)

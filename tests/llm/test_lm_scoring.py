@@ -138,3 +138,25 @@ def test_empty_table_and_no_training_rows(spark):
     one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     got = S.score(spark.createDataFrame([(one, "a b", "en", "s", 3)], DOCS), tokenizer_path(), steps=2).collect()
     assert got[0].n_known == 0 and got[0].train_tokens == 0 and got[0].held_out
+
+
+def test_conditional_counts_cover_whole_training_texts(spark):
+    """However small the sample of the gradient steps is, both tables are those of all ids of all documents."""
+    texts = [f"{i} " + " ".join(f"w{(i * k) % 31} x{k % 7}" for k in range(3000)) + " tail end" for i in range(6)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    size = S.vocabulary_size(tokenizer_path()) + 1
+    model = M.loads(S.fit(df, S.word_counts(df), tokenizer_path(), sample_ids=100, sample_docs=1, steps=1))
+    follows, leads, counts = np.zeros((size, M.CLASSES)), np.zeros((size, M.CLASSES)), np.zeros(size)
+    for ids in encode([S.lowered(t) for t in texts], tokenizer_path()):
+        ids = np.concatenate([[size - 1], np.frombuffer(ids, "<u4"), [size - 1]]).astype(int)
+        np.add.at(follows, (ids[1:], model.cls[ids[:-1]]), 1)
+        np.add.at(leads, (ids[:-1], model.cls[ids[1:]]), 1)
+        np.add.at(counts, ids[1:], 1)
+    prior = np.bincount(model.cls, weights=counts + 0.5, minlength=M.CLASSES)
+    inside = follows + M.PULL * ((counts + 0.5) / prior[model.cls])[:, None]
+    per_class = np.zeros((M.CLASSES, M.CLASSES))
+    np.add.at(per_class, model.cls, follows)
+    assert np.allclose(model.inside, np.log(inside / (per_class[model.cls] + M.PULL)), atol=2e-2)
+    prior = np.maximum(prior / prior.sum(), 1e-12)
+    direct = np.log((leads + M.PULL * prior) / (leads.sum(axis=1, keepdims=True) + M.PULL))
+    assert np.allclose(model.weights["direct"], direct, atol=2e-2)

@@ -160,3 +160,10 @@ def test_conditional_counts_cover_whole_training_texts(spark):
     prior = np.maximum(prior / prior.sum(), 1e-12)
     direct = np.log((leads + M.PULL * prior) / (leads.sum(axis=1, keepdims=True) + M.PULL))
     assert np.allclose(model.weights["direct"], direct, atol=2e-2)
+
+
+def test_a_packed_model_is_the_same_model():
+    model, ids, lengths = small()
+    assert (M.HIDDEN, M.CLASSES) == (32, 128)
+    x, y = M.windows(ids, lengths, 39)
+    assert np.array_equal(M.log_probs(model, x, y), M.log_probs(M.loads(M.dumps(model)), x, y))

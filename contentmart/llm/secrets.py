@@ -39,7 +39,8 @@ PATH_WORDS = "test|example|sample|doc|fixture|mock"
 
 
 def findings(docs: DataFrame, id_col="doc_id", text_col="text", path_col: str | None = "source") -> DataFrame:
-    """One row per candidate: rid, doc_id, path, start, candidate, before, after (what stands around it)."""
+    """One row per candidate: rid, doc_id, path, start, candidate, before, after (the NEAR
+    characters of the text on either side of it)."""
     roles = {"doc_id": id_col, "text": text_col} | ({"path": path_col} if path_col else {})
     rows = pick(docs, **roles).withColumn("rid", F.monotonically_increasing_id())
     if not path_col:
@@ -52,21 +53,25 @@ def findings(docs: DataFrame, id_col="doc_id", text_col="text", path_col: str |
         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
         F.split("text", CANDIDATE, -1).alias("gaps"),
     )
-    # Only the edges of what lies between two candidates are carried on, with its length.
-    between = F.transform(
-        "gaps", lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(NEAR)).alias("tail"), F.left(g, F.lit(NEAR)).alias("head"))
-    )
-    runs = runs.select("rid", "doc_id", "path", "found", between.alias("gaps"))
-    each = runs.select("rid", "doc_id", "path", F.posexplode("found").alias("k", "candidate"), "gaps").select(
-        "rid",
-        "doc_id",
-        "path",
-        "k",
-        "candidate",
-        F.element_at("gaps", F.col("k") + 1)["n"].alias("gap"),
-        F.element_at("gaps", F.col("k") + 1)["tail"].alias("before"),
-        F.element_at("gaps", F.col("k") + 2)["head"].alias("after"),
-    )
+    # The text as gap, candidate, gap, ... with the edges of each only, of which NEAR on a side are enough.
+    edge = lambda x: F.struct(F.length(x).alias("n"), F.right(x, F.lit(NEAR)).alias("tail"), F.left(x, F.lit(NEAR)).alias("head"))
+    parts = F.flatten(F.zip_with("gaps", F.concat("found", F.array(F.lit(""))), lambda g, c: F.array(edge(g), edge(c))))
+    runs = runs.select("rid", "doc_id", "path", "found", parts.alias("parts"))
+
+    def one(c, k):
+        at = 2 * k + 2  # the place of the candidate in parts, from 1
+        first = F.greatest(F.lit(1), at - 2 * NEAR)
+        before = F.array_join(F.slice(F.col("parts")["tail"], first, at - first), "")
+        after = F.array_join(F.slice(F.col("parts")["head"], at + 1, F.lit(2 * NEAR)), "")
+        return F.struct(
+            k.alias("k"),
+            c.alias("candidate"),
+            F.element_at("parts", at - 1)["n"].alias("gap"),
+            F.right(before, F.lit(NEAR)).alias("before"),
+            F.left(after, F.lit(NEAR)).alias("after"),
+        )
+
+    each = runs.select("rid", "doc_id", "path", F.explode(F.transform("found", one)).alias("c")).select("rid", "doc_id", "path", "c.*")
     each, _ = materialise(each, "secret-findings")
     so_far = Window.partitionBy("rid").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.col("gap") + F.length("candidate")).over(so_far) - F.length("candidate")

@@ -53,3 +53,19 @@ def test_hard_cases(spark):
     want = sorted([(m.start(), m.group()) for m in re.finditer(r"\S+", many)] * 2)
     assert mine == want
     assert S.scan(edge_docs(spark).limit(0)).collect() == []
+
+
+def test_surroundings_are_those_of_the_text(spark):
+    """Key names that are candidates themselves stay in sight, and so does what stands before them."""
+    texts = [
+        "see the password in aws_secret_access_key=wJalrXUtnFEMIK7MDENGbPxRfiCY and on",
+        "GITHUB_ACCESS_TOKEN='a1b2c3d4e5f6a7b8c9d0' DATABASE_PASSWORD=\"0123456789abcdef0123\"",
+        " ".join(f"\U0001f600 k{i:015d}" for i in range(9)),
+    ]
+    got = S.findings(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)).collect()
+    assert len(got) == 2 + 4 + 9
+    for r in got:
+        t, end = texts[r.doc_id], r.start + len(r.candidate)
+        assert (r.before, r.candidate, r.after) == (t[max(0, r.start - 48) : r.start], t[r.start : end], t[end : end + 48])
+    labels = S.findings(spark.createDataFrame([(0, texts[0], "en", "s", 1)], DOCS)).withColumn("label", S.rule_label())
+    assert labels.filter("candidate like 'wJalr%'").first().label == 1.0

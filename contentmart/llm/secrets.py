@@ -1,6 +1,6 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key characters.  Each becomes numbers: length and character shares,
+Candidates are long runs of key characters, and all values that are assigned to a key word.  Each becomes numbers: length and character shares,
 transitions between character kinds and between letters (against the corpus's own words), the share of
 letters that dictionary words cover, the path it was found under, and the words around it.  A random
 forest trained from labelled findings scores every candidate.
@@ -22,9 +22,20 @@ from pyspark.sql import functions as F
 
 from contentmart.llm.common import materialise, pick
 
-#: Key characters in a row, at least.
+KEY_WORDS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private|credential|auth|bearer"
+#: Key characters in a row, at least, where no key word announces them.
 MIN_LENGTH = 16
-CANDIDATE = r"(?<![\p{L}\p{N}_+/-])[A-Za-z0-9_+/-]{%d,}(?![\p{L}\p{N}_+/-])" % MIN_LENGTH
+_KEY = "[A-Za-z0-9_+/-]"
+#: A run that is the ASCII part of one word with an accented or other Latin letter beside it.
+_WORD = r"(?:[A-Z]?[a-z]++|[A-Z]++)"
+_FRAGMENT = rf"(?:(?<=\p{{IsLatin}}){_WORD}(?!{_KEY})|{_WORD}(?=[\p{{IsLatin}}&&[^A-Za-z]]))"
+RUN = rf"(?<!{_KEY})(?!{_FRAGMENT}){_KEY}{{{MIN_LENGTH},}}+"
+#: What is assigned to a key word: up to the closing quote or white space, whatever its length and
+#: characters; a full stop, comma or semicolon at the end of an unquoted value is left out.
+_TO = rf"(?<=(?i:{KEY_WORDS})(?:[_-][A-Za-z0-9_-]{{0,16}})?[\"']?\s{{0,8}}[=:]\s{{0,8}}"
+_HERE = r"(?<=[=:\s\"'])(?<=[=:]\s{0,8}[\"']?)"
+ASSIGNED = rf"""{_HERE}(?:{_TO}\")[^\s\"]+|{_TO}')[^\s']+|{_TO})[^\s\"'](?:\S*[^\s.,;])?)"""
+CANDIDATE = f"(?:{ASSIGNED}|{RUN})"
 #: Dictionary: the most frequent words of three letters or more.
 DICTIONARY_WORDS = 200
 #: Labelled findings of each kind that the forest is fitted on, at most.
@@ -33,7 +44,6 @@ TREES, DEPTH, SEED = 24, 6, 11
 #: Characters of the surroundings that are looked at.
 NEAR = 48
 
-KEY_WORDS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private|credential|auth|bearer"
 PLAIN_WORDS = "example|sample|dummy|placeholder|test|digest|checksum|commit|sha1|sha256|md5|uuid|iban|isbn|version"
 PATH_WORDS = "test|example|sample|doc|fixture|mock"
 
@@ -110,7 +120,7 @@ def features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
     """Adds the numbers of FEATURES to findings (candidate, path, before, after)."""
     c, low = F.col("candidate"), F.lower("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
-    changes = F.regexp_count(kinds, F.lit(r"0(?=[^0])|a(?=[^a])|A(?=[^A])|[_+/-](?=[aA0])"))
+    changes = F.regexp_count(kinds, F.lit(r"0(?=[^0])|a(?=[^a])|A(?=[^A])|[^aA0](?=[aA0])"))
     letters = F.regexp_replace(low, "[^a-z]+", "")
     table = F.array(*[F.lit(float(x)) for x in _transition_table(words)])
     code = lambda s, i: F.ascii(F.substring(s, i, F.lit(1))) - 97
@@ -130,7 +140,7 @@ def features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
         _share(c, "[0-9]").alias("f_digits"),
         _share(c, "[A-Z]").alias("f_upper"),
         _share(c, "[a-z]").alias("f_lower"),
-        _share(c, "[_+/-]").alias("f_signs"),
+        _share(c, "[^A-Za-z0-9]").alias("f_signs"),
         (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("f_distinct"),
         (changes / F.length(c)).alias("f_kinds"),
         F.when(F.length("letters") < 2, 0.0).otherwise(total / (F.length("letters") - 1)).alias("f_surprise"),

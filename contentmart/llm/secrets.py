@@ -2,18 +2,21 @@
 
 Candidates are long runs of key characters, and all values that are assigned to a key word.  Each becomes numbers: length and character shares,
 transitions between character kinds and between letters (against the corpus's own words), the share of
-letters that dictionary words cover, the path it was found under, and the words around it.  A random
+letters that the corpus's words cover, the path it was found under, and the words around it.  A random
 forest trained from labelled findings scores every candidate.
 
 All of it is DataFrame expressions and Spark ML on the JVM: no Python runs on the executors.
 
 Scale: texts are read by two maps (dictionary and candidates); only word counts and findings are
-shuffled.  Spans are running sums over one document's findings.  The forest is fitted on a bounded
+shuffled.  All words count: letter pairs are summed to 676 rows, and what words cover of the candidates is a
+join of the candidates' pieces with the words.  Spans are running sums over one document's findings.  The forest is fitted on a bounded
 sample of labelled findings.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -36,8 +39,9 @@ _TO = rf"(?<=(?i:{KEY_WORDS})(?:[_-][A-Za-z0-9_-]{{0,16}})?[\"']?\s{{0,8}}[=:]\s
 _HERE = r"(?<=[=:\s\"'])(?<=[=:]\s{0,8}[\"']?)"
 ASSIGNED = rf"""{_HERE}(?:{_TO}\")[^\s\"]+|{_TO}')[^\s']+|{_TO})[^\s\"'](?:\S*[^\s.,;])?)"""
 CANDIDATE = f"(?:{ASSIGNED}|{RUN})"
-#: Dictionary: the most frequent words of three letters or more.
-DICTIONARY_WORDS = 200
+#: Letters of a word of the corpus that covers a part of a longer piece, at least and at most; whole pieces
+#: are looked up from three letters on, whatever their length.
+INNER_WORD = (5, 24)
 #: Labelled findings of each kind that the forest is fitted on, at most.
 FIT_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
@@ -88,25 +92,77 @@ def findings(docs: DataFrame, id_col="doc_id", text_col="text", path_col: str |
     return each.withColumn("start", start.cast("long")).drop("gap", "k")
 
 
-def dictionary(docs: DataFrame, text_col="text", size: int = DICTIONARY_WORDS) -> list[tuple[str, int]]:
-    """The corpus's most frequent words of three ASCII letters or more, with their counts."""
-    words = pick(docs, text=text_col).select(F.explode(F.split(F.lower("text"), r"[^a-z\P{ASCII}]+")).alias("w"))
-    words = words.filter(F.col("w").rlike("^[a-z]{3,}$")).groupBy("w").agg(F.count("*").alias("n"))
-    return [(r["w"], r["n"]) for r in words.orderBy(F.desc("n"), "w").limit(size).collect()]
+@dataclass
+class Dictionary:
+    """What the corpus's words say: the surprise of each letter pair, and (candidate, covered letters)."""
+
+    surprise: list[float]
+    covered: DataFrame
+
+
+def word_counts(docs: DataFrame, text_col="text") -> DataFrame:
+    """(w, n): all words of three ASCII letters or more outside the candidates, with their counts."""
+    outside = F.lower(F.regexp_replace("text", CANDIDATE, " "))
+    words = pick(docs, text=text_col).select(F.explode(F.split(outside, r"[^a-z\P{ASCII}]+")).alias("w"))
+    return words.filter(F.col("w").rlike("^[a-z]{3,}$")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def dictionary(words: DataFrame, candidates: DataFrame) -> Dictionary:
+    """The letter pairs of all ``words`` (w, n) and what they cover of each of ``candidates`` (candidate)."""
+    return Dictionary(_transition_table(words), coverage(words, candidates))
+
+
+def coverage(words: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(candidate, covered): letters of a candidate that are in words of the corpus.
+
+    A candidate's pieces are its runs of letters, cut where a capital follows a small letter.  Covered are
+    pieces that are words, and what words of INNER_WORD letters cover of the others.
+    """
+    split = F.split(F.lower(F.regexp_replace("candidate", "(?<=[a-z])(?=[A-Z])", " ")), "[^a-z]+")
+    pieces = candidates.select("candidate").distinct().select("candidate", F.explode(split).alias("piece"))
+    pieces, _ = materialise(pieces.filter(F.length("piece") >= 3), "secret-pieces")
+    low, high = INNER_WORD
+    size = F.length("piece")
+    inner = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), size),
+            lambda i: F.transform(
+                F.filter(F.sequence(F.lit(low), F.lit(high)), lambda k: k <= size - i + 1),
+                lambda k: F.struct(i.alias("at"), k.alias("k"), F.substring("piece", i, k).alias("w")),
+            ),
+        )
+    )
+    whole = F.array(F.struct(F.lit(1).alias("at"), size.alias("k"), F.col("piece").alias("w")))
+    spots = pieces.select("piece").distinct().select("piece", F.explode(F.array_union(whole, inner)).alias("s")).select("piece", "s.*")
+    hits = spots.join(words.select("w"), "w").groupBy("piece").agg(F.sort_array(F.collect_list(F.struct("at", "k"))).alias("hits"))
+    start = F.struct(F.lit(1).alias("end"), F.lit(0).alias("sum"))
+    union = F.aggregate(
+        "hits",
+        start,
+        lambda a, h: F.struct(
+            F.greatest(a["end"], h["at"] + h["k"]).alias("end"),
+            (a["sum"] + F.greatest(F.lit(0), h["at"] + h["k"] - F.greatest(a["end"], h["at"]))).alias("sum"),
+        ),
+    )
+    per_piece = hits.select("piece", union["sum"].alias("covered"))
+    covered = pieces.join(per_piece, "piece").groupBy("candidate").agg(F.sum("covered").alias("covered"))
+    # Written first: the joins with findings then shuffle both sides, and Spark can split a hot candidate.
+    return materialise(covered, "secret-covered")[0]
 
 
 def _share(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern)) / F.length(c)
 
 
-def _transition_table(words: list[tuple[str, int]]) -> list[float]:
-    """Smoothed share of each letter pair (26 x 26) in the dictionary, as its surprise in nats."""
+def _transition_table(words: DataFrame) -> list[float]:
+    """Smoothed share of each letter pair (26 x 26) in all words (w, n), as its surprise in nats."""
     import math
 
+    at = F.sequence(F.lit(1), F.length("w") - 1)
+    pairs = words.select("n", F.explode(F.transform(at, lambda i: F.substring("w", i, F.lit(2)))).alias("pair"))
     n = [[0.5] * 26 for _ in range(26)]
-    for w, k in words:
-        for a, b in zip(w, w[1:]):  # noqa: B905
-            n[ord(a) - 97][ord(b) - 97] += k
+    for pair, k in pairs.groupBy("pair").agg(F.sum("n")).collect():  # 676 rows at most
+        n[ord(pair[0]) - 97][ord(pair[1]) - 97] += k
     return [-math.log(x / sum(row)) for row in n for x in row]
 
 
@@ -116,13 +172,13 @@ FEATURES = [
 ]
 
 
-def features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
+def features(found: DataFrame, words: Dictionary) -> DataFrame:
     """Adds the numbers of FEATURES to findings (candidate, path, before, after)."""
     c, low = F.col("candidate"), F.lower("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
     changes = F.regexp_count(kinds, F.lit(r"0(?=[^0])|a(?=[^a])|A(?=[^A])|[^aA0](?=[aA0])"))
     letters = F.regexp_replace(low, "[^a-z]+", "")
-    table = F.array(*[F.lit(float(x)) for x in _transition_table(words)])
+    table = F.array(*[F.lit(float(x)) for x in words.surprise])
     code = lambda s, i: F.ascii(F.substring(s, i, F.lit(1))) - 97
     pairs = F.sequence(F.lit(1), F.length("letters") - 1)
     total = F.aggregate(
@@ -130,11 +186,9 @@ def features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
         F.lit(0.0),
         lambda a, i: a + F.element_at(table, (code(F.col("letters"), i) * 26 + code(F.col("letters"), i + 1) + 1).cast("int")),
     )
-    alternatives = "|".join(sorted((w for w, _ in words), key=lambda w: (-len(w), w))) or "(?!)"
-    left = F.length(F.regexp_replace("letters", alternatives, ""))
     before, after = F.lower("before"), F.col("after")
     flag = lambda x: F.coalesce(x, F.lit(False)).cast("double")
-    return found.withColumn("letters", letters).select(
+    return found.join(words.covered, "candidate", "left").withColumn("letters", letters).select(
         *[F.col(x) for x in found.columns],
         F.length(c).cast("double").alias("f_length"),
         _share(c, "[0-9]").alias("f_digits"),
@@ -144,7 +198,7 @@ def features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
         (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("f_distinct"),
         (changes / F.length(c)).alias("f_kinds"),
         F.when(F.length("letters") < 2, 0.0).otherwise(total / (F.length("letters") - 1)).alias("f_surprise"),
-        F.when(F.length("letters") == 0, 0.0).otherwise(1 - left / F.length("letters")).alias("f_covered"),
+        F.when(F.length("letters") == 0, 0.0).otherwise(F.coalesce("covered", F.lit(0)) / F.length("letters")).alias("f_covered"),
         F.regexp_count("path", F.lit("/")).cast("double").alias("f_path_depth"),
         flag(F.lower("path").rlike(PATH_WORDS)).alias("f_path_plain"),
         flag(before.rlike(f"({KEY_WORDS})")).alias("f_key_word"),
@@ -169,7 +223,7 @@ def rule_label() -> Column:
     return F.when(known | assigned, 1.0).when(words | numbers | announced, 0.0)
 
 
-def train(labelled: DataFrame, words: list[tuple[str, int]], fit_findings: int = FIT_FINDINGS):
+def train(labelled: DataFrame, words: Dictionary, fit_findings: int = FIT_FINDINGS):
     """A forest from ``labelled`` findings (candidate, path, before, after, label 0 or 1), or None when
     they are all of one kind.  Copies count once; of each kind at most ``fit_findings`` are used, in hash
     order."""
@@ -211,9 +265,10 @@ def scan(
     result; extra columns are ignored, whatever their names.
     """
     found = findings(docs, id_col, text_col, path_col)
-    words = dictionary(docs, text_col)
     if labelled is None:
         labelled = found.withColumn("label", rule_label()).filter("label is not null")
+    counts, _ = materialise(word_counts(docs, text_col), "secret-words")
+    words = dictionary(counts, found.select("candidate").union(labelled.select("candidate")))
     model = train(labelled.select("candidate", "path", "before", "after", "label"), words)
     if model is None:
         only = labelled.select(F.max("label")).first()[0]

@@ -88,3 +88,19 @@ def test_candidates_of_any_form(spark):
         mine = [r for r in got if r.doc_id == i]
         assert {r.candidate for r in mine} == want, t
         assert all(t[r.start : r.start + len(r.candidate)] == r.candidate for r in mine)
+
+
+def test_all_words_of_the_corpus_count(spark):
+    """Words far behind the most frequent ones cover candidates and have a share in the letter pairs."""
+    common = " ".join(f"{a}{b}common" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst")
+    docs = [(i, common, "en", "s", 1) for i in range(3)]
+    docs.append((9, "quartz jumped sphinx once or qzqzq and src/quartz/sphinxJumped/on and xkvw3xkvw7xkvw1xkvw", "en", "s", 1))
+    df = spark.createDataFrame(docs, DOCS)
+    found = S.findings(df)
+    words = S.word_counts(df)
+    assert {r.w for r in words.collect()} >= {"quartz", "sphinx", "jumped", "once", "jacommon"}
+    known = S.dictionary(words, found.select("candidate"))
+    got = {r.candidate: r.f_covered for r in S.features(found, known).collect()}
+    assert got["xkvw3xkvw7xkvw1xkvw"] == 0.0  # a candidate's own pieces are no words
+    assert abs(got["src/quartz/sphinxJumped/on"] - 18 / 23) < 1e-9
+    assert known.surprise[16 * 26 + 25] < known.surprise[16 * 26 + 23]  # q, z stands in one rare word; q, x in none

@@ -7,7 +7,7 @@ raises the penalised likelihood (half the logarithm of the trigrams for each pro
 stands in three trigrams, so the likelihood counts a third).
 
 Scale: counting sends at most BUCKETS rows a language and input batch into one aggregation; the model
-(languages x BUCKETS numbers, MAX_LANGUAGES languages at most) is all that leaves it and is broadcast.
+(languages x BUCKETS numbers, 128 KB for each label there is) is all that leaves it and is broadcast.
 Prediction is a map over the documents, whole texts, without a shuffle.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from contentmart.llm.common import pick, place, positional
 
 BUCKETS = 1 << 14
-#: Languages in a model at most: those with the most training documents.
-MAX_LANGUAGES = 256
+#: Languages that are tried beside the chosen ones at once.
+TRIED = 64
 UNKNOWN = "und"
 #: Log-odds below which a text is in no learned language: some ten million to one.
 REJECT_BELOW = -16.0
@@ -74,24 +74,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(labelled: DataFrame, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities of the buckets) from ``labelled`` (text, lang), nulls left out."""
+def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """(languages, log probabilities of the buckets) from ``labelled`` (text, lang), nulls left out; every
+    label is a language."""
     rows = labelled.select("text", "lang").dropna()
-    most = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(max_languages)
-    langs = sorted(r["lang"] for r in most.collect())
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:
         return [], np.zeros((0, BUCKETS))
-    counts = (
-        rows.filter(F.col("lang").isin(langs))
-        .mapInArrow(_count, "lang string, bucket int, n long")
-        .groupBy("lang", "bucket")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
+    sums = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    listed = sums.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("p")).select("lang", "p.bucket", "p.n")
     table = np.full((len(langs), BUCKETS), _SMOOTH)
     row = {lang: i for i, lang in enumerate(langs)}
-    np.add.at(table, (counts["lang"].map(row).to_numpy(int), counts["bucket"].to_numpy(int)), counts["n"].to_numpy(float))
-    return langs, np.log(table / table.sum(axis=1, keepdims=True))
+    for part in listed.toArrow().to_batches():  # a row for each label
+        for lang, bucket, n in zip(part.column("lang").to_pylist(), part.column("bucket"), part.column("n"), strict=True):
+            table[row[lang], bucket.values.to_numpy()] += n.values.to_numpy()
+    table /= table.sum(axis=1, keepdims=True)
+    return langs, np.log(table, out=table)
 
 
 # --- inference ----------------------------------------------------------------
@@ -125,12 +123,15 @@ def infer(buckets: np.ndarray, logp: np.ndarray) -> tuple[dict[int, float], floa
         rest = [m for m, s in zip(rest, slope, strict=True) if s > n]
         if not rest:
             break
-        sets = np.stack([p[[*chosen, m]] for m in rest])
-        thetas, ll = _em(sets, k)
-        top = int(ll.argmax())
-        if (ll[top] - reached) / 3 <= 0.5 * np.log(n):
+        tried = []
+        for at in range(0, len(rest), TRIED):
+            thetas, ll = _em(np.stack([p[[*chosen, m]] for m in rest[at : at + TRIED]]), k)
+            top = int(ll.argmax())
+            tried.append((ll[top], rest[at + top], thetas[top]))
+        most, new, shares = max(tried, key=lambda x: x[0])
+        if (most - reached) / 3 <= 0.5 * np.log(n):
             break
-        chosen, theta, reached = [*chosen, rest[top]], thetas[top], ll[top]
+        chosen, theta, reached = [*chosen, new], shares, most
     return dict(zip(chosen, theta.tolist(), strict=True)), float(reached + n * np.log(BUCKETS))
 
 
@@ -203,13 +204,12 @@ def filter_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs``, all columns as they are, whose text is in a learned language.
 
     Rejected: texts that are null or have no letter, and texts whose trigrams speak against every
-    mixture (fit below REJECT_BELOW, so that a short text is not rejected by chance).  Other cases as in
-    ``identify``.
+    mixture (fit below REJECT_BELOW, so that a short text is not rejected by chance).  Learns from all
+    labelled rows, none held out.  Other cases as in ``identify``.
     """
     flat = positional(docs)
-    id_at, text_at, lang_at = (f"__c{place(docs, c)}" for c in (id_col, text_col, lang_col))
-    sample = flat.filter(~held_out(F.col(id_at))).select(F.col(text_at).alias("text"), F.col(lang_at).alias("lang"))
-    langs, logp = train(sample)
+    text_at, lang_at = (f"__c{place(docs, c)}" for c in (text_col, lang_col))
+    langs, logp = train(flat.select(F.col(text_at).alias("text"), F.col(lang_at).cast("string").alias("lang")))
     kept = predict(flat, langs, logp, text_at, keep_text=True)
     kept = kept.filter((F.col("lang_pred") != UNKNOWN) & (F.col("fit") >= REJECT_BELOW))
     return kept.select(*[F.col(c) for c in flat.columns]).toDF(*docs.columns)

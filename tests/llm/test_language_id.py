@@ -82,3 +82,28 @@ def test_noise_is_rejected(spark):
     extra = spark.createDataFrame([(10**9, noise, "en", "x", len(noise))], docs.schema)
     kept = {r.doc_id for r in L.filter_languages(docs.unionByName(extra)).select("doc_id").collect()}
     assert 10**9 not in kept and len(kept) == docs.count()
+
+
+def test_every_label_is_learned(spark):
+    """More than 256 labels, the rarest among them; each has words of its own."""
+    rng = np.random.default_rng(4)
+    words = [["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(12)] for _ in range(270)]
+    rows, doc_id = [], 0
+    for lang, own in enumerate(words):
+        for _ in range(1 if lang == 269 else 2):
+            while zlib.crc32(str(doc_id).encode()) % 5 == 0:
+                doc_id += 1
+            rows.append((doc_id, " ".join(own), f"l{lang:03d}"))
+            doc_id += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in L.identify(docs).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_the_filter_learns_from_held_out_labels_too(spark):
+    odd = next(i for i in range(10**6, 10**6 + 100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    text = " ".join("\u0e20\u0e32\u0e29\u0e32 \u0e44\u0e17\u0e22 \u0e14\u0e35\u0e21\u0e32\u0e01".split() * 80)
+    docs = table(spark, "sf0.001")
+    extra = spark.createDataFrame([(odd, text, "th", "x", len(text))], docs.schema)
+    kept = {r.doc_id for r in L.filter_languages(docs.unionByName(extra)).select("doc_id").collect()}
+    assert odd in kept

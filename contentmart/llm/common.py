@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +88,16 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def text_slices(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts have about ``limit`` bytes; a longer text is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes.astype(np.int64)) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import embedding_dedup, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sharding, simhash
+from contentmart.llm import embedding_dedup, exact_dedup, fill_in_middle, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,19 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.transform(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -85,6 +98,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 _TEN = r"""
@@ -97,4 +111,5 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents"),
     "op10_exact_dedup": _TEN,
+    "op11_fill_in_middle": fill_in_middle.SQL.format(docs="documents"),
 }

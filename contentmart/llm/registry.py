@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import embedding_dedup, exact_dedup, fill_in_middle, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sharding, simhash
+from contentmart.llm import embedding_dedup, exact_dedup, fill_in_middle, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sentencepiece_bpe, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,28 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model_path() -> str:
+    """The model file of the encoding contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_digests(_table(spark, sf_dir, "documents"))
+
+
+def sentencepiece_digests(docs: DataFrame) -> DataFrame:
+    encoded = sentencepiece_bpe.encode(docs, piece_model_path())
+    out = sentencepiece_bpe.decode(encoded, piece_model_path())
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -99,6 +121,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sentencepiece": op12_sentencepiece,
 }
 
 _TEN = r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentmart.llm import embedding_dedup, exact_dedup, fill_in_middle, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sentencepiece_bpe, sharding, simhash
+from contentmart.llm import conversation_repair, embedding_dedup, exact_dedup, fill_in_middle, language_id, line_dedup, lm_scoring, mixing, packing, secrets, sentencepiece_bpe, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +109,11 @@ def sentencepiece_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_digests(conversation_repair.damage(turns), ids=turns)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -122,6 +127,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _TEN = r"""

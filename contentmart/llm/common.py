@@ -91,6 +91,11 @@ def ready(spark: SparkSession) -> SparkSession:
 def text_slices(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose texts have about ``limit`` bytes; a longer text is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    return row_runs(batch, sizes, limit)
+
+
+def row_runs(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose ``sizes`` add up to about ``limit``."""
     run = np.cumsum(sizes.astype(np.int64)) // limit
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):

@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentmart.llm.common import pick, text_slices
+from contentmart.llm.common import pick, row_runs, text_slices
 
 SPACE = "▁"  # stands for a space in pieces
 UNKNOWN_TEXT = " ⁇ "
 LONG = 2000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Characters, or ids, that are worked on at once; a longer word or text is worked on alone.
+FLAT = 1 << 16
 #: Entries of a worker's cache of encoded words; it is emptied when full.
 CACHE_WORDS = 200_000
 CACHED_LENGTH = 40
@@ -155,11 +157,13 @@ class Vocabulary:
             starts = np.cumsum(lens) - lens
             sym, pos, rank, piece = (x[stay] for x in (sym, pos, rank, piece))
             at -= np.arange(len(at))
-            first = np.zeros(len(sym), bool)
-            first[starts] = True
-            ends = np.append(first[1:], True)
-            anew = np.unique(np.concatenate([at[~ends[at]], at[~first[at]] - 1]))
-            rank[at[ends[at]]] = _NONE
+            changed = np.zeros(len(sym) + 1, bool)
+            changed[at] = True
+            changed[at - 1] = True  # of the pair before as well; the place before the first is the last
+            last = starts + lens - 1
+            rank[last] = _NONE
+            changed[last] = False
+            anew = np.flatnonzero(changed[:-1])
             rank[anew], piece[anew] = self._pairs(sym[anew], sym[anew + 1])
 
     def merge_long(self, sym: np.ndarray) -> np.ndarray:
@@ -193,6 +197,12 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as little-endian 32-bit bytes; no piece may cross from word to word."""
+        ends = np.cumsum([len(w) for w in words])
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1], FLAT)))
+        bounds = [0, *cuts[cuts > 0].tolist(), len(words)]
+        return [ids for a, b in itertools.pairwise(bounds) if b > a for ids in self._encode_flat(words[a:b])]
+
+    def _encode_flat(self, words: list[str]) -> list[bytes]:
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum([len(w) for w in words])
         kind = self.char_class[codes]
@@ -328,14 +338,18 @@ def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for b in batches:
-            lists = pa.concat_arrays([b.column("ids")])
-            if lists.values.null_count:
-                raise ValueError("a null among the ids")
-            offsets = np.zeros(len(lists) + 1, np.int64)
-            np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), out=offsets[1:])
-            texts = vocab.decode_all(lists.flatten().to_numpy(zero_copy_only=False), offsets)
-            missing = lists.is_null().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string(), mask=missing)], names=[*b.schema.names, "text"])
+            sizes = b.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            for part in row_runs(b, sizes, FLAT):
+                lists = part.column("ids")
+                ids = lists.flatten()
+                if ids.null_count:
+                    raise ValueError("a null among the ids")
+                offsets = np.zeros(len(lists) + 1, np.int64)
+                np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), out=offsets[1:])
+                texts = vocab.decode_all(ids.to_numpy(zero_copy_only=False), offsets)
+                missing = lists.is_null().to_numpy(zero_copy_only=False)
+                text = pa.array(texts, pa.string(), mask=missing)
+                yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, "text"])
 
     return run
 

@@ -152,3 +152,17 @@ def _small_star(e: DataFrame) -> DataFrame:
     low = e.groupBy("src").agg(F.min("dst").alias("m"))
     linked = e.join(low, "src").filter("dst != m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     return linked.unionByName(low.select("src", F.col("m").alias("dst"))).distinct()
+
+
+def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each of n numbers the smallest that the links (u, v) reach."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new

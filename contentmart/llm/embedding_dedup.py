@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentmart.llm.common import components, materialise, pick
+from contentmart.llm.common import components, materialise, pick, roots
 
 #: Distinct vectors that the centroids are fitted on, at most.
 FIT_SAMPLE = 16_384
@@ -105,7 +105,7 @@ def _products(threshold: float):
         count = np.zeros(len(nodes), np.int64)
         np.add.at(count, u, rw[j])
         np.add.at(count, v, lw[i])
-        root = _roots(len(nodes), u, v)
+        root = roots(len(nodes), u, v)
         return pd.DataFrame({"node": nodes, "n": count, "root": nodes[root]})
 
     return run
@@ -131,20 +131,6 @@ def _met_before(cell: int, left: pd.Series, right: pd.Series, i: np.ndarray, j:
     return met
 
 
-def _roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """For each of n numbers the smallest that the links (u, v) reach."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[u], label[v])
-        new = label.copy()
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def near_duplicates(
     vectors: DataFrame,
     id_col: str = "vec_id",

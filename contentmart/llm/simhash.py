@@ -11,10 +11,12 @@ minimum of shared bytes meets in one at least (a covering design, checked when i
 
 Scale: copies collapse to one fingerprint before anything is joined.  A pair is emitted once, from
 the first combination it shares.  Lists longer than ``long_list`` (families of near copies with
-thousands of different fingerprints) are not paired: their members meet at midpoints instead.  Two
-words lie within ``d`` bits of each other exactly when some word lies within d // 2 of one and the
-rest of the other, so linking each midpoint's members to the smallest of them loses no link, adds
-none and needs a number of rows linear in the list.
+thousands of different fingerprints) are not paired.  First their members within ``d`` bits of the one
+nearest the list's middle (the majority of each bit) are linked to it.  What all these links reach is
+contracted, and a list that lies in one component is done.  In the others the members outside the
+largest component are compared with all, in blocks of ``BLOCK``; pairs within a component are not
+looked at, and a pair of blocks gives back links that span the components it joins.  So a family of m
+gives fewer than 2 m links, no link between components is lost, and none is made up.
 """
 
 from __future__ import annotations
@@ -24,15 +26,18 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentmart.llm.common import components, materialise, pick, place, positional, with_row_id
+from contentmart.llm.common import components, materialise, pick, place, positional, roots, with_row_id
 
 SEED = 42
-LONG_LIST = 512
+LONG_LIST = 64
+#: Fingerprints in one block of a long list.
+BLOCK = 2048
 #: Bytes with A to Z lowered; no other UTF-8 byte is touched.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 16
@@ -117,7 +122,7 @@ def _byte(fp: Column, i: int) -> Column:
 
 def _key(fp: Column, combo: tuple[int, ...]) -> Column:
     mask = sum(255 << (8 * i) for i in combo)
-    return fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask))
+    return fp.bitwiseAND(F.lit(_signed(mask)))
 
 
 def _tally(x: Column) -> Column:
@@ -135,8 +140,11 @@ def width_for(n: int, minimum: int) -> int:
     return max(1, min(minimum, 4, math.ceil(math.log2(max(n, 2)) / 8)))
 
 
-def links(prints: DataFrame, max_bits: int, n: int, long_list: int = LONG_LIST) -> DataFrame:
-    """Links (a, b) that connect what lies within ``max_bits``; ``prints`` holds distinct fp."""
+def links(prints: DataFrame, max_bits: int, n: int, long_list: int = LONG_LIST, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect what lies within ``max_bits``; ``prints`` holds distinct fp.
+
+    Where no list is long these are all pairs within ``max_bits``; otherwise links that span them.
+    """
     if not 0 <= max_bits <= 7:
         raise ValueError("the byte index guarantees a shared byte for 0 to 7 differing bits only")
     minimum = 8 - max_bits
@@ -146,6 +154,7 @@ def links(prints: DataFrame, max_bits: int, n: int, long_list: int = LONG_LIST)
         "fp", F.posexplode(F.array(*[_key(fp, c) for c in combos])).alias("combo", "key")
     )
     lists = index.groupBy("combo", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    lists, _ = materialise(lists, "simhash-lists")  # so that a hot list's rows are split in the join
     index, _ = materialise(index.join(lists, ["combo", "key"]), "simhash-index")
     short = index.filter(F.col("n") <= long_list)
     pair = short.select("combo", "key", F.col("fp").alias("a")).join(
@@ -158,33 +167,95 @@ def links(prints: DataFrame, max_bits: int, n: int, long_list: int = LONG_LIST)
         & (F.bit_count(x) <= max_bits)
         & (_first_combo(x, combos) == F.col("combo"))
     ).select("a", "b")
-    return met.unionByName(_midpoints(index.filter(F.col("n") > long_list).select("fp").distinct(), max_bits)).distinct()
-
-
-def _midpoints(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Links among the members of long lists, by the words between them."""
-    near, far = max_bits // 2, max_bits - max_bits // 2
+    long = index.filter(F.col("n") > long_list).select("combo", "key", "fp")
+    if long.isEmpty():
+        return met
+    near = met.unionByName(_stars(long, max_bits))
+    reached = components(near.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    reached, _ = materialise(reached.select(F.col("node").alias("fp"), "component"), "simhash-reached")
+    spanning = reached.filter("fp != component").select(F.col("component").alias("a"), F.col("fp").alias("b"))
+    return spanning.unionByName(_between(long, reached, max_bits, block))
+
+
+def _stars(long: DataFrame, max_bits: int) -> DataFrame:
+    """Links of each list's members to the one nearest the list's middle."""
+    at = ["combo", "key"]
+    fp = F.col("fp")
+    bit = [fp.bitwiseAND(F.lit(_signed(1 << b))) != 0 for b in range(64)]
+    sums = long.groupBy(*at).agg(F.count("*").alias("n"), *[F.count_if(c).alias(f"ones{b}") for b, c in enumerate(bit)])
+    middle = F.lit(0).cast("long")
+    for b in range(64):
+        middle = middle.bitwiseOR(F.when(2 * F.col(f"ones{b}") > F.col("n"), F.lit(_signed(1 << b))).otherwise(F.lit(0)))
+    middles, _ = materialise(sums.select(*at, middle.alias("middle")), "simhash-middles")
+    away = F.bit_count(fp.bitwiseXOR(F.col("middle")))
+    hubs = long.join(middles, at).groupBy(*at).agg(F.min_by("fp", F.struct(away.alias("away"), "fp")).alias("hub"))
+    hubs, _ = materialise(hubs, "simhash-hubs")
+    close = (fp != F.col("hub")) & (F.bit_count(fp.bitwiseXOR(F.col("hub"))) <= max_bits)
+    return long.join(hubs, at).filter(close).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >= 1 << 63 else mask
+
+
+def _between(long: DataFrame, reached: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """Links between components, one fingerprint of each standing for it."""
+    at = ["combo", "key"]
+    label = F.coalesce("component", "fp").alias("component")
+    member, _ = materialise(long.join(reached, "fp", "left").select(*at, "fp", label), "simhash-dense")
+    parts = member.groupBy(*at, "component").agg(F.count("*").alias("n"))
+    split = parts.groupBy(*at).agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts")
+    )
+    n_rest, n_top = F.col("n") - F.col("top.n"), F.col("top.n")
+    split = split.filter("parts > 1").select(
+        *at,
+        F.col("top.component").alias("top"),
+        F.ceil(n_rest / block).alias("rest_blocks"),
+        F.ceil(n_top / block).alias("top_blocks"),
+    )
+    split, _ = materialise(split, "simhash-split")
+    outside = F.col("component") != F.col("top")
+    mine = F.when(outside, F.pmod(F.xxhash64("fp"), F.col("rest_blocks"))).otherwise(
+        F.col("rest_blocks") + F.pmod(F.xxhash64("fp"), F.col("top_blocks"))
+    )
+    others = F.col("rest_blocks") + F.when(outside, F.col("top_blocks")).otherwise(0) - 1
+    dealt = member.join(split, at).select(
+        *at, "fp", "component", mine.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), others)).alias("other")
+    )
+    dealt = dealt.select(
+        *at, "fp", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    made = dealt.groupBy(*at, "low", "high").applyInPandas(_compare(max_bits), "a long, b long")
+    return made.distinct()
+
+
+def _compare(max_bits: int):
+    """Spanning links between the components that meet in one pair of blocks."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = key[2], key[3]
+        left = pdf[pdf["block"] == low]
+        right = left if low == high else pdf[pdf["block"] == high]
+        x, y = left["fp"].to_numpy(np.int64), right["fp"].to_numpy(np.int64)
+        of_x, of_y = left["component"].to_numpy(np.int64), right["component"].to_numpy(np.int64)
+        found = []
+        for s in range(0, len(x), 256):
+            part = slice(s, s + 256)
+            bits = np.bitwise_count((x[part, None] ^ y[None, :]).view(np.uint64))
+            i, j = np.nonzero((bits <= max_bits) & (of_x[part, None] != of_y[None, :]))
+            if len(i):
+                found.append(np.unique(np.stack([of_x[part][i], of_y[j]], axis=1), axis=0))
+        if not found:
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        pairs = np.concatenate(found)
+        names, spot = np.unique(pairs, return_inverse=True)
+        spot = spot.reshape(pairs.shape)
+        root = roots(len(names), spot[:, 0], spot[:, 1])
+        joined = root != np.arange(len(names))
+        return pd.DataFrame({"a": names[root[joined]], "b": names[joined]})
 
-    def ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flips = [np.array([sum(1 << b for b in c) for c in combinations(range(64), r)], np.uint64) for r in range(far + 1)]
-        dist = np.concatenate([np.full(len(f), r, np.int32) for r, f in enumerate(flips)])
-        flips = np.concatenate(flips)
-        for b in batches:
-            for f in b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((flips ^ f).view(np.int64)),
-                        pa.array(np.full(len(flips), f.view(np.int64), np.int64)),
-                        pa.array(dist),
-                    ],
-                    names=["mid", "fp", "dist"],
-                )
-
-    met = prints.mapInArrow(ball, "mid long, fp long, dist int")
-    inner = met.filter(F.col("dist") <= near).groupBy("mid").agg(F.min("fp").alias("hub"), F.count("*").alias("n"))
-    if near == far:
-        inner = inner.filter("n > 1")
-    return met.join(inner, "mid").filter("fp != hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    return run
 
 
 def _grouped(rows: DataFrame, max_bits: int, long_list: int) -> DataFrame:

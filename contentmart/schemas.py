@@ -7,6 +7,7 @@ position, never by type inference.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     IntegerType,
     LongType,
@@ -107,6 +108,19 @@ WAREHOUSE = {
     "fact_reports_articles": FACT_REPORTS_ARTICLES,
 }
 
+# Kept by the load jobs: the newest change applied per key of a feed (deleted keys included), and the
+# counts of every run.
+APPLIED_CHANGES = _schema(("id", LongType(), False), ("seq", LongType(), False), ("deleted", BooleanType(), False))
+APPLIED = {"applied_authors": APPLIED_CHANGES, "applied_articles": APPLIED_CHANGES}
+LOAD_AUDIT = _schema(
+    ("run_id", StringType(), False),
+    ("job", StringType(), False),
+    ("stage", StringType(), False),
+    ("rows", LongType(), False),
+    ("recorded_at", TS, False),
+)
+BOOKS = {**APPLIED, "load_audit": LOAD_AUDIT}
+
 STAGING = {"authors": STAGING_AUTHORS, "articles": STAGING_ARTICLES}
 SOURCE = {"authors": SOURCE_AUTHORS, "articles": SOURCE_ARTICLES}
 
@@ -121,8 +135,10 @@ ARTICLE_COUNT_DEFAULT = 1
 # What the warehouse tables declare of staged rows: columns that are NOT NULL, and text lengths.
 DECLARED = {
     "authors": (("id", "name", "email"), VARCHAR_LIMITS["authors"]),
-    "articles": (("id", "title"), VARCHAR_LIMITS["articles"]),
+    "articles": (("id", "title", "author_id"), VARCHAR_LIMITS["articles"]),
 }
+# Columns that are unique in a table: keys, and what is declared so.
+UNIQUE = {"authors": ("id", "email"), "articles": ("id",)}
 
 
 def column_names(schema: StructType) -> list[str]:

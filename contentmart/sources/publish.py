@@ -1,10 +1,14 @@
-"""Published tables: parquet folders and one pointer.
+"""Published tables: parquet folders and pointers.
 
 A publish writes its rows to a folder of its own, then puts up the next pointer, a small file that
 lists the folders the table now consists of.  The pointer is created only where its number is free:
 of two writers one wins and the other gets ``PublishConflict``, and nothing that a crashed or beaten
 attempt wrote is ever listed.  Readers see the newest pointer; the pointer also carries the last batch
 that each stream applied, so a replayed batch is recognised however old the last vacuum is.
+
+The tables of a warehouse share one pointer (``Catalog``).  A run publishes its tables inside
+``catalog.run()``: the pointer that names all of them is put up once, when the run ends.  A run that
+stops between two tables leaves the warehouse as it was, and no reader sees tables of two runs.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import json
 import os
 import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,27 +41,126 @@ def split_tag(tag: str) -> tuple[str, int]:
     return tag, 0
 
 
+def _newest(spark: SparkSession, folder: str) -> dict | None:
+    names = [n for n in fs.list_names(spark, folder) if n.endswith(".json") and n[:-5].isdigit()]
+    return json.loads(fs.read_text(spark, f"{folder}/{max(names)}")) if names else None
+
+
+def _put_up(spark: SparkSession, folder: str, state: dict) -> None:
+    """Create the pointer of the state's version; ``FileExistsError`` if another writer has."""
+    fs.create_text(spark, f"{folder}/{state['version']:08d}.json", json.dumps(state))
+
+
+def _drop_older(spark: SparkSession, folder: str, version: int, oldest_ms: float) -> None:
+    for name in fs.list_names(spark, folder):
+        path = f"{folder}/{name}"
+        if name != f"{version:08d}.json" and fs.modified_ms(spark, path) <= oldest_ms:
+            fs.delete(spark, path)
+
+
+class Catalog:
+    """The pointer that the tables of one warehouse share."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._state: dict | None = None
+        self._pending: dict[str, dict] | None = None
+
+    @property
+    def _pointers(self) -> str:
+        return f"{self.root}/_pointer"
+
+    def refresh(self) -> dict:
+        """Read the newest pointer; inside a run, what the run began with stays."""
+        if self._pending is None or self._state is None:
+            self._state = _newest(self.spark, self._pointers) or {"version": 0, "tables": {}}
+        return self._state
+
+    def table(self, name: str) -> dict | None:
+        """A table's state, as the run that is under way has left it."""
+        if self._pending and name in self._pending:
+            return self._pending[name]
+        return (self._state or self.refresh())["tables"].get(name)
+
+    def put(self, name: str, state: dict) -> None:
+        """Take over a table's new state: published with the run, or at once outside of one."""
+        if self._pending is not None:
+            self._pending[name] = state
+            return
+        self._state = self._state or self.refresh()
+        self._publish({name: state})
+
+    @contextmanager
+    def run(self):
+        """Publish what is put meanwhile in one step at the end, or nothing if the run fails.
+
+        A run inside another is part of it.
+        """
+        if self._pending is not None:
+            yield self
+            return
+        self.refresh()
+        self._pending = {}
+        try:
+            yield self
+            made, self._pending = self._pending, None
+            if made:
+                self._publish(made)
+        finally:
+            self._pending = None
+
+    def _publish(self, made: dict[str, dict]) -> None:
+        new = {"version": self._state["version"] + 1, "tables": {**self._state["tables"], **made}}
+        try:
+            _put_up(self.spark, self._pointers, new)
+        except FileExistsError:
+            self.refresh()
+            raise PublishConflict(f"{self.root}: version {new['version']} was published by another run") from None
+        self._state = new
+
+    def vacuum(self, grace_seconds: float) -> None:
+        version = self.refresh()["version"]
+        _drop_older(self.spark, self._pointers, version, (time.time() - grace_seconds) * 1000)
+
+
 class PublishedTable:
-    """What the snapshot and the key-range tables share: folders, pointer, applied batches."""
+    """What the snapshot and the key-range tables share: folders, pointer, applied batches.
+
+    With a ``catalog`` the table's state is part of the warehouse's pointer, under ``name``.
+    """
+
+    catalog: Catalog | None = None
+    name = ""
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
 
+    def of(self, catalog: Catalog, name: str):
+        """This table as one of a warehouse."""
+        self.catalog, self.name = catalog, name
+        return self
+
     @property
     def _pointers(self) -> str:
         return f"{self.root}/_pointer"
 
     def refresh(self) -> dict:
         """Read the newest pointer (one small file)."""
-        names = [n for n in fs.list_names(self.spark, self._pointers) if n.endswith(".json") and n[:-5].isdigit()]
-        self._state = {"version": 0, "parts": {}, "applied": {}}
-        if names:
-            self._state = json.loads(fs.read_text(self.spark, f"{self._pointers}/{max(names)}"))
+        if self.catalog is not None:
+            self.catalog.refresh()
+            return self.state()
+        self._state = _newest(self.spark, self._pointers) or self._nothing()
         return self._state
 
+    @staticmethod
+    def _nothing() -> dict:
+        return {"version": 0, "parts": {}, "applied": {}}
+
     def state(self) -> dict:
+        if self.catalog is not None:
+            return self.catalog.table(self.name) or self._nothing()
         return getattr(self, "_state", None) or self.refresh()
 
     def current_version(self) -> int:
@@ -80,8 +184,11 @@ class PublishedTable:
             stream, batch = split_tag(tag)
             applied[stream] = max(batch, applied.get(stream, -1))
         new = {**old, **extra, "version": old["version"] + 1, "parts": parts, "applied": applied}
+        if self.catalog is not None:
+            self.catalog.put(self.name, new)
+            return new["version"]
         try:
-            fs.create_text(self.spark, f"{self._pointers}/{new['version']:08d}.json", json.dumps(new))
+            _put_up(self.spark, self._pointers, new)
         except FileExistsError:
             self.refresh()
             raise PublishConflict(f"{self.root}: version {new['version']} was published by another writer") from None
@@ -127,10 +234,8 @@ class PublishedTable:
                 if "=" in part and path not in listed:
                     fs.delete(self.spark, path)
                     removed.append(path)
-        for name in fs.list_names(self.spark, self._pointers):
-            path = f"{self._pointers}/{name}"
-            if name != f"{self.current_version():08d}.json" and fs.modified_ms(self.spark, path) <= oldest:
-                fs.delete(self.spark, path)
+        if self.catalog is None:
+            _drop_older(self.spark, self._pointers, self.current_version(), oldest)
         return removed
 
 
@@ -159,6 +264,23 @@ class SnapshotTable(PublishedTable):
         return self._point({"all": path}, tag)
 
 
+class AppendTable(PublishedTable):
+    """A table that every publish adds a part to; many small parts become one."""
+
+    PARTS = 64
+
+    def publish(self, df: DataFrame, tag: str | None = None, watch=None) -> int:
+        if self.applied(tag):
+            return self.current_version()
+        parts = dict(self.state()["parts"])
+        out = self._shaped(df)
+        if len(parts) >= self.PARTS:
+            out, parts = self.read().unionByName(out).coalesce(1), {}
+        path = self._folder()
+        (watch(out) if watch else out).write.parquet(path)
+        return self._point({**parts, os.path.basename(path): path}, tag)
+
+
 def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None) -> DataFrame:
     """INSERT INTO t (c1, c2, ...) SELECT ...: bind by the named list, NULL for the rest."""
     if len(columns) != len(df.columns):
@@ -196,36 +318,61 @@ def record_layout(spark: SparkSession, root: str, layout: dict) -> dict:
     return current
 
 
-class Warehouse:
-    """The four warehouse tables as snapshot tables under one root."""
+class BaseWarehouse:
+    """Tables that are published together: one pointer names the folders of all of them.
 
-    # Reports filter the fact by date.
-    SORT = {"fact_reports_articles": ["published_date_at", "article_id"]}
+    ``tables`` are those of the star schema; ``books`` hold what the load jobs keep for themselves (the
+    newest change applied per key, the counts of every run).
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def _open(self, spark: SparkSession, root: str, tables: dict[str, PublishedTable], books: dict[str, PublishedTable]) -> None:
+        self.spark, self.root = spark, root
+        self.catalog = Catalog(spark, root)
+        self.tables = {name: t.of(self.catalog, name) for name, t in tables.items()}
+        self.books = {name: t.of(self.catalog, name) for name, t in books.items()}
+        self.books["load_audit"] = self._table(AppendTable, "load_audit").of(self.catalog, "load_audit")
+
+    def _table(self, kind, name: str, *args) -> PublishedTable:
         from contentmart import schemas
 
-        self.spark = spark
-        self.root = root
-        record_layout(spark, root, {"layout": "snapshot"})
-        self.tables = {
-            name: SnapshotTable(spark, os.path.join(root, name), schema, self.SORT.get(name))
-            for name, schema in schemas.WAREHOUSE.items()
-        }
+        return kind(self.spark, os.path.join(self.root, name), {**schemas.WAREHOUSE, **schemas.BOOKS}[name], *args)
+
+    def of(self, name: str) -> PublishedTable:
+        return self.tables[name] if name in self.tables else self.books[name]
 
     def read(self, name: str) -> DataFrame:
-        return self.tables[name].read()
+        return self.of(name).read()
 
     def publish(self, name: str, df: DataFrame, tag: str | None = None, **kw) -> int:
-        return self.tables[name].publish(df, tag, **kw)
+        return self.of(name).publish(df, tag, **kw)
+
+    def run(self):
+        """What is published inside is seen at once when the run ends, or never."""
+        return self.catalog.run()
 
     def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
-        return [p for t in self.tables.values() for p in t.vacuum(grace_seconds)]
+        removed = [p for t in [*self.tables.values(), *self.books.values()] for p in t.vacuum(grace_seconds)]
+        self.catalog.vacuum(grace_seconds)
+        return removed
 
     def refresh(self) -> None:
-        """Re-read every table's pointer (picks up what other processes published)."""
-        for t in self.tables.values():
-            t.refresh()
+        """Re-read the pointer (picks up what other processes published)."""
+        self.catalog.refresh()
+
+
+class Warehouse(BaseWarehouse):
+    """The four warehouse tables as snapshot tables under one root."""
+
+    # Reports filter the fact by date.
+    SORT = {"fact_reports_articles": ["published_date_at", "article_id"]}
+
+    def __init__(self, spark: SparkSession, root: str):
+        from contentmart import schemas
+
+        self.spark, self.root = spark, root
+        record_layout(spark, root, {"layout": "snapshot"})
+        tables = {name: self._table(SnapshotTable, name, self.SORT.get(name)) for name in schemas.WAREHOUSE}
+        self._open(spark, root, tables, {name: self._table(SnapshotTable, name) for name in schemas.APPLIED})
 
 
 def register_views(warehouse, prefix: str = "") -> list[str]:

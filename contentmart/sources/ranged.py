@@ -9,8 +9,6 @@ first content, so that a range of wide rows is no larger than one of narrow rows
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,7 +16,7 @@ from pyspark.sql.types import StructType
 from contentmart.operators import merge as M
 from contentmart.operators.sizing import Size, row_bytes
 from contentmart.sources import fs
-from contentmart.sources.publish import GRACE_SECONDS, PublishedTable, SnapshotTable, record_layout
+from contentmart.sources.publish import BaseWarehouse, PublishedTable, SnapshotTable, record_layout
 
 RANGE = "__range"
 #: Bytes aimed at for one range, before compression.
@@ -130,11 +128,11 @@ class KeyRangeTable(PublishedTable):
             raise ValueError(f"table is ranged on {self.key}, merge matches on {spec.target_key}")
         touched = self.touched_ranges(source, spec.source_key)
         if touched is None:  # nothing published yet: the merge makes the first content
-            merged = M.merge(self.read(), source, spec, strategy, broadcast_bytes, source_bound)
+            merged = M.merge(self.read(), source, spec, strategy, broadcast_bytes, source_bound, staged=True)
             return self.publish(merged, tag)
         if not touched:
             return self.current_version()
-        merged = M.merge(self.read_ranges(touched), source, spec, strategy, broadcast_bytes, source_bound)
+        merged = M.merge(self.read_ranges(touched), source, spec, strategy, broadcast_bytes, source_bound, staged=True)
         written = self._write(merged, self.width)
         stray = sorted(set(written) - set(touched))
         if stray:
@@ -143,7 +141,7 @@ class KeyRangeTable(PublishedTable):
         return self._list({**kept, **written}, tag, self.width)
 
 
-class RangedWarehouse:
+class RangedWarehouse(BaseWarehouse):
     """The warehouse tables as key-range tables (the calendar as a snapshot).
 
     ``width`` (keys per range) is for tests and special cases; without it each table measures its own.
@@ -156,30 +154,15 @@ class RangedWarehouse:
     def __init__(self, spark: SparkSession, root: str, width: int | None = None, range_bytes: int = RANGE_BYTES):
         from contentmart import schemas
 
-        self.spark = spark
-        self.root = root
+        self.spark, self.root = spark, root
         width = record_layout(spark, root, {"layout": "ranged", "width": width}).get("width", width)
-        self.tables = {
-            name: KeyRangeTable(
-                spark, os.path.join(root, name), schemas.WAREHOUSE[name], key, width, self.SORT.get(name), range_bytes
-            )
+        tables = {
+            name: self._table(KeyRangeTable, name, key, width, self.SORT.get(name), range_bytes)
             for name, key in self.KEYS.items()
         }
-        self.tables["dim_date"] = SnapshotTable(spark, os.path.join(root, "dim_date"), schemas.DIM_DATE)
-
-    def read(self, name: str) -> DataFrame:
-        return self.tables[name].read()
-
-    def publish(self, name: str, df: DataFrame, tag: str | None = None, **kw) -> int:
-        return self.tables[name].publish(df, tag, **kw)
+        tables["dim_date"] = self._table(SnapshotTable, "dim_date")
+        books = {name: self._table(KeyRangeTable, name, "id", width, None, range_bytes) for name in schemas.APPLIED}
+        self._open(spark, root, tables, books)
 
     def merge(self, name: str, source: DataFrame, spec: M.MergeSpec, **kw) -> int:
-        return self.tables[name].merge(source, spec, **kw)
-
-    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
-        return [p for t in self.tables.values() for p in t.vacuum(grace_seconds)]
-
-    def refresh(self) -> None:
-        """Re-read every table's pointer (picks up what other processes published)."""
-        for t in self.tables.values():
-            t.refresh()
+        return self.of(name).merge(source, spec, **kw)

@@ -21,9 +21,13 @@ class RunAudit:
         self._obs[stage] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
-    def record(self, stage: str, rows: int) -> None:
-        """A count already known (e.g. from a size measurement)."""
-        self._known[stage] = int(rows)
+    def add(self, df: DataFrame, stage: str, write):
+        """What ``write`` makes of ``df``, whose rows count for the stage, beside what counted before."""
+        before = self._known.get(stage, 0)
+        out = write(self.track(df, stage))
+        self.ran(stage)
+        self._known[stage] += before
+        return out
 
     def ran(self, stage: str) -> None:
         """Say that the job which writes the stage's frame is done; its count can then be read."""

@@ -127,6 +127,61 @@ def apply_defaults(df: DataFrame, defaults: dict[str, Column | object], schema=N
     return out
 
 
+def split_unique(df: DataFrame, keys: list[str], newest: str, keep) -> tuple[DataFrame, DataFrame | None]:
+    """(good, quarantine): of rows that share the value of a key one stays; None where all are unique.
+
+    The newest row stays; ties go to the greater of the other columns, in their order, NULL lowest.
+    ``keep(frame, name)`` stores a frame that is read several times.  The repeated values are found by
+    partial aggregation and stored, so that only their rows are looked at again and a hot value is
+    split in the joins; the winner is an aggregate as well, never a window over a hot value.
+    """
+    bad = None
+    for key in keys:
+        repeated = keep(check_unique(df, key).select(key), f"repeated-{key}")
+        if repeated.isEmpty():
+            continue
+        rows = df.join(repeated, key, "left_semi").select(*df.columns)
+        rows = keep(rows.withColumn("__row", F.monotonically_increasing_id()), f"rows-{key}")
+        order = F.struct(newest, *[c for c in df.columns if c != newest], "__row")
+        first = keep(rows.groupBy(key).agg(F.max(order)["__row"].alias("__row")).select("__row"), f"first-{key}")
+        lost = rows.join(first, "__row", "left_anti").drop("__row").withColumn("reason", F.lit(f"{key} is not unique"))
+        bad = lost if bad is None else bad.unionByName(lost)
+        won = rows.join(first, "__row", "left_semi").select(*df.columns)
+        df = keep(df.join(repeated, key, "left_anti").select(*df.columns).unionByName(won), f"unique-{key}")
+    return df, bad
+
+
+def split_held(
+    df: DataFrame, key: str, column: str, target: DataFrame, target_key: str, keep, broadcast_bytes: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(good, quarantine): rows whose ``column`` has a value that a target row of another key holds.
+
+    A target row that the batch replaces does not count, unless its replacement goes to quarantine, so
+    the check is repeated until nothing more goes.  The batch's values are counted and broadcast when
+    that count fits, and the target is streamed past them; beyond the limit it is a semi join, where
+    Spark filters the target by a Bloom filter of the smaller side before it is shuffled.
+    """
+    limit = broadcast_limit(df.sparkSession, broadcast_bytes)
+    wanted = df.select(F.col(column).alias("__wanted")).distinct()
+    if limit >= 0:
+        size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
+        wanted = maybe_broadcast(wanted, key_table_bytes(size[0], 1, 0) + (size[1] or 0), limit)
+    held = target.join(wanted, F.col(column) == F.col("__wanted"), "left_semi")
+    held = keep(held.select(F.col(target_key).alias("__holder"), F.col(column).alias("__held")), f"held-{column}")
+    good, bad, turn = df, None, 0
+    while not held.isEmpty():
+        stays = held.join(good.select(key), F.col("__holder") == F.col(key), "left_anti")
+        clash = good.join(stays, (F.col(column) == F.col("__held")) & (F.col(key) != F.col("__holder")), "left_semi")
+        clash = keep(clash.select(*df.columns), f"clash-{column}-{turn}")
+        if clash.isEmpty():
+            break
+        lost = clash.withColumn("reason", F.lit(f"{column} is held by another row"))
+        bad = lost if bad is None else bad.unionByName(lost)
+        good = keep(good.join(clash.select(key), key, "left_anti").select(*df.columns), f"free-{column}-{turn}")
+        turn += 1
+    return good, bad
+
+
 class ConstraintViolation(RuntimeError):
     """Rows of a load break a declared constraint; nothing was published."""
 

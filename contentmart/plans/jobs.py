@@ -9,11 +9,16 @@
 
 Every run reads each source table once: the extract, and whatever several steps derive from it, is
 written to the run's own folder on shared storage, and all steps read that copy, so they see one state
-of a source that keeps moving.  With a ``Warehouse`` the tables are published and the folder is deleted
-at the end; without one the returned frames read it, and it stays with the checkpoints.
+of a source that keeps moving.  With a ``Warehouse`` the folder is deleted at the end; without one the
+returned frames read it, and it stays with the checkpoints.
 
-Rows that break a declared constraint (NOT NULL, text length) stop the run before anything is
-published, or go to a quarantine folder with ``on_violation="quarantine"``.
+A run publishes all its tables in one step when it ends.  One that fails, at whatever table, leaves the
+warehouse as it was, and readers never see tables of two runs.  Its row counts go to ``load_audit`` in
+the same step.
+
+Rows that break a declared constraint (NOT NULL, text length, unique keys and columns, also against the
+rows that a dimension holds already) stop the run, or go to a quarantine folder with
+``on_violation="quarantine"``.
 """
 
 from __future__ import annotations
@@ -32,11 +37,11 @@ from contentmart.operators import merge as M
 from contentmart.operators.audit import RunAudit
 from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, dim_date
 from contentmart.operators.casts import split_bad_ids, typed_ids
-from contentmart.operators.quality import ConstraintViolation, split_valid
-from contentmart.operators.reconcile import cdc_spec, hard_delete_removed, last_change
+from contentmart.operators.quality import ConstraintViolation, split_held, split_unique, split_valid
+from contentmart.operators.reconcile import applied_spec, cdc_spec, hard_delete_removed, last_change, newer_changes
 from contentmart.sources import fs
 from contentmart.sources.extract import extract_changes, extract_full
-from contentmart.sources.publish import PublishedTable, Warehouse
+from contentmart.sources.publish import BaseWarehouse, PublishedTable, Warehouse
 from contentmart.sources.ranged import RangedWarehouse
 from contentmart.sources.staging import STAGED_IDS, RunScratch, StagingArea, as_staged_text
 
@@ -61,26 +66,83 @@ def init_warehouse(
     tables = {name: spark.createDataFrame([], schema) for name, schema in schemas.WAREHOUSE.items()}
     tables["dim_date"] = dim_date(spark, start, end)
     if warehouse is not None:
-        for name, df in tables.items():
-            warehouse.publish(name, df)
+        with warehouse.run():
+            for name, df in tables.items():
+                warehouse.publish(name, df)
         tables = {name: warehouse.read(name) for name in tables}
     return tables
 
 
 class _Run:
-    """What one run stages, checks and counts."""
+    """What one run stages, checks and counts; as a context, its one publish."""
 
-    def __init__(self, spark: SparkSession, store, staging: StagingArea | bool | None, on_violation: str):
+    def __init__(self, spark: SparkSession, job: str, store, staging: StagingArea | bool | None, on_violation: str, tag=None):
         if on_violation not in ("fail", "quarantine"):
             raise ValueError(f"unknown reaction to violations {on_violation!r}")
-        self.spark, self.store, self.on_violation = spark, store, on_violation
+        self.spark, self.job, self.store, self.on_violation, self.tag = spark, job, store, on_violation, tag
+        self.id = uuid.uuid4().hex
         self.scratch = RunScratch(spark)
         self.area = StagingArea(spark) if staging is True else (staging or None)
         self.own_area = staging is True
         self.result = LoadResult({})
 
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """The extract, written once (through the delimited hand-off if there is one), typed and checked."""
+    def __enter__(self) -> _Run:
+        if self.store is not None:
+            self._publishing = self.store.run()
+            self._publishing.__enter__()  # sees what another process may have published
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if self.store is None:
+            return
+        try:
+            if kind is None:
+                self._note_counts()
+        except BaseException as lost:
+            self._publishing.__exit__(type(lost), lost, lost.__traceback__)
+            raise
+        else:
+            self._publishing.__exit__(kind, error, trace)
+        finally:
+            self.scratch.close()
+            if self.own_area:
+                self.area.close()
+
+    def _note_counts(self) -> None:
+        now = dt.datetime.now()
+        rows = [(self.id, self.job, stage, rows, now) for stage, rows in sorted(self.result.audit.counts().items())]
+        if rows:
+            self.store.publish("load_audit", self.spark.createDataFrame(rows, schemas.LOAD_AUDIT).coalesce(1), self.tag)
+
+    def tables(self, current) -> dict[str, DataFrame]:
+        if self.store is not None:
+            return {n: self.store.read(n) for n in (*NAMES, *schemas.APPLIED)}
+        empty = {n: self.spark.createDataFrame([], schema) for n, schema in schemas.APPLIED.items()}
+        return {**empty, **current}
+
+    def _keep_for(self, table: str):
+        return lambda df, name: self.scratch.keep(df, f"{table}-{name}")
+
+    def refuse(self, table: str, bad: DataFrame | None) -> None:
+        """Stop the run because of ``bad`` rows (with a reason each), or put them in quarantine."""
+        if bad is None or bad.isEmpty():
+            return
+        if self.on_violation == "fail":
+            found = {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()}  # by rule
+            raise ConstraintViolation(f"{table}: {found}")
+        root = self.store.root.rstrip("/") if self.store is not None else self.scratch.root
+        path = f"{root}/_quarantine/{table}/{uuid.uuid4().hex}"
+        stage = f"quarantine_{table}"
+        self.result.audit.add(bad, stage, lambda out: out.write.parquet(path))
+        found = self.spark.read.schema(bad.schema).parquet(path)
+        earlier = self.result.quarantine.get(table)
+        self.result.quarantine[table] = found if earlier is None else earlier.unionByName(found)
+
+    def stage(self, table: str, df: DataFrame, held: DataFrame | None = None) -> DataFrame:
+        """The extract, written once (through the delimited hand-off if there is one), typed and checked.
+
+        ``held``: the dimension that the rows are merged into; for authors, its e-mails count as well.
+        """
         audit, stage = self.result.audit, f"staging_{table}"
         if self.area is not None:
             staged = self.area.replace(table, audit.track(df, stage))
@@ -89,34 +151,51 @@ class _Run:
         audit.ran(stage)
         not_null, limits = schemas.DECLARED[table]
         ids = STAGED_IDS[table]
+
+        def as_text(bad: DataFrame | None) -> DataFrame | None:
+            return None if bad is None else bad.withColumns({c: F.col(c).cast("string") for c in ids})
+
         if self.on_violation == "fail":
             good, bad = split_valid(typed_ids(staged, ids), not_null, limits)
-            if not bad.isEmpty():
-                found = {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()}  # by rule
-                raise ConstraintViolation(f"{table}: {found}")
-            return good
-        typed, odd = split_bad_ids(staged, ids)
-        good, bad = split_valid(typed, not_null, limits)
-        bad = bad.withColumns({c: F.col(c).cast("string") for c in ids})
-        bad = bad.unionByName(odd.withColumn("reason", F.lit("an id is not a number")))
-        if not bad.isEmpty():
-            root = self.store.root.rstrip("/") if self.store is not None else self.scratch.root
-            path = f"{root}/_quarantine/{table}/{uuid.uuid4().hex}"
-            bad.write.parquet(path)
-            self.result.quarantine[table] = self.spark.read.schema(bad.schema).parquet(path)
+            self.refuse(table, bad)
+        else:
+            typed, odd = split_bad_ids(staged, ids)
+            good, bad = split_valid(typed, not_null, limits)
+            self.refuse(table, as_text(bad).unionByName(odd.withColumn("reason", F.lit("an id is not a number"))))
+        good, bad = self.unique(table, good, held)
+        self.refuse(table, as_text(bad))
         return good
 
+    def unique(self, table: str, good: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """``good`` by the table's unique columns, within itself and against the rows of ``held``."""
+        good, bad = split_unique(good, list(schemas.UNIQUE[table]), "updated_at", self._keep_for(table))
+        if held is not None and "email" in schemas.UNIQUE[table]:
+            good, more = split_held(good, "id", "email", held, "author_id", self._keep_for(table))
+            bad = more if bad is None else bad if more is None else bad.unionByName(more)
+        return good, bad
+
+    def changes(self, table: str, feed: DataFrame, tables: dict[str, DataFrame], seq: str, op: str, delete_code: str, limit=None) -> DataFrame:
+        """The changes of a feed that count: the last per key, valid, and newer than what was applied before."""
+        audit, keep = self.result.audit, self._keep_for(table)
+        latest = audit.add(feed, f"changes_{table}", lambda out: self.scratch.keep(last_change(out, "id", seq), f"last-{table}"))
+        not_null, limits = schemas.DECLARED[table]
+        gone = F.col(op).eqNullSafe(delete_code)
+        deletes, no_delete = split_valid(latest.filter(gone), ["id", seq])
+        upserts, no_upsert = split_valid(latest.filter(~gone), [*not_null, seq, op], limits)
+        self.refuse(table, no_delete.unionByName(no_upsert))
+        newer = newer_changes(deletes.unionByName(upserts), tables[f"applied_{table}"], "id", seq, limit)
+        if "email" in schemas.UNIQUE[table]:
+            newer = newer.withColumn("email", F.when(~gone, F.col("email")))  # a deleted row holds none
+        newer = keep(newer, "newer")
+        good, bad = self.unique(table, newer, tables["dim_authors"] if table == "authors" else None)
+        self.refuse(table, bad)
+        return audit.add(good, f"applied_{table}", lambda out: keep(out, "accepted"))
+
     def counted(self, name: str, df: DataFrame) -> None:
         """Publish ``df`` and note its rows."""
         self.store.publish(name, df, watch=lambda out: self.result.audit.track(out, name))
         self.result.audit.ran(name)
 
-    def close(self) -> None:
-        if self.store is not None:
-            self.scratch.close()
-            if self.own_area:
-                self.area.close()
-
 
 def full_load(
     spark: SparkSession,
@@ -126,23 +205,21 @@ def full_load(
     broadcast_bytes: int | None = None,
     on_violation: str = "fail",
 ) -> LoadResult:
-    run = _Run(spark, warehouse, staging, on_violation)
-    if warehouse is not None:
-        warehouse.refresh()
-    authors = run.stage("authors", extract_full(spark, source, "authors"))
-    articles = run.stage("articles", extract_full(spark, source, "articles"))
-    out = {"dim_authors": dims.dim_authors(authors), "dim_articles": dims.dim_articles(articles)}
-    dim_rows = None
-    if warehouse is not None:
-        for name in ("dim_authors", "dim_articles"):
-            run.counted(name, out[name])
-        out = {name: warehouse.read(name) for name in out}
-        dim_rows = run.result.audit.count("dim_authors")
-    out[FACT] = facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows)
-    if warehouse is not None:
-        run.counted(FACT, out[FACT])
-        out[FACT] = warehouse.read(FACT)
-    run.close()
+    run = _Run(spark, "full_load", warehouse, staging, on_violation)
+    with run:
+        authors = run.stage("authors", extract_full(spark, source, "authors"))
+        articles = run.stage("articles", extract_full(spark, source, "articles"))
+        out = {"dim_authors": dims.dim_authors(authors), "dim_articles": dims.dim_articles(articles)}
+        dim_rows = None
+        if warehouse is not None:
+            for name in ("dim_authors", "dim_articles"):
+                run.counted(name, out[name])
+            out = {name: warehouse.read(name) for name in out}
+            dim_rows = run.result.audit.count("dim_authors")
+        out[FACT] = facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows)
+        if warehouse is not None:
+            run.counted(FACT, out[FACT])
+            out[FACT] = warehouse.read(FACT)
     run.result.tables = out
     return run.result
 
@@ -170,17 +247,19 @@ def incremental_load(
     ``Warehouse`` of snapshots (publishes whole new versions) or a
     ``RangedWarehouse`` (rewrites only the key ranges the delta touches).
     """
-    run = _Run(spark, _store(current), staging, on_violation)
-    authors = run.stage("authors", extract_changes(spark, source, "authors", author_ts_col, since, until))
-    articles = run.stage("articles", extract_changes(spark, source, "articles", "updated_at", since, until))
-    tables, skipped = _apply(run, current, authors, articles, strategy, broadcast_bytes)
-    run.close()
+    run = _Run(spark, "incremental_load", _store(current), staging, on_violation)
+    with run:
+        tables = run.tables(current)
+        authors = extract_changes(spark, source, "authors", author_ts_col, since, until)
+        authors = run.stage("authors", authors, tables["dim_authors"])
+        articles = run.stage("articles", extract_changes(spark, source, "articles", "updated_at", since, until))
+        tables, skipped = _apply(run, current, tables, authors, articles, strategy, broadcast_bytes)
     run.result.tables, run.result.skipped = tables, skipped
     return run.result
 
 
-def _store(current) -> Warehouse | RangedWarehouse | None:
-    return current if isinstance(current, (Warehouse, RangedWarehouse)) else None
+def _store(current) -> BaseWarehouse | None:
+    return current if isinstance(current, BaseWarehouse) else None
 
 
 def _merge_into(current, tables: dict[str, DataFrame], strategy: str, broadcast_bytes: int | None, tag: str | None):
@@ -192,7 +271,7 @@ def _merge_into(current, tables: dict[str, DataFrame], strategy: str, broadcast_
         if isinstance(store, RangedWarehouse):
             store.merge(name, staged, spec, strategy=strategy, broadcast_bytes=broadcast_bytes, source_bound=bound, tag=own)
             return store.read(name)
-        if store is not None and store.tables[name].applied(own):
+        if store is not None and store.of(name).applied(own):
             return store.read(name)
         merged = M.merge(tables[name], staged, spec, strategy, broadcast_bytes, bound, staged=True)
         if store is None:
@@ -225,19 +304,15 @@ def apply_delta(
     the *merged* author dimension.  Empty batches skip their merges.  With a
     ``tag`` each table records the batch, and a replay of it publishes nothing.
     """
-    run = _Run(spark, _store(current), None, on_violation)
-    staged = None if authors is None else run.stage("authors", authors)
-    out = _apply(run, current, staged, run.stage("articles", articles), strategy, broadcast_bytes, tag)
-    run.close()
-    return out
+    run = _Run(spark, "apply_delta", _store(current), None, on_violation, tag)
+    with run:
+        tables = run.tables(current)
+        staged = None if authors is None else run.stage("authors", authors, tables["dim_authors"])
+        return _apply(run, current, tables, staged, run.stage("articles", articles), strategy, broadcast_bytes, tag)
 
 
-def _apply(run: _Run, current, authors, articles, strategy, broadcast_bytes, tag=None):
+def _apply(run: _Run, current, tables, authors, articles, strategy, broadcast_bytes, tag=None):
     """``apply_delta`` for rows that are staged already."""
-    store = _store(current)
-    if store is not None:
-        store.refresh()  # what another process (e.g. a full reload) may have published
-    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
     merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
     skipped: list[str] = []
     if authors is None or authors.isEmpty():
@@ -273,24 +348,22 @@ def reconcile_hard_deletes(
     the source of a delete-only MERGE, so a key-range warehouse rewrites only the
     ranges that lose rows.
     """
-    run = _Run(spark, _store(current), None, "fail")
-    store = _store(current)
-    if store is not None:
-        store.refresh()
-    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
-    merge = _merge_into(current, tables, strategy, broadcast_bytes, None)
-    keys = {
-        table: run.scratch.keep(
-            extract_full(spark, source, table).select(F.col("id").cast("bigint").alias("id")), f"keys-{table}"
-        )
-        for table in ("authors", "articles")
-    }
-    plan = [("dim_authors", "author_id", "authors"), ("dim_articles", "article_id", "articles"), (FACT, "article_id", "articles")]
-    for name, key, src in plan:
-        removed = hard_delete_removed(tables[name].select(key), key, keys[src], "id").distinct()
-        removed = run.scratch.keep(removed, f"removed-{name}")
-        tables[name] = merge(name, removed, delete_spec(key))
-    run.close()
+    run = _Run(spark, "reconcile_hard_deletes", _store(current), None, "fail")
+    with run:
+        tables = run.tables(current)
+        merge = _merge_into(current, tables, strategy, broadcast_bytes, None)
+        audit = run.result.audit
+        keys = {
+            table: run.scratch.keep(
+                extract_full(spark, source, table).select(F.col("id").cast("bigint").alias("id")), f"keys-{table}"
+            )
+            for table in ("authors", "articles")
+        }
+        plan = [("dim_authors", "author_id", "authors"), ("dim_articles", "article_id", "articles"), (FACT, "article_id", "articles")]
+        for name, key, src in plan:
+            removed = hard_delete_removed(tables[name].select(key), key, keys[src], "id").distinct()
+            removed = audit.add(removed, f"removed_{name}", lambda out, n=name: run.scratch.keep(out, f"removed-{n}"))
+            tables[name] = merge(name, removed, delete_spec(key))
     return tables
 
 
@@ -306,36 +379,48 @@ def apply_article_changes(
     tag: str | None = None,
     authors: DataFrame | None = None,
     author_changes: DataFrame | None = None,
+    on_violation: str = "fail",
 ) -> dict[str, DataFrame]:
     """Apply a change feed of article rows (full images plus ``op``, ``seq``).
 
-    The last change per article wins (``max_by``, partially aggregated) and is written once; each table
-    takes one MERGE that deletes and upserts.  The author dimension comes first, as in every load:
-    ``authors`` is the whole author table, ``author_changes`` a feed of author rows; without either a new
-    article's author must already be in the warehouse.
+    The last change per article wins, whether the others come in the same feed or came in an earlier
+    one: ``applied_articles`` holds the newest ``seq`` applied to each key, deleted keys included, and
+    changes that are not newer are passed over, so feeds may arrive late, twice or in any order.  (A
+    change without ``seq`` or key breaks a constraint.  Other loads leave that table alone.)
+
+    The last change per article (``max_by``, partially aggregated) is written once; each table takes one
+    MERGE that deletes and upserts.  The author dimension comes first, as in every load: ``authors`` is
+    the whole author table, ``author_changes`` a feed of author rows; without either a new article's
+    author must already be in the warehouse.
     """
-    run = _Run(spark, _store(current), None, "fail")
-    store = _store(current)
-    if store is not None:
-        store.refresh()
-    tables = {n: store.read(n) for n in NAMES} if store else dict(current)
-    merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
-    if authors is not None:
-        tables["dim_authors"] = merge("dim_authors", run.stage("authors", authors), dims.authors_upsert_spec())
-    if author_changes is not None:
-        latest = run.scratch.keep(last_change(author_changes, "id", seq), "last-authors")
-        spec = cdc_spec("author_id", "id", dims.AUTHOR_COPIED, op, delete_code)
-        tables["dim_authors"] = merge("dim_authors", latest, spec, part=":changes")
-    latest = run.scratch.keep(last_change(changes, "id", seq), "last-articles")
-    if not latest.isEmpty():
-        spec = cdc_spec("article_id", "id", dims.ARTICLE_COPIED, op, delete_code)
-        tables["dim_articles"] = merge("dim_articles", latest, spec)
-        # A deleted article is, for the fact, one that is not published any more.
-        gone = F.col(op) == F.lit(delete_code)
-        state = latest.withColumn("published_at", F.when(~gone, F.col("published_at"))).drop(op, seq)
-        source = run.scratch.keep(facts.fact_delta_source(state, tables["dim_authors"], broadcast_bytes), "fact-source")
-        tables[FACT] = merge(FACT, source, facts.fact_merge_spec())
-    run.close()
+    run = _Run(spark, "apply_article_changes", _store(current), None, on_violation, tag)
+    with run:
+        tables = run.tables(current)
+        merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
+
+        def note(table: str, accepted: DataFrame) -> None:
+            name = f"applied_{table}"
+            tables[name] = merge(name, accepted.select("id", seq, op), applied_spec("id", seq, op, delete_code))
+
+        if authors is not None:
+            staged = run.stage("authors", authors, tables["dim_authors"])
+            tables["dim_authors"] = merge("dim_authors", staged, dims.authors_upsert_spec())
+        if author_changes is not None:
+            accepted = run.changes("authors", author_changes, tables, seq, op, delete_code, broadcast_bytes)
+            if not accepted.isEmpty():
+                spec = cdc_spec("author_id", "id", dims.AUTHOR_COPIED, op, delete_code)
+                tables["dim_authors"] = merge("dim_authors", accepted, spec, part=":changes")
+                note("authors", accepted)
+        accepted = run.changes("articles", changes, tables, seq, op, delete_code, broadcast_bytes)
+        if not accepted.isEmpty():
+            spec = cdc_spec("article_id", "id", dims.ARTICLE_COPIED, op, delete_code)
+            tables["dim_articles"] = merge("dim_articles", accepted, spec)
+            # A deleted article is, for the fact, one that is not published any more.
+            gone = F.col(op) == F.lit(delete_code)
+            state = accepted.withColumn("published_at", F.when(~gone, F.col("published_at"))).drop(op, seq)
+            source = run.scratch.keep(facts.fact_delta_source(state, tables["dim_authors"], broadcast_bytes), "fact-source")
+            tables[FACT] = merge(FACT, source, facts.fact_merge_spec())
+            note("articles", accepted)
     return tables
 
 

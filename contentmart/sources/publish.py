@@ -73,9 +73,15 @@ class Catalog:
     def refresh(self) -> dict:
         """Read the newest pointer; inside a run, what the run began with stays."""
         if self._pending is None or self._state is None:
-            self._state = _newest(self.spark, self._pointers) or {"version": 0, "tables": {}}
+            self._state = _newest(self.spark, self._pointers) or {"version": 0, "tables": self._own_pointers()}
         return self._state
 
+    def _own_pointers(self) -> dict[str, dict]:
+        """What tables say that were published one by one, before they had a pointer in common."""
+        names = fs.list_names(self.spark, self.root)
+        found = {n: _newest(self.spark, f"{self.root}/{n}/_pointer") for n in names if not n.startswith("_")}
+        return {n: state for n, state in found.items() if state}
+
     def table(self, name: str) -> dict | None:
         """A table's state, as the run that is under way has left it."""
         if self._pending and name in self._pending:

@@ -133,6 +133,23 @@ def authors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def authors_clash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New authors, some with the e-mail of a customer's author, some of those twice."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+
+    def rows(shift: int, day: str) -> DataFrame:
+        return c.filter((k % 3 == 0) & (k % shift == 0)).select(
+            (k * 10_000_000 + shift).alias("id"),
+            F.concat("c_name", F.lit(f" {shift}")).alias("name"),
+            F.concat(F.when(k % 2 == 0, F.lit("c")).otherwise(F.lit("new")), k.cast("string"), F.lit("@example.com")).alias("email"),
+            ntz_literal("1996-01-01 00:00:00").alias("created_at"),
+            ntz_literal(day).alias("updated_at"),
+        )
+
+    return rows(1, "1996-01-01 00:00:00").unionByName(rows(7, "1996-02-01 00:00:00"))
+
+
 def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text as it is, and between white space, quotes, backslashes and line breaks."""
     d = table(spark, sf_dir, "documents")
@@ -145,6 +162,7 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BUILDERS = {
     "authors_raw": authors_raw,
+    "authors_clash": authors_clash,
     "text_rows": text_rows,
     "authors": authors,
     "authors_delta": authors_delta,
@@ -167,6 +185,12 @@ select c_custkey as id, case when c_custkey % 7 <> 0 then repeat(c_name, c_custk
        concat('c', cast(c_custkey as varchar), '@example.com') as email,
        timestamp '1995-01-01 00:00:00' as created_at, timestamp '1995-01-01 00:00:00' as updated_at
 from customer""",
+    "authors_clash": """
+select c_custkey * 10000000 + s as id, concat(c_name, ' ', s) as name,
+       concat(case when c_custkey % 2 = 0 then 'c' else 'new' end, c_custkey, '@example.com') as email,
+       timestamp '1996-01-01 00:00:00' as created_at,
+       case s when 1 then timestamp '1996-01-01 00:00:00' else timestamp '1996-02-01 00:00:00' end as updated_at
+from customer, (values (1), (7)) v(s) where c_custkey % 3 = 0 and c_custkey % s = 0""",
     "text_rows": """
 select doc_id as id, text,
        concat('  ', chr(92), 'n', chr(9), text, chr(10), '|"', chr(92), ' ', chr(9), ' ') as padded

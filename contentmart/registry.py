@@ -28,6 +28,7 @@ from contentmart.session import scratch_path
 from contentmart.sources import delimited, extract, fs, staging
 from contentmart.sources.publish import SnapshotTable, Warehouse
 from contentmart.sources.ranged import RangedWarehouse
+from contentmart.streaming.changes import run_change_stream, write_changes
 from contentmart.streaming.incremental import run_incremental_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -614,6 +615,51 @@ def q_load_quarantine(spark, sf):
     return out.unionByName(kept)
 
 
+_ARTICLE_ORDER = ", ".join(f"{c} desc nulls last" for c in ["updated_at", *ARTICLE_COLS.replace(", updated_at", "").split(", ")])
+
+
+@register(
+    "load_duplicate_ids",
+    with_views(
+        f"""select case when n = 1 then 'dim_articles' else 'quarantine' end as place, id as article_id, published_at,
+       case when n > 1 then 'id is not unique' end as reason
+from (select *, row_number() over (partition by id order by {_ARTICLE_ORDER}) as n from articles_dup)""",
+        "articles_dup",
+    ),
+)
+def q_load_duplicate_ids(spark, sf):
+    """A full load of a source that repeats article ids: one row of each stays, the newest."""
+    src = {"authors": _v(spark, sf, "authors"), "articles": _v(spark, sf, "articles_dup")}
+    result = jobs.full_load(spark, src, warehouse=Warehouse(spark, scratch_path(spark, "wh")), on_violation="quarantine")
+    bad = result.quarantine["articles"].select(F.lit("quarantine").alias("place"), F.col("id").cast("long").alias("article_id"), "published_at", "reason")
+    kept = result.tables["dim_articles"].select(F.lit("dim_articles").alias("place"), "article_id", "published_at", F.lit(None).cast("string").alias("reason"))
+    return bad.unionByName(kept)
+
+
+@register(
+    "load_duplicate_emails",
+    with_views(
+        """select id as author_id, case when n > 1 then 'email is not unique' when held then 'email is held by another row' end as reason
+from (select b.*, row_number() over (partition by email order by updated_at desc, id desc) as n,
+             email in (select email from authors where id not in (select id from authors_clash)) as held
+      from authors_clash b)""",
+        "authors",
+        "authors_clash",
+    ),
+)
+def q_load_duplicate_emails(spark, sf):
+    """An incremental run whose authors repeat e-mails, of each other and of authors in the warehouse."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    articles = _v(spark, sf, "articles")
+    jobs.full_load(spark, {"authors": _v(spark, sf, "authors"), "articles": articles}, warehouse=wh)
+    later = {"authors": _v(spark, sf, "authors_clash"), "articles": _v(spark, sf, "delta")}
+    result = jobs.incremental_load(spark, later, wh, since="1996-01-01 00:00:00", on_violation="quarantine")
+    bad = result.quarantine["authors"].select(F.col("id").cast("long").alias("author_id"), "reason")
+    batch = later["authors"].select(F.col("id").alias("author_id"), "email", "name")
+    new = result.tables["dim_authors"].join(batch, ["author_id", "email", "name"], "left_semi")
+    return bad.unionByName(new.select("author_id", F.lit(None).cast("string").alias("reason")))
+
+
 @register(
     "apply_defaults",
     with_views(
@@ -914,7 +960,107 @@ def q_cdc_apply(spark, sf):
     return reconcile.cdc_apply(target, _v(spark, sf, "changes"), "id", "id", "seq", ["title", "author_id"])
 
 
+def _late_feeds(spark, sf):
+    """The feed's later changes first, then, in a run of its own, the older ones."""
+    feed = _v(spark, sf, "changes_full")
+    return feed.filter("seq = 2"), feed.filter("seq = 1")
+
+
+def _late_changes(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    for feed in _late_feeds(spark, sf):
+        jobs.apply_article_changes(spark, feed, wh)
+    return wh
+
+
+@register("cdc_late_changes", ORACLE["cdc_warehouse_dim_articles"])
+def q_cdc_late_changes(spark, sf):
+    """Two feeds out of order, some of the late changes behind a delete: as one ordered feed."""
+    return _late_changes(spark, sf).read("dim_articles")
+
+
+@register("cdc_late_changes_fact", ORACLE["cdc_warehouse_fact"])
+def q_cdc_late_changes_fact(spark, sf):
+    return _late_changes(spark, sf).read(jobs.FACT)
+
+
+@register(
+    "cdc_late_changes_state",
+    with_views("select id, cast(seq as bigint) as seq, op = 'D' as deleted from (select * from changes_full qualify row_number() over (partition by id order by seq desc) = 1)", "changes_full"),
+)
+def q_cdc_late_changes_state(spark, sf):
+    """The newest change per key that the warehouse keeps, deleted keys included."""
+    return _late_changes(spark, sf).read("applied_articles")
+
+
+@register(
+    "cdc_late_authors",
+    with_views(
+        f"""select author_id, name, email, created_at, updated_at from ({DIM_AUTHORS_SQL}) a
+where author_id not in (select id from authors_delta)
+union all select id, concat(name, ' v3'), email, created_at, updated_at from authors_delta where id % 2 = 0""",
+        "authors",
+        "authors_delta",
+    ),
+)
+def q_cdc_late_authors(spark, sf):
+    """An author feed that renames some and deletes others, and after it the feed that came before."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    jobs.full_load(spark, {"authors": _v(spark, sf, "authors"), "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    delta = _v(spark, sf, "authors_delta")
+    none = _v(spark, sf, "changes_full").filter("seq = 0")
+    last = delta.withColumn("name", F.concat("name", F.lit(" v3"))).withColumn("seq", F.lit(9))
+    last = last.withColumn("op", F.when(F.col("id") % 2 == 0, "U").otherwise("D"))
+    for feed in (last, delta.withColumn("seq", F.lit(3)).withColumn("op", F.lit("U"))):
+        jobs.apply_article_changes(spark, none, wh, author_changes=feed)
+    return wh.read("dim_authors")
+
+
+_AUDIT_CDC_SQL = """select stage, cast(sum(rows) as bigint) as rows from (
+select 'changes_articles' as stage, count(*) as rows from changes_full
+union all select 'applied_articles', count(distinct id) from changes_full
+) s group by stage"""
+
+
+@register("audit_counts_cdc", with_views(_AUDIT_CDC_SQL, "changes_full"))
+def q_audit_counts_cdc(spark, sf):
+    """What the runs of two change feeds have left in the audit table: changes read and changes applied."""
+    counts = _late_changes(spark, sf).read("load_audit").filter("job = 'apply_article_changes'")
+    return counts.groupBy("stage").agg(F.sum("rows").alias("rows")).filter("rows > 0")
+
+
 # ================================================================ 2.11 streaming
+@register("stream_cdc", ORACLE["cdc_warehouse_fact"])
+def q_stream_cdc(spark, sf):
+    """Change files in any order, in several batches of two runs of the stream: as one ordered feed."""
+    root = scratch_path(spark, "streamcdc")
+    wh = Warehouse(spark, f"{root}/warehouse")
+    jobs.full_load(spark, {"authors": _v(spark, sf, "authors"), "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    landing = f"{root}/landing"
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for feed in _late_feeds(spark, sf):
+        write_changes(feed.repartition(files, F.xxhash64("id")), landing)
+        run_change_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=-(-files // 2))
+    return wh.read(jobs.FACT)
+
+
+@register(
+    "audit_counts_stream",
+    with_views("select 'staging_articles' as stage, count(*) as rows from delta", "delta"),
+)
+def q_audit_counts_stream(spark, sf):
+    """Rows of all micro-batches, from the audit table."""
+    root = scratch_path(spark, "stream")
+    wh = Warehouse(spark, f"{root}/warehouse")
+    jobs.full_load(spark, {"authors": _v(spark, sf, "authors"), "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    landing = f"{root}/landing"
+    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing))
+    counts = wh.read("load_audit").filter("job = 'apply_delta'")
+    return counts.groupBy("stage").agg(F.sum("rows").alias("rows"))
+
+
 @register("stream_incremental", fact_merge_sql())
 def q_stream_incremental(spark, sf):
     root = scratch_path(spark, "stream")

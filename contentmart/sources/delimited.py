@@ -22,6 +22,16 @@ QUOTE = '"'
 NTZ_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def read_options(sep: str = SEPARATOR, header: bool = True, escape_lines: bool = False) -> dict[str, str]:
+    """How files of this layout are read, by a batch or a stream."""
+    return {**_options(sep, header), "multiLine": str(not escape_lines).lower()}
+
+
+def unescape_lines(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Texts as they were before ``escape_lines``."""
+    return rows.withColumns({c: _unescaped(F.col(c)) for c in _texts(schema)})
+
+
 def _options(sep: str, header: bool) -> dict[str, str]:
     return {
         "sep": sep,
@@ -83,10 +93,9 @@ def read_delimited(
     """
     rows = (
         spark.read.schema(schema)
-        .options(**_options(sep, header))
-        .option("multiLine", str(not escape_lines).lower())
+        .options(**read_options(sep, header, escape_lines))
         .option("enforceSchema", "true")
         .option("mode", mode)
         .csv(path)
     )
-    return rows.withColumns({c: _unescaped(F.col(c)) for c in _texts(schema)}) if escape_lines else rows
+    return unescape_lines(rows, schema) if escape_lines else rows

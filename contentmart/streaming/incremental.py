@@ -3,7 +3,7 @@
 Delta files (pipe-delimited, staging layout) arrive in a landing folder; each
 micro-batch is merged into the published warehouse by ``foreachBatch``.  The
 streaming checkpoint records which files each batch took, and every batch
-records its batch id in each table's version log, so a batch replayed after
+records its batch id in each table's state, so a batch replayed after
 a failure neither loses nor doubles work (and MERGE of the same batch is
 idempotent anyway).
 
@@ -15,11 +15,13 @@ author gets that author.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from contentmart import schemas
 from contentmart.operators.casts import typed_ids
 from contentmart.sources import delimited
 from contentmart.sources.extract import extract_full
+from contentmart.sources.publish import PublishConflict
 
 
 def landing_stream(
@@ -28,29 +30,43 @@ def landing_stream(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     table: str = "articles",
+    escape_lines: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    reader = (
-        spark.readStream.schema(schemas.STAGING[table])
-        .option("sep", delimited.SEPARATOR)
-        .option("header", "true")
-        .option("quote", delimited.QUOTE)
-        .option("escape", delimited.QUOTE)
-        .option("multiLine", "true")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("mode", "FAILFAST")
-    )
+    """Files of a landing folder as a stream, in the staging layout (or ``schema``).
+
+    Files whose line breaks are escaped (``escape_lines``, as the library's own hand-off writes them) are
+    split over tasks; others are read by one task each, since a quoted field may hold a line break.
+    """
+    schema = schema or schemas.STAGING[table]
+    reader = spark.readStream.schema(schema).options(**delimited.read_options(escape_lines=escape_lines)).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
-    return reader.csv(landing)
+    rows = reader.csv(landing)
+    return delimited.unescape_lines(rows, schema) if escape_lines else rows
+
+
+def again_on_conflict(apply, tries: int = 5):
+    """``apply``, run again from the new content where another run published first."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for left in range(tries - 1, -1, -1):
+            try:
+                return apply(batch, batch_id)
+            except PublishConflict:
+                if not left:
+                    raise
+
+    return run
 
 
 def _apply_batch(warehouse, strategy: str, broadcast_bytes: int | None, stream_tag: str, table: str = "articles", authors=None):
     from contentmart.plans.jobs import apply_delta
     from contentmart.sources.staging import STAGED_IDS
 
+    @again_on_conflict
     def apply(batch: DataFrame, batch_id: int) -> None:
         staged = typed_ids(batch, STAGED_IDS[table])
         tag = f"{stream_tag}#{batch_id}"
@@ -79,6 +95,7 @@ def run_incremental_stream(
     clean_source: str | None = None,
     table: str = "articles",
     authors=None,
+    escape_lines: bool = False,
 ):
     """Start (and with ``available_now`` drain) the landing -> warehouse stream.
 
@@ -88,9 +105,10 @@ def run_incremental_stream(
     this one batch late: a drained ``availableNow`` run leaves its last files).
     ``authors`` is a source of the author table (as for the batch load).
     ``table="authors"`` runs the same loop for author files (dimension only).
+    ``escape_lines``: as for ``landing_stream``.  Each batch's counts are kept in ``load_audit``.
     """
     writer = (
-        landing_stream(spark, landing, max_files_per_trigger, clean_source, table)
+        landing_stream(spark, landing, max_files_per_trigger, clean_source, table, escape_lines)
         .writeStream.foreachBatch(_apply_batch(warehouse, strategy, broadcast_bytes, f"stream:{checkpoint}", table, authors))
         .option("checkpointLocation", checkpoint)
     )

@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -433,6 +434,19 @@ def chunk_bounds(number: int, months: int) -> tuple[dt.date, dt.date]:
     return dt.date(lo[0], lo[1] + 1, 1), dt.date(hi[0], hi[1] + 1, 1)
 
 
+def _in_chunks(numbers, months: int):
+    """Whether ``published_at`` lies in one of the chunks, as ranges that a scan or a source can apply."""
+    spans: list[list[int]] = []
+    for n in sorted(numbers):
+        if spans and spans[-1][1] == n:
+            spans[-1][1] = n + 1
+        else:
+            spans.append([n, n + 1])
+    at, day = F.col("published_at"), lambda d: F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    each = [(at >= day(chunk_bounds(a, months)[0])) & (at < day(chunk_bounds(b, months)[0])) for a, b in spans]
+    return reduce(lambda x, y: x | y, each)
+
+
 def backfill_fact(
     spark: SparkSession,
     articles: DataFrame,
@@ -446,7 +460,8 @@ def backfill_fact(
     Chunks partition the fact's groups (each group has one ``published_at``), so the union equals the
     unchunked fact.  With ``sink`` the chunks are parts of a published table there.  A chunk is known by
     its bounds and a fingerprint of what it is made from (its live articles and the author keys): a rerun
-    writes the chunks that are missing or whose input changed, all in one job, and lists no others.
+    writes the chunks that are missing or whose input changed, all in one job, and lists no others; their
+    months are ranges of ``published_at``, which the scan or the source applies.
     """
     if sink is None:
         return facts.fact_full_load(articles, dim_authors, broadcast_bytes)
@@ -469,7 +484,7 @@ def backfill_fact(
     if todo or set(old) != set(prints):
         if todo:
             out = table._folder()
-            wanted = live.filter(F.col(CHUNK).isin(sorted(todo.values())))
+            wanted = live.filter(_in_chunks(todo.values(), months))
             fact = facts.fact_full_load(wanted.drop(CHUNK), dim_authors, broadcast_bytes)
             # The fact keeps the day of publication, which tells the chunk.
             day = F.col("published_date_at")

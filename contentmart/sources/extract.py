@@ -1,9 +1,12 @@
 """Extract: whole tables or change windows, from JDBC, files or frames.
 
-A JDBC read is split on the numeric key into ``partitions`` ranges, so each
-executor pulls its own slice (no whole table through one worker); the change
-predicate is a plain column filter that Spark pushes into the JDBC query and
-into parquet row-group statistics.
+A JDBC read is split on the numeric key into ``partitions`` slices of about
+equal rows, so each executor pulls its own share (no whole table through one
+worker, and none that gets a dense range of ids to itself): the source counts
+its keys in ranges, ranges with many keys are counted again in finer ones, and
+the slices are cut at those counts.  The change predicate is a plain column
+filter that Spark pushes into the JDBC query and into parquet row-group
+statistics.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ class JdbcSource:
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     partition_column: str = "id"
-    partitions: int = 8
+    partitions: int = 8  # slices of a read
     fetch_size: int = 10_000  # rows a driver may hold of one slice at a time
 
 
@@ -39,29 +42,97 @@ class FileSource:
     schemas: dict[str, StructType] = field(default_factory=dict)
 
 
+#: Ranges counted at once for each slice; a range is cut no finer than a quarter of a slice needs.
+RANGES_PER_SLICE = 8
+
+
+def key_counts(spark: SparkSession, src: JdbcSource, table: str, ranges: list[tuple[int, int, int]], where: str = "") -> list[tuple[int, int, int]]:
+    """(low, width, rows) of the key ranges that hold rows, counted by the source.
+
+    ``ranges`` are (low, high, width): keys from low to high, counted in steps of width.  The source
+    returns one row a step, and nothing of the table itself.
+    """
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(src.url)
+    key = dialect.quoteIdentifier(src.partition_column)
+    asked = [
+        f"SELECT {low} AS lo, {width} AS wd, ({key} - {low}) / {width} AS step FROM {table} "
+        f"WHERE {key} >= {low} AND {key} < {high}{where}"
+        for low, high, width in ranges
+    ]
+    counted = f"(SELECT lo, wd, step, COUNT(*) AS n FROM ({' UNION ALL '.join(asked)}) a GROUP BY lo, wd, step) h"
+    rows = spark.read.jdbc(src.url, counted, properties=src.properties).collect()
+    return sorted((int(r[0]) + int(r[1]) * int(r[2]), int(r[1]), int(r[3])) for r in rows)
+
+
+def slice_cuts(count, low: int, high: int, slices: int) -> list[int]:
+    """Keys at which [low, high] is cut into ``slices`` parts of about equal rows.
+
+    ``count(ranges)`` counts as ``key_counts`` does.  A range with more than a quarter of a slice's rows
+    is counted again in finer steps until none is left or single keys are reached, so no part is more
+    than a quarter of a slice off its share.
+    """
+    steps = slices * RANGES_PER_SLICE
+    found = count([(low, high + 1, max(1, -(-(high + 1 - low) // steps)))])
+    total = sum(n for *_, n in found)
+    fair = total / slices
+    while True:
+        coarse = [(lo, lo + width, max(1, -(-width // RANGES_PER_SLICE))) for lo, width, n in found if width > 1 and n > fair / 4]
+        if not coarse:
+            break
+        fine: list[tuple[int, int, int]] = []
+        for at in range(0, len(coarse), 64):  # a statement of bounded length
+            fine += count(coarse[at : at + 64])
+        again = {lo for lo, *_ in coarse}
+        found = sorted([f for f in found if f[0] not in again or f[1] == 1] + fine)
+    cuts, before = [], 0
+    for lo, width, n in found:
+        before += n
+        if before >= fair * (len(cuts) + 1) and len(cuts) < slices - 1:
+            cuts.append(lo + width)
+    return [c for c in dict.fromkeys(cuts) if c <= high]
+
+
 def _jdbc(spark: SparkSession, src: JdbcSource, table: str, ts_col: str | None = None, since=None, until=None) -> DataFrame:
     """``table`` in key slices, each pulled by its own task.
 
-    With a change window the bounds are those of the changed rows: a delta of recent ids would
-    otherwise fall into the last slice alone.
+    With a change window the slices are those of the changed rows: a delta of recent ids would
+    otherwise fall into the last slice alone.  The outer slices are open, and the first holds rows
+    without a key, so rows that arrive meanwhile are in one of them.
     """
     props = {"fetchsize": str(src.fetch_size), **src.properties}
     rows = spark.read.jdbc(src.url, table, properties=props)
+    quote = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(src.url).quoteIdentifier
+    where = ""
     if ts_col is not None and since is not None:
         rows = rows.filter(changed_since(ts_col, since, until))
+        where = f" AND {quote(ts_col)} >= '{since}'" + (f" AND {quote(ts_col)} < '{until}'" if until is not None else "")
     col = src.partition_column
     lo, hi = rows.agg(F.min(f"`{col}`"), F.max(f"`{col}`")).first()  # pushed into the database
-    if lo is None:
+    if lo is None or src.partitions <= 1:
         return spark.read.jdbc(src.url, table, properties=props)
-    return spark.read.jdbc(
-        src.url,
-        table,
-        column=col,
-        lowerBound=int(lo),
-        upperBound=int(hi) + 1,
-        numPartitions=max(1, src.partitions),
-        properties=props,
-    )
+    cuts = slice_cuts(lambda r: key_counts(spark, src, table, r, where), int(lo), int(hi), src.partitions)
+    key = quote(col)
+    if not cuts:
+        return spark.read.jdbc(src.url, table, properties=props)
+    slices = [f"{key} < {cuts[0]} OR {key} IS NULL"]
+    slices += [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return spark.read.jdbc(src.url, table, predicates=[*slices, f"{key} >= {cuts[-1]}"], properties=props)
+
+
+def extract_months(spark: SparkSession, src: JdbcSource, table: str, ts_col: str, start: dt.date, end: dt.date, months: int = 1) -> DataFrame:
+    """Rows with ``ts_col`` in [start, end), one slice for each ``months`` months, picked by the source."""
+    bounds, at = [], start
+    while at < end:
+        number = at.year * 12 + at.month - 1 + months
+        after = min(end, dt.date(number // 12, number % 12 + 1, 1))
+        bounds.append((at, after))
+        at = after
+    if not bounds:
+        raise ValueError(f"no month between {start} and {end}")
+    col = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(src.url).quoteIdentifier(ts_col)
+    slices = [f"{col} >= '{a} 00:00:00' AND {col} < '{b} 00:00:00'" for a, b in bounds]
+    props = {"fetchsize": str(src.fetch_size), **src.properties}
+    return spark.read.jdbc(src.url, table, predicates=slices, properties=props)
 
 
 def extract_changes(spark: SparkSession, source, table: str, ts_col: str | None, since, until=None) -> DataFrame:

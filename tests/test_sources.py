@@ -125,6 +125,61 @@ def test_jdbc_partitioned_full_extract(spark, derby):
     assert dict(df.dtypes)["updated_at"] == "timestamp_ntz"
 
 
+def test_jdbc_slices_follow_the_rows(spark, derby):
+    """Nine tenths of the ids in the last tenth of their range, rows without a key, a change window."""
+    ids = [i * 100 for i in range(100)] + list(range(9900, 10_800))
+    stamp = dt.datetime(2026, 1, 1)
+    rows = [(i, stamp + dt.timedelta(days=i % 10)) for i in ids] + [(None, stamp)] * 3
+    spark.createDataFrame(rows, "id long, updated_at timestamp_ntz").write.jdbc(derby.url, "DENSE", mode="overwrite", properties=derby.properties)
+    got = extract.extract_full(spark, derby, "DENSE")
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 2 * min(sizes)
+    assert sorted(r.id for r in got.filter("id is not null").collect()) == sorted(ids) and got.count() == len(rows)
+    late = extract.extract_changes(spark, derby, "DENSE", "updated_at", "2026-01-06 00:00:00", "2026-01-08 00:00:00")
+    want = [i for i in ids if 5 <= i % 10 < 7]
+    sizes = [r["count"] for r in late.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(r.id for r in late.collect()) == sorted(want) and len(sizes) == 4 and max(sizes) <= 2 * min(sizes)
+
+
+def test_slice_cuts_of_any_distribution():
+    import bisect
+    import random
+
+    rng = random.Random(2)
+    for _ in range(60):
+        wide = rng.choice([1, 50, 10**6, 10**15])
+        keys = sorted({rng.randrange(-wide, wide) for _ in range(400)} | {wide * 50 + i for i in range(rng.randrange(1, 3000))})
+
+        def count(ranges, keys=keys):
+            found = {}
+            for low, high, width in ranges:
+                for k in keys[bisect.bisect_left(keys, low) : bisect.bisect_left(keys, high)]:
+                    at = low + (k - low) // width * width
+                    found[at, width] = found.get((at, width), 0) + 1
+            return sorted((at, width, n) for (at, width), n in found.items())
+
+        cuts = extract.slice_cuts(count, keys[0], keys[-1], 8)
+        edges = [0, *[bisect.bisect_left(keys, c) for c in cuts], len(keys)]
+        sizes = [b - a for a, b in zip(edges, edges[1:], strict=False)]
+        assert len(keys) < 64 or (len(sizes) == 8 and max(sizes) <= 2 * min(sizes)), sizes
+
+
+def test_jdbc_months(spark, derby):
+    got = extract.extract_months(spark, derby, "ARTICLES", "published_at", dt.date(2026, 4, 20), dt.date(2026, 5, 8), months=1)
+    assert got.rdd.getNumPartitions() == 2
+    want = [r[0] for r in seed.article_rows() if r[3] and dt.datetime(2026, 4, 20) <= r[3] < dt.datetime(2026, 5, 8)]
+    assert sorted(r.id for r in got.collect()) == want
+
+
+def test_backfill_asks_the_source_for_its_months(spark, derby):
+    from contentmart.plans.jobs import _in_chunks
+
+    rows = extract.extract_full(spark, derby, "ARTICLES").filter(_in_chunks([2026 * 12 + 3, 2026 * 12 + 4], 1))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "*GreaterThanOrEqual(published_at,2026-04-01T00:00), *LessThan(" in plan  # both marked as applied by the source
+    assert rows.count() == 25
+
+
 def test_jdbc_delta_pushdown(spark, derby):
     df = extract.extract_full(spark, derby, "ARTICLES")
     delta = extract.extract_delta(df, "updated_at", "2026-05-19 00:00:00")

@@ -22,6 +22,8 @@ Plan shape (see README, "merge"):
   dealt out by a salt.  Source keys with more than ``hot_rows`` rows are hot: their rows are dealt over as
   many salts as their count asks for, and a target row with such a key is copied to each of them (a
   match there is a cardinality error anyway);
+* bucketed form (a target stored in buckets of its key): the full outer join again, but only the source is
+  shuffled, into the target's buckets; rows with a NULL source key pass it by;
 * broadcast form (small, always measured source): the target is streamed through broadcast joins and
   never shuffled; inserts are the source rows whose key no target row holds.
 
@@ -191,6 +193,14 @@ def _shuffle_plan(
     return left.hint("merge").join(right.hint("merge"), on, "full").drop("__ts", "__ss", "__row")
 
 
+def _bucketed_plan(t: DataFrame, s: DataFrame, tkey: str, skey: str, buckets: int) -> DataFrame:
+    """A target stored in buckets of its key: only the source is shuffled, into the same buckets."""
+    s = s.withColumn("__in_s", F.lit(True))
+    keyed = s.filter(F.col(skey).isNotNull()).repartition(buckets, skey)
+    here = t.withColumn("__in_t", F.lit(True)).hint("merge").join(keyed.hint("merge"), F.col(tkey) == F.col(skey), "full")
+    return here.unionByName(s.filter(F.col(skey).isNull()), allowMissingColumns=True)
+
+
 def _validate(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
     if spec.target_key not in target.columns:
         raise ValueError(f"merge key {spec.target_key!r} is not a target column")
@@ -222,6 +232,7 @@ def merge_frame(
     source_bound: Size | None = None,
     hot_rows: int = 100_000,
     staged: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """All merge outcomes: target columns plus ``merge_action``.
 
@@ -229,7 +240,8 @@ def merge_frame(
     ``merge`` drops them.  ``source_bound`` is an upper bound of the source
     size the caller already knows (e.g. from the staged input); without it
     the source is measured in one pass.  ``staged`` says that ``source`` is a
-    stored frame which is cheap to read again.
+    stored frame which is cheap to read again.  ``buckets`` says that the
+    target is stored in so many buckets of its key.
     """
     _validate(target, source, spec)
     spark = source.sparkSession
@@ -244,7 +256,9 @@ def merge_frame(
     t = _prefixed(target, TGT)
     tkey, skey = TGT + spec.target_key, SRC + spec.source_key
     repeated, most = _repeated(s, skey)
-    if chosen == "broadcast":
+    if buckets and most <= hot_rows:
+        joined = _bucketed_plan(t, _counted(s, skey, repeated), tkey, skey, buckets)
+    elif chosen == "broadcast":
         joined = _broadcast_plan(t, _counted(s, skey, repeated), tkey, skey)
     else:
         # Row numbers of the stored copy: the same after a retry, unlike a random salt.
@@ -268,13 +282,14 @@ def merge(
     source_bound: Size | None = None,
     hot_rows: int = 100_000,
     staged: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """New target content after MERGE of ``source`` into ``target``.
 
     ``hot_rows``: a source key with more rows than this is spread over
     several tasks in the shuffle form.
     """
-    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound, hot_rows, staged)
+    frame = merge_frame(target, source, spec, strategy, broadcast_bytes, source_bound, hot_rows, staged, buckets)
     return frame.filter(F.col(ACTION).isin("keep", "update", "insert")).drop(ACTION)
 
 

@@ -26,7 +26,7 @@ from contentmart.oracle_sql import date_key_sql, merge_sql
 from contentmart.plans import jobs
 from contentmart.session import scratch_path
 from contentmart.sources import delimited, extract, fs, staging
-from contentmart.sources.publish import SnapshotTable, Warehouse
+from contentmart.sources.publish import BucketedTable, SnapshotTable, Warehouse
 from contentmart.sources.ranged import RangedWarehouse
 from contentmart.streaming.changes import run_change_stream, write_changes
 from contentmart.streaming.incremental import run_incremental_stream
@@ -476,6 +476,17 @@ def q_merge_fact_small_delta_shuffle(spark, sf):
     return facts.merge_fact(_fact(spark, sf), source, strategy="shuffle")
 
 
+@register("merge_fact_bucketed", fact_merge_sql())
+def q_merge_fact_bucketed(spark, sf):
+    """The fact stored in buckets of its key: the merge shuffles the delta only."""
+    root = scratch_path(spark, "bucketed")
+    fact = BucketedTable(spark, f"{root}/fact", schemas.FACT_REPORTS_ARTICLES, "article_id")
+    fact.publish(_fact(spark, sf))
+    source = staging.RunScratch(spark).keep(_delta_source(spark, sf), "delta")
+    fact.merge(source, facts.fact_merge_spec())
+    return fact.read()
+
+
 @register("merge_actions", fact_merge_sql("actions"))
 def q_merge_actions(spark, sf):
     bound = facts.delta_source_bound(_v(spark, sf, "delta"))

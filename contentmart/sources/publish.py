@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from contentmart.operators import merge as M
+from contentmart.operators.sizing import measure
 from contentmart.sources import fs
 
 #: Unlisted folders younger than this may belong to a running writer; ``vacuum`` leaves them.
@@ -287,6 +289,64 @@ class AppendTable(PublishedTable):
         return self._point({**parts, os.path.basename(path): path}, tag)
 
 
+class BucketedTable(PublishedTable):
+    """A table stored in buckets of its merge key, so that a merge does not shuffle it.
+
+    The bucket layout is Spark's own; each session declares the published folder as a table of its
+    catalog.  The merge's result is partitioned as the buckets are, so writing it moves no rows either.
+    """
+
+    #: Bytes aimed at for one bucket, before compression.
+    BUCKET_BYTES = 1 << 30
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str, buckets: int | None = None):
+        super().__init__(spark, root, schema)
+        self.key, self.asked_buckets = key, buckets
+
+    @property
+    def buckets(self) -> int | None:
+        """Buckets of the content: what was asked for, else measured by the first publish, then kept."""
+        return self.state().get("buckets")
+
+    def _declared(self, path: str) -> str:
+        return f"contentmart_{os.path.basename(path)}"
+
+    def read(self) -> DataFrame:
+        parts = self.state()["parts"]
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        name, path = self._declared(parts["all"]), parts["all"]
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE `{name}` ({columns}) USING parquet "
+                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
+
+    def publish(self, df: DataFrame, tag: str | None = None, watch=None) -> int:
+        if self.applied(tag):
+            return self.current_version()
+        buckets = self.buckets or self.asked_buckets or max(1, -(-measure(df).bytes // self.BUCKET_BYTES))
+        rows = self._shaped(df).repartition(buckets, self.key)
+        return self._store(watch(rows) if watch else rows, buckets, tag)
+
+    def _store(self, rows: DataFrame, buckets: int, tag: str | None) -> int:
+        path = self._folder()
+        writer = rows.write.format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
+        writer.option("path", path).saveAsTable(self._declared(path))
+        return self._point({"all": path}, tag, buckets=buckets)
+
+    def merge(self, source: DataFrame, spec: M.MergeSpec, tag: str | None = None) -> int:
+        """MERGE a staged ``source`` (it is read more than once) into the table."""
+        if self.applied(tag):
+            return self.current_version()
+        if spec.target_key != self.key:
+            raise ValueError(f"table is bucketed on {self.key}, merge matches on {spec.target_key}")
+        merged = M.merge(self.read(), source, spec, staged=True, buckets=self.buckets)
+        return self._store(self._shaped(merged), self.buckets, tag) if self.buckets else self.publish(merged, tag)
+
+
 def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None) -> DataFrame:
     """INSERT INTO t (c1, c2, ...) SELECT ...: bind by the named list, NULL for the rest."""
     if len(columns) != len(df.columns):

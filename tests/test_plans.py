@@ -57,6 +57,30 @@ def test_merge_forms_over_a_stored_target(spark, strategy, expect_smj):
         assert "Exchange hashpartitioning(__t_article_id" not in p
 
 
+def test_a_bucketed_target_is_not_shuffled(spark):
+    from contentmart import schemas
+    from contentmart.operators import merge as M
+    from contentmart.sources.publish import BucketedTable
+
+    root = scratch_path(spark, "plan-bucketed")
+    registry.QUERIES["fact_delta_source"](spark, SF_SMALL).write.parquet(f"{root}/delta")
+    delta = spark.read.parquet(f"{root}/delta")
+    table = BucketedTable(spark, f"{root}/fact", schemas.FACT_REPORTS_ARTICLES, "article_id", buckets=6)
+    table.publish(registry.QUERIES["fact_full_load"](spark, SF_SMALL))
+    merged = M.merge(table.read(), delta, facts.fact_merge_spec(), staged=True, buckets=6)
+    merged.write.format("noop").mode("overwrite").save()
+    p = plan(merged)
+    join = p[p.index("SortMergeJoin") :].splitlines()
+    target = next(i for i, line in enumerate(join) if "Bucketed: true" in line)
+    source = next(i for i, line in enumerate(join) if "Exchange" in line)
+    assert target < source and "repartition" in join[source].lower()  # the first exchange is the source's own
+    want = sorted(facts.merge_fact(table.read(), delta, "shuffle").collect(), key=repr)
+    again = BucketedTable(spark, f"{root}/fact", table.schema, "article_id")
+    again.merge(delta, facts.fact_merge_spec(), tag="s#1")
+    again.merge(delta, facts.fact_merge_spec(), tag="s#1")
+    assert sorted(again.read().collect(), key=repr) == want and again.buckets == 6 and again.current_version() == 2
+
+
 def test_no_cross_joins_anywhere(spark):
     skip = {"stream_incremental", "audit_counts", "full_load_fact", "incremental_load_fact", "full_refresh_idempotent", "backfill_chunked"}
     for name, q in registry.QUERIES.items():

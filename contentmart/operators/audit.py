@@ -46,3 +46,24 @@ class RunAudit:
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = sorted(self.counts().items())
         return spark.createDataFrame(rows, "stage string, rows long")
+
+
+def balance(counts: DataFrame, tables: tuple[str, ...] = ("authors", "articles")) -> DataFrame:
+    """Per run and table: rows extracted, put in quarantine and loaded, and whether they add up.
+
+    ``counts`` is the audit table (run_id, job, stage, rows).  A run that merges instead of loading a
+    whole dimension has no loaded rows to compare and no verdict.
+    """
+    each = F.explode(F.array(*[F.lit(t) for t in tables])).alias("source")
+    staged = counts.select("run_id", "job", "stage", "rows", each)
+
+    def rows(prefix: str):
+        return F.sum(F.when(F.col("stage") == F.concat(F.lit(prefix), F.col("source")), F.col("rows")))
+
+    per_run = staged.groupBy("run_id", "job", "source").agg(
+        rows("staging_").alias("extracted"),
+        F.coalesce(rows("quarantine_"), F.lit(0)).alias("quarantined"),
+        rows("dim_").alias("loaded"),
+    )
+    adds_up = F.col("extracted") == F.col("quarantined") + F.col("loaded")
+    return per_run.filter(F.col("extracted").isNotNull()).withColumn("balanced", adds_up)

@@ -40,6 +40,7 @@ from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, dim_dat
 from contentmart.operators.casts import split_bad_ids, typed_ids
 from contentmart.operators.quality import ConstraintViolation, split_held, split_unique, split_valid
 from contentmart.operators.reconcile import applied_spec, cdc_spec, hard_delete_removed, last_change, newer_changes
+from contentmart.plans.parallel import at_once
 from contentmart.sources import fs
 from contentmart.sources.extract import extract_changes, extract_full
 from contentmart.sources.publish import BaseWarehouse, PublishedTable, Warehouse
@@ -208,13 +209,15 @@ def full_load(
 ) -> LoadResult:
     run = _Run(spark, "full_load", warehouse, staging, on_violation)
     with run:
-        authors = run.stage("authors", extract_full(spark, source, "authors"))
-        articles = run.stage("articles", extract_full(spark, source, "articles"))
+        authors, articles = at_once(
+            spark,
+            lambda: run.stage("authors", extract_full(spark, source, "authors")),
+            lambda: run.stage("articles", extract_full(spark, source, "articles")),
+        )
         out = {"dim_authors": dims.dim_authors(authors), "dim_articles": dims.dim_articles(articles)}
         dim_rows = None
         if warehouse is not None:
-            for name in ("dim_authors", "dim_articles"):
-                run.counted(name, out[name])
+            at_once(spark, *[lambda n=name, df=df: run.counted(n, df) for name, df in out.items()])
             out = {name: warehouse.read(name) for name in out}
             dim_rows = run.result.audit.count("dim_authors")
         out[FACT] = facts.fact_full_load(articles, out["dim_authors"], broadcast_bytes, dim_rows)
@@ -251,9 +254,11 @@ def incremental_load(
     run = _Run(spark, "incremental_load", _store(current), staging, on_violation)
     with run:
         tables = run.tables(current)
-        authors = extract_changes(spark, source, "authors", author_ts_col, since, until)
-        authors = run.stage("authors", authors, tables["dim_authors"])
-        articles = run.stage("articles", extract_changes(spark, source, "articles", "updated_at", since, until))
+        authors, articles = at_once(
+            spark,
+            lambda: run.stage("authors", extract_changes(spark, source, "authors", author_ts_col, since, until), tables["dim_authors"]),
+            lambda: run.stage("articles", extract_changes(spark, source, "articles", "updated_at", since, until)),
+        )
         tables, skipped = _apply(run, current, tables, authors, articles, strategy, broadcast_bytes)
     run.result.tables, run.result.skipped = tables, skipped
     return run.result
@@ -301,8 +306,8 @@ def apply_delta(
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Stage source rows of a delta and MERGE them into the warehouse.
 
-    Order as in the reference: both dims, then the fact, whose source joins
-    the *merged* author dimension.  Empty batches skip their merges.  With a
+    Order as in the reference: both dims (at once), then the fact, whose source
+    joins the *merged* author dimension.  Empty batches skip their merges.  With a
     ``tag`` each table records the batch, and a replay of it publishes nothing.
     """
     run = _Run(spark, "apply_delta", _store(current), None, on_violation, tag)
@@ -316,14 +321,22 @@ def _apply(run: _Run, current, tables, authors, articles, strategy, broadcast_by
     """``apply_delta`` for rows that are staged already."""
     merge = _merge_into(current, tables, strategy, broadcast_bytes, tag)
     skipped: list[str] = []
-    if authors is None or authors.isEmpty():
-        skipped.append("dim_authors")
-    else:
-        tables["dim_authors"] = merge("dim_authors", authors, dims.authors_upsert_spec())
-    bound = facts.delta_source_bound(articles)
+
+    def merge_authors() -> None:
+        if authors is None or authors.isEmpty():
+            skipped.append("dim_authors")
+        else:
+            tables["dim_authors"] = merge("dim_authors", authors, dims.authors_upsert_spec())
+
+    def merge_articles():
+        bound = facts.delta_source_bound(articles)
+        if not bound.empty:
+            tables["dim_articles"] = merge("dim_articles", articles, dims.articles_upsert_spec())
+        return bound
+
+    _, bound = at_once(run.spark, merge_authors, merge_articles)
     if bound.empty:
         return tables, [*skipped, "dim_articles", FACT]
-    tables["dim_articles"] = merge("dim_articles", articles, dims.articles_upsert_spec())
     delta_source = run.scratch.keep(facts.fact_delta_source(articles, tables["dim_authors"], broadcast_bytes), "fact-source")
     tables[FACT] = merge(FACT, delta_source, facts.fact_merge_spec(), bound)
     return tables, skipped

@@ -19,7 +19,7 @@ from contentmart import schemas
 from contentmart.fixtures import with_views
 from contentmart.functions.dates import date_key, ntz_literal, yyyymmdd_text
 from contentmart.functions.predicates import is_live, is_removable
-from contentmart.operators import dims, facts, keys, merge, quality, reconcile, reports
+from contentmart.operators import audit, dims, facts, keys, merge, quality, reconcile, reports
 from contentmart.operators.calendar import calendar, covering_bounds, dim_date
 from contentmart.operators.casts import typed_ids
 from contentmart.oracle_sql import date_key_sql, merge_sql
@@ -626,6 +626,25 @@ def q_load_quarantine(spark, sf):
     return out.unionByName(kept)
 
 
+@register(
+    "audit_balance",
+    with_views(
+        """select 'authors' as source, count(*) as extracted, count(*) filter (where name is null or length(name) > 255) as quarantined,
+       count(*) filter (where length(name) <= 255) as loaded, true as balanced from authors_raw
+union all
+select 'articles', count(*), count(*) - count(distinct id), count(distinct id), true from articles_dup""",
+        "authors_raw",
+        "articles_dup",
+    ),
+)
+def q_audit_balance(spark, sf):
+    """Extracted = quarantined + loaded, from what a load has left in the audit table."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    src = {"authors": _v(spark, sf, "authors_raw"), "articles": _v(spark, sf, "articles_dup")}
+    jobs.full_load(spark, src, warehouse=wh, on_violation="quarantine")
+    return audit.balance(wh.read("load_audit")).drop("run_id", "job")
+
+
 _ARTICLE_ORDER = ", ".join(f"{c} desc nulls last" for c in ["updated_at", *ARTICLE_COLS.replace(", updated_at", "").split(", ")])
 
 

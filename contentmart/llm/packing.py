@@ -110,6 +110,11 @@ def encode(texts: list[str], path: str) -> Iterator[bytes]:
 
 def encode_words(words: list[str], path: str) -> bytes:
     """Ids of lowered words one after another."""
+    return b"".join(encoded_words(words, path))
+
+
+def encoded_words(words: list[str], path: str) -> Iterator[bytes]:
+    """Ids of each lowered word."""
     tokenizer, cache = _encoder(path)
     new = [w for w in dict.fromkeys(words) if w not in cache]
     if len(cache) + 2 * len(new) > CACHE_WORDS:
@@ -124,7 +129,7 @@ def encode_words(words: list[str], path: str) -> bytes:
             cache[w] = _bytes(e)
     for w in ended:
         cache[w] = cache[w[:-1]] + cache[w[-1]]
-    return b"".join(map(cache.__getitem__, words))
+    return map(cache.__getitem__, words)
 
 
 def _bytes(encoding) -> bytes:

@@ -133,6 +133,32 @@ def test_gradients():
         assert abs((loss(up) - loss(down)) / 2e-4 - g[k][at]) < 1e-5, k
 
 
+def test_texts_that_share_their_ids_differ_in_score(spark):
+    texts = ["2024", "2 0 2 4", "foo,bar", "foo , bar", "foo, bar", "a b", "a  b"]
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(texts + ["foo bar. 20 24, a b"] * 9)]
+    got = {r.doc_id: r.score for r in S.score(spark.createDataFrame(data, DOCS), tokenizer_path(), steps=3).collect()}
+    assert len({round(got[i], 9) for i in range(5)}) == 5
+    assert got[5] == got[6]  # the same words
+
+
+def test_where_words_begin_is_a_distribution_from_counts(spark):
+    df = spark.createDataFrame([("foo, bar. foo, bar",), ("x,y foo bar.",)], "text string")
+    size = S.vocabulary_size(tokenizer_path()) + 1
+    pairs = S.pair_counts(df, tokenizer_path(), size)
+    comma, foo, bar = (int(np.frombuffer(S.encode_words([w], tokenizer_path()), "<u4")[0]) for w in (",", "foo", "bar"))
+    rows = {(r.before, r.id): (r.n, r.gaps) for r in pairs.collect()}
+    assert rows[foo, comma] == (2, 0) and rows[comma, bar] == (2, 2) and rows[foo, bar] == (1, 1)
+    model = small()[0]
+    model.gap = S.gap_odds(pairs, size)
+    new = {}
+    for a in (comma, foo, bar):
+        for b in (comma, foo, bar):
+            both = [np.exp(M.gap_log_prob(model, np.array([a, b]), np.array([g]))) for g in (True, False)]
+            assert abs(sum(both) - 1) < 1e-9 and min(both) > 0
+            new[a, b] = both[0]
+    assert new[foo, comma] < 0.3 and new[comma, bar] > 0.7
+
+
 def test_empty_table_and_no_training_rows(spark):
     assert S.score(edge_docs(spark).limit(0), tokenizer_path(), steps=2).collect() == []
     one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)

@@ -181,55 +181,53 @@ def dedup(
     base = base.withColumn("digest", digest(F.col("norm")))
 
     # Batch by batch: distinct texts by digest and bytes; copies collapse before the shuffle.
-    texts, _ = materialise(base.groupBy("snapshot", "digest", "norm").agg(F.count("*").alias("n")), "exact-buckets")
-    digests = texts.groupBy("snapshot", "digest").agg(F.count("*").alias("variants"))
-    digests, _ = materialise(digests, "exact-digests")
+    texts = base.groupBy("snapshot", "digest", "norm").agg(F.count("*").alias("n"))
+    texts, _ = materialise(texts.withColumn("text_sha256", F.sha2("norm", 256)), "exact-buckets")
+    digests, _ = materialise(texts.select("snapshot", "digest").distinct(), "exact-digests")
 
-    # Snapshots screen the batches that came after them; positives are compared byte by byte.
+    # Snapshots screen the batches that came after them; positives are compared with the exact buckets
+    # byte by byte, and where an earlier snapshot has the text, the first that has it is its home.
     n_digests = digests.count()
     ranges = max(1, math.ceil(n_digests / max(1, keys_per_filter * batches)))
     filters, _ = materialise(build_filters(digests, ranges), "exact-filters")
     positive, _ = materialise(screen(digests, filters, ranges), "exact-positives")
     new = texts.join(positive, ["snapshot", "digest"], "left_semi").select(
-        "digest", F.col("norm").alias("new_norm"), F.col("snapshot").alias("new_snapshot")
+        "digest", "text_sha256", F.col("norm").alias("new_norm"), F.col("snapshot").alias("new_snapshot")
     )
-    checked = new.join(texts, "digest").filter("snapshot < new_snapshot")
-    checked = checked.select("new_snapshot", "digest", (F.col("norm") == F.col("new_norm")).alias("same"))
-    checked, _ = materialise(checked.groupBy("new_snapshot", "digest").agg(F.min("same").alias("same")), "exact-checked")
-
-    # Digests that more than one text has (none, with an honest digest) are grouped by their bytes.
-    clash = digests.filter("variants > 1").select("digest").union(checked.filter("not same").select("digest")).distinct()
-    clash, _ = materialise(clash, "exact-clashes")
-    narrow = base.select("doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), "snapshot", "digest")
-    if clash.isEmpty():
-        rows = narrow.withColumn("variant", F.lit(""))
-    else:
-        told_apart = base.join(clash, "digest", "left_semi").select(
-            "doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), "snapshot", "digest", F.col("norm").alias("variant")
-        )
-        rows = narrow.join(clash, "digest", "left_anti").withColumn("variant", F.lit("")).unionByName(told_apart)
+    same = (F.col("snapshot") < F.col("new_snapshot")) & (F.col("norm") == F.col("new_norm"))
+    found = new.join(texts.select("digest", "snapshot", "norm"), "digest").filter(same)
+    homes = found.groupBy("new_snapshot", "digest", "text_sha256").agg(F.min("snapshot").alias("home"))
+    homes, _ = materialise(homes.withColumnRenamed("new_snapshot", "snapshot"), "exact-homes")
+
+    # Each batch's own groups; those with a home in a snapshot join the group there, and only these
+    # groups are summed.  All others are whole as they are.
+    rows = base.select("doc_id", "n_cp", F.sha2("norm", 256).alias("text_sha256"), "snapshot", "digest")
     rows, _ = materialise(rows.withColumn("rid", F.monotonically_increasing_id()), "exact-rows")
-
-    # New-batch groups; those that met an equal text in a snapshot join its group.
     order = F.struct(
         "n_cp",
         F.col("doc_id").isNotNull().alias("has_id"),
         F.bitwise_not("doc_id").alias("by_id"),
         F.bitwise_not("rid").alias("by_rid"),
     )
-    groups = rows.groupBy("snapshot", "digest", "variant").agg(F.max(order).alias("best"), F.count("*").alias("size"))
-    whole = groups.groupBy("digest", "variant").agg(
-        F.max("best").alias("best"), F.sum("size").alias("group_size")
+    at = ["snapshot", "digest", "text_sha256"]
+    groups = rows.groupBy(*at).agg(F.max(order).alias("best"), F.count("*").alias("size"))
+    called = homes.select(F.col("home").alias("snapshot"), "digest", "text_sha256", F.lit(True).alias("called")).distinct()
+    groups = groups.join(homes, at, "left").join(called, at, "left")
+    groups, _ = materialise(groups.withColumn("home", F.coalesce("home", "snapshot")), "exact-groups")
+    joined = (F.col("home") != F.col("snapshot")) | F.coalesce("called", F.lit(False))
+    summed = groups.filter(joined).groupBy("home", "digest", "text_sha256").agg(
+        F.max("best").alias("best"), F.sum("size").alias("size")
     )
+    joined_groups = groups.filter(joined).select(*at, "home").join(summed, ["home", "digest", "text_sha256"])
+    whole = groups.filter(~joined).select(*at, "best", "size").unionByName(joined_groups.select(*at, "best", "size"))
     keep = whole.select(
-        "digest",
-        "variant",
+        *at,
         F.bitwise_not("best.by_id").alias("keep_id"),
         F.bitwise_not("best.by_rid").alias("keep_rid"),
-        "group_size",
+        F.col("size").alias("group_size"),
     )
-    # Written first: the join below then shuffles both sides itself, and Spark can split a hot digest.
+    # Written first: the join below then shuffles both sides itself, and Spark can split a hot text.
     keep, _ = materialise(keep, "exact-keep")
-    return rows.join(keep, ["digest", "variant"]).select(
+    return rows.join(keep, at).select(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256"
     )

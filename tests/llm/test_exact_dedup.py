@@ -38,6 +38,17 @@ def test_equal_digests_are_told_apart_by_their_bytes(spark):
     assert rows(weak, *COLS) == brute(edge_rows())
 
 
+def test_the_screen_decides(spark, monkeypatch):
+    """Equal texts of two batches meet through the filters and nothing else; a filter that lets all through is no harm."""
+    want = brute(edge_rows())
+    monkeypatch.setattr(X, "screen", lambda incoming, filters, ranges: incoming.select("snapshot", "digest"))
+    assert rows(X.dedup(edge_docs(spark), batches=3), *COLS) == want
+    monkeypatch.setattr(X, "screen", lambda incoming, filters, ranges: incoming.select("snapshot", "digest").limit(0))
+    alone = X.dedup(edge_docs(spark), batches=3).collect()
+    assert sum(r.kept for r in alone) > sum(w[3] for w in want)
+    assert max(r.group_size for r in alone) < max(w[2] for w in want)
+
+
 def test_clashing_names_and_empty_table(spark):
     assert rows(X.dedup(clashing(edge_docs(spark))), *COLS) == brute(edge_rows())
     assert X.dedup(edge_docs(spark).limit(0)).collect() == []

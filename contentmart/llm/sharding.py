@@ -58,24 +58,42 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def ordered(dtype: str, c: Column) -> Column:
-    """An ordered number for a value: itself, or the first seven UTF-8 bytes of a string."""
-    if dtype == "string":
-        padded = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(padded, 16, 10).cast("double")
-    return c.cast("double")
+def string_cuts(df: DataFrame, dim: str, bits: int) -> list[tuple[str, int]]:
+    """The strings at which a dimension is cut, and by how many cells: a string's cell is the share of the
+    rows that order before it.
+
+    Distinct values are counted, dealt to ranges in their order and summed range by range, so any number
+    of values and any length will do; 2 ** bits - 1 strings at most come back.
+    """
+    values = df.filter(F.col(dim).isNotNull()).groupBy(F.col(dim).alias("value")).agg(F.count("*").alias("n"))
+    ranged = values.repartitionByRange("value").withColumn("part", F.spark_partition_id())
+    ranged, _ = materialise(ranged, "hilbert-values")
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("rows"))  # a row per range
+    first = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("part", first.alias("first"), F.sum("rows").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("part").orderBy("value")
+    earlier = F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.withColumn("earlier", earlier).join(F.broadcast(sums), "part")
+    cell = F.expr(f"((first + earlier) * {1 << bits}) div total")
+    got = placed.groupBy(cell.alias("cell")).agg(F.min("value").alias("value")).collect()
+    found = sorted((r["value"], r["cell"]) for r in got)
+    return [(value, cell - before) for (_, before), (value, cell) in zip(found, found[1:], strict=False)]
 
 
 def quantised(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
     """Adds ``cells``: for each dimension the number of its quantile cuts at or below the value; null is 0."""
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    kinds = dict(df.dtypes)
-    asked = [F.percentile_approx(ordered(kinds[d], F.col(d)), steps, 10_000).alias(d) for d in dims]
-    cuts = df.agg(*asked).first()  # (2 ** bits - 1) numbers per dimension, whatever the data
+    text = [d for d, kind in df.dtypes if d in dims and kind == "string"]
+    number = [d for d in dims if d not in text]
+    cuts = {d: string_cuts(df, d, bits) for d in text}
+    if number:
+        asked = [F.percentile_approx(F.col(d).cast("double"), steps, 10_000).alias(d) for d in number]
+        found = df.agg(*asked).first()  # (2 ** bits - 1) numbers per dimension, whatever the data
+        cuts |= {d: [(float(x), 1) for x in found[d] or []] for d in number}
     cells = []
     for d in dims:
-        v = ordered(kinds[d], F.col(d))
-        below = [F.when(v >= F.lit(float(x)), 1).otherwise(0) for x in cuts[d] or []]
+        v = F.col(d) if d in text else F.col(d).cast("double")
+        below = [F.when(v >= F.lit(x), by).otherwise(0) for x, by in cuts[d]]
         cells.append(sum(below, F.lit(0)))
     return df.withColumn("cells", F.array(*[c.cast("int") for c in cells]))
 

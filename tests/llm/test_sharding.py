@@ -59,6 +59,25 @@ def test_layout_splits_heavy_cells_and_packs_light_ones():
     assert H.lay_out([], 100) == ([], 1)
 
 
+@pytest.mark.parametrize("n,cells", [(40, 16), (3, 3), (1, 1)])
+def test_strings_are_cut_by_rank_however_they_begin(spark, n, cells):
+    names = [f"https://example.org/a/very/long/common/beginning/{i:02d}" for i in range(n)]
+    df = spark.createDataFrame([(names[i % n], i) for i in range(800)] + [(None, -1)], "source string, k int").repartition(5)
+    got = {(r.source, r.cells[0]) for r in H.quantised(df, ["source"], 4).collect()}
+    assert len(got) == n + 1 and len({c for s, c in got if s}) == cells and (None, 0) in got
+    order = [c for _, c in sorted((s, c) for s, c in got if s)]
+    assert order == sorted(order)
+
+
+def test_a_hot_string_takes_one_cell_and_the_rest_are_spread(spark):
+    rows = [("m" * 50, i) for i in range(500)] + [(f"{'a' if i % 2 else 'z'}{i:04d}", i) for i in range(1000)]
+    got = H.quantised(spark.createDataFrame(rows, "source string, k int"), ["source"], 4).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.cells[0]] = sizes.get(r.cells[0], 0) + 1
+    assert max(sizes.values()) <= 600 and len(sizes) >= 11
+
+
 def test_runs_are_of_about_equal_bytes(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows, _ = H.shard(df, run_bytes=1_000_000)

@@ -113,11 +113,11 @@ def encode_words(words: list[str], path: str) -> bytes:
     return b"".join(encoded_words(words, path))
 
 
-def encoded_words(words: list[str], path: str) -> Iterator[bytes]:
-    """Ids of each lowered word."""
+def encoded_words(words: list[str], path: str, kept: int = CACHE_WORDS) -> Iterator[bytes]:
+    """Ids of each lowered word; the worker keeps those of at most ``kept`` words."""
     tokenizer, cache = _encoder(path)
     new = [w for w in dict.fromkeys(words) if w not in cache]
-    if len(cache) + 2 * len(new) > CACHE_WORDS:
+    if len(cache) + 2 * len(new) > kept:
         cache.clear()
         new = list(dict.fromkeys(words))
     ended = [w for w in new if len(w) > 1 and w[-1] in ".," and "a" <= w[-2] <= "z"]

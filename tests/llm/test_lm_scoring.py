@@ -145,7 +145,7 @@ def test_where_words_begin_is_a_distribution_from_counts(spark):
     df = spark.createDataFrame([("foo, bar. foo, bar",), ("x,y foo bar.",)], "text string")
     size = S.vocabulary_size(tokenizer_path()) + 1
     pairs = S.pair_counts(df, tokenizer_path(), size)
-    comma, foo, bar = (int(np.frombuffer(S.encode_words([w], tokenizer_path()), "<u4")[0]) for w in (",", "foo", "bar"))
+    comma, foo, bar = (int(S._ids([w], tokenizer_path())[0][0]) for w in (",", "foo", "bar"))
     rows = {(r.before, r.id): (r.n, r.gaps) for r in pairs.collect()}
     assert rows[foo, comma] == (2, 0) and rows[comma, bar] == (2, 2) and rows[foo, bar] == (1, 1)
     model = small()[0]

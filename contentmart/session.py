@@ -29,7 +29,6 @@ def local_conf(cores: int | str = "*", shuffle_partitions: int = 8) -> dict[str,
         "spark.master": f"local[{cores}]",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.default.parallelism": str(shuffle_partitions),
-        "spark.scheduler.mode": "FAIR",  # steps that run at once share the executors
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,7 +44,6 @@ def local_conf(cores: int | str = "*", shuffle_partitions: int = 8) -> dict[str,
 def cluster_conf() -> dict[str, str]:
     """Starting point for a ~1000-executor cluster reading ~100 TB."""
     return {
-        "spark.scheduler.mode": "FAIR",  # steps that run at once share the executors
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

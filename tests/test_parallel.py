@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from contentmart.plans.parallel import POOL, at_once
+from contentmart.plans.parallel import at_once
 
 
 def test_steps_overlap_and_keep_the_callers_properties(spark):
@@ -18,12 +18,11 @@ def test_steps_overlap_and_keep_the_callers_properties(spark):
             both.wait()
             assert spark.range(n).count() == n
             both.wait()
-            return n, context.getLocalProperty("contentmart.test"), context.getLocalProperty(POOL)
+            return n, context.getLocalProperty("contentmart.test")
 
         return run
 
-    assert at_once(spark, step(10), step(20)) == [(10, "inherited", "contentmart-0"), (20, "inherited", "contentmart-1")]
-    assert context.getLocalProperty(POOL) is None
+    assert at_once(spark, step(10), step(20)) == [(10, "inherited"), (20, "inherited")]
 
 
 def test_an_error_in_one_stops_the_other(spark):

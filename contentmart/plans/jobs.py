@@ -39,6 +39,7 @@ from contentmart.operators.audit import RunAudit
 from contentmart.operators.calendar import DIM_DATE_END, DIM_DATE_START, dim_date
 from contentmart.operators.casts import split_bad_ids, typed_ids
 from contentmart.operators.quality import ConstraintViolation, split_held, split_unique, split_valid
+from contentmart.operators.digests import removed_by_digest
 from contentmart.operators.reconcile import applied_spec, cdc_spec, hard_delete_removed, last_change, newer_changes
 from contentmart.plans.parallel import at_once
 from contentmart.sources import fs
@@ -353,6 +354,7 @@ def reconcile_hard_deletes(
     current: dict[str, DataFrame] | Warehouse | RangedWarehouse,
     strategy: str = "auto",
     broadcast_bytes: int | None = None,
+    by_digest: bool = False,
 ) -> dict[str, DataFrame]:
     """Remove warehouse rows whose key no longer exists in the source.
 
@@ -361,13 +363,17 @@ def reconcile_hard_deletes(
     source key, found with distinct keys on both sides — are written once and become
     the source of a delete-only MERGE, so a key-range warehouse rewrites only the
     ranges that lose rows.
+
+    ``by_digest``: the keys stay at the source; it is asked for digests of key ranges, and for keys only
+    where these differ from the dimension's.  The fact then loses the rows of the removed articles: every
+    article of the fact is in the dimension, which the same runs load.
     """
     run = _Run(spark, "reconcile_hard_deletes", _store(current), None, "fail")
     with run:
         tables = run.tables(current)
         merge = _merge_into(current, tables, strategy, broadcast_bytes, None)
         audit = run.result.audit
-        keys = {
+        keys = {} if by_digest else {
             table: run.scratch.keep(
                 extract_full(spark, source, table).select(F.col("id").cast("bigint").alias("id")), f"keys-{table}"
             )
@@ -375,7 +381,13 @@ def reconcile_hard_deletes(
         }
         plan = [("dim_authors", "author_id", "authors"), ("dim_articles", "article_id", "articles"), (FACT, "article_id", "articles")]
         for name, key, src in plan:
-            removed = hard_delete_removed(tables[name].select(key), key, keys[src], "id").distinct()
+            held = tables[name].select(key)
+            if by_digest and name == FACT:  # ``removed`` holds the articles that left the dimension
+                removed = held.join(removed, key, "left_semi").distinct()
+            elif by_digest:
+                removed = removed_by_digest(held, key, source, src, broadcast_bytes=broadcast_bytes).distinct()
+            else:
+                removed = hard_delete_removed(held, key, keys[src], "id").distinct()
             removed = audit.add(removed, f"removed_{name}", lambda out, n=name: run.scratch.keep(out, f"removed-{n}"))
             tables[name] = merge(name, removed, delete_spec(key))
     return tables

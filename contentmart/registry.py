@@ -19,7 +19,7 @@ from contentmart import schemas
 from contentmart.fixtures import with_views
 from contentmart.functions.dates import date_key, ntz_literal, yyyymmdd_text
 from contentmart.functions.predicates import is_live, is_removable
-from contentmart.operators import audit, dims, facts, keys, merge, quality, reconcile, reports
+from contentmart.operators import audit, digests, dims, facts, keys, merge, quality, reconcile, reports
 from contentmart.operators.calendar import calendar, covering_bounds, dim_date
 from contentmart.operators.casts import typed_ids
 from contentmart.oracle_sql import date_key_sql, merge_sql
@@ -899,6 +899,30 @@ def q_hard_delete_kept(spark, sf):
     return reconcile.hard_delete_kept(target, "article_id", _v(spark, sf, "delta"), "id")
 
 
+@register(
+    "hard_delete_by_digest",
+    with_views(f"select * from ({DIM_ARTICLES_SQL.format(v='articles')}) t where article_id % 997 = 0", "articles"),
+)
+def q_hard_delete_by_digest(spark, sf):
+    """One key in 997 left the source: ranges that hold none of them are settled by one row each."""
+    path = scratch_path(spark, "digest-target")
+    dims.dim_articles(_v(spark, sf, "articles")).write.parquet(path)
+    left = _v(spark, sf, "articles").filter("id % 997 != 0")
+    return digests.removed_by_digest(spark.read.parquet(path), "article_id", left, leaf=256)
+
+
+@register(
+    "reconcile_by_digest_fact",
+    with_views(f"select * from ({fact_sql('articles')}) f where article_id in (select id from delta)", "authors", "articles", "delta"),
+)
+def q_reconcile_by_digest_fact(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    authors = _v(spark, sf, "authors")
+    jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
+    now = {"authors": authors, "articles": _v(spark, sf, "delta")}
+    return jobs.reconcile_hard_deletes(spark, now, wh, by_digest=True)[jobs.FACT]
+
+
 @register(
     "reconcile_hard_deletes_fact",
     with_views(f"select * from ({fact_sql('articles')}) f where article_id in (select id from delta)", "authors", "articles", "delta"),

@@ -8,6 +8,7 @@ exactly.  A query with no ``ORACLE`` entry is checked on rows only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,7 +26,7 @@ from contentmart.operators.casts import typed_ids
 from contentmart.oracle_sql import date_key_sql, merge_sql
 from contentmart.plans import jobs
 from contentmart.session import scratch_path
-from contentmart.sources import delimited, extract, fs, staging
+from contentmart.sources import catalog, delimited, extract, fs, staging
 from contentmart.sources.publish import BucketedTable, SnapshotTable, Warehouse
 from contentmart.sources.ranged import RangedWarehouse
 from contentmart.streaming.changes import run_change_stream, write_changes
@@ -415,6 +416,79 @@ def q_report_by_month(spark, sf):
     return reports.rollup_by_calendar(_fact(spark, sf, "articles"), days, calendar_days=n_days)
 
 
+def _catalog_table(spark, table: str) -> str:
+    path = scratch_path(spark, "catalog")
+    return catalog.create_table(spark, f"contentmart_{table}_{path.rsplit('/', 1)[1]}", table, path)
+
+
+def _view_of(df: DataFrame) -> str:
+    name = f"contentmart_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+SPRING = "month(date) between 4 and 6 and year(date) in (1996, 2000)"  # one quarter of two years
+
+
+@register(
+    "report_spring_quarters",
+    with_views(
+        f"""select dd.year, dd.quarter, dd.month, count(*) as articles, cast(sum(f.article_count) as bigint) as article_count
+from ({fact_sql('articles')}) f join ({_dim_date_sql()}) dd on f.published_date_at = dd.published_date_at
+where dd.month between 4 and 6 and dd.year in (1996, 2000)
+group by dd.year, dd.quarter, dd.month""",
+        "authors",
+        "articles",
+    ),
+)
+def q_report_spring_quarters(spark, sf):
+    """Fact and calendar as catalog tables; the fact's other years are not read."""
+    fact, dates = _catalog_table(spark, jobs.FACT), _catalog_table(spark, "dim_date")
+    catalog.reload_table(spark, fact, jobs.FACT, _view_of(_fact(spark, sf)))
+    catalog.reload_table(spark, dates, "dim_date", _view_of(_data_dim_date(spark, sf)))
+    return reports.rollup_by_calendar(spark.table(fact), spark.table(dates).filter(SPRING), fact_year=catalog.FACT_YEAR)
+
+
+@register(
+    "catalog_defaulted_column",
+    with_views(
+        f"""select id as article_id, author_id, {date_key_sql('published_at')} as published_date_at,
+       cast(1 as bigint) as article_count, created_at, cast(null as timestamp) as updated_at,
+       cast(year(published_at) as integer) as published_year
+from articles where {LIVE_SQL}""",
+        "articles",
+    ),
+)
+def q_catalog_defaulted_column(spark, sf):
+    """The insert leaves article_count out: the table's default fills it in; a NULL that is given stays."""
+    live = _v(spark, sf, "articles").filter(is_live())
+    rows = live.select(
+        F.col("id").alias("article_id"), "author_id", date_key("published_at").alias("published_date_at"),
+        "created_at", F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    fact = _catalog_table(spark, jobs.FACT)
+    catalog.reload_table(spark, fact, jobs.FACT, _view_of(rows), columns=rows.columns)
+    return spark.table(fact)
+
+
+@register(
+    "catalog_reload_years",
+    with_views(
+        f"""select * from ({fact_sql('articles')}) f where published_date_at // 10000 % 2 = 1 and article_id % 3 = 0
+union all select * from ({fact_sql('articles')}) g where published_date_at // 10000 % 2 = 0""",
+        "authors",
+        "articles",
+    ),
+)
+def q_catalog_reload_years(spark, sf):
+    """Odd years are replaced by fewer rows; the others stay as the first load left them."""
+    rows, fact = _fact(spark, sf), _catalog_table(spark, jobs.FACT)
+    catalog.reload_table(spark, fact, jobs.FACT, _view_of(rows))
+    fewer = rows.filter("published_date_at div 10000 % 2 = 1 and article_id % 3 = 0")
+    catalog.reload_table(spark, fact, jobs.FACT, _view_of(fewer), years_only=True)
+    return spark.table(fact).drop(catalog.FACT_YEAR)
+
+
 # ================================================================ 2.6 generators, set ops
 @register(
     "calendar_days",

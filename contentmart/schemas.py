@@ -132,6 +132,12 @@ VARCHAR_LIMITS = {
     "dim_articles": {"title": 255},
 }
 ARTICLE_COUNT_DEFAULT = 1
+# Column defaults as SQL, for tables of Spark's catalog.
+COLUMN_DEFAULTS = {
+    "fact_reports_articles": {"article_count": str(ARTICLE_COUNT_DEFAULT), "created_at": "localtimestamp()", "updated_at": "localtimestamp()"},
+    "dim_authors": {"created_at": "localtimestamp()", "updated_at": "localtimestamp()"},
+    "dim_articles": {"created_at": "localtimestamp()", "updated_at": "localtimestamp()", "deleted_at": "NULL"},
+}
 # What the warehouse tables declare of staged rows: columns that are NOT NULL, and text lengths.
 DECLARED = {
     "authors": (("id", "name", "email"), VARCHAR_LIMITS["authors"]),

@@ -7,7 +7,8 @@ since every window that goes points at an occurrence before it.
 
 Scale: texts stay in the written table; only (row, position, hash) is shuffled.  A passage held by a
 third of all documents is a hot hash: its count and first place come from a map-side combined
-aggregation, and the join back is a plain sort-merge join, which Spark splits.
+aggregation, which is written; the join back reads two tables, so Spark splits the hot hash.  Within a
+document, spans and lines are handled in time linear in its lines.
 """
 
 from __future__ import annotations
@@ -25,6 +26,57 @@ def _window_hash(hashes: str, i: Column, window: int) -> Column:
     return F.concat(*lines)
 
 
+def first_places(windows: DataFrame) -> DataFrame:
+    """(h, first_rid, first_pos) of every window that repeats, as a written table.
+
+    Written, because a join on top of the aggregation would take over its partitions, and those of a hot
+    hash could not be split.
+    """
+    first = windows.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc", "rid", "pos")).alias("first"))
+    first = first.filter("n > 1").select("h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos"))
+    return materialise(first, "line-first")[0]
+
+
+def later_windows(windows: DataFrame, first: DataFrame) -> DataFrame:
+    """(rid, pos) of the windows that stand at an earlier place too."""
+    found = windows.select("h", "rid", "pos").join(first.hint("merge"), "h")
+    return found.filter("not (rid = first_rid and pos = first_pos)").select("rid", "pos")
+
+
+def _shifted(values: Column, first: Column) -> Column:
+    """``values`` one place later, ``first`` in front; as many as before."""
+    return F.concat(F.array(first), F.slice(values, 1, F.size(values) - 1))
+
+
+def _spans(starts: Column, window: int) -> Column:
+    """The line spans that windows at these sorted ``starts`` cover, merged where they overlap or touch.
+
+    Each start is compared with its neighbours only, so the work grows with their number.
+    """
+    none = F.lit(None).cast("int")
+    before = _shifted(starts, none)
+    after = F.concat(F.slice(starts, 2, F.size(starts)), F.array(none))
+    opens = F.zip_with(starts, before, lambda p, q: F.when(q.isNull() | (p - q > window), p))
+    closes = F.zip_with(starts, after, lambda p, q: F.when(q.isNull() | (q - p > window), p + (window - 1)))
+    return F.zip_with(
+        F.array_compact(opens), F.array_compact(closes), lambda a, b: F.struct(a.alias("from"), b.alias("to"))
+    )
+
+
+def _stays(removed: Column) -> Column:
+    """For each line up to the last removed one, whether it stays."""
+    froms, tos = removed.getField("from"), removed.getField("to")
+    runs = F.arrays_zip(froms.alias("a"), tos.alias("b"), _shifted(tos, F.lit(-1)).alias("last"))
+    return F.flatten(
+        F.transform(
+            runs,
+            lambda r: F.concat(
+                F.array_repeat(F.lit(True), r["a"] - r["last"] - 1), F.array_repeat(F.lit(False), r["b"] - r["a"] + 1)
+            ),
+        )
+    )
+
+
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
 ) -> DataFrame:
@@ -55,30 +107,17 @@ def dedup_lines(
     windows = hashed.select("doc", rid, F.posexplode(places).alias("pos", "h"))
     windows, _ = materialise(windows, "line-windows")
 
-    first = windows.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc", "rid", "pos")).alias("first"))
-    first = first.filter("n > 1").select("h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos"))
-    later = windows.select("h", "rid", "pos").join(first, "h").filter("not (rid = first_rid and pos = first_pos)")
-    later, _ = materialise(later.select("rid", "pos"), "line-later")
+    later = later_windows(windows, first_places(windows))
+    later, _ = materialise(later, "line-later")
 
     covered = later.groupBy("rid").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
-    spans = F.aggregate(
-        "starts",
-        F.array().cast("array<struct<from:int,to:int>>"),
-        lambda acc, p: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["to"] >= p - 1),
-            F.concat(
-                F.slice(acc, 1, F.size(acc) - 1),
-                F.array(F.struct(F.element_at(acc, -1)["from"].alias("from"), (p + window - 1).alias("to"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(p.alias("from"), (p + window - 1).alias("to"))))),
-    )
-    covered = covered.select("rid", spans.alias("removed"))
+    covered = covered.select("rid", _spans(F.col("starts"), window).alias("removed"))
 
     # A sort-merge join at every size: the spans grow with the corpus, so they are never broadcast.
     joined = flat.join(covered.hint("merge"), "rid", "left")
     lines = F.split(text, "\n", -1)
-    gone = lambda i: F.exists("removed", lambda s: (s["from"] <= i) & (i <= s["to"]))
-    cut = F.array_join(F.filter(lines, lambda x, i: ~gone(i)), "\n")
+    left = F.zip_with(lines, _stays(F.col("removed")), lambda x, stays: F.when(F.coalesce(stays, F.lit(True)), x))
+    cut = F.array_join(left, "\n")  # joins what is not null
     new_text = F.when(F.col("removed").isNull(), F.col(text)).otherwise(cut)
     result = [
         (new_text if i == text_at else F.col(f"__c{i}")).alias(c)

@@ -1,6 +1,9 @@
 from cases import clashing, edge_docs, edge_rows, rows
 
-from contentmart.llm.line_dedup import dedup_lines
+from pyspark.sql import functions as F
+
+from contentmart.llm.line_dedup import dedup_lines, first_places, later_windows
+from contentmart.session import scratch_path
 
 
 def brute(data, window=3):
@@ -48,3 +51,36 @@ def test_clashing_names_pass_through_and_empty_table(spark):
     assert rows(out.select(out.columns[0], out.columns[1], "n_lines", "n_removed"), "doc_id", out.columns[1], "n_lines", "n_removed") == brute(edge_rows()) if "Text" not in out.columns else True
     assert "rid" in out.columns and out.columns.count("removed") == 1
     assert dedup_lines(edge_docs(spark).limit(0)).collect() == []
+
+
+def test_many_separate_spans_in_one_document(spark):
+    """Spans apart, touching and overlapping, at both ends of a text."""
+    parts = [f"a{i}\nb{i}\nc{i}" + f"\nd{i}" * (i % 3 == 0) for i in range(1500)]
+    glue = lambda mark: "\n".join(p if i % 4 == 1 else f"{p}\n{mark}{i}" for i, p in enumerate(parts))
+    data = [(1, "\n".join(parts)), (2, glue("x")), (3, "top\n" + glue("y")), (4, glue("x"))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(dedup_lines(docs), *COLS) == brute(data)
+
+
+def test_a_hot_window_is_split(spark):
+    """One hash in most rows: the join with first places splits it."""
+    path = scratch_path(spark, "hot-windows")
+    h = F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.expr("md5(string(id div 20))"))
+    made = spark.range(200_000, numPartitions=16).select(F.col("id").alias("doc"), F.col("id").alias("rid"), F.lit(0).alias("pos"), h.cast("binary").alias("h"))
+    made.write.parquet(path)
+    windows = spark.read.parquet(path)
+    forced = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    }
+    before = {k: spark.conf.get(k, None) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        later = later_windows(windows, first_places(windows))
+        assert len(later.collect()) == 200_000 - 10_000 - 1
+        plan = later._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan

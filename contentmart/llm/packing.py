@@ -1,9 +1,9 @@
 """Packing tokenised documents into fixed-length sequences by bounded-space online best-fit.
 
 Documents are tokenised, cut into pieces only where they are longer than a sequence, and placed in
-arrival order (long pieces first) into the open bin that they fill best.  Open bins are kept in a bitset keyed by free
-space (bit f is set when an open bin has f tokens free), so the best bin is the lowest set bit at or
-above the need.  At most ``open_bins`` bins are open; when one more is needed the fullest closes.
+arrival order, that of the rows of the corpus, into the open bin that they fill best.  Open bins are kept in a
+bitset keyed by free space (bit f is set when an open bin has f tokens free), so the best bin is the lowest set
+bit at or above the need.  At most ``open_bins`` bins are open; when one more is needed the fullest closes.
 
 Scale: pieces are dealt evenly to packing tasks by a hash, whatever their source; a task holds the
 bitset and its open bins only.  The bins that a task leaves unfilled are packed again as wholes, in
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from contentmart.llm.common import materialise, pick
 
 SEQUENCE = 4096
-OPEN_BINS = 8192
+OPEN_BINS = 512
 #: Pieces aimed at for one packing task.
 PIECES_PER_TASK = 16_384
 #: Entries of a worker's cache of tokenised words; it is emptied when full.
@@ -36,7 +36,7 @@ class BestFit:
 
     def __init__(self, capacity: int, open_bins: int, first_id: int = 0):
         self.capacity, self.open_bins, self.next_id = capacity, open_bins, first_id
-        self.bits, self.n_open = 0, 0
+        self.bits, self.n_open, self.n_closed = 0, 0, 0  # closed: by the bound, with space left
         self.bins: dict[int, list[int]] = {}  # free space -> ids of open bins
 
     def _open(self, free: int, bin_id: int) -> None:
@@ -64,6 +64,7 @@ class BestFit:
             self.next_id += 1
         if free > need:
             if self.n_open >= self.open_bins:  # the fullest closes, be it this one
+                self.n_closed += 1
                 fullest = (self.bits & -self.bits).bit_length() - 1
                 if fullest < free - need:
                     self._take(fullest)
@@ -177,7 +178,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text
 
 def _pack_group(capacity: int, open_bins: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "item"], ascending=[False, True], ignore_index=True)
+        pdf = pdf.sort_values("item", ignore_index=True)
         packer = BestFit(capacity, open_bins)
         placed = [packer.place(int(n)) for n in pdf["length"]]
         pdf["bin"] = [b for b, _ in placed]
@@ -189,7 +190,8 @@ def _pack_group(capacity: int, open_bins: int):
 
 
 def place(items: DataFrame, groups: int, capacity: int, open_bins: int) -> DataFrame:
-    """Place ``items`` (item long, length long) into bins: adds grp, bin (within grp) and at."""
+    """Place ``items`` (item long, length long), which arrive by rising item, into bins: adds grp, bin (within
+    grp) and at."""
     keyed = items.select(
         "item",
         "length",
@@ -213,7 +215,7 @@ def pack(
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document's ids end with ``end_id``, so a null or empty text is one piece of one token.  Only
-    documents longer than ``sequence`` are cut.  A task's pieces arrive by falling length, ties by row;
+    documents longer than ``sequence`` are cut.  A task's pieces arrive in the order of their rows;
     equal lengths and repeated rows are separate items.  Offsets in a sequence run from 0 without
     gaps.  A null id is carried through; an empty table gives an empty result; extra columns are
     ignored, whatever their names.

@@ -75,6 +75,28 @@ def test_best_fit_takes_the_fullest_bin_that_fits_and_closes_the_fullest():
     assert b.n_open <= 2
 
 
+def test_production_bound_closes_bins_of_a_full_task(spark):
+    """Real lengths in arrival order: the bound is at work, and closes only bins with little space left."""
+    made = P.pieces(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), tokenizer_path())
+    lengths = [r.length for r in made.orderBy("rid", "piece").limit(P.PIECES_PER_TASK).collect()]
+    b = P.BestFit(P.SEQUENCE, P.OPEN_BINS)
+    used = defaultdict(int)
+    for n in lengths:
+        k, at = b.place(n)
+        assert at == used[k] and at + n <= P.SEQUENCE
+        used[k] += n
+    assert b.n_closed > 0 and b.n_open <= P.OPEN_BINS
+    assert len(used) <= 1.01 * sum(lengths) / P.SEQUENCE + 1
+
+
+def test_pieces_are_placed_in_arrival_order(spark):
+    """One task's bins are those of placing its pieces row by row."""
+    got = P.place(spark.createDataFrame([(i, n) for i, n in enumerate([3, 9, 4, 7, 2, 6])], "item long, length long"), 1, 10, 2)
+    b = P.BestFit(10, 2)
+    want = [b.place(n) for n in (3, 9, 4, 7, 2, 6)]
+    assert [(r.bin, r["at"]) for r in got.orderBy("item").collect()] == want
+
+
 def test_clashing_names_and_empty_table(spark):
     got = P.pack(clashing(edge_docs(spark)), tokenizer_path()).collect()
     assert sorted((tuple(r[c] for c in COLS) for r in got), key=repr) == plain_pieces(edge_rows())

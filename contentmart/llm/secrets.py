@@ -2,14 +2,15 @@
 
 Candidates are long runs of key characters, and all values that are assigned to a key word.  Each becomes numbers: length and character shares,
 transitions between character kinds and between letters (against the corpus's own words), the share of
-letters that the corpus's words cover, the path it was found under, and the words around it.  A random
-forest trained from labelled findings scores every candidate.
+letters that the corpus's words cover, and what the labelled findings say of the path it was found under and
+of the words around it.  A random forest trained from labelled findings scores every candidate.
 
 All of it is DataFrame expressions and Spark ML on the JVM: no Python runs on the executors.
 
 Scale: texts are read by two maps (dictionary and candidates); only word counts and findings are
 shuffled.  All words count: letter pairs are summed to 676 rows, and what words cover of the candidates is a
-join of the candidates' pieces with the words.  Spans are running sums over one document's findings.  The forest is fitted on a bounded
+join of the candidates' pieces with the words.  Neighbouring words and path parts are learned from all labelled
+findings, hashed into BUCKETS sums.  Spans are running sums over one document's findings.  The forest is fitted on a bounded
 sample of labelled findings.
 """
 
@@ -47,9 +48,12 @@ FIT_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
 #: Characters of the surroundings that are looked at.
 NEAR = 48
+#: Hash buckets of neighbouring words and path parts.
+BUCKETS = 1 << 13
+#: Findings' worth of doubt in a word's odds: words that are rare among the labelled findings say little.
+DOUBT = 2.0
 
 PLAIN_WORDS = "example|sample|dummy|placeholder|test|digest|checksum|commit|sha1|sha256|md5|uuid|iban|isbn|version"
-PATH_WORDS = "test|example|sample|doc|fixture|mock"
 
 
 def findings(docs: DataFrame, id_col="doc_id", text_col="text", path_col: str | None = "source") -> DataFrame:
@@ -166,14 +170,72 @@ def _transition_table(words: DataFrame) -> list[float]:
     return [-math.log(x / sum(row)) for row in n for x in row]
 
 
+def _buckets(tag: str, parts: Column) -> Column:
+    """The distinct buckets of an array of words; those of different tags have nothing to do with each other."""
+    words = F.filter(parts, lambda w: F.length(w) > 0)
+    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(F.lit(tag), w), F.lit(BUCKETS)).cast("int")))
+
+
+def surroundings() -> dict[str, Column]:
+    """The buckets of a finding's word next before it, all words before and after it, and its path and the parts of that."""
+    before, after, path = F.lower("before"), F.lower("after"), F.lower("path")
+    other = r"[^\p{L}\p{N}_]+"
+    return {
+        "f_next": _buckets("next", F.array(F.regexp_extract(before, r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$", 1))),
+        "f_before": _buckets("before", F.split(before, other)),
+        "f_after": _buckets("after", F.split(after, other)),
+        "f_path": _buckets("path", F.array_union(F.array(path), F.split(path, r"[^\p{L}\p{N}]+"))),
+    }
+
+
+def _half() -> Column:
+    """Which half of the labelled findings one is in: all findings of a candidate are in the same."""
+    return F.pmod(F.xxhash64(F.lit("half"), "candidate"), F.lit(2)).cast("int")
+
+
+def learn_surroundings(labelled: DataFrame) -> list[list[float]]:
+    """For each half of ``labelled`` (candidate, path, before, after, label), the log-odds of a secret by bucket.
+
+    A bucket that no finding has is at 0, as are all where a half has findings of one kind only.
+    """
+    import math
+
+    # The bucket -1 stands in every finding, for the totals.
+    all_of = F.concat(F.array(F.lit(-1)), *surroundings().values())
+    each = labelled.select(_half().alias("half"), "label", F.explode(all_of).alias("bucket"))
+    sums = each.groupBy("half", "bucket").agg(F.sum("label").alias("yes"), F.count("*").alias("n"))
+    tables = [[0.0] * BUCKETS for _ in range(2)]
+    got = {(r["half"], r["bucket"]): (r["yes"], r["n"] - r["yes"]) for r in sums.collect()}  # 2 * (BUCKETS + 1) rows at most
+    for (half, bucket), (yes, no) in got.items():
+        all_yes, all_no = got[half, -1]
+        if bucket >= 0 and all_yes and all_no:
+            share = all_yes / (all_yes + all_no)
+            tables[half][bucket] = math.log((yes + DOUBT * share) / (no + DOUBT * (1 - share))) - math.log(share / (1 - share))
+    return tables
+
+
 FEATURES = [
     "f_length", "f_digits", "f_upper", "f_lower", "f_signs", "f_distinct", "f_kinds", "f_surprise",
-    "f_covered", "f_path_depth", "f_path_plain", "f_key_word", "f_plain_word", "f_assigned", "f_quoted",
+    "f_covered", "f_next", "f_before", "f_after", "f_path", "f_assigned", "f_quoted",
 ]
 
 
-def features(found: DataFrame, words: Dictionary) -> DataFrame:
-    """Adds the numbers of FEATURES to findings (candidate, path, before, after)."""
+def features(found: DataFrame, words: Dictionary, odds: list[list[float]] | None = None, fitting: bool = False) -> DataFrame:
+    """Adds the numbers of FEATURES to findings (candidate, path, before, after).
+
+    ``odds`` are those of ``learn_surroundings``; a finding that the forest is fitted on takes them from the half that it is
+    not in, so that its own label is not among them, any other the mean of both.
+    """
+    if odds is None:
+        near = {name: F.lit(0.0) for name in surroundings()}
+    else:
+        mean = [(a + b) / 2 for a, b in zip(*odds, strict=True)]
+        # A literal once the optimiser has been over it.
+        listed = lambda t: F.split(F.lit(",".join(f"{x:.6g}" for x in t)), ",").cast("array<double>")
+        table = F.when(_half() == 0, listed(odds[1])).otherwise(listed(odds[0])) if fitting else listed(mean)
+        near = {
+            name: F.aggregate(at, F.lit(0.0), lambda a, i: a + F.element_at(table, i + 1)) for name, at in surroundings().items()
+        }
     c, low = F.col("candidate"), F.lower("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
     changes = F.regexp_count(kinds, F.lit(r"0(?=[^0])|a(?=[^a])|A(?=[^A])|[^aA0](?=[aA0])"))
@@ -199,10 +261,7 @@ def features(found: DataFrame, words: Dictionary) -> DataFrame:
         (changes / F.length(c)).alias("f_kinds"),
         F.when(F.length("letters") < 2, 0.0).otherwise(total / (F.length("letters") - 1)).alias("f_surprise"),
         F.when(F.length("letters") == 0, 0.0).otherwise(F.coalesce("covered", F.lit(0)) / F.length("letters")).alias("f_covered"),
-        F.regexp_count("path", F.lit("/")).cast("double").alias("f_path_depth"),
-        flag(F.lower("path").rlike(PATH_WORDS)).alias("f_path_plain"),
-        flag(before.rlike(f"({KEY_WORDS})")).alias("f_key_word"),
-        flag(before.rlike(f"({PLAIN_WORDS})")).alias("f_plain_word"),
+        *[x.alias(name) for name, x in near.items()],
         flag(before.rlike(r"[=:]\s*[\"']?$")).alias("f_assigned"),
         flag(before.rlike(r"[\"']$") & after.rlike(r"^[\"']")).alias("f_quoted"),
     )
@@ -224,13 +283,14 @@ def rule_label() -> Column:
 
 
 def train(labelled: DataFrame, words: Dictionary, fit_findings: int = FIT_FINDINGS):
-    """A forest from ``labelled`` findings (candidate, path, before, after, label 0 or 1), or None when
-    they are all of one kind.  Copies count once; of each kind at most ``fit_findings`` are used, in hash
-    order."""
+    """(forest, odds of the surroundings) from ``labelled`` findings (candidate, path, before, after, label 0 or 1), or
+    None when they are all of one kind.  Copies count once; the odds are those of all findings, the forest is fitted on at
+    most ``fit_findings`` of each kind, in hash order."""
     labelled = labelled.select("candidate", "path", "before", "after", "label").distinct()
     order = F.xxhash64("candidate", "path", "before", "after")
     kinds = [labelled.filter(F.col("label") == k).orderBy(order).limit(fit_findings) for k in (0.0, 1.0)]
-    sample, _ = materialise(features(kinds[0].unionByName(kinds[1]), words).select("label", *FEATURES), "secret-sample")
+    odds = learn_surroundings(labelled)
+    sample, _ = materialise(features(kinds[0].unionByName(kinds[1]), words, odds, fitting=True).select("label", *FEATURES), "secret-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     # Both kinds weigh the same, so that one half is the border between them.
@@ -239,7 +299,7 @@ def train(labelled: DataFrame, words: Dictionary, fit_findings: int = FIT_FINDIN
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="w", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
     )
-    return forest.fit(_assembled(sample))
+    return forest.fit(_assembled(sample)), odds
 
 
 def _assembled(df: DataFrame) -> DataFrame:
@@ -262,11 +322,14 @@ def scan(
     A null or empty text has no candidate.  Copies and repeated rows are separate findings.  A null path
     or id is carried as an empty path and a null id.  When all labels are of one kind, or none exist,
     that kind (else not secret) is everyone's verdict with score 1 or 0.  An empty table gives an empty
-    result; extra columns are ignored, whatever their names.
+    result; extra columns are ignored, whatever their names.  A null path, before or after of a labelled
+    finding is empty; one without a candidate or label is left out.
     """
     found = findings(docs, id_col, text_col, path_col)
     if labelled is None:
         labelled = found.withColumn("label", rule_label()).filter("label is not null")
+    else:
+        labelled = labelled.filter("candidate is not null and label is not null").fillna("", ["path", "before", "after"])
     counts, _ = materialise(word_counts(docs, text_col), "secret-words")
     words = dictionary(counts, found.select("candidate").union(labelled.select("candidate")))
     model = train(labelled.select("candidate", "path", "before", "after", "label"), words)
@@ -274,7 +337,8 @@ def scan(
         only = labelled.select(F.max("label")).first()[0]
         scored = found.withColumn("score", F.lit(float(only or 0.0)))
     else:
-        scored = model.transform(_assembled(features(found, words)))
+        forest, odds = model
+        scored = forest.transform(_assembled(features(found, words, odds)))
         scored = scored.withColumn("score", vector_to_array("probability")[1])
     return scored.select(
         "doc_id",

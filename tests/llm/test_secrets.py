@@ -40,6 +40,54 @@ def test_forest_learns_from_given_labels(spark):
     assert right >= 97
 
 
+def test_learns_neighbouring_words_and_paths_that_no_rule_knows(spark):
+    """Keys of one form, told apart by the words around them in some paths and by the path in others."""
+    import random
+
+    rnd = random.Random(9)
+    key = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(32))
+    filler = lambda: " ".join(rnd.choice("lorem ipsum dolor sit amet elit".split()) for _ in range(3))
+
+    def finding():
+        if rnd.random() < 0.5:
+            secret = rnd.random() < 0.5
+            word = rnd.choice(["vault", "rotate"] if secret else ["artifact", "bundle"])
+            return "app/main", f"{filler()} {word} {filler()} ", f" {filler()}", float(secret)
+        secret = rnd.random() < 0.5
+        return ("deploy/prod" if secret else "vendor/cache"), f"{filler()} ", f" {filler()}", float(secret)
+
+    schema = "candidate string, path string, before string, after string, label double"
+    labelled = spark.createDataFrame([(key(), *finding()) for _ in range(600)] + [(None, None, None, None, None), (key(), None, None, None, None)], schema)
+    found = [finding() for _ in range(200)]
+    docs = spark.createDataFrame([(i, f"{b}{key()}{a}", "en", path, 1) for i, (path, b, a, _) in enumerate(found)], DOCS)
+    got = S.scan(docs, labelled=labelled).collect()
+    assert len(got) == 200
+    assert sum(r.is_secret == (found[r.doc_id][3] == 1.0) for r in got) >= 190
+
+
+def test_odds_of_surroundings_match_plain_counts(spark):
+    import math
+
+    labelled = [(f"c{i}", "a/b" if i % 3 else "", "the Vault of " if i % 4 == 0 else "of", "x", float(i % 4 == 0)) for i in range(64)]
+    df = spark.createDataFrame(labelled, "candidate string, path string, before string, after string, label double")
+    tables = S.learn_surroundings(df)
+    at = df.select(S._half().alias("half"), "label", *[c.alias(k) for k, c in S.surroundings().items()]).collect()
+    for half in (0, 1):
+        mine = [r for r in at if r.half == half]
+        yes = sum(r.label for r in mine)
+        share = yes / len(mine)
+        want = {}
+        for r in mine:
+            for b in (*r.f_next, *r.f_before, *r.f_after, *r.f_path):
+                n = want.setdefault(b, [0, 0])
+                n[int(r.label)] += 1
+        for b in range(S.BUCKETS):
+            no, yes = want.get(b, (0, 0))
+            odds = math.log((yes + 2 * share) / (no + 2 * (1 - share))) - math.log(share / (1 - share))
+            assert abs(tables[half][b] - odds) < 1e-9
+    assert {len(r.f_path) for r in at} == {0, 3} and all(len(r.f_next) == 1 for r in at)
+
+
 def test_runs_without_python(spark):
     plan = S.scan(table(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

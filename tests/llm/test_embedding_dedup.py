@@ -62,6 +62,32 @@ def test_recall_and_precision_on_the_whole_table(spark):
     assert mine.sum() >= 0.99 * want.sum()
 
 
+def test_recall_of_pairs_planted_just_above_the_threshold(spark):
+    """The whole table, with a vector at cosine 0.9505 to 0.96 beside each fourth of it."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding", "label")
+    data = [tuple(r) for r in df.collect()]
+    rng = np.random.default_rng(12)
+    top = max(i for i, *_ in data) + 1
+    planted = []
+    for k, (_, v, _) in enumerate(r for r in data[::4] if usable(r[1])):
+        u = np.asarray(v, float) / np.linalg.norm(v)
+        w = rng.normal(size=len(u))
+        w -= (w @ u) * u
+        c = rng.uniform(0.9505, 0.96)
+        near = c * u + math.sqrt(1 - c * c) * w / np.linalg.norm(w)
+        planted.append((top + k, [float(z) for z in near.astype(np.float32)], 0))
+    data += planted
+    x = np.array([v for _, v, _ in data], float)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    want = np.concatenate([((x[at : at + 1024] @ x.T) >= 0.95).sum(axis=1) - 1 for at in range(0, len(x), 1024)])
+    both = df.unionByName(spark.createDataFrame(planted, SCHEMA))
+    got = {r.vec_id: r.n_links for r in E.near_duplicates(both).collect()}
+    mine = np.array([got[i] for i, *_ in data])
+    assert want.sum() >= 2 * len(planted)
+    assert (mine <= want).all()
+    assert mine.sum() >= 0.99 * want.sum()
+
+
 def test_repeated_rows_null_ids_and_clashing_names(spark):
     from cases import clashing
 

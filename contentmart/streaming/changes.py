@@ -2,7 +2,8 @@
 
 Change files (staging layout plus ``seq`` and ``op``) land in any order.  Keyed state, held in RocksDB,
 keeps the newest ``seq`` seen of each article, so of a micro-batch only changes that are newer than
-everything before reach the merge: one row per key and batch at most, and none for what is late.
+everything before reach the merge: one row per key and batch at most, and none for what is late.  Keys
+are met in groups, since a Python call for each key costs more than all the rest of the stream.
 
 State expires ``retention_ms`` after a key's last newer change.  There is no watermark: it would drop late
 rows, and a late row can be the newest of its key.  Nothing depends on the state being there: the
@@ -14,7 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,6 +36,9 @@ STREAM_CONF = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 RETENTION_MS = 30 * 24 * 3600 * 1000
+#: Groups that keys are dealt to by their hash, for each partition of the stream's shuffle; a group's keys share
+#: one entry of the state, of about 30 bytes a key, which a batch rewrites where it has a key of the group.
+GROUPS = 32
 #: Layout of change files: that of staging, then the change's number and kind.
 CHANGES = StructType(
     [*schemas.STAGING_ARTICLES.fields, StructField("seq", LongType(), True), StructField("op", StringType(), True)]
@@ -47,35 +53,72 @@ def write_changes(changes: DataFrame, path: str, mode: str = "append") -> None:
     delimited.write_delimited(rows, path, mode=mode, escape_lines=True)
 
 
+def _packed(held: pd.DataFrame) -> bytes:
+    """Keys, their newest ``seq`` and when each expires, as bytes."""
+    batch = pa.RecordBatch.from_pandas(held, preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as sink:
+        sink.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _first_newest(rows: pd.DataFrame) -> pd.DataFrame:
+    """The newest change of each key; of equal ones the first."""
+    return rows.sort_values("__seq", ascending=False, kind="stable").drop_duplicates("__key")
+
+
 def _newest(retention_ms: int):
-    """Passes on a key's newest change of a batch if it is newer than all before."""
+    """Passes on, for a group of keys, each key's newest change of a batch if it is newer than all before."""
 
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+    def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # the last of its keys has expired
             state.remove()
             return
-        best, top = None, None
+        best = None
         for part in parts:  # seq travels as text: a nullable number would become a float
-            for at, seq in enumerate(part["seq"]):
-                if seq is None:
-                    yield part.iloc[[at]]  # a change without a number breaks a constraint downstream
-                elif top is None or int(seq) > top:
-                    best, top = part.iloc[[at]], int(seq)
-        if best is not None and (not state.exists or top > state.get[0]):
-            state.update((top,))
-            state.setTimeoutDuration(retention_ms)
-            yield best
+            odd = part["seq"].isna()
+            if odd.any():
+                yield part[odd]  # a change without a number breaks a constraint downstream
+            rows = part[~odd]
+            rows = rows.assign(__seq=rows["seq"].astype("int64"))
+            best = _first_newest(rows if best is None else pd.concat([best, rows]))
+        now = state.getCurrentProcessingTimeMs()
+        if state.exists:
+            held = pa.ipc.open_stream(state.get[0]).read_pandas()
+            held = held[held["until"] > now]
+        else:
+            held = pd.DataFrame({"key": [], "newest": [], "until": []}).astype({"key": "str", "newest": "int64", "until": "int64"})
+        if best is not None and len(best):
+            at = pd.Index(held["key"]).get_indexer(best["__key"])
+            known = at >= 0
+            older = np.zeros(len(best), bool)
+            older[known] = best["__seq"].to_numpy()[known] <= held["newest"].to_numpy()[at[known]]
+            best, at = best[~older], at[~older]
+            kept = np.ones(len(held), bool)
+            kept[at[at >= 0]] = False
+            newer = pd.DataFrame({"key": best["__key"], "newest": best["__seq"], "until": now + retention_ms})
+            held = pd.concat([held[kept], newer]) if len(held) else newer
+            if len(best):
+                yield best.drop(columns="__seq")
+        if len(held):  # keys expire one by one where their group is met, and with the last of them the group
+            state.update((_packed(held),))
+            state.setTimeoutDuration(max(1, int(held["until"].max()) - now))
+        elif state.exists:
+            state.remove()
 
     return run
 
 
-def newest_changes(stream: DataFrame, retention_ms: int = RETENTION_MS) -> DataFrame:
+def newest_changes(stream: DataFrame, retention_ms: int = RETENTION_MS, groups: int = GROUPS) -> DataFrame:
     """A stream of changes without those that are older than one seen before for their key."""
-    keyed = stream.withColumn("seq", F.col("seq").cast("string")).withColumn("__key", F.coalesce("id", F.lit("")))
-    kept = keyed.groupBy("__key").applyInPandasWithState(
-        _newest(retention_ms), keyed.schema, "newest long", "update", GroupStateTimeout.ProcessingTimeTimeout
+    key = F.coalesce("id", F.lit(""))
+    keyed = stream.withColumn("seq", F.col("seq").cast("string")).withColumn("__key", key)
+    parts = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = keyed.withColumn("__group", F.pmod(F.xxhash64("__key"), F.lit(groups * parts)))
+    kept = keyed.groupBy("__group").applyInPandasWithState(
+        _newest(retention_ms), keyed.schema, "held binary", "update", GroupStateTimeout.ProcessingTimeTimeout
     )
-    return kept.withColumn("seq", F.col("seq").cast("long")).drop("__key")
+    return kept.withColumn("seq", F.col("seq").cast("long")).drop("__key", "__group")
 
 
 def run_change_stream(

@@ -243,3 +243,73 @@ def test_landed_files_with_escaped_lines_are_split(spark):
     run_incremental_stream(spark, f"{root}/landing", wh, f"{root}/checkpoint", escape_lines=True)
     assert {titles(wh)[i] for i in (1, 2, 3)} == {"a\nb \\n |c"}
     assert landing_stream(spark, f"{root}/landing", escape_lines=True).isStreaming
+
+
+class _State:
+    """The state of a group of keys, outside of a stream."""
+
+    def __init__(self):
+        self.value, self.now, self.timeout, self.hasTimedOut = None, 0, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_keys_share_a_group_of_the_state():
+    """Each key of a group keeps its own newest change and its own expiry."""
+    import pandas as pd
+
+    from contentmart.streaming.changes import _newest
+
+    state, run = _State(), _newest(retention_ms=100)
+
+    def batch(now, *parts):
+        state.now = now
+        frames = [pd.DataFrame([(k, s, t, k or "") for k, s, t in p], columns=["id", "seq", "title", "__key"], dtype=object) for p in parts]
+        return sorted((r.id or "", r.seq or "", r.title) for f in run((7,), iter(frames), state) for r in f.itertuples())
+
+    got = batch(10, [("a", "2", "a2"), ("b", "9", "b9"), ("a", "10", "a10")], [("c", None, "odd"), ("a", "3", "a3"), ("a", "10", "again"), (None, "1", "no key")])
+    assert got == [("", "1", "no key"), ("a", "10", "a10"), ("b", "9", "b9"), ("c", "", "odd")]
+    assert batch(60, [("a", "10", "same"), ("b", "8", "late"), ("c", "1", "c1"), ("b", str(2**60 + 1), "far")]) == [("b", str(2**60 + 1), "far"), ("c", "1", "c1")]
+    assert batch(70, [("b", str(2**60), "one less")]) == [] and state.timeout == 90  # a late change leaves the expiry
+    assert batch(111, [("a", "1", "after its expiry"), ("c", "1", "held")]) == [("a", "1", "after its expiry")]
+    state.hasTimedOut = True
+    assert batch(400) == [] and not state.exists
+
+
+def test_a_batch_of_many_keys_makes_a_call_for_each_group(spark):
+    """One call and one entry of the state for each of the groups, however many keys a batch has."""
+    from contentmart.streaming.changes import CHANGES, GROUPS, STREAM_CONF, newest_changes
+    from contentmart.streaming.incremental import landing_stream
+
+    root = scratch_path(spark, "manykeys")
+    rows = spark.range(20_000).selectExpr("id", "'t' as title", "'c' as content", "cast(null as timestamp_ntz) as published_at",
+        "id as author_id", "timestamp_ntz'2026-01-01' as created_at", "timestamp_ntz'2026-01-01' as updated_at",
+        "cast(null as timestamp_ntz) as deleted_at", "1L as seq", "'U' as op")
+    write_changes(rows, f"{root}/landing")
+    kept, seen = newest_changes(landing_stream(spark, f"{root}/landing", escape_lines=True, schema=CHANGES)), []
+    query = kept.writeStream.outputMode("update").foreachBatch(lambda df, n: seen.append(df.select("id").distinct().count()))
+    query = query.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    for k, v in STREAM_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        query = query.start()
+    finally:
+        for k in STREAM_CONF:
+            spark.conf.unset(k)
+    assert query.awaitTermination(60)
+    assert seen == [20_000]
+    held = sum(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators)
+    assert 0 < held <= GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))

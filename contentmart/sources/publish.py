@@ -294,10 +294,17 @@ class BucketedTable(PublishedTable):
 
     The bucket layout is Spark's own; each session declares the published folder as a table of its
     catalog.  The merge's result is partitioned as the buckets are, so writing it moves no rows either.
+
+    One task merges a bucket and sorts it, its source rows and their result, so a bucket is a small part
+    of a task's memory.  Buckets that table and source have outgrown are dealt anew by the merge.
     """
 
     #: Bytes aimed at for one bucket, before compression.
-    BUCKET_BYTES = 1 << 30
+    BUCKET_BYTES = 64 << 20
+    #: Buckets at most, the limit that Spark sets itself.
+    MAX_BUCKETS = 100_000
+    #: How many times the aim a bucket and its source rows may grow to before buckets are dealt anew.
+    SLACK = 4
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str, buckets: int | None = None):
         super().__init__(spark, root, schema)
@@ -305,9 +312,13 @@ class BucketedTable(PublishedTable):
 
     @property
     def buckets(self) -> int | None:
-        """Buckets of the content: what was asked for, else measured by the first publish, then kept."""
+        """Buckets of the content: what was asked for, else measured by the first publish, then kept until
+        a merge finds them outgrown."""
         return self.state().get("buckets")
 
+    def _buckets_for(self, size: int) -> int:
+        return min(self.MAX_BUCKETS, max(1, -(-size // self.BUCKET_BYTES)))
+
     def _declared(self, path: str) -> str:
         return f"contentmart_{os.path.basename(path)}"
 
@@ -327,7 +338,7 @@ class BucketedTable(PublishedTable):
     def publish(self, df: DataFrame, tag: str | None = None, watch=None) -> int:
         if self.applied(tag):
             return self.current_version()
-        buckets = self.buckets or self.asked_buckets or max(1, -(-measure(df).bytes // self.BUCKET_BYTES))
+        buckets = self.buckets or self.asked_buckets or self._buckets_for(measure(df).bytes)
         rows = self._shaped(df).repartition(buckets, self.key)
         return self._store(watch(rows) if watch else rows, buckets, tag)
 
@@ -343,8 +354,15 @@ class BucketedTable(PublishedTable):
             return self.current_version()
         if spec.target_key != self.key:
             raise ValueError(f"table is bucketed on {self.key}, merge matches on {spec.target_key}")
-        merged = M.merge(self.read(), source, spec, staged=True, buckets=self.buckets)
-        return self._store(self._shaped(merged), self.buckets, tag) if self.buckets else self.publish(merged, tag)
+        target, buckets = self.read(), self.buckets
+        size = measure(source)
+        if buckets and not self.asked_buckets:
+            wanted = self._buckets_for(measure(target).bytes + size.bytes)
+            if wanted > self.SLACK * buckets:
+                merged = M.merge(target, source, spec, source_bound=size, staged=True)
+                return self._store(self._shaped(merged).repartition(wanted, self.key), wanted, tag)
+        merged = M.merge(target, source, spec, source_bound=size, staged=True, buckets=buckets)
+        return self._store(self._shaped(merged), buckets, tag) if buckets else self.publish(merged, tag)
 
 
 def insert_columns(df: DataFrame, columns: list[str], schema: StructType | None) -> DataFrame:

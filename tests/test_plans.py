@@ -101,3 +101,33 @@ def test_live_filter_reaches_a_stored_articles_scan(spark):
     scan = [line for line in p.splitlines() if "FileScan parquet" in line and "stored-articles" in line][0]
     assert "IsNotNull(published_at)" in scan and "IsNull(deleted_at)" in scan
     assert "title" not in scan.split("ReadSchema")[1] and "content" not in scan.split("ReadSchema")[1]
+
+
+def test_buckets_follow_the_size_of_table_and_source(spark, monkeypatch):
+    """A bucket is a small part of a task's memory, also after merges that make the table many times larger."""
+    import seed
+
+    from contentmart import schemas
+    from contentmart.operators import facts
+    from contentmart.operators import merge as M
+    from contentmart.operators.sizing import measure
+    from contentmart.sources.publish import BucketedTable
+    from contentmart.sources.staging import RunScratch
+
+    src = seed.source(spark)
+    fact = facts.fact_full_load(src["articles"], src["authors"].withColumnRenamed("id", "author_id"))
+    assert 16 * BucketedTable.BUCKET_BYTES <= 1 << 30
+    table = BucketedTable(spark, scratch_path(spark, "rebucketed"), schemas.FACT_REPORTS_ARTICLES, "article_id")
+    monkeypatch.setattr(BucketedTable, "BUCKET_BYTES", measure(fact).bytes)
+    table.publish(fact)
+    assert table.buckets == 1
+    more = spark.range(1000, 1400).selectExpr("id as article_id", "1L as author_id", "timestamp_ntz'2026-01-01' as published_at",
+        "1L as article_count", "cast(null as timestamp_ntz) as deleted_at", "timestamp_ntz'2026-01-01' as created_at",
+        "timestamp_ntz'2026-01-01' as updated_at")
+    more = RunScratch(spark).keep(more, "more")
+    want = sorted(M.merge(table.read(), more, facts.fact_merge_spec(), staged=True).collect(), key=repr)
+    table.merge(more, facts.fact_merge_spec())
+    assert sorted(table.read().collect(), key=repr) == want and len(want) == 420 and table.buckets > 10
+    buckets = table.buckets
+    table.merge(more, facts.fact_merge_spec())
+    assert sorted(table.read().collect(), key=repr) == want and table.buckets == buckets

@@ -1184,7 +1184,7 @@ def q_audit_counts_stream(spark, sf):
     wh = Warehouse(spark, f"{root}/warehouse")
     jobs.full_load(spark, {"authors": _v(spark, sf, "authors"), "articles": _v(spark, sf, "articles")}, warehouse=wh)
     landing = f"{root}/landing"
-    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing))
+    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing), escape_lines=True)
     counts = wh.read("load_audit").filter("job = 'apply_delta'")
     return counts.groupBy("stage").agg(F.sum("rows").alias("rows"))
 
@@ -1196,7 +1196,7 @@ def q_stream_incremental(spark, sf):
     authors = _v(spark, sf, "authors")
     jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
     landing = f"{root}/landing"
-    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing))
+    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing), escape_lines=True)
     return wh.read(jobs.FACT)
 
 
@@ -1204,7 +1204,7 @@ def _land(spark, sf, landing: str, view: str = "delta") -> int:
     """Land a view in as many files as the session shuffles into; the files of a quarter of it."""
     files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     staged = staging.as_staged_text(_v(spark, sf, view), "articles").repartition(files, "id")
-    delimited.write_delimited(staged, landing)
+    delimited.write_delimited(staged, landing, escape_lines=True)  # a batch has few files: they are split over tasks
     return -(-files // 4)
 
 
@@ -1218,7 +1218,7 @@ def q_stream_new_authors(spark, sf):
     landing = f"{root}/landing"
     per_batch = _land(spark, sf, landing)
     run_incremental_stream(
-        spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=per_batch, authors={"authors": authors}
+        spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=per_batch, authors={"authors": authors}, escape_lines=True
     )
     return wh.read(jobs.FACT)
 
@@ -1230,5 +1230,5 @@ def q_stream_incremental_ranged(spark, sf):
     authors = _v(spark, sf, "authors")
     jobs.full_load(spark, {"authors": authors, "articles": _v(spark, sf, "articles")}, warehouse=wh)
     landing = f"{root}/landing"
-    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing))
+    run_incremental_stream(spark, landing, wh, f"{root}/checkpoint", max_files_per_trigger=_land(spark, sf, landing), escape_lines=True)
     return wh.read(jobs.FACT)

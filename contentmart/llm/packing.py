@@ -12,6 +12,7 @@ a second round over fewer tasks, so that the loss does not grow with the number
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,10 @@ OPEN_BINS = 512
 PIECES_PER_TASK = 16_384
 #: Entries of a worker's cache of tokenised words; it is emptied when full.
 CACHE_WORDS = 600_000
+#: Characters of texts whose words are looked up together.
+RUN_CHARS = 1 << 18
+#: Lowered words that go through the tokenizer in one text.
+JOINED_WORDS = 1024
 
 
 class BestFit:
@@ -79,6 +84,9 @@ class BestFit:
 _WORKER: dict = {}
 #: Bytes with A to Z lowered and a line feed made a space; no other UTF-8 byte is touched.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 10 else c for c in range(256))
+#: Latin letters that lowering and normalising keep one letter each (not the dotted capital I), then ASCII signs
+#: and digits without the apostrophe, which the vocabulary joins with letters.
+_STEM = re.compile("([a-zß-öø-įıĲ-ɏ]+)([!-&(-@\\[-`{-~]*)")
 
 
 def _encoder(path: str):
@@ -89,24 +97,49 @@ def _encoder(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _WORKER.update(path=path, tokenizer=Tokenizer.from_file(path), cache={})
+        tokenizer = Tokenizer.from_file(path)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        last = np.zeros(max(vocabulary.values()) + 1, bool)
+        last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        _WORKER.update(path=path, tokenizer=tokenizer, cache={}, last=last)
     return _WORKER["tokenizer"], _WORKER["cache"]
 
 
+def forget() -> None:
+    """Frees the worker's tokenizer and words, for tasks that need neither."""
+    _WORKER.clear()
+
+
 def encode(texts: list[str], path: str) -> Iterator[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space, lowers letters and never joins tokens across white space, or
-    across a full stop or comma that follows a letter.  So a text's ids are the ids of its words in
-    order, and each distinct lowered word is encoded once by the tokenizer itself.  A text that could
-    hold a special token's string is encoded as it is.
+    across an ASCII sign or digit (but the apostrophe) that follows a letter.  So a text's ids are the ids of
+    its words in order, and each distinct lowered word is encoded once by the tokenizer itself.  A text that
+    could hold a special token's string is encoded as it is.
     """
     tokenizer, _ = _encoder(path)
+    for run in _runs(texts):
+        split = [None if "<|" in text else text.encode().translate(_LOWER).decode().split(" ") for text in run]
+        ids = known_words(set().union(*filter(None, split)), path)
+        for text, words in zip(run, split, strict=True):
+            if words is None:
+                yield _bytes(tokenizer.encode(text, add_special_tokens=False))
+            else:
+                yield b"".join(map(ids.__getitem__, words))
+
+
+def _runs(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in runs of about RUN_CHARS characters."""
+    run, held = [], 0
     for text in texts:
-        if "<|" in text:
-            yield _bytes(tokenizer.encode(text, add_special_tokens=False))
-            continue
-        yield encode_words(text.encode().translate(_LOWER).decode().split(" "), path)
+        run.append(text)
+        held += len(text)
+        if held >= RUN_CHARS:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
 
 
 def encode_words(words: list[str], path: str) -> bytes:
@@ -116,21 +149,52 @@ def encode_words(words: list[str], path: str) -> bytes:
 
 def encoded_words(words: list[str], path: str, kept: int = CACHE_WORDS) -> Iterator[bytes]:
     """Ids of each lowered word; the worker keeps those of at most ``kept`` words."""
+    return map(known_words(set(words), path, kept).__getitem__, words)
+
+
+def known_words(words: set[str], path: str, kept: int = CACHE_WORDS) -> dict[str, bytes]:
+    """The worker's cache, which holds the ids of all ``words`` (lowered) until the next call."""
     tokenizer, cache = _encoder(path)
-    new = [w for w in dict.fromkeys(words) if w not in cache]
+    new = words.difference(cache)
     if len(cache) + 2 * len(new) > kept:
         cache.clear()
-        new = list(dict.fromkeys(words))
-    ended = [w for w in new if len(w) > 1 and w[-1] in ".," and "a" <= w[-2] <= "z"]
-    stems = {w[:-1] for w in ended}
-    plain = [w for w in {*new, *stems, ".", ","}.difference(ended) if w not in cache]
-    for i in range(0, len(plain), 4096):
-        part = plain[i : i + 4096]
+        new = words
+    stems, plain, ended = set(), set(), []
+    for w in new:
+        found = _STEM.fullmatch(w)
+        if not found:
+            plain.add(w)
+        elif found[2]:
+            ended.append((w, found[1], found[2]))
+            stems.add(found[1])
+            plain.add(found[2])
+        else:
+            stems.add(w)
+    _encode_stems(list(stems.difference(cache)), tokenizer, cache)
+    _encode_each(list(plain.difference(cache)), tokenizer, cache)
+    for w, stem, rest in ended:
+        cache[w] = cache[stem] + cache[rest]
+    return cache
+
+
+def _encode_stems(stems: list[str], tokenizer, cache: dict[str, bytes]) -> None:
+    """Words of letters only, many in a text: each is cut off where a token ends a word."""
+    for i in range(0, len(stems), JOINED_WORDS):
+        part = stems[i : i + JOINED_WORDS]
+        ids = np.asarray(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(_WORKER["last"][ids]) + 1)).tolist()
+        if len(ends) != len(part):  # a vocabulary that doesn't mark the ends of words
+            _encode_each(part, tokenizer, cache)
+            continue
+        raw = ids.tobytes()
+        cache.update(zip(part, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+
+
+def _encode_each(words: list[str], tokenizer, cache: dict[str, bytes]) -> None:
+    for i in range(0, len(words), 4096):
+        part = words[i : i + 4096]
         for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
             cache[w] = _bytes(e)
-    for w in ended:
-        cache[w] = cache[w[:-1]] + cache[w[-1]]
-    return map(cache.__getitem__, words)
 
 
 def _bytes(encoding) -> bytes:

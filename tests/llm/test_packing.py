@@ -101,3 +101,37 @@ def test_clashing_names_and_empty_table(spark):
     got = P.pack(clashing(edge_docs(spark)), tokenizer_path()).collect()
     assert sorted((tuple(r[c] for c in COLS) for r in got), key=repr) == plain_pieces(edge_rows())
     assert P.pack(edge_docs(spark).limit(0), tokenizer_path()).collect() == []
+
+
+def test_words_share_texts_of_the_tokenizer():
+    """Distinct words of letters, with signs behind them or not, go through the tokenizer many at a time."""
+    tokenizer, cache = P._encoder(tokenizer_path())
+    kept = dict(cache)
+    cache.clear()
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    names = ["".join(chr(97 + (i * k) % 26) for k in (1, 3, 7, 11)) + "éß"[i % 2] * (i // 26) for i in range(2000)]
+    texts = [f"{a} {a}, {a}.&&" for a in names]
+    P._WORKER["tokenizer"] = Counting()
+    try:
+        got = list(P.encode(texts, tokenizer_path()))
+    finally:
+        P._WORKER["tokenizer"] = tokenizer
+        cache.update(kept)
+    want = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert got == [np.asarray(e.ids, "<u4").tobytes() for e in want]
+    assert len(sent) < 100
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ids_are_the_tokenizers(seed):
+    rng = np.random.default_rng(seed)
+    signs = [*"abcABZ .,!?'\"-_/<|>&$%#()0129\n\t\r\x0b", *"éÉßüøØ÷×İıĲŉǅȺɏʼµªº²ſΣσ中가क़ﬁ", "́", "̸", "Å", " ", "'s", "'re", "foo", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 14, 5000)]
+    want = P._encoder(tokenizer_path())[0].encode_batch_fast(texts, add_special_tokens=False)
+    assert list(P.encode(texts, tokenizer_path())) == [np.asarray(e.ids, "<u4").tobytes() for e in want]

@@ -78,6 +78,18 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> tu
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Hands Python ``rows`` rows at once, at most, in what is run meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def with_row_id(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written once with a unique ``rid``; later reads of it agree on the ids."""
     return materialise(df.withColumn("rid", F.monotonically_increasing_id()), name)

@@ -82,20 +82,28 @@ def windows(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray,
     return flat[starts[:, None] + np.arange(WINDOW)], goal[starts[:, None] + np.arange(CONTEXT, WINDOW)]
 
 
+def _dot(u: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """``u @ m`` as one product of matrices."""
+    return (u.reshape(-1, u.shape[-1]) @ m).reshape(*u.shape[:-1], m.shape[1])
+
+
 def forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
     h = w["emb"][x] + w["pos"]
     new = h[:, CONTEXT:]
-    q, k, v = new @ w["q"], h @ w["k"], h @ w["v"]
+    q, k, v = _dot(new, w["q"]), _dot(h, w["k"]), _dot(h, w["v"])
     s = q @ k.transpose(0, 2, 1)
     s += _MASK
     s -= s.max(axis=2, keepdims=True)
     a = np.exp(s, out=s)
     a /= a.sum(axis=2, keepdims=True)
     o = a @ v
-    r = new + o @ w["o"]
-    m = np.maximum(r @ w["h1"] + w["b1"], 0)
-    r2 = r + m @ w["h2"]
-    logits = r2 @ w["out"] + w["direct"][x[:, CONTEXT:]]
+    r = new + _dot(o, w["o"])
+    m = _dot(r, w["h1"])
+    m += w["b1"]
+    np.maximum(m, 0, out=m)
+    r2 = r + _dot(m, w["h2"])
+    logits = _dot(r2, w["out"])
+    logits += w["direct"][x[:, CONTEXT:]]
     return {"h": h, "q": q, "k": k, "v": v, "a": a, "o": o, "r": r, "m": m, "r2": r2, "logits": logits}
 
 
@@ -206,7 +214,14 @@ def fit(
     rate: float = 4e-3,
     seed: int = 5,
 ) -> Model:
-    """A model from counts over all training documents and gradient steps on sampled windows (x, y).
+    """A model from counts over all training documents and gradient steps over all their windows (x, y)."""
+    model = tables(counts, cls, follows, leads, seed)
+    Descent(model.weights, cls).run(x, y, np.random.default_rng(seed), steps, batch, lambda at: rate * (1 - at))
+    return model
+
+
+def tables(counts: np.ndarray, cls: np.ndarray, follows: np.ndarray, leads: np.ndarray, seed: int = 5) -> Model:
+    """A model before its gradient steps, from counts over all training documents.
 
     ``follows`` counts each id after each class and ``leads`` each class after each id: (ids, classes).
     """
@@ -239,49 +254,85 @@ def fit(
         "h2": rng.normal(0, HIDDEN**-0.5, (HIDDEN, DIM)),
         "out": rng.normal(0, 0.01, (DIM, CLASSES)),
     }
-    w = {k: v.astype(np.float32) for k, v in w.items()}
-    moved = [k for k in w if k != "direct"]
-    m1, m2 = ({k: np.zeros_like(w[k]) for k in moved} for _ in range(2))
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(x), batch)
-        grads = gradients(w, x[pick], y[pick], cls)
-        lr = rate * min(1.0, step / 50) * (1 - step / (steps + 1))
-        for k in moved:
-            g = grads[k]
-            m1[k] += 0.1 * (g - m1[k])
-            m2[k] += 0.01 * (g * g - m2[k])
-            w[k] -= lr * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-6)
-    return Model(w, cls, inside)
+    return Model({k: v.astype(np.float32) for k, v in w.items()}, cls, inside)
+
+
+class Descent:
+    """Gradient steps by Adam on the weights that move, all but the direct path; an id's embedding moves in
+    the steps whose windows hold the id."""
+
+    def __init__(self, weights: dict[str, np.ndarray], cls: np.ndarray):
+        self.w, self.cls, self.steps, self.targets = weights, cls, 0, 0
+        self.moments = {k: np.zeros((2, *v.shape), np.float32) for k, v in weights.items() if k != "direct"}
+        #: Steps that moved each id's embedding.
+        self.touched = np.zeros(len(weights["emb"]), np.int32)
+
+    def run(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, least: int, batch: int, rate) -> None:
+        """Steps over all windows (x, y) in random order, again and again until there are ``least`` steps;
+        ``rate`` gives the rate after a share of them."""
+        per_pass = -(-len(x) // batch)
+        passes = max(1, -(-least // per_pass)) if per_pass else 0
+        for n in range(passes):
+            order = rng.permutation(len(x))
+            for k in range(per_pass):
+                pick = order[k * batch : (k + 1) * batch]
+                self.step(x[pick], y[pick], rate((n * per_pass + k) / (passes * per_pass)))
+
+    def step(self, x: np.ndarray, y: np.ndarray, rate: float) -> None:
+        self.steps += 1
+        self.targets += int((y >= 0).sum())
+        grads, dh = _gradients(self.w, x, y, self.cls)
+        flat = x.ravel()
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        ids = flat[order[first]]
+        grads["emb"] = np.add.reduceat(dh.reshape(-1, DIM)[order], first, axis=0)
+        self.touched[ids] += 1
+        rate *= min(1.0, self.steps / 50)
+        for k, g in grads.items():
+            at = ids if k == "emb" else slice(None)
+            m1, m2 = self.moments[k]
+            m1[at] += np.float32(0.1) * (g - m1[at])
+            m2[at] += np.float32(0.01) * (g * g - m2[at])
+            size = np.sqrt(m2[at] / np.float32(1 - 0.99**self.steps)) + np.float32(1e-6)
+            self.w[k][at] -= np.float32(rate / (1 - 0.9**self.steps)) * m1[at] / size
 
 
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the mean class cross-entropy of a batch of windows."""
+    g, dh = _gradients(w, x, y, cls)
+    g["emb"] = np.zeros_like(w["emb"])
+    np.add.at(g["emb"], x, dh)
+    return g
+
+
+def _gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """``gradients``, but instead of the embeddings' those of the windows' places."""
     f = forward(w, x)
     got = y >= 0
-    z = f["logits"]
-    z = np.exp(z - z.max(axis=2, keepdims=True))
-    d = z / z.sum(axis=2, keepdims=True)
+    d = f["logits"]
+    d -= d.max(axis=2, keepdims=True)
+    np.exp(d, out=d)
+    d *= (got / np.float32(max(1, got.sum())))[..., None] / d.sum(axis=2, keepdims=True)
     b, t = np.nonzero(got)
-    d[b, t, cls[y[got]]] -= 1
-    d *= got[..., None] / np.float32(max(1, got.sum()))
+    d[b, t, cls[y[got]]] -= np.float32(1 / max(1, len(b)))
     flat = lambda u: u.reshape(-1, u.shape[-1])
     g = {"out": flat(f["r2"]).T @ flat(d)}
-    dr2 = d @ w["out"].T
+    dr2 = _dot(d, w["out"].T)
     g["h2"] = flat(f["m"]).T @ flat(dr2)
-    dm = (dr2 @ w["h2"].T) * (f["m"] > 0)
+    dm = _dot(dr2, w["h2"].T)
+    dm *= f["m"] > 0
     g["h1"], g["b1"] = flat(f["r"]).T @ flat(dm), flat(dm).sum(axis=0)
-    dr = dr2 + dm @ w["h1"].T
+    dr = dr2 + _dot(dm, w["h1"].T)
     g["o"] = flat(f["o"]).T @ flat(dr)
-    do = dr @ w["o"].T
+    do = _dot(dr, w["o"].T)
     da = do @ f["v"].transpose(0, 2, 1)
     dv = f["a"].transpose(0, 2, 1) @ do
     ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
     dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
     new = f["h"][:, CONTEXT:]
     g["q"], g["k"], g["v"] = flat(new).T @ flat(dq), flat(f["h"]).T @ flat(dk), flat(f["h"]).T @ flat(dv)
-    dh = dk @ w["k"].T + dv @ w["v"].T
-    dh[:, CONTEXT:] += dr + dq @ w["q"].T
+    dh = _dot(dk, w["k"].T) + _dot(dv, w["v"].T)
+    dh[:, CONTEXT:] += dr + _dot(dq, w["q"].T)
     g["pos"] = dh.sum(axis=0)
-    g["emb"] = np.zeros_like(w["emb"])
-    np.add.at(g["emb"], x, dh)
-    return g
+    return g, dh

@@ -1,12 +1,14 @@
 """Language-model scoring of whole documents by a causal self-attention model over subword ids.
 
 All counts cover all training documents, whole: those of words (the base score), of ids, and of pairs of
-neighbouring ids and of the words that begin between them, from which the model (``lm_model``) has its classes and both of its tables.  Only the
-gradient steps use a bounded sample of windows from anywhere in the documents.  A document
+neighbouring ids and of the words that begin between them, from which the model (``lm_model``) has its classes and both of its tables.
+The gradient steps go over all windows of all training documents too.  A document
 is cut into overlapping windows; each id is the target of one window only, and batches of windows go
 through masked attention together.
 
-Scale: both scores are maps over the documents.  Word counts are summed map-side before they are
+Scale: both scores are maps over the documents, which are encoded once and written as ids.  The training
+documents are dealt to ROUNDS rounds; in each the tasks take their own steps from the same weights, which
+are then averaged by Spark.  Word counts are summed map-side before they are
 shuffled, and so are pairs of ids, of which there are no more than the vocabulary squared.  The FREQUENT most frequent words, a fixed number, travel with the tasks; every other word
 of a document is counted by a join on the word, whose hot words are just those taken out.
 """
@@ -24,16 +26,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentmart.llm import lm_model
-from contentmart.llm.common import materialise, pick, text_slices
-from contentmart.llm.packing import _encoder, encoded_words
+from contentmart.llm.common import arrow_rows, materialise, pick, text_slices
+from contentmart.llm.packing import _encoder, encoded_words, forget, known_words
 
 #: Words whose counts every task holds, at most.
 FREQUENT = 100_000
-#: Subword ids in the windows of the gradient steps, about; drawing stops at the document that reaches them.
-SAMPLE_IDS = 4_000_000
-#: Documents that these windows are drawn from, at most; of one that has more than 2 * SAMPLE_IDS / SAMPLE_DOCS
-#: ids, so many in windows from anywhere in it.
-SAMPLE_DOCS = 4_000
+#: Rounds of gradient steps: a document's windows are in one of them.
+ROUNDS = 8
+#: Windows of a gradient step.
+BATCH = 64
+#: Windows that a task puts in random order together.
+SHUFFLED = 1 << 16
+#: The rate of the first gradient steps.
+RATE = 4e-3
+#: Rows of the embeddings that are averaged together.
+BLOCK = 1024
 #: Pairs of neighbouring ids that a task sums at once.
 CHUNK_PAIRS = 1_000_000
 #: Bytes of the packed model in one row.
@@ -44,8 +51,10 @@ END = "\n"
 CHUNK_IDS = 200_000
 #: Words that a worker keeps encoded.
 CACHE_WORDS = 300_000
-#: Bytes of text that are counted, or scored, at once.
-COUNT_BYTES, SCORE_BYTES = 8 << 20, 1 << 20
+#: Documents that Spark hands to Python at once.
+BATCH_ROWS = 1_000
+#: Bytes of text that are counted, or encoded, at once.
+COUNT_BYTES, ENCODE_BYTES = 8 << 20, 1 << 20
 
 #: Bytes with A to Z lowered and white space made a space; no other UTF-8 byte is touched.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
@@ -120,7 +129,11 @@ def id_counts(counts: DataFrame, path: str, size: int) -> np.ndarray:
 
 def _ids(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words, and for each but the first whether a new word begins with it."""
-    parts = list(encoded_words(words, path, CACHE_WORDS))
+    return _joined(list(encoded_words(words, path, CACHE_WORDS)))
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``_ids`` from the ids of each word."""
     ids = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
     begins = np.zeros(len(ids) + 1, bool)
     begins[np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4] = True  # a word without ids begins nowhere of its own
@@ -135,8 +148,46 @@ def _summed(keys: list[np.ndarray], times: list[np.ndarray] | None = None) -> tu
     return key, np.bincount(at, weights=np.concatenate(times), minlength=len(key)).astype(np.int64)
 
 
-def _count_pairs(path: str, size: int, chunk: int):
+def _kind(size: int) -> str:
+    """The numbers that hold ``size`` ids."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _packed(one: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[pa.Array]:
+    """Columns ids and begins of documents' ``_ids``."""
+    kind = _kind(size)
+    return [
+        pa.array([ids.astype(kind).tobytes() for ids, _ in one], pa.binary()),
+        pa.array([np.packbits(begins).tobytes() for _, begins in one], pa.binary()),
+    ]
+
+
+def _unpacked(b: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_ids`` of each document of a batch (ids, begins)."""
+    kind = _kind(size)
+    for ids, begins in zip(b.column("ids"), b.column("begins"), strict=True):
+        ids = np.frombuffer(ids.as_buffer(), kind).astype(np.int64)
+        yield ids, np.unpackbits(np.frombuffer(begins.as_buffer(), np.uint8), count=max(0, len(ids) - 1)).astype(bool)
+
+
+def _encode_texts(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for whole in batches for part in text_slices(whole, "text", ENCODE_BYTES)):
+            cols = _packed([_ids(words(t), path) for t in b.column("text").to_pylist()], size)
+            yield pa.RecordBatch.from_arrays([b.column("rid"), *cols], names=["rid", "ids", "begins"])
+
+    return run
+
+
+def encoded(rows: DataFrame, path: str, size: int) -> DataFrame:
+    """(rid, ids, begins) of rows (text)."""
+    rows = rows.select(F.monotonically_increasing_id().alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(_encode_texts(path, size), "rid long, ids binary, begins binary")
+
+
+def _count_pairs(size: int, chunk: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         end = np.array([size - 1], np.int64)
         keys: list[np.ndarray] = []
         gaps: list[np.ndarray] = []
@@ -153,8 +204,7 @@ def _count_pairs(path: str, size: int, chunk: int):
             )
 
         for b in batches:
-            for text in b.column("text").to_pylist():
-                inner, begins = _ids(words(text), path)
+            for inner, begins in _unpacked(b, size):
                 ids = np.concatenate([end, inner, end])
                 keys.append(ids[:-1] * size + ids[1:])
                 gaps.append(keys[-1][1:-1][begins])
@@ -168,11 +218,24 @@ def _count_pairs(path: str, size: int, chunk: int):
     return run
 
 
+def _pairs(docs: DataFrame, size: int) -> DataFrame:
+    """``pair_counts`` of encoded documents (ids, begins)."""
+    pairs = docs.select("ids", "begins").mapInArrow(_count_pairs(size, CHUNK_PAIRS), "before int, id int, n long, gaps long")
+    return pairs.groupBy("before", "id").agg(F.sum("n").alias("n"), F.sum("gaps").alias("gaps"))
+
+
 def pair_counts(rows: DataFrame, path: str, size: int) -> DataFrame:
     """(before, id, n, gaps): how often each id follows each over all rows (text), and how often as the first
     of a word; the end id stands around a text."""
-    pairs = rows.select("text").mapInArrow(_count_pairs(path, size, CHUNK_PAIRS), "before int, id int, n long, gaps long")
-    return pairs.groupBy("before", "id").agg(F.sum("n").alias("n"), F.sum("gaps").alias("gaps"))
+    return _pairs(encoded(rows, path, size), size)
+
+
+def pair_id_counts(pairs: DataFrame, size: int) -> np.ndarray:
+    """``id_counts`` from the counts of pairs: every id, and the end of each document, comes second in one pair."""
+    got = pairs.groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row per id at most
+    out = np.zeros(size)
+    out[got["id"].to_numpy(int)] = got["n"].to_numpy(float)
+    return out
 
 
 def gap_odds(pairs: DataFrame, size: int) -> np.ndarray:
@@ -239,34 +302,17 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def _fit(path: str, counts: np.ndarray, cls: np.ndarray, gap: np.ndarray, sample_ids: int, sample_docs: int, steps: int):
-    """Fits the model in one task from rows of counts (leads, id, at, n) and sampled documents (text);
-    gives it as rows of at most PART_BYTES."""
+def _tables(counts: np.ndarray, cls: np.ndarray, gap: np.ndarray):
+    """The model before its gradient steps, made in one task from rows of counts (leads, id, at, n); gives it as
+    rows of at most PART_BYTES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = len(counts) - 1
         follows, leads = np.zeros((2, len(counts), lm_model.CLASSES), np.float32)
-        rng = np.random.default_rng(7)
-        most = max(1, 2 * sample_ids // max(1, sample_docs) // lm_model.NEW)
-        xs, ys, total = [], [], 0
         for b in batches:
             kind = b.column("leads").to_numpy(zero_copy_only=False)
-            counted = b.column("id").is_valid().to_numpy(zero_copy_only=False)
-            _filled(follows, b, counted & (kind == False))  # noqa: E712
-            _filled(leads, b, counted & (kind == True))  # noqa: E712
-            for text in b.column("text").filter(pa.array(~counted)).to_pylist():
-                if total < sample_ids:
-                    ids = np.append(_ids(words(text), path)[0].astype(np.int32), end)
-                    x, y = lm_model.windows(ids, np.array([len(ids)]), end)
-                    if len(x) > most:
-                        pick = rng.choice(len(x), most, replace=False)
-                        x, y = x[pick], y[pick]
-                    xs.append(x), ys.append(y)
-                    total += int((y >= 0).sum())
-        if not xs:
-            x, y = lm_model.windows(np.array([end], np.int32), np.array([1]), end)
-            xs, ys = [x], [y]
-        model = lm_model.fit(np.concatenate(xs), np.concatenate(ys), counts, cls, follows, leads, steps=steps)
+            _filled(follows, b, ~kind)
+            _filled(leads, b, kind)
+        model = lm_model.tables(counts, cls, follows, leads)
         model.gap = gap.astype(np.float32)
         packed = lm_model.dumps(model)
         for k, at in enumerate(range(0, len(packed), PART_BYTES)):
@@ -277,20 +323,117 @@ def _fit(path: str, counts: np.ndarray, cls: np.ndarray, gap: np.ndarray, sample
     return run
 
 
-def fit(training: DataFrame, words: DataFrame, path: str, sample_ids: int, sample_docs: int, steps: int) -> bytes:
-    """The model from ``training`` (doc_id, text) and its word counts: the counts of all ids and id pairs of
-    all documents, and windows of a sample of documents in hash order.
+MOVED = "name string, block int, ids binary, n binary, value binary"
+
+
+def _descend(shared, moved, size: int, least: int, spread: tuple[float, float], seed: int):
+    """The weights that a task has after steps over all windows of its documents, from those that all begin
+    with: rows of BLOCK embeddings that moved, with the steps that moved them, and of each other weight whole,
+    with the targets it has seen.  The rate falls from the first to the second of ``spread``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        forget()
+        direct, cls = shared.value
+        fitting = lm_model.Descent({"direct": direct, **{k: v.copy() for k, v in moved.value.items()}}, cls)
+        task = TaskContext.get()
+        rng = np.random.default_rng([seed, task.partitionId() if task else 0])
+        xs, ys, held = [], [], 0
+        rate = lambda at: spread[0] + (spread[1] - spread[0]) * at
+        for b in batches:
+            for ids, _ in _unpacked(b, size):
+                x, y = lm_model.windows(np.append(ids.astype(np.int32), size - 1), np.array([len(ids) + 1]), size - 1)
+                xs.append(x), ys.append(y)
+                held += len(x)
+                if held >= SHUFFLED:
+                    fitting.run(np.concatenate(xs), np.concatenate(ys), rng, least, BATCH, rate)
+                    xs, ys, held = [], [], 0
+        if xs:
+            fitting.run(np.concatenate(xs), np.concatenate(ys), rng, least, BATCH, rate)
+        if fitting.steps:
+            yield _moved(fitting)
+
+    return run
+
+
+def _moved(fitting: lm_model.Descent) -> pa.RecordBatch:
+    out = []
+    for name in fitting.moments:
+        value = fitting.w[name]
+        if name != "emb":
+            out.append((name, 0, np.zeros(1, "<i8"), np.array([fitting.targets], "<i8"), value))
+            continue
+        for at in range(0, len(value), BLOCK):
+            ids = at + np.flatnonzero(fitting.touched[at : at + BLOCK])
+            if len(ids):
+                out.append((name, at // BLOCK, ids.astype("<i8"), fitting.touched[ids].astype("<i8"), value[ids]))
+    name, block, *arrays = zip(*out, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(name, pa.string()), pa.array(block, pa.int32()), *(pa.array([a.tobytes() for a in c], pa.binary()) for c in arrays)],
+        names=["name", "block", "ids", "n", "value"],
+    )
+
 
-    Counts by class and the sample are bounded, so one task fits the model, with an executor's memory and
-    not the driver's.
+def _averaged(table: pa.Table) -> pa.Table:
+    """One row from the rows of a weight, or of a block of embeddings, each weighed by what moved it."""
+    rows = [[np.frombuffer(r[c], k) for c, k in (("ids", "<i8"), ("n", "<i8"), ("value", "<f4"))] for r in table.to_pylist()]
+    ids = np.unique(np.concatenate([i for i, _, _ in rows]))
+    n, total = np.zeros(len(ids), np.int64), None
+    for i, times, value in rows:
+        at = np.searchsorted(ids, i)
+        value = value.reshape(len(i), -1).astype(np.float64)
+        total = np.zeros((len(ids), value.shape[1])) if total is None else total
+        total[at] += value * times[:, None]
+        n[at] += times
+    mean = (total / n[:, None]).astype("<f4")
+    cols = [table.column(c)[:1] for c in ("name", "block")]
+    cols += [pa.array([a.tobytes()], pa.binary()) for a in (ids.astype("<i8"), n.astype("<i8"), mean)]
+    return pa.table(cols, names=["name", "block", "ids", "n", "value"])
+
+
+def _trained(model: lm_model.Model, docs: DataFrame, steps: int) -> None:
+    """Takes gradient steps over all windows of ``docs`` (rid, ids, begins), ``steps`` at the least.
+
+    Up to ``steps`` batches, a fixed number, are gone over by one task, as often as it takes.  More are dealt
+    to ROUNDS rounds, in which every task takes steps over the windows of its own documents.
     """
-    spark = training.sparkSession
-    size = vocabulary_size(path) + 1
-    counts = id_counts(words, path, size)
-    if not counts[-1]:
-        end = size - 1
-        return lm_model.dumps(lm_model.train(np.array([end], np.int32), np.array([1]), counts, steps=steps))
-    pairs, _ = materialise(pair_counts(training, path, size), "lm-pairs")
+    spark, size = docs.sparkSession, len(model.cls)
+    # No more windows than one a document beyond the full ones.
+    lengths = docs.agg(F.sum(F.floor((F.length("ids") / np.dtype(_kind(size)).itemsize + lm_model.NEW) / lm_model.NEW))).first()
+    few = (lengths[0] or 0) <= min(steps * BATCH, SHUFFLED)
+    rounds = 1 if few else ROUNDS
+    docs = docs.select("rid", "ids", "begins")
+    shared = spark.sparkContext.broadcast((model.weights["direct"], model.cls))
+    for r in range(rounds):
+        begin = spark.sparkContext.broadcast({k: v for k, v in model.weights.items() if k != "direct"})
+        part = docs.repartition(1) if few else docs.filter(F.pmod(F.xxhash64("rid"), F.lit(rounds)) == r)
+        spread = RATE * (1 - r / rounds), RATE * (1 - (r + 1) / rounds)
+        run = _descend(shared, begin, size, steps if few else 0, spread, r)
+        ended = part.mapInArrow(run, MOVED).groupBy("name", "block").applyInArrow(_averaged, MOVED)
+        for row in ended.toArrow().to_pylist():  # the weights that moved, once
+            ids, value = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["value"], "<f4")
+            w = model.weights[row["name"]]
+            if row["name"] == "emb":
+                w[ids] = value.reshape(len(ids), -1)
+            else:
+                w[...] = value.reshape(w.shape)
+        begin.unpersist()
+    shared.unpersist()
+
+
+def _learned(docs: DataFrame, n_docs: int, size: int, steps: int) -> lm_model.Model:
+    """The model from ``docs`` (rid, ids, begins), all the training documents: counts of all ids and id pairs,
+    and gradient steps over all windows.
+
+    Counts by class are bounded, so one task makes the tables, with an executor's memory and not the driver's.
+    """
+    spark = docs.sparkSession
+    if not n_docs:
+        end = np.array([size - 1], np.int32)
+        return lm_model.train(end, np.array([1]), np.zeros(size), steps=steps)
+    pairs, _ = materialise(_pairs(docs, size), "lm-pairs")
+    counts = pair_id_counts(pairs, size)
     listed = lambda df, at, *by: df.groupBy(*by).agg(F.collect_list(F.struct(F.col(at).alias("at"), "n")).alias("p"))
     top = lm_model.heads(counts, lm_model.CLASSES)
     spots = spark.createDataFrame([(int(i), k) for k, i in enumerate(top)], "before int, spot int")
@@ -300,32 +443,80 @@ def fit(training: DataFrame, words: DataFrame, path: str, sample_ids: int, sampl
 
     by_class = pairs.mapInArrow(_class_sums(cls), "leads boolean, id int, class int, n long")
     by_class = by_class.groupBy("leads", "id", "class").agg(F.sum("n").alias("n"))
-    tables = listed(by_class, "class", "leads", "id").select("leads", "id", "p.at", "p.n", F.lit(None).cast("string").alias("text"))
-    # About twice as many documents as are wanted by their hash, then the first of them in hash order.
-    share = min(1.0, 2 * sample_docs / max(1, counts[-1]))
-    order = F.xxhash64("doc_id")
-    drawn = training.filter(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(order).limit(sample_docs)
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("leads", "boolean"), ("id", "int"), ("at", "array<int>"), ("n", "array<bigint>"))]
-    both = tables.unionByName(drawn.select(*none, "text"))
-    fitted = both.repartition(1).mapInArrow(_fit(path, counts, cls, gap_odds(pairs, size), sample_ids, sample_docs, steps), "part int, model binary")
-    written, _ = materialise(fitted, "lm-model")  # collected in parts, which the driver never holds twice over
+    listed_by_class = listed(by_class, "class", "leads", "id").select("leads", "id", "p.at", "p.n")
+    made = listed_by_class.repartition(1).mapInArrow(_tables(counts, cls, gap_odds(pairs, size)), "part int, model binary")
+    written, _ = materialise(made, "lm-model")  # collected in parts, which the driver never holds twice over
     got = written.toArrow().sort_by("part")
-    return b"".join(p.as_py() for p in got.column("model"))
+    model = lm_model.loads(b"".join(p.as_py() for p in got.column("model")))
+    _trained(model, docs, steps)
+    return model
+
+
+def _documents(words: DataFrame) -> int:
+    return words.filter(F.col("word") == END).agg(F.sum("n")).first()[0] or 0
+
+
+def fit(training: DataFrame, words: DataFrame, path: str, sample_ids: int | None = None, sample_docs: int | None = None, steps: int = 800) -> bytes:
+    """The model from ``training`` (doc_id, text) and its word counts, packed.
+
+    ``sample_ids`` and ``sample_docs`` bounded the windows once and do nothing: all are used.
+    """
+    size = vocabulary_size(path) + 1
+    docs, _ = materialise(encoded(training, path, size), "lm-encoded")
+    return lm_model.dumps(_learned(docs, _documents(words), size, steps))
 
 
 # --- scoring ------------------------------------------------------------------
 
-SCORED = "rid long, doc_id long, n_tokens long, n_top long, top_score double, score double, rare array<string>, times array<int>"
+ENCODED = (
+    "rid long, doc_id long, n_tokens long, n_top long, top_score double, rare array<string>, times array<int>, ids binary, begins binary"
+)
+
 
+def _encode(shared, path: str, size: int):
+    """Each document's words counted, scored where they are frequent, and encoded."""
 
-def _score(shared, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, top = shared.value
+        top = shared.value
+        for b in (part for whole in batches for part in text_slices(whole, "text", ENCODE_BYTES)):
+            split = [words(text) for text in b.column("text").to_pylist()]
+            known = known_words(set().union(*split), path, CACHE_WORDS)
+            n_tokens, n_top, base, rare, times, ids = [], [], [], [], [], []
+            for w in split:
+                ids.append(_joined(list(map(known.__getitem__, w))))
+                w.append(END)
+                got = list(map(top.get, w))
+                miss = Counter(x for x, g in zip(w, got, strict=True) if g is None)
+                n_tokens.append(len(w)), n_top.append(len(w) - miss.total())
+                base.append(math.fsum(filter(None, got)))
+                rare.append(list(miss)), times.append(list(miss.values()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("rid"),
+                    b.column("doc_id"),
+                    pa.array(n_tokens, pa.int64()),
+                    pa.array(n_top, pa.int64()),
+                    pa.array(base, pa.float64()),
+                    pa.array(rare, pa.list_(pa.string())),
+                    pa.array(times, pa.list_(pa.int32())),
+                    *_packed(ids, size),
+                ],
+                names=["rid", "doc_id", "n_tokens", "n_top", "top_score", "rare", "times", "ids", "begins"],
+            )
+
+    return run
+
+
+SCORED = "rid long, doc_id long, n_tokens long, n_top long, top_score double, score double"
+
+
+def _score(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        model = shared.value
         end = model.end
-        for b in (part for whole in batches for part in text_slices(whole, "text", SCORE_BYTES)):
-            n_tokens, n_top, base, rare, times = [], [], [], [], []
-            texts = b.column("text").to_pylist()
-            scores = np.zeros(len(texts))
+        for b in batches:
+            scores = np.zeros(len(b))
             pending: list[np.ndarray] = []
             owner: list[int] = []
             held = 0
@@ -337,17 +528,9 @@ def _score(shared, path: str):
                 steps = -(-lengths // lm_model.NEW)
                 np.add.at(scores, np.repeat(owner, steps), sums)  # noqa: B023
 
-            for i, text in enumerate(texts):
-                w = words(text)
-                ids, begins = _ids(w, path)
+            for i, (ids, begins) in enumerate(_unpacked(b, len(model.cls))):
                 scores[i] += lm_model.gap_log_prob(model, ids, begins)
                 one = np.append(ids.astype(np.int32), end)
-                w.append(END)
-                got = list(map(top.get, w))
-                miss = Counter(x for x, g in zip(w, got, strict=True) if g is None)
-                n_tokens.append(len(w)), n_top.append(len(w) - miss.total())
-                base.append(math.fsum(filter(None, got)))
-                rare.append(list(miss)), times.append(list(miss.values()))
                 pending.append(one), owner.append(i)
                 held += len(one)
                 if held >= CHUNK_IDS:
@@ -355,19 +538,8 @@ def _score(shared, path: str):
                     pending, owner, held = [], [], 0
             if pending:
                 flush()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("rid"),
-                    b.column("doc_id"),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_top, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(scores / math.log(10)),
-                    pa.array(rare, pa.list_(pa.string())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ],
-                names=["rid", "doc_id", "n_tokens", "n_top", "top_score", "score", "rare", "times"],
-            )
+            kept = ["rid", "doc_id", "n_tokens", "n_top", "top_score"]
+            yield pa.RecordBatch.from_arrays([*map(b.column, kept), pa.array(scores / math.log(10))], names=[*kept, "score"])
 
     return run
 
@@ -378,8 +550,8 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     frequent: int = FREQUENT,
-    sample_ids: int = SAMPLE_IDS,
-    sample_docs: int = SAMPLE_DOCS,
+    sample_ids: int | None = None,
+    sample_docs: int | None = None,
     steps: int = 800,
 ) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
@@ -389,13 +561,19 @@ def score(
     score is the model's log10 probability of the text: of its subword ids and its end, and between each
     two ids of whether a new word begins there, given both, from counts over all training documents.  So
     texts that differ in their words differ in score also where they have the same ids ("foo,bar" and
-    "foo , bar").
+    "foo , bar").  All windows of all training documents are trained on, in ``steps`` gradient steps at the
+    least; ``sample_ids`` and ``sample_docs`` bounded them once and do nothing.
 
     A null text is empty and scores its end only.  Without training documents all counts are 0 and the
     model is fitted on an empty document.  Rows that repeat an id are separate rows.  An empty table
     gives an empty result; extra columns are ignored, whatever their names.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _scored(docs, tokenizer_path, id_col, text_col, frequent, steps)
+
+
+def _scored(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, frequent: int, steps: int) -> DataFrame:
     spark = docs.sparkSession
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
@@ -409,30 +587,33 @@ def score(
     common = counts.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
     top = dict(zip(common["word"], np.log10((common["n"].to_numpy(float) + 0.5) / spread).tolist(), strict=True))
     del common
+    size = vocabulary_size(tokenizer_path) + 1
+    frequent_words = spark.sparkContext.broadcast(top)
+    docs, _ = materialise(
+        rows.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_encode(frequent_words, tokenizer_path, size), ENCODED),
+        "lm-documents",
+    )
+    frequent_words.unpersist()
+    del top
     # The arrays themselves are sent, so that a worker holds them once.
-    model = lm_model.loads(fit(training, counts, tokenizer_path, sample_ids, sample_docs, steps))
-    shared = spark.sparkContext.broadcast((model, top))
-    del model, top
+    model = _learned(docs.filter(in_training(F.col("doc_id"))), _documents(counts), size, steps)
+    shared = spark.sparkContext.broadcast(model)
+    del model
 
-    scored, _ = materialise(
-        rows.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_score(shared, tokenizer_path), SCORED), "lm-scored"
-    )
-    rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
+    scored, _ = materialise(docs.drop("rare", "times").mapInArrow(_score(shared), SCORED), "lm-scored")
+    shared.unpersist()
+    rare = docs.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
     rare = rare.select("rid", F.col("w.rare").alias("word"), F.col("w.times").alias("k"))
     found = rare.join(counts, "word", "left").select("rid", "k", F.coalesce("n", F.lit(0)).alias("n"))
     per_doc = found.groupBy("rid").agg(
         F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(F.col("k") * logp(F.col("n"))).alias("rare_score")
     )
-    return (
-        scored.drop("rare", "times")
-        .join(per_doc, "rid", "left")
-        .select(
-            "doc_id",
-            (~in_training(F.col("doc_id"))).alias("held_out"),
-            "n_tokens",
-            (F.col("n_top") + F.coalesce("known", F.lit(0))).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            (F.col("top_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
-            "score",
-        )
+    return scored.join(per_doc, "rid", "left").select(
+        "doc_id",
+        (~in_training(F.col("doc_id"))).alias("held_out"),
+        "n_tokens",
+        (F.col("n_top") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("top_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
+        "score",
     )

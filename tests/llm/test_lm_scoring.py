@@ -193,3 +193,74 @@ def test_a_packed_model_is_the_same_model():
     assert (M.HIDDEN, M.CLASSES) == (32, 128)
     x, y = M.windows(ids, lengths, 39)
     assert np.array_equal(M.log_probs(model, x, y), M.log_probs(M.loads(M.dumps(model)), x, y))
+
+
+def test_the_gradient_steps_go_over_all_windows(spark):
+    """However small the sample of the gradient steps once was, and in rounds of several tasks."""
+    data = [(i, " ".join(f"w{(i * 31 + k * k) % 997} x{k % 7}" for k in range(60 + i % 50))) for i in range(400)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    path = tokenizer_path()
+    size = S.vocabulary_size(path) + 1
+    model = M.loads(S.fit(df, S.word_counts(df), path, sample_ids=100, sample_docs=1, steps=1))
+    moved = (model.weights["emb"] != np.random.default_rng(5).normal(0, 0.3, (size, M.DIM)).astype(np.float32)).any(axis=1)
+    inputs = {size - 1}.union(*(np.frombuffer(ids, "<u4").tolist() for ids in encode([t for _, t in data], path)))
+    assert np.array_equal(np.flatnonzero(moved), sorted(inputs))
+
+
+def test_every_window_is_in_one_round(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * 7 + k) % 50}" for k in range(1 + i % 40)) for i in range(60)]
+    docs = S.encoded(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), tokenizer_path(), 49_409).cache()
+    seen = []
+    monkeypatch.setattr(M.Descent, "run", lambda self, x, y, *a: seen.append((x, y)))
+    for r in range(S.ROUNDS):
+        part = docs.filter(S.F.pmod(S.F.xxhash64("rid"), S.F.lit(S.ROUNDS)) == r).toArrow()
+        w = {k: np.zeros((2, 2), np.float32) for k in ("emb", "q")}
+        shared, begin = (type("B", (), {"value": v}) for v in ((np.zeros((2, 2)), None), w))
+        assert list(S._descend(shared, begin, 49_409, 0, (1.0, 0.0), r)(iter(part.to_batches()))) == []
+    got = np.concatenate([y[y >= 0] for _, y in seen])
+    want = [i for ids in encode(texts, tokenizer_path()) for i in [*np.frombuffer(ids, "<u4").tolist(), 49_408]]
+    assert sorted(got.tolist()) == sorted(want)
+
+
+def test_steps_are_passes_over_all_windows():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    for least, passes in ((0, 1), (5, 2), (3, 1)):
+        fitting = M.Descent({k: v.copy() for k, v in model.weights.items()}, model.cls)
+        fitting.run(x, y, np.random.default_rng(1), least, 3, lambda at: 1e-3)
+        assert fitting.targets == passes * len(ids)
+
+
+def test_tasks_are_averaged_by_what_moved_them():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    fits = []
+    for part in (slice(0, 4), slice(4, 6)):
+        f = M.Descent({k: v.copy() for k, v in model.weights.items()}, model.cls)
+        f.run(x[part], y[part], np.random.default_rng(1), 0, 1, lambda at: 1e-2)
+        fits.append(f)
+    table = S.pa.Table.from_batches([S._moved(f) for f in fits])
+    for name in ("q", "emb"):
+        row = S._averaged(table.filter(S.pa.compute.equal(table["name"], name))).to_pylist()[0]
+        n = [f.touched[:, None] if name == "emb" else f.targets for f in fits]
+        at = np.frombuffer(row["ids"], "<i8") if name == "emb" else slice(None)
+        want = sum(f.w[name] * k for f, k in zip(fits, n, strict=True)) / np.maximum(1, sum(n))
+        assert np.allclose(np.frombuffer(row["value"], "<f4").reshape(want[at].shape), want[at], atol=1e-6)
+
+
+def test_counts_of_ids_from_pairs_are_those_from_words(spark):
+    df = spark.createDataFrame([(t,) for _, t, *_ in edge_rows()], "text string")
+    size = S.vocabulary_size(tokenizer_path()) + 1
+    pairs = S.pair_counts(df, tokenizer_path(), size)
+    assert np.array_equal(S.pair_id_counts(pairs, size), S.id_counts(S.word_counts(df.fillna("")), tokenizer_path(), size))
+
+
+def test_scoring_hands_small_batches_to_python_and_keeps_no_words(spark, monkeypatch):
+    name, rows, written = "spark.sql.execution.arrow.maxRecordsPerBatch", [], S.materialise
+    monkeypatch.setattr(S, "materialise", lambda df, *a: rows.append(int(spark.conf.get(name))) or written(df, *a))
+    before = spark.conf.get(name)
+    S.score(edge_docs(spark), tokenizer_path(), steps=1)
+    assert max(rows) <= 1000 and spark.conf.get(name) == before
+    list(encode(["some words"], tokenizer_path()))
+    list(S._count_pairs(49_409, 10)(iter([])))
+    assert not S._encoder.__globals__["_WORKER"]

@@ -36,7 +36,7 @@ ROUNDS = 8
 #: Windows of a gradient step.
 BATCH = 64
 #: Windows that a task puts in random order together.
-SHUFFLED = 1 << 16
+SHUFFLED = 1 << 14
 #: The rate of the first gradient steps.
 RATE = 4e-3
 #: Rows of the embeddings that are averaged together.
@@ -287,6 +287,7 @@ def _classes(counts: np.ndarray):
     """The class of each id, in one task, from a row per id (id, at, n) of the counts of the heads before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         feat = np.zeros((len(counts), len(lm_model.heads(counts, lm_model.CLASSES))), np.float32)
         for b in batches:
             _filled(feat, b, np.ones(len(b), bool))
@@ -307,6 +308,7 @@ def _tables(counts: np.ndarray, cls: np.ndarray, gap: np.ndarray):
     rows of at most PART_BYTES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         follows, leads = np.zeros((2, len(counts), lm_model.CLASSES), np.float32)
         for b in batches:
             kind = b.column("leads").to_numpy(zero_copy_only=False)
@@ -314,7 +316,9 @@ def _tables(counts: np.ndarray, cls: np.ndarray, gap: np.ndarray):
             _filled(leads, b, kind)
         model = lm_model.tables(counts, cls, follows, leads)
         model.gap = gap.astype(np.float32)
+        del follows, leads
         packed = lm_model.dumps(model)
+        del model
         for k, at in enumerate(range(0, len(packed), PART_BYTES)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k], pa.int32()), pa.array([packed[at : at + PART_BYTES]], pa.binary())], names=["part", "model"]
@@ -329,7 +333,9 @@ MOVED = "name string, block int, ids binary, n binary, value binary"
 def _descend(shared, moved, size: int, least: int, spread: tuple[float, float], seed: int):
     """The weights that a task has after steps over all windows of its documents, from those that all begin
     with: rows of BLOCK embeddings that moved, with the steps that moved them, and of each other weight whole,
-    with the targets it has seen.  The rate falls from the first to the second of ``spread``."""
+    with the targets it has seen.  The rate falls from the first to the second of ``spread``.  A task of up to
+    ``least`` batches goes over them until it has taken so many steps."""
+    most = max(SHUFFLED, least * BATCH + 1)  # so few windows stay together
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -346,7 +352,7 @@ def _descend(shared, moved, size: int, least: int, spread: tuple[float, float],
                 x, y = lm_model.windows(np.append(ids.astype(np.int32), size - 1), np.array([len(ids) + 1]), size - 1)
                 xs.append(x), ys.append(y)
                 held += len(x)
-                if held >= SHUFFLED:
+                if held >= most:
                     fitting.run(np.concatenate(xs), np.concatenate(ys), rng, least, BATCH, rate)
                     xs, ys, held = [], [], 0
         if xs:
@@ -399,9 +405,8 @@ def _trained(model: lm_model.Model, docs: DataFrame, steps: int) -> None:
     to ROUNDS rounds, in which every task takes steps over the windows of its own documents.
     """
     spark, size = docs.sparkSession, len(model.cls)
-    # No more windows than one a document beyond the full ones.
     lengths = docs.agg(F.sum(F.floor((F.length("ids") / np.dtype(_kind(size)).itemsize + lm_model.NEW) / lm_model.NEW))).first()
-    few = (lengths[0] or 0) <= min(steps * BATCH, SHUFFLED)
+    few = (lengths[0] or 0) <= steps * BATCH
     rounds = 1 if few else ROUNDS
     docs = docs.select("rid", "ids", "begins")
     shared = spark.sparkContext.broadcast((model.weights["direct"], model.cls))

@@ -12,6 +12,7 @@ a second round over fewer tasks, so that the loss does not grow with the number
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -106,8 +107,10 @@ def _encoder(path: str):
 
 
 def forget() -> None:
-    """Frees the worker's tokenizer and words, for tasks that need neither."""
+    """Frees the worker's tokenizer and words, for tasks that need neither, and what freed memory it still holds."""
     _WORKER.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def encode(texts: list[str], path: str) -> Iterator[bytes]:

@@ -53,12 +53,16 @@ def gap_log_prob(model: Model, ids: np.ndarray, begins: np.ndarray) -> float:
 
 
 def mask() -> np.ndarray:
-    """Added to attention scores: a scored position sees itself and what is before it."""
+    """Which inputs a scored position sees: itself and what is before it."""
     rows, cols = np.arange(CONTEXT, WINDOW)[:, None], np.arange(WINDOW)[None, :]
-    return np.where(cols <= rows, np.float32(0), np.float32(-1e9))
+    return (cols <= rows).astype(np.float32)
 
 
 _MASK = mask()
+#: Exponents that are taken as they are; beyond them a row's largest is taken off first.
+PLAIN = 60.0
+#: Rows of logits that are worked on together: few enough for a core's cache.
+ROWS = 384
 
 
 def windows(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,68 +91,69 @@ def _dot(u: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (u.reshape(-1, u.shape[-1]) @ m).reshape(*u.shape[:-1], m.shape[1])
 
 
-def forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
-    h = w["emb"][x] + w["pos"]
-    new = h[:, CONTEXT:]
+def _flat(u: np.ndarray) -> np.ndarray:
+    return u.reshape(-1, u.shape[-1])
+
+
+def _exp(z: np.ndarray) -> None:
+    """``z`` becomes its exponentials, up to a factor of each row where those would leave a float's range."""
+    if z.size and not (z.max() < PLAIN and z.min() > -PLAIN):
+        z -= z.max(axis=-1, keepdims=True)
+    np.exp(z, out=z)
+
+
+def _attended(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
+    """What a window's places hold before the class logits."""
+    h = w["emb"].take(x, axis=0)
+    h += w["pos"]
+    new = np.ascontiguousarray(h[:, CONTEXT:])
     q, k, v = _dot(new, w["q"]), _dot(h, w["k"]), _dot(h, w["v"])
-    s = q @ k.transpose(0, 2, 1)
-    s += _MASK
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s, out=s)
-    a /= a.sum(axis=2, keepdims=True)
+    a = q @ k.transpose(0, 2, 1)
+    if a.size and not (a.max() < PLAIN and a.min() > -PLAIN):
+        a += np.where(_MASK, 0, np.float32(-1e9))
+    _exp(a)
+    a *= _MASK
+    a /= a @ np.ones((WINDOW, 1), a.dtype)
     o = a @ v
     r = new + _dot(o, w["o"])
     m = _dot(r, w["h1"])
     m += w["b1"]
     np.maximum(m, 0, out=m)
     r2 = r + _dot(m, w["h2"])
-    logits = _dot(r2, w["out"])
-    logits += w["direct"][x[:, CONTEXT:]]
-    return {"h": h, "q": q, "k": k, "v": v, "a": a, "o": o, "r": r, "m": m, "r2": r2, "logits": logits}
+    return {"h": h, "new": new, "q": q, "k": k, "v": v, "a": a, "o": o, "r": r, "m": m, "r2": r2}
+
+
+def _logits(w: dict[str, np.ndarray], r2: np.ndarray, before: np.ndarray) -> np.ndarray:
+    z = r2 @ w["out"]
+    z += w["direct"].take(before, axis=0)
+    return z
+
+
+def forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
+    f = _attended(w, x)
+    f["logits"] = _logits(w, _flat(f["r2"]), x[:, CONTEXT:].ravel()).reshape(len(x), NEW, CLASSES)
+    return f
 
 
-def log_probs(model: Model, x: np.ndarray, y: np.ndarray, batch: int = 128) -> np.ndarray:
+def log_probs(model: Model, x: np.ndarray, y: np.ndarray, batch: int = 64) -> np.ndarray:
     """Natural log-probability of each target; 0 where it is -1."""
     out = np.empty(y.shape, np.float32)
-    qkv = np.concatenate([model.weights[k] for k in "qkv"], axis=1)
+    ones = np.ones((CLASSES, 1), np.float32)
     for i in range(0, len(x), batch):
-        xs, t = x[i : i + batch], y[i : i + batch]
-        z = _logits(model.weights, qkv, xs)
-        seen, before = np.maximum(t, 0), model.cls[xs[:, CONTEXT:]]
-        flat, want = z.reshape(-1, CLASSES), model.cls[seen].astype(np.int64)
-        hit = flat[np.arange(len(flat)), want.ravel()].reshape(t.shape)
-        with np.errstate(over="ignore"):
-            total = (np.exp(flat) @ np.ones((CLASSES, 1), np.float32)).reshape(t.shape)
-        if not np.isfinite(total).all():  # logits too large to be summed as they are
-            top = flat.max(axis=1, keepdims=True)
-            norm = (np.log(np.exp(flat - top).sum(axis=1, keepdims=True)) + top).reshape(t.shape)
-        else:
-            norm = np.log(total)
-        out[i : i + batch] = np.where(t >= 0, hit - norm + model.inside[seen, before], 0)
+        xs, t = x[i : i + batch], y[i : i + batch].ravel()
+        before, seen = xs[:, CONTEXT:].ravel(), np.maximum(t, 0)
+        want, r2 = model.cls[seen].astype(np.int64), _flat(_attended(model.weights, xs)["r2"])
+        found = model.inside[seen, model.cls[before]]
+        for j in range(0, len(t), ROWS):
+            rows = slice(j, j + ROWS)
+            z = _logits(model.weights, r2[rows], before[rows])
+            _exp(z)
+            with np.errstate(divide="ignore"):
+                found[rows] += np.log(z[np.arange(len(z)), want[rows]] / (z @ ones)[:, 0])
+        out[i : i + batch] = np.where(t >= 0, found, 0).reshape(len(xs), NEW)
     return out
 
 
-def _logits(w: dict[str, np.ndarray], qkv: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """``forward`` for scoring: the same numbers by fewer passes over memory."""
-    n = len(x)
-    h = w["emb"][x] + w["pos"]
-    both = (h.reshape(-1, DIM) @ qkv).reshape(n, WINDOW, 3 * DIM)
-    q, k, v = both[:, CONTEXT:, :DIM], both[:, :, DIM : 2 * DIM], both[:, :, 2 * DIM :]
-    a = q @ k.transpose(0, 2, 1)
-    a += _MASK
-    np.minimum(a, 60, out=a)  # far above any score of a trained model, far below overflow
-    np.exp(a, out=a)
-    o = (a @ v) / (a @ np.ones((WINDOW, 1), np.float32))
-    r = h[:, CONTEXT:].reshape(-1, DIM) + o.reshape(-1, DIM) @ w["o"]
-    m = r @ w["h1"]
-    m += w["b1"]
-    np.maximum(m, 0, out=m)
-    r += m @ w["h2"]
-    z = r @ w["out"]
-    z += w["direct"][x[:, CONTEXT:].ravel()]
-    return z.reshape(n, NEW, CLASSES)
-
-
 def heads(counts: np.ndarray, n: int) -> np.ndarray:
     """The most frequent ids, whose share before an id is what ids are clustered by."""
     return np.argsort(-counts, kind="stable")[: 2 * n]
@@ -216,7 +221,9 @@ def fit(
 ) -> Model:
     """A model from counts over all training documents and gradient steps over all their windows (x, y)."""
     model = tables(counts, cls, follows, leads, seed)
-    Descent(model.weights, cls).run(x, y, np.random.default_rng(seed), steps, batch, lambda at: rate * (1 - at))
+    fitting = Descent(model.weights, cls)
+    fitting.run(x, y, np.random.default_rng(seed), steps, batch, lambda at: rate * (1 - at))
+    model.weights.update(fitting.w)
     return model
 
 
@@ -262,8 +269,17 @@ class Descent:
     the steps whose windows hold the id."""
 
     def __init__(self, weights: dict[str, np.ndarray], cls: np.ndarray):
-        self.w, self.cls, self.steps, self.targets = weights, cls, 0, 0
-        self.moments = {k: np.zeros((2, *v.shape), np.float32) for k, v in weights.items() if k != "direct"}
+        self.cls, self.steps, self.targets = cls, 0, 0
+        self.moments = {k: np.zeros((2, *v.shape), np.float32) for k, v in weights.items() if k == "emb"}
+        #: The weights that every step moves whole lie in one array, and so do their moments.
+        self.whole = [k for k in weights if k not in ("direct", "emb")]
+        self.flat = np.concatenate([weights[k].ravel() for k in self.whole])
+        self.flat_moments = np.zeros((2, len(self.flat)), np.float32)
+        self.w = dict(weights)
+        at = 0
+        for k in self.whole:
+            part, shape = slice(at, at := at + weights[k].size), weights[k].shape
+            self.w[k], self.moments[k] = self.flat[part].reshape(shape), self.flat_moments[:, part].reshape(2, *shape)
         #: Steps that moved each id's embedding.
         self.touched = np.zeros(len(weights["emb"]), np.int32)
 
@@ -280,22 +296,28 @@ class Descent:
 
     def step(self, x: np.ndarray, y: np.ndarray, rate: float) -> None:
         self.steps += 1
-        self.targets += int((y >= 0).sum())
+        self.targets += int(np.count_nonzero(y >= 0))
         grads, dh = _gradients(self.w, x, y, self.cls)
         flat = x.ravel()
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        ids = flat[order[first]]
-        grads["emb"] = np.add.reduceat(dh.reshape(-1, DIM)[order], first, axis=0)
+        order = np.argsort(flat.astype(np.uint16) if len(self.touched) <= 1 << 16 else flat, kind="stable")
+        sorted_ids = flat[order]
+        first = np.flatnonzero(np.diff(sorted_ids, prepend=-1))
+        ids = sorted_ids[first]
         self.touched[ids] += 1
         rate *= min(1.0, self.steps / 50)
-        for k, g in grads.items():
-            at = ids if k == "emb" else slice(None)
-            m1, m2 = self.moments[k]
-            m1[at] += np.float32(0.1) * (g - m1[at])
-            m2[at] += np.float32(0.01) * (g * g - m2[at])
-            size = np.sqrt(m2[at] / np.float32(1 - 0.99**self.steps)) + np.float32(1e-6)
-            self.w[k][at] -= np.float32(rate / (1 - 0.9**self.steps)) * m1[at] / size
+        m1, m2 = self.moments["emb"]
+        one, two = m1.take(ids, axis=0), m2.take(ids, axis=0)
+        self.w["emb"][ids] -= self._moved(one, two, np.add.reduceat(_flat(dh).take(order, axis=0), first, axis=0), rate)
+        m1[ids], m2[ids] = one, two
+        self.flat -= self._moved(*self.flat_moments, np.concatenate([grads[k].ravel() for k in self.whole]), rate)
+
+    def _moved(self, m1: np.ndarray, m2: np.ndarray, g: np.ndarray, rate: float) -> np.ndarray:
+        """What a step takes off weights of gradient ``g``, whose moments ``m1`` and ``m2`` follow it."""
+        m1 += np.float32(0.1) * (g - m1)
+        m2 += np.float32(0.01) * (g * g - m2)
+        size = np.sqrt(m2 / np.float32(1 - 0.99**self.steps))
+        size += np.float32(1e-6)
+        return np.float32(rate / (1 - 0.9**self.steps)) * m1 / size
 
 
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> dict[str, np.ndarray]:
@@ -308,31 +330,46 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, cls: np.nd
 
 def _gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """``gradients``, but instead of the embeddings' those of the windows' places."""
-    f = forward(w, x)
-    got = y >= 0
-    d = f["logits"]
-    d -= d.max(axis=2, keepdims=True)
-    np.exp(d, out=d)
-    d *= (got / np.float32(max(1, got.sum())))[..., None] / d.sum(axis=2, keepdims=True)
-    b, t = np.nonzero(got)
-    d[b, t, cls[y[got]]] -= np.float32(1 / max(1, len(b)))
-    flat = lambda u: u.reshape(-1, u.shape[-1])
-    g = {"out": flat(f["r2"]).T @ flat(d)}
-    dr2 = _dot(d, w["out"].T)
-    g["h2"] = flat(f["m"]).T @ flat(dr2)
-    dm = _dot(dr2, w["h2"].T)
-    dm *= f["m"] > 0
-    g["h1"], g["b1"] = flat(f["r"]).T @ flat(dm), flat(dm).sum(axis=0)
-    dr = dr2 + _dot(dm, w["h1"].T)
-    g["o"] = flat(f["o"]).T @ flat(dr)
-    do = _dot(dr, w["o"].T)
-    da = do @ f["v"].transpose(0, 2, 1)
-    dv = f["a"].transpose(0, 2, 1) @ do
-    ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
-    dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-    new = f["h"][:, CONTEXT:]
-    g["q"], g["k"], g["v"] = flat(new).T @ flat(dq), flat(f["h"]).T @ flat(dk), flat(f["h"]).T @ flat(dv)
-    dh = _dot(dk, w["k"].T) + _dot(dv, w["v"].T)
-    dh[:, CONTEXT:] += dr + _dot(dq, w["q"].T)
+    f = _attended(w, x)
+    r2, before, t = _flat(f["r2"]), x[:, CONTEXT:].ravel(), y.ravel()
+    kind = r2.dtype
+    got = t >= 0
+    want, share = cls[np.maximum(t, 0)], got / kind.type(max(1, np.count_nonzero(got)))
+    ones, back = np.ones((CLASSES, 1), kind), np.ascontiguousarray(w["out"].T)
+    g = {"out": np.zeros_like(w["out"])}
+    dr2 = np.empty_like(r2)
+    for j in range(0, len(t), ROWS):
+        rows = slice(j, j + ROWS)
+        d = _logits(w, r2[rows], before[rows])
+        _exp(d)
+        total = d @ ones
+        d[np.arange(len(d)), want[rows]] -= total[:, 0]
+        scale = share[rows, None] / total  # of a row's probabilities, less 1 at its target
+        g["out"] += (r2[rows] * scale).T @ d
+        np.matmul(d, back, out=dr2[rows])
+        dr2[rows] *= scale
+    g["h2"] = _flat(f["m"]).T @ dr2
+    dm = dr2 @ w["h2"].T
+    dm *= _flat(f["m"]) > 0
+    g["h1"], g["b1"] = _flat(f["r"]).T @ dm, np.ones(len(dm), kind) @ dm
+    dr = dr2
+    dr += dm @ w["h1"].T
+    o = _flat(f["o"])
+    g["o"] = o.T @ dr
+    do = dr @ w["o"].T
+    along = np.einsum("ij,ij->i", o, do).reshape(len(x), NEW, 1)
+    do = do.reshape(len(x), NEW, DIM)
+    ds = do @ f["v"].transpose(0, 2, 1)
+    ds -= along
+    ds *= f["a"]
+    dv = _flat(f["a"].transpose(0, 2, 1) @ do)
+    dq, dk = _flat(ds @ f["k"]), _flat(ds.transpose(0, 2, 1) @ f["q"])
+    h = _flat(f["h"])
+    g["q"], g["k"], g["v"] = _flat(f["new"]).T @ dq, h.T @ dk, h.T @ dv
+    dh = dk @ w["k"].T
+    dh += dv @ w["v"].T
+    dh = dh.reshape(f["h"].shape)
+    dr += dq @ w["q"].T
+    dh[:, CONTEXT:] += dr.reshape(len(x), NEW, DIM)
     g["pos"] = dh.sum(axis=0)
     return g, dh

@@ -19,6 +19,7 @@ import math
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from contentmart.llm import lm_model
 from contentmart.llm.common import arrow_rows, materialise, pick, text_slices
-from contentmart.llm.packing import _encoder, encoded_words, forget, known_words
+from contentmart.llm.packing import _encoder, forget, known_words
 
 #: Words whose counts every task holds, at most.
 FREQUENT = 100_000
@@ -49,8 +50,8 @@ PART_BYTES = 1 << 20
 END = "\n"
 #: Ids that go through the model at once.
 CHUNK_IDS = 200_000
-#: Words that a worker keeps encoded.
-CACHE_WORDS = 300_000
+#: Words that a worker keeps encoded, at most; the frequent ones stay when others go.
+CACHE_WORDS = 200_000
 #: Documents that Spark hands to Python at once.
 BATCH_ROWS = 1_000
 #: Bytes of text that are counted, or encoded, at once.
@@ -129,15 +130,52 @@ def id_counts(counts: DataFrame, path: str, size: int) -> np.ndarray:
 
 def _ids(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words, and for each but the first whether a new word begins with it."""
-    return _joined(list(encoded_words(words, path, CACHE_WORDS)))
-
-
-def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """``_ids`` from the ids of each word."""
-    ids = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
-    begins = np.zeros(len(ids) + 1, bool)
-    begins[np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4] = True  # a word without ids begins nowhere of its own
-    return ids, begins[1:-1]
+    texts = _Words([words])
+    return next(texts.ids(known_words(set(texts.distinct[1:]), path, CACHE_WORDS)))
+
+
+class _Words:
+    """The words of some texts, each text's END last, as places among the ``distinct`` ones, of which END is the first."""
+
+    def __init__(self, split: list[list[str]]):
+        self.lengths = np.fromiter(map(len, split), np.int64, len(split)) + 1
+        self.ends = np.cumsum(self.lengths)
+        at = dict.fromkeys(chain([END], *split))
+        self.distinct = list(at)
+        at = dict(zip(self.distinct, range(len(at)), strict=True))
+        self.at = np.zeros(self.ends[-1] if len(split) else 0, np.int32)
+        word = np.ones(len(self.at), bool)
+        word[self.ends - 1] = False
+        self.at[word] = np.fromiter(map(at.__getitem__, chain(*split)), np.int32, len(self.at) - len(split))
+
+    def ids(self, known: dict[str, bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each text's ids, and for each but the first whether a new word begins with it; a word without ids
+        begins nowhere of its own."""
+        parts = [b"", *map(known.__getitem__, self.distinct[1:])]
+        each, n = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        first, n = (np.cumsum(n) - n)[self.at], n[self.at]
+        past = np.cumsum(n)
+        ids = each[np.repeat(first + n - past, n) + np.arange(past[-1] if len(past) else 0)]
+        begins = np.zeros(len(ids) + 1, bool)
+        begins[past] = True
+        start = 0
+        for end in past[self.ends - 1].tolist():
+            yield ids[start:end], begins[start + 1 : end]
+            start = end
+
+    def counted(self, top: dict[str, float]) -> tuple[np.ndarray, list[float], list[pa.Array]]:
+        """Of each text how many words are in ``top``, their sum there, and its other words with their times."""
+        value = np.fromiter(map(top.get, self.distinct, repeat(np.nan)), np.float64, len(self.distinct))[self.at]
+        miss = np.isnan(value)
+        value[miss] = 0
+        text = np.repeat(np.arange(len(self.ends)), self.lengths)
+        sums = [math.fsum(value[e - n : e].tolist()) for e, n in zip(self.ends.tolist(), self.lengths.tolist(), strict=True)]
+        key, times = np.unique(text[miss] * len(self.distinct) + self.at[miss], return_counts=True)
+        offsets = pa.array(np.searchsorted(key, np.arange(len(self.ends) + 1) * len(self.distinct)).astype(np.int32))
+        used, place = np.unique(key % len(self.distinct), return_inverse=True)
+        rare = pa.array([self.distinct[i] for i in used.tolist()], pa.string()).take(pa.array(place))
+        lists = [pa.ListArray.from_arrays(offsets, c) for c in (rare, pa.array(times.astype(np.int32)))]
+        return self.lengths - np.bincount(text[miss], minlength=len(self.ends)), sums, lists
 
 
 def _summed(keys: list[np.ndarray], times: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +211,8 @@ def _unpacked(b: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.nda
 def _encode_texts(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in text_slices(whole, "text", ENCODE_BYTES)):
-            cols = _packed([_ids(words(t), path) for t in b.column("text").to_pylist()], size)
+            texts = _Words(list(map(words, b.column("text").to_pylist())))
+            cols = _packed(list(texts.ids(known_words(set(texts.distinct[1:]), path, CACHE_WORDS))), size)
             yield pa.RecordBatch.from_arrays([b.column("rid"), *cols], names=["rid", "ids", "begins"])
 
     return run
@@ -484,28 +523,11 @@ def _encode(shared, path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = shared.value
         for b in (part for whole in batches for part in text_slices(whole, "text", ENCODE_BYTES)):
-            split = [words(text) for text in b.column("text").to_pylist()]
-            known = known_words(set().union(*split), path, CACHE_WORDS)
-            n_tokens, n_top, base, rare, times, ids = [], [], [], [], [], []
-            for w in split:
-                ids.append(_joined(list(map(known.__getitem__, w))))
-                w.append(END)
-                got = list(map(top.get, w))
-                miss = Counter(x for x, g in zip(w, got, strict=True) if g is None)
-                n_tokens.append(len(w)), n_top.append(len(w) - miss.total())
-                base.append(math.fsum(filter(None, got)))
-                rare.append(list(miss)), times.append(list(miss.values()))
+            texts = _Words(list(map(words, b.column("text").to_pylist())))
+            n_top, base, rare = texts.counted(top)
+            ids = list(texts.ids(known_words(set(texts.distinct[1:]), path, CACHE_WORDS, top)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("rid"),
-                    b.column("doc_id"),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_top, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(rare, pa.list_(pa.string())),
-                    pa.array(times, pa.list_(pa.int32())),
-                    *_packed(ids, size),
-                ],
+                [b.column("rid"), b.column("doc_id"), pa.array(texts.lengths), pa.array(n_top), pa.array(base), *rare, *_packed(ids, size)],
                 names=["rid", "doc_id", "n_tokens", "n_top", "top_score", "rare", "times", "ids", "begins"],
             )
 

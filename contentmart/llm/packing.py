@@ -15,16 +15,19 @@ from __future__ import annotations
 import gc
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentmart.llm.common import materialise, pick
 
+if TYPE_CHECKING:  # tasks that need no pandas hold none
+    import pandas as pd
+
 SEQUENCE = 4096
 OPEN_BINS = 512
 #: Pieces aimed at for one packing task.
@@ -155,13 +158,17 @@ def encoded_words(words: list[str], path: str, kept: int = CACHE_WORDS) -> Itera
     return map(known_words(set(words), path, kept).__getitem__, words)
 
 
-def known_words(words: set[str], path: str, kept: int = CACHE_WORDS) -> dict[str, bytes]:
-    """The worker's cache, which holds the ids of all ``words`` (lowered) until the next call."""
+def known_words(words: set[str], path: str, kept: int = CACHE_WORDS, lasting: Container[str] = ()) -> dict[str, bytes]:
+    """The worker's cache, which holds the ids of all ``words`` (lowered) until the next call; when it is full, it
+    keeps those of ``lasting`` words only."""
     tokenizer, cache = _encoder(path)
     new = words.difference(cache)
     if len(cache) + 2 * len(new) > kept:
+        stay = {w: ids for w, ids in cache.items() if w in lasting}
         cache.clear()
-        new = words
+        if len(stay) + 2 * len(new) <= kept:
+            cache.update(stay)
+        new = words.difference(cache)
     stems, plain, ended = set(), set(), []
     for w in new:
         found = _STEM.fullmatch(w)

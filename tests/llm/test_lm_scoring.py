@@ -264,3 +264,51 @@ def test_scoring_hands_small_batches_to_python_and_keeps_no_words(spark, monkeyp
     list(encode(["some words"], tokenizer_path()))
     list(S._count_pairs(49_409, 10)(iter([])))
     assert not S._encoder.__globals__["_WORKER"]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    texts = ["", "Foo, bar foo", " \t", "x 2 0 2 4 2024 x", "foo ́ bar", "don't a,b"]
+    path = tokenizer_path()
+    split = [S.words(t) for t in texts]
+    got = S._Words(split)
+    known = S.known_words(set(got.distinct[1:]), path)
+    top = {"foo": -1.5, "x": -2.0, "\n": -0.5}
+    n_top, sums, (rare, times) = got.counted(top)
+    for k, ((ids, begins), w) in enumerate(zip(got.ids(known), split, strict=True)):
+        assert np.array_equal(ids, np.frombuffer(b"".join(encode([" ".join(w)], path)), "<u4"))
+        starts = np.cumsum([0] + [len(known[x]) // 4 for x in w])[:-1]
+        assert set(np.flatnonzero(begins) + 1) == {s for s in starts.tolist() if 0 < s < len(ids)}
+        all_words = [*w, "\n"]
+        assert n_top[k] == sum(x in top for x in all_words) and sums[k] == sum(top.get(x, 0) for x in all_words)
+        want = Counter(x for x in all_words if x not in top)
+        assert dict(zip(rare[k].as_py(), times[k].as_py(), strict=True)) == want
+    assert list(S._Words([]).ids({})) == []
+
+
+def test_a_full_cache_keeps_frequent_words():
+    path = tokenizer_path()
+    S.forget()
+    S.known_words({f"often{c}" for c in "abcd"}, path, 20)
+    cache = S.known_words({f"seldom{c}" for c in "abcdefghi"}, path, 20, {"oftena", "oftenb"})
+    assert {"oftena", "oftenb", "seldoma"} <= set(cache) and "oftenc" not in cache
+    assert "oftena" not in S.known_words({f"once{c}" for c in "abcdefghijklmnop"}, path, 20, {"oftena"})  # no room
+
+
+def test_tasks_hold_no_pandas():
+    import subprocess
+    import sys
+
+    code = "import sys, contentmart.llm.lm_scoring; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], timeout=60).returncode == 0
+
+
+def test_scoring_and_training_stay_finite_for_large_weights():
+    model, ids, lengths = small()
+    x, y = M.windows(ids, lengths, 39)
+    before = M.gradients(model.weights, x, y, model.cls)
+    model.weights["direct"][:] += 200
+    after = M.gradients(model.weights, x, y, model.cls)
+    assert all(np.allclose(before[k], after[k], atol=1e-4) for k in before)
+    model.weights["q"] *= 1e4
+    assert all(np.isfinite(g).all() for g in M.gradients(model.weights, x, y, model.cls).values())
+    assert np.isfinite(M.log_probs(model, x, y)).all()
